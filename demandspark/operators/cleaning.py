@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.profile import global_stats
+from demandspark.operators.profile import with_stats
 
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -30,5 +30,5 @@ def zero_fill(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL -> column mean. The means are one scalar subquery (a single
     partial/final aggregate), applied row-wise without a join."""
-    means = global_stats(df, {c: F.avg(c) for c in cols})
-    return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols})
+    d, means = with_stats(df, {c: F.avg(c) for c in cols})
+    return d.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols}).drop("__st")

@@ -22,11 +22,19 @@ from demandspark.operators.ordered import running_totals
 from demandspark.operators.projection import numeric_columns, string_columns
 
 
-def global_stats(df: DataFrame, exprs: dict[str, Column]) -> dict[str, Column]:
-    """One scalar subquery holding a struct of statistics; returns a column
-    per statistic, usable in any row-level expression."""
-    s = df.agg(F.struct(*[e.alias(k) for k, e in exprs.items()]).alias("s")).scalar()
-    return {k: s.getField(k) for k in exprs}
+def with_stats(df: DataFrame, exprs: dict[str, Column], source: DataFrame | None = None,
+               name: str = "__st") -> tuple[DataFrame, dict[str, Column]]:
+    """Attach global statistics of ``source`` (default ``df``) to every row.
+
+    The statistics are one struct computed once as a scalar subquery
+    (partial + final aggregate, no join, nothing collected). It is added
+    as column ``name`` in a single projection, so later references are
+    attribute reads and the subquery plan appears once. Callers drop
+    ``name`` when done. Returns the DataFrame and a column per statistic.
+    """
+    src = df if source is None else source
+    s = src.agg(F.struct(*[e.alias(k) for k, e in exprs.items()]).alias("s")).scalar()
+    return df.withColumn(name, s), {k: F.col(name)[k] for k in exprs}
 
 
 def long_form(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
@@ -179,8 +187,8 @@ def grouping_set_means(df: DataFrame, sets: Sequence[Sequence[str]], target: str
 def equal_width_bins(df: DataFrame, col: str, n: int, out: str = "bin") -> DataFrame:
     """Right-closed equal-width bins over the column's [min, max]; the
     bounds come from one scalar subquery."""
-    st = global_stats(df, {"mn": F.min(col), "mx": F.max(col)})
-    return df.withColumn(out, X.equal_width_bin(F.col(col), st["mn"], st["mx"], n))
+    d, st = with_stats(df, {"mn": F.min(col), "mx": F.max(col)})
+    return d.withColumn(out, X.equal_width_bin(F.col(col), st["mn"], st["mx"], n)).drop("__st")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
@@ -191,7 +199,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     for c in cols:
         stats[f"{c}__mn"] = F.min(F.col(c).cast("double"))
         stats[f"{c}__mx"] = F.max(F.col(c).cast("double"))
-    st = global_stats(df, stats)
+    d, st = with_stats(df, stats)
     bcols = {}
     for c in cols:
         mn, mx = st[f"{c}__mn"], st[f"{c}__mx"]
@@ -199,9 +207,9 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
         raw = F.floor((x - mn) / (mx - mn) * F.lit(float(bins)))
         b = F.when(mx == mn, F.lit(0)).otherwise(F.least(raw.cast("int"), F.lit(bins - 1)))
         bcols[c] = F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(b)
-    wide = df.select(*[v.cast("int").alias(k) for k, v in bcols.items()])
+    wide = d.select(*[v.cast("int").alias(k) for k, v in bcols.items()])
     lf = wide.unpivot([], list(cols), "column", "bin").where(F.col("bin").isNotNull())
-    counts = lf.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts, st = with_stats(lf.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")), stats, source=df)
     mn = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__mn"]) for c in cols])
     mx = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__mx"]) for c in cols])
     w = (mx - mn) / F.lit(float(bins))
@@ -218,7 +226,7 @@ def density(df: DataFrame, cols: Sequence[str], bins: int = 200, grid: int = 100
     for c in cols:
         aggs[f"{c}__sd"] = F.stddev_samp(F.col(c).cast("double"))
         aggs[f"{c}__n"] = F.count(F.col(c))
-    st = global_stats(df, aggs)
+    h, st = with_stats(h, aggs, source=df)
     sd = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__sd"]) for c in cols])
     n = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__n"]) for c in cols])
     bw = F.lit(1.06) * sd * F.pow(n.cast("double"), F.lit(-0.2))

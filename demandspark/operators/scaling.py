@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.profile import global_stats
+from demandspark.operators.profile import with_stats
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], fit_where=None, suffix: str = "") -> DataFrame:
@@ -19,9 +19,9 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_where=None, suffix: s
     for c in cols:
         stats[f"{c}__m"] = F.avg(F.col(c).cast("double"))
         stats[f"{c}__s"] = F.stddev_pop(F.col(c).cast("double"))
-    st = global_stats(fit, stats)
+    df, st = with_stats(df, stats, source=fit)
     out = {}
     for c in cols:
         s = st[f"{c}__s"]
         out[f"{c}{suffix}"] = (F.col(c) - st[f"{c}__m"]) / F.when(s == 0, F.lit(1.0)).otherwise(s)
-    return df.withColumns(out)
+    return df.withColumns(out).drop("__st")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import scalar as X
 from demandspark.operators.ordered import global_rank
-from demandspark.operators.profile import global_stats
+from demandspark.operators.profile import with_stats
 
 
 def hash_order(key: str, seed: int) -> F.Column:
@@ -21,8 +21,8 @@ def hash_order(key: str, seed: int) -> F.Column:
 
 
 def _stratum(df: DataFrame, target: str, bins: int, out: str) -> DataFrame:
-    st = global_stats(df, {"mn": F.min(target), "mx": F.max(target)})
-    return df.withColumn(out, X.equal_width_bin(F.col(target), st["mn"], st["mx"], bins))
+    d, st = with_stats(df, {"mn": F.min(target), "mx": F.max(target)})
+    return d.withColumn(out, X.equal_width_bin(F.col(target), st["mn"], st["mx"], bins)).drop("__st")
 
 
 def _take(df: DataFrame, key: str, stratum: str, frac: float, seed: int, flag: str) -> DataFrame:
@@ -58,19 +58,18 @@ def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins:
 
 def ordered(df: DataFrame, key: str, test_size: float = 0.2, out: str = "split") -> DataFrame:
     """Head/tail split in key order at ``int(n * (1 - test_size))``."""
-    r = global_rank(df, [], [key], out="__rk")
-    n = global_stats(df, {"n": F.count(F.lit(1))})["n"]
+    r, st = with_stats(global_rank(df, [], [key], out="__rk"), {"n": F.count(F.lit(1))}, source=df)
+    n = st["n"]
     # int(n * (1 - test_size)) in exact rational arithmetic
     from fractions import Fraction
 
     q = Fraction(1) - Fraction(str(test_size))
     cut = F.floor((n * F.lit(q.numerator)) / F.lit(q.denominator))
-    return r.withColumn(out, F.when(F.col("__rk") <= cut, "train").otherwise("test")).drop("__rk")
+    return r.withColumn(out, F.when(F.col("__rk") <= cut, "train").otherwise("test")).drop("__rk", "__st")
 
 
 def kfold(df: DataFrame, key: str, k: int = 3, out: str = "fold") -> DataFrame:
     """Contiguous, unshuffled folds in key order: fold = (rank-1)*k div n
     (the first n mod k folds get one extra row)."""
-    r = global_rank(df, [], [key], out="__rk")
-    n = global_stats(df, {"n": F.count(F.lit(1))})["n"]
-    return r.withColumn(out, F.floor((F.col("__rk") - 1) * F.lit(k) / n).cast("int")).drop("__rk")
+    r, st = with_stats(global_rank(df, [], [key], out="__rk"), {"n": F.count(F.lit(1))}, source=df)
+    return r.withColumn(out, F.floor((F.col("__rk") - 1) * F.lit(k) / st["n"]).cast("int")).drop("__rk", "__st")

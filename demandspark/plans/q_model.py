@@ -397,6 +397,6 @@ def run_completeness(spark, sf_dir):
     "(SELECT min(humidity) FROM demand)), 9) AS humidity_minmax FROM demand"))
 def join_stats_broadcast(spark, sf_dir):
     d = V.demand(spark, sf_dir)
-    st = P.global_stats(d, {"m": F.avg("temperature_c"), "mn": F.min("humidity"), "mx": F.max("humidity")})
+    d, st = P.with_stats(d, {"m": F.avg("temperature_c"), "mn": F.min("humidity"), "mx": F.max("humidity")})
     return round_doubles(d.select("obs_id", (F.col("temperature_c") - st["m"]).alias("temp_centered"),
                                   ((F.col("humidity") - st["mn"]) / (st["mx"] - st["mn"])).alias("humidity_minmax")), 9)
