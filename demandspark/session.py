@@ -35,6 +35,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: one JVM is driver and executors
+        b = b.config("spark.driver.memory", os.environ.get("DEMANDSPARK_DRIVER_MEMORY", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
