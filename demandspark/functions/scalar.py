@@ -154,3 +154,17 @@ def map_get(m: ColumnOrName, key: str, default=None) -> Column:
 def alert_message(template: str, *values: ColumnOrName) -> Column:
     """printf-style text, e.g. ``'R² = %.4f'``."""
     return F.format_string(template, *[_c(v) for v in values])
+
+
+def round_half_away(c: ColumnOrName, places: int) -> Column:
+    """Round a double half away from zero in binary arithmetic:
+    ``sign(v) * floor(|v| + 0.5) / 10^places`` with ``v = x * 10^places``.
+
+    Unlike ``F.round`` (a BigDecimal per value) this stays in generated
+    code, and it equals DuckDB's ``round(double, n)``. Values whose scaled
+    magnitude is already integral (>= 2^52) and NaN/inf pass through."""
+    c = _c(c)
+    p = F.lit(float(10 ** places))
+    v = c * p
+    r = F.when(F.abs(v) >= F.lit(2.0 ** 52), v).otherwise(F.signum(v) * F.floor(F.abs(v) + F.lit(0.5)))
+    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(r / p)

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from demandspark import schema as S
+from demandspark.functions import scalar as X
 from demandspark.operators import cleaning as CL
 from demandspark.operators import profile as P
 from demandspark.plans import sql as Q
@@ -96,7 +97,7 @@ def _mean_sql(keys: list[str], extra: str = "") -> str:
 def _mean(by, order=None):
     def build(spark, sf_dir):
         f = feat(spark, sf_dir)
-        g = f.groupBy(*by).agg(F.round(F.avg(S.LABEL), 6).alias("avg_count"), F.count(F.lit(1)).alias("n"))
+        g = f.groupBy(*by).agg(X.round_half_away(F.avg(S.LABEL), 6).alias("avg_count"), F.count(F.lit(1)).alias("n"))
         if order:
             g = g.withColumn(order[0], order[1])
         return g
@@ -138,7 +139,7 @@ def _gs_sql() -> str:
 @register("agg_mean_grouping_sets", D(Q.DEMAND, Q.FEAT, body=_gs_sql()))
 def agg_mean_grouping_sets(spark, sf_dir):
     g = P.grouping_set_means(feat(spark, sf_dir), _SETS, S.LABEL)
-    return g.withColumn("avg_count", F.round("avg_count", 6))
+    return g.withColumn("avg_count", X.round_half_away("avg_count", 6))
 
 
 HIST = ["rented_bike_count", "temperature_c", "humidity", "wind_speed", "rainfall_mm"]
@@ -183,7 +184,7 @@ FROM g GROUP BY "column", g"""
     ["temperature_c", "humidity"], 50, 40)))
 def agg_density(spark, sf_dir):
     d = P.density(V.demand(spark, sf_dir), ["temperature_c", "humidity"], bins=50, grid=40)
-    return d.select("column", "g", F.round("x", 9).alias("x"), F.round("density", 10).alias("density"))
+    return d.select("column", "g", X.round_half_away("x", 9).alias("x"), X.round_half_away("density", 10).alias("density"))
 
 
 CORR = ["rented_bike_count", "hour", "temperature_c", "humidity", "wind_speed", "visibility_10m",
