@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.operators.ordered import running_totals
-from demandspark.operators.profile import with_stats
+from demandspark.session import checkpoint_dir
 
 TAG = "dataset"
 REF, CUR = "reference", "current"
@@ -60,35 +60,55 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(p)
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per numeric column: KS statistic and p-value, normalised
-    Wasserstein distance; with the sample sizes."""
-    u = tagged_union(reference.select(*cols), current.select(*cols))
-    c = _counts(u, cols, "double")
-    tot = _totals(c)
-    cum = running_totals(c, ["column"], ["value"], ["n_ref", "n_cur"], next_of="value")
+def numeric_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n_ref, n_cur): the one scan of the numeric inputs."""
+    return _counts(tagged_union(reference.select(*cols), current.select(*cols)), cols, "double")
+
+
+def categorical_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n_ref, n_cur) of the categorical inputs, checkpointed
+    (it feeds both the chi-square and the share statistics)."""
+    c = _counts(tagged_union(reference.select(*cols), current.select(*cols)), cols, "string")
+    checkpoint_dir(c.sparkSession)
+    return c.checkpoint(eager=True)
+
+
+def cdf_table(nc: DataFrame) -> DataFrame:
+    """Both empirical CDFs at every distinct value (distributed running
+    sums), with the next distinct value for the Wasserstein area."""
+    return running_totals(nc, ["column"], ["value"], ["n_ref", "n_cur"], next_of="value")
+
+
+def numeric_from_cdf(cum: DataFrame) -> DataFrame:
+    """KS statistic and p-value and Wasserstein / sd_ref per column, all
+    from the CDF table (sizes, mean and deviation of the reference are
+    aggregated from the value counts; no second scan of the inputs)."""
+    tot = cum.groupBy("column").agg(F.max("cum_n_ref").alias("tot_ref"), F.max("cum_n_cur").alias("tot_cur"),
+                                    F.sum(F.col("n_ref") * F.col("value")).alias("s1"))
+    tot = tot.withColumn("mean_ref", F.col("s1") / F.col("tot_ref"))
     j = cum.join(F.broadcast(tot), "column")  # one row per column: bounded by the column list
-    f1 = F.col("cum_n_ref") / F.col("tot_ref")
-    f2 = F.col("cum_n_cur") / F.col("tot_cur")
-    gap = F.abs(f1 - f2)
+    gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     area = F.coalesce(gap * (F.col("next_value") - F.col("value")), F.lit(0.0))
-    per = j.groupBy("column").agg(F.max(gap).alias("statistic"), F.sum(area).alias("wasserstein"),
-                                  F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
-    sd = {c_: F.stddev_samp(F.col(c_).cast("double")) for c_ in cols}
-    per, st = with_stats(per, sd, source=reference)
-    sd_col = F.coalesce(*[F.when(F.col("column") == c_, st[c_]) for c_ in cols])
+    dev = F.col("value") - F.col("mean_ref")
+    per = j.groupBy("column").agg(
+        F.max(gap).alias("statistic"), F.sum(area).alias("wasserstein"),
+        F.sum(F.col("n_ref") * dev * dev).alias("ss"),
+        F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
+    sd = F.sqrt(F.col("ss") / (F.col("n_ref") - 1))
     return per.select(
         "column", F.lit("numeric").alias("kind"), "statistic",
         ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
-        (F.col("wasserstein") / F.when(sd_col == 0, F.lit(1.0)).otherwise(sd_col)).alias("wasserstein_norm"),
+        (F.col("wasserstein") / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias("wasserstein_norm"),
         "n_ref", "n_cur")
 
 
-def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per categorical column: Pearson chi-square statistic and degrees of
-    freedom of the (value x dataset) table."""
-    u = tagged_union(reference.select(*cols), current.select(*cols))
-    c = _counts(u, cols, "string")
+def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per numeric column: KS statistic and p-value, normalised
+    Wasserstein distance; with the sample sizes."""
+    return numeric_from_cdf(cdf_table(numeric_counts(reference, current, cols)))
+
+
+def chi_from_counts(c: DataFrame) -> DataFrame:
     tot = _totals(c)
     j = c.join(F.broadcast(tot), "column")
     n = F.col("tot_ref") + F.col("tot_cur")
@@ -101,6 +121,12 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[s
         (F.count(F.lit(1)) - 1).alias("dof"), F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
 
 
+def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per categorical column: Pearson chi-square statistic and degrees of
+    freedom of the (value x dataset) table."""
+    return chi_from_counts(categorical_counts(reference, current, cols))
+
+
 def chi_square_p_values(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Chi-square p-values by ``pyspark.ml.stat.ChiSquareTest`` with the
     dataset tag as label; one small row per column comes back."""
@@ -135,26 +161,28 @@ def _magnitudes(shares: DataFrame) -> DataFrame:
                                         F.sum(psi).alias("psi"))
 
 
+def binned_counts(values: DataFrame, bins: int = 10) -> DataFrame:
+    """Re-bin (column, value, n_ref, n_cur) into ``bins`` equal-width bins
+    over each column's [min, max] of values present: counts in, counts
+    out, no row-level data touched."""
+    rng = values.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
+    j = values.join(F.broadcast(rng), "column")  # one row per column
+    raw = F.least(F.floor((F.col("value") - F.col("mn")) / (F.col("mx") - F.col("mn")) * F.lit(float(bins)))
+                  .cast("int"), F.lit(bins - 1))
+    b = F.when(F.col("mx") == F.col("mn"), F.lit(0)).otherwise(raw)
+    return j.groupBy("column", b.cast("string").alias("value")).agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
 def binned_magnitudes(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                       categorical: Sequence[str], bins: int = 10) -> DataFrame:
     """Jensen-Shannon distance and PSI per column. Numeric columns use
     ``bins`` equal-width bins over the union's [min, max]."""
     parts = []
     if numeric:
-        u = tagged_union(reference.select(*numeric), current.select(*numeric))
-        u, st = with_stats(u, {**{f"{c}__mn": F.min(F.col(c).cast("double")) for c in numeric},
-                              **{f"{c}__mx": F.max(F.col(c).cast("double")) for c in numeric}})
-        b = {}
-        for c in numeric:
-            mn, mx = st[f"{c}__mn"], st[f"{c}__mx"]
-            x = F.col(c).cast("double")
-            raw = F.least(F.floor((x - mn) / (mx - mn) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
-            b[c] = F.when(x.isNull() | F.isnan(x), None).otherwise(F.when(mx == mn, F.lit(0)).otherwise(raw))
-        ub = u.select(TAG, *[v.alias(k) for k, v in b.items()])
-        parts.append(_magnitudes(_shares(_counts(ub, numeric, "string"))))
+        parts.append(_magnitudes(_shares(binned_counts(numeric_counts(reference, current, numeric), bins))))
     if categorical:
-        u = tagged_union(reference.select(*categorical), current.select(*categorical))
-        parts.append(_magnitudes(_shares(_counts(u, categorical, "string"))))
+        parts.append(_magnitudes(_shares(categorical_counts(reference, current, categorical))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -167,14 +195,27 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     """One row per column: kind, statistic, p_value (numeric), wasserstein_norm,
     js_distance, psi, drifted.
 
-    Decision per column: with at most ``small_n`` reference rows, a test
-    (KS p < ``p_threshold``; categorical: chi-square p via ``chi2_p``
-    when given, else JS); above it, effect sizes (Wasserstein/std for
-    numeric, JS distance for categorical >= ``magnitude_threshold``),
-    since p-values of large samples flag negligible shifts."""
-    num = numeric_drift(reference, current, numeric) if numeric else None
-    cat = categorical_drift(reference, current, categorical) if categorical else None
-    mag = binned_magnitudes(reference, current, numeric, categorical, bins)
+    Decision per column: numeric columns with at most ``small_n``
+    reference rows use KS p < ``p_threshold``; above it, effect sizes
+    decide (Wasserstein/std >= ``magnitude_threshold``), since p-values of
+    large samples flag negligible shifts. Categorical columns use the JS
+    distance (chi-square p-values: ``chi_square_p_values``).
+
+    Inputs are scanned twice: once for the numeric (column, value)
+    counts, from which CDFs, sizes, reference moments and binned shares
+    all derive, and once for the categorical counts (checkpointed, shared
+    by chi-square and the shares)."""
+    num = nmag = cat = cmag = None
+    if numeric:
+        cum = cdf_table(numeric_counts(reference, current, numeric))
+        num = numeric_from_cdf(cum)
+        nmag = _magnitudes(_shares(binned_counts(cum.select("column", "value", "n_ref", "n_cur"), bins)))
+    if categorical:
+        cc = categorical_counts(reference, current, categorical)
+        cat = chi_from_counts(cc)
+        cmag = _magnitudes(_shares(cc))
+    mags = [m for m in (nmag, cmag) if m is not None]
+    mag = mags[0] if len(mags) == 1 else mags[0].unionByName(mags[1])
     parts = []
     if num is not None:
         parts.append(num.select("column", "kind", "statistic", "p_value", "wasserstein_norm", "n_ref"))
