@@ -155,3 +155,36 @@ def mon_workflow(spark, sf_dir):
         F.lit("report").alias("type"), F.lit("info").alias("severity"),
         F.format_string("drift_score=%.4f r2=%.4f", "drift_score", "r2_score").alias("message"),
         F.current_timestamp().alias("timestamp")))
+
+
+KNN_K = 5
+
+
+def _embeddings_split(spark, sf_dir):
+    e = V.table(spark, sf_dir, "embeddings")
+    return SP.holdout(e, "vec_id", "label", 0.2)
+
+
+def _knn_sql() -> str:
+    h = "md5(CAST(vec_id AS VARCHAR) || '|42')"
+    bins = " + ".join(f"CAST(label > mn + {i}*((mx - mn)/CAST(5 AS DOUBLE)) AS INTEGER)" for i in range(1, 5))
+    return f"""WITH s1 AS (SELECT e.*, {bins} AS s FROM embeddings e,
+  (SELECT min(label) AS mn, max(label) AS mx FROM embeddings)),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY {h}, vec_id) AS rk, count(*) OVER (PARTITION BY s) AS n FROM s1),
+sp AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, rk <= round(n * 0.2) AS is_test FROM r1),
+pairs AS (SELECT q.vec_id AS qid, r.vec_id AS rid, r.label AS y, list_distance(q.v, r.v) AS d
+  FROM sp q JOIN sp r ON q.is_test AND NOT r.is_test),
+top AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, rid) AS rn FROM pairs)
+SELECT qid AS vec_id, round(avg(y), 6) AS prediction, count(*) AS neighbours FROM top WHERE rn <= {KNN_K} GROUP BY qid"""
+
+
+@register("ml_knn", _knn_sql())
+def ml_knn(spark, sf_dir):
+    """Exact k-NN regression (k=5) of test embeddings on train embeddings
+    via the pivot band join (brute force only in the SQL oracle)."""
+    from demandspark.operators.knn import knn_regress
+    from demandspark.plans.common import round_doubles
+
+    s = _embeddings_split(spark, sf_dir)
+    out = knn_regress(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), k=KNN_K)
+    return round_doubles(out)
