@@ -1,7 +1,7 @@
 """Monitoring checks: preparation, quality, performance, alerts, status.
 
-Each check returns a small result table; alerts are the rows of a
-one-row join of those tables, so a report is a single plan.
+Each check returns a small result table; alerts read the one-row
+results as scalar subqueries (no joins), so a report is a single plan.
 """
 
 from __future__ import annotations
@@ -18,6 +18,15 @@ from demandspark.operators import profile as P
 from demandspark.operators.projection import numeric_columns
 
 
+def attach(base: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Add the columns of one-row result tables to ``base`` as scalar
+    subqueries (each evaluated once; no join)."""
+    out = base
+    for t in one_row:
+        out = out.withColumns({c: t.select(c).scalar() for c in t.columns})
+    return out
+
+
 def prepare(df: DataFrame, numeric: Sequence[str] | None = None) -> DataFrame:
     """+-inf/NaN -> NULL -> 0 on numeric columns (the monitor's input rule)."""
     cols = list(numeric or [c for c in numeric_columns(df)
@@ -36,7 +45,7 @@ def quality(df: DataFrame, zero_fill_first: bool = False) -> DataFrame:
                   F.sum("missing").alias("missing_total"))
     rows = src.agg(F.count(F.lit(1)).alias("total_rows"))
     dup = P.duplicate_rows(src)
-    return rows.crossJoin(m).crossJoin(dup)  # three one-row tables
+    return attach(rows, m, dup)
 
 
 def column_summary(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,7 +72,7 @@ def alerts(drift_summary: DataFrame, quality_t: DataFrame, perf: DataFrame | Non
            min_rows: int = S.MIN_ROWS, min_r2: float = S.MIN_R2, with_time: bool = True) -> DataFrame:
     """Drift -> high; fewer than ``min_rows`` rows -> medium; R² below
     ``min_r2`` -> high. One row per alert."""
-    one = drift_summary.crossJoin(quality_t.select("total_rows"))
+    one = attach(drift_summary, quality_t.select("total_rows"))
     items = [
         _alert("data_drift", "high", F.col("drift_detected"),
                F.format_string("Data drift detected with score: %.4f", F.col("drift_score"))),
@@ -71,7 +80,7 @@ def alerts(drift_summary: DataFrame, quality_t: DataFrame, perf: DataFrame | Non
                F.format_string("Low data volume: %d rows", F.col("total_rows"))),
     ]
     if perf is not None:
-        one = one.crossJoin(perf.select("r2_score"))
+        one = attach(one, perf.select("r2_score"))
         items.append(_alert("model_performance", "high", F.col("r2_score") < min_r2,
                             F.format_string("Low model performance: R² = %.4f", F.col("r2_score"))))
     out = one.select(F.explode(F.array_compact(F.array(*items))).alias("a")).select("a.*")
@@ -80,7 +89,7 @@ def alerts(drift_summary: DataFrame, quality_t: DataFrame, perf: DataFrame | Non
 
 def status(drift_summary: DataFrame, quality_t: DataFrame) -> DataFrame:
     """healthy / warning with the alert texts of the monitoring run."""
-    one = drift_summary.select("drift_detected").crossJoin(quality_t.select("missing_total"))
+    one = attach(drift_summary.select("drift_detected"), quality_t.select("missing_total"))
     msgs = F.array_compact(F.array(
         F.when(F.col("drift_detected"), F.lit("Data drift detected!")),
         F.when(F.col("missing_total") > 0, F.format_string("Found %d missing values", F.col("missing_total")))))

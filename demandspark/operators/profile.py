@@ -100,10 +100,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     counts = lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
     cum = running_totals(counts, ["column"], ["value"], ["cnt"])
     n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
-    spark = df.sparkSession
-    pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
     # Target ranks: #columns x #probs rows, bounded by the parameters.
-    tg = n.crossJoin(F.broadcast(pr)).withColumn("h", (F.col("n") - 1) * F.col("prob"))
+    tg = n.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    tg = tg.withColumn("h", (F.col("n") - 1) * F.col("prob"))
     tg = tg.withColumns({"lo": F.floor("h"), "hi": F.ceil("h")})
     ranks = tg.select("column", "prob", "h", "lo", F.explode(F.array("lo", "hi")).alias("r")).distinct()
     hit = cum.join(F.broadcast(ranks), on="column").where(

@@ -150,7 +150,7 @@ def mon_workflow(spark, sf_dir):
     perf = MO.performance(scored, S.LABEL, "yhat")
     alerts = MO.alerts(summary, q, perf)
     base = scratch_path(spark, "monitoring")
-    SK.write_report(summary.crossJoin(perf), base, "workflow")
+    SK.write_report(MO.attach(summary, perf), base, "workflow")
     return alerts.unionByName(spark.read.json(base).select(
         F.lit("report").alias("type"), F.lit("info").alias("severity"),
         F.format_string("drift_score=%.4f r2=%.4f", "drift_score", "r2_score").alias("message"),

@@ -109,7 +109,7 @@ def monitor_batches(current: DataFrame, reference: DataFrame, numeric: Sequence[
     def check(batch: DataFrame, epoch: int) -> None:
         summary = DR.drift_summary(DR.drift_table(reference, batch, numeric, categorical))
         q = MO.quality(batch).select("total_rows", "missing_total", "duplicate_rows")
-        summary.crossJoin(q).withColumn("batch_id", F.lit(epoch)).write.mode("append").json(report_path)
+        MO.attach(summary, q).withColumn("batch_id", F.lit(epoch)).write.mode("append").json(report_path)
     run_available(current, checkpoint, foreach_batch=check)
 
 
