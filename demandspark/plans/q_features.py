@@ -52,13 +52,19 @@ def proj_drop_exclude(spark, sf_dir):
     return PR.drop_exclude(V.demand(spark, sf_dir), exclude=[S.LABEL], keep=["obs_id"])
 
 
+_CYC = ["hour_sin", "hour_cos", "month_sin", "month_cos", "day_of_week_sin", "day_of_week_cos"]
+
+
+def _round_cyc(df):
+    """Round only the transcendental columns; every other double is the
+    same IEEE operation sequence in both engines."""
+    return df.withColumns({c: X.round_half_away(c, 9) for c in _CYC if c in df.columns})
+
+
 def _feature_sql(cols: list[str], src: str = "feat") -> str:
     out = []
     for c in cols:
-        if c in ("hour_sin", "hour_cos", "month_sin", "month_cos", "day_of_week_sin",
-                 "day_of_week_cos", "temp_humidity_interaction", "wind_rain_interaction",
-                 "temp_solar_interaction", "temperature_c", "humidity", "wind_speed",
-                 "visibility_10m", "dew_point_c", "solar_radiation", "rainfall_mm", "snowfall_cm"):
+        if c in _CYC:  # libm sin/cos may differ in the last bit between engines
             out.append(f"round({c}, 9) AS {c}")
         elif c == "date":
             out.append("CAST(date AS VARCHAR) AS date")
@@ -69,7 +75,7 @@ def _feature_sql(cols: list[str], src: str = "feat") -> str:
 
 @register("proj_features", D(Q.DEMAND, Q.FEAT, body=_feature_sql(["obs_id"] + S.FEATURES + [S.LABEL])))
 def proj_features(spark, sf_dir):
-    return round_doubles(FE.features(feat(spark, sf_dir), keep=["obs_id"]), 9)
+    return _round_cyc(FE.features(feat(spark, sf_dir), keep=["obs_id"]))
 
 
 # Requests arrive without the two categorical columns: defaults fill them.
@@ -83,7 +89,7 @@ def proj_pad_missing(spark, sf_dir):
     f = FE.pad_missing(f, expected=S.NUMERIC_FEATURES + S.BINARY_FEATURES)
     oh = {**FE.one_hot_columns("time_of_day", S.TIME_OF_DAY_LABELS),
           **FE.one_hot_columns("temp_feel", S.TEMP_FEEL_LABELS)}
-    return round_doubles(FE.features(f.withColumns(oh), label=None, keep=["obs_id"]), 9)
+    return _round_cyc(FE.features(f.withColumns(oh), label=None, keep=["obs_id"]))
 
 
 @register("proj_assemble")
@@ -205,9 +211,6 @@ def fn_day_name(spark, sf_dir):
     return feat(spark, sf_dir).select("obs_id", "day_name")
 
 
-_CYC = ["hour_sin", "hour_cos", "month_sin", "month_cos", "day_of_week_sin", "day_of_week_cos"]
-
-
 @register("fn_cyclical", D(Q.DEMAND, Q.FEAT, body=_feature_sql(["obs_id"] + _CYC)))
 def fn_cyclical(spark, sf_dir):
     return round_doubles(feat(spark, sf_dir).select("obs_id", *_CYC), 9)
@@ -246,7 +249,7 @@ _INTER = ["temp_humidity_interaction", "wind_rain_interaction", "temp_solar_inte
 
 @register("fn_interaction", D(Q.DEMAND, Q.FEAT, body=_feature_sql(["obs_id"] + _INTER)))
 def fn_interaction(spark, sf_dir):
-    return round_doubles(feat(spark, sf_dir).select("obs_id", *_INTER), 9)
+    return feat(spark, sf_dir).select("obs_id", *_INTER)
 
 
 _RECIPE_COLS = (["obs_id", "date", "day", "day_name", "time_of_day", "temp_feel", "season", "holiday",
@@ -257,7 +260,7 @@ _RECIPE_COLS = (["obs_id", "date", "day", "day_name", "time_of_day", "temp_feel"
 @register("fn_feature_recipe", D(Q.DEMAND, Q.FEAT, body=_feature_sql(_RECIPE_COLS)))
 def fn_feature_recipe(spark, sf_dir):
     f = feat(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
-    return round_doubles(f.select(*_RECIPE_COLS), 9)
+    return _round_cyc(f.select(*_RECIPE_COLS))
 
 
 @register("fn_clip_round", D(Q.DEMAND, body=
