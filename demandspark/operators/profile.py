@@ -81,6 +81,33 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
+def value_cdf(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, cnt, cum_cnt) over non-null, non-NaN values: the one
+    scan behind exact quantiles and the describe statistics."""
+    lf = long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    return running_totals(counts, ["column"], ["value"], ["cnt"])
+
+
+def quantiles_from_cdf(cum: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Linear interpolation between order statistics (pandas /
+    ``quantile_cont``), reading the value CDF only."""
+    n = cum.groupBy("column").agg(F.max("cum_cnt").alias("n"))
+    # Target ranks: #columns x #probs x 2 rows, bounded by the parameters.
+    tg = n.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    tg = tg.withColumn("h", (F.col("n") - 1) * F.col("prob"))
+    tg = tg.withColumns({"lo": F.floor("h"), "hi": F.ceil("h")})
+    ranks = tg.select("column", "prob", "h", "lo", F.explode(F.array("lo", "hi")).alias("r")).distinct()
+    hit = cum.join(F.broadcast(ranks), on="column").where(
+        (F.col("cum_cnt") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum_cnt")))
+    piv = hit.groupBy("column", "prob", "h", "lo").agg(
+        F.max(F.when(F.col("r") == F.col("lo"), F.col("value"))).alias("v_lo"),
+        F.max(F.when(F.col("r") != F.col("lo"), F.col("value"))).alias("v_hi"))
+    v_hi = F.coalesce("v_hi", "v_lo")
+    q = F.col("v_lo") + (F.col("h") - F.col("lo")) * (v_hi - F.col("v_lo"))
+    return piv.select("column", "prob", q.alias("quantile"))
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """(column, prob, quantile) with linear interpolation between order
@@ -96,50 +123,50 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
                      F.col(c)[i].cast("double").alias("quantile"))
             for c in cols for i, p in enumerate(probs)])))
-    lf = long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = running_totals(counts, ["column"], ["value"], ["cnt"])
-    n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
-    # Target ranks: #columns x #probs rows, bounded by the parameters.
-    tg = n.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    tg = tg.withColumn("h", (F.col("n") - 1) * F.col("prob"))
-    tg = tg.withColumns({"lo": F.floor("h"), "hi": F.ceil("h")})
-    ranks = tg.select("column", "prob", "h", "lo", F.explode(F.array("lo", "hi")).alias("r")).distinct()
-    hit = cum.join(F.broadcast(ranks), on="column").where(
-        (F.col("cum_cnt") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum_cnt")))
-    piv = hit.groupBy("column", "prob", "h", "lo").agg(
-        F.max(F.when(F.col("r") == F.col("lo"), F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("r") != F.col("lo"), F.col("value"))).alias("v_hi"))
-    v_hi = F.coalesce("v_hi", "v_lo")
-    q = F.col("v_lo") + (F.col("h") - F.col("lo")) * (v_hi - F.col("v_lo"))
-    return piv.select("column", "prob", q.alias("quantile"))
+    return quantiles_from_cdf(value_cdf(df, cols), probs)
+
+
+def moments_from_cdf(cum: DataFrame) -> DataFrame:
+    """count, mean, sample std, min, max per column from the value counts
+    (the deviation is centred on the mean: two passes over distinct values)."""
+    m = cum.groupBy("column").agg(F.sum("cnt").alias("count"),
+                                  (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mean"),
+                                  F.min("value").alias("min"), F.max("value").alias("max"))
+    dev = cum.join(F.broadcast(m.select("column", "mean")), "column")  # one row per column
+    ss = dev.groupBy("column").agg(F.sum(F.col("cnt") * (F.col("value") - F.col("mean")) ** 2).alias("ss"))
+    return m.join(ss, "column").withColumn(
+        "std", F.sqrt(F.try_divide(F.col("ss"), (F.col("count") - 1).cast("double")))).drop("ss")
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """pandas ``describe(include='all')`` transposed: one row per column.
 
-    Numeric: count, mean, std (sample), min, 25%, 50%, 75%, max.
-    Text: count, unique, top (most frequent; ties -> smallest), freq.
+    Numeric: count, mean, std (sample), min, 25%, 50%, 75%, max -- all
+    from one (column, value, count) table when ``exact``. Text: count,
+    unique, top (most frequent; ties -> smallest), freq.
     """
     cols = list(cols or df.columns)
     num = [c for c in numeric_columns(df) if c in cols]
     txt = [c for c in string_columns(df) if c in cols]
     parts = []
     if num:
-        aggs = []
-        for c in num:
-            x = F.col(c).cast("double")
-            aggs.append(F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                 F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                                 F.max(x).alias("max")).alias(c))
-        one = df.agg(*aggs)
-        st = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.*"))
-                                           for c in num])))
-        q = quantiles(df, num, [0.25, 0.5, 0.75], exact=exact)
+        if exact:
+            cum = value_cdf(df, num)
+            st = moments_from_cdf(cum)
+            q = quantiles_from_cdf(cum, [0.25, 0.5, 0.75])
+        else:
+            aggs = [F.struct(F.count(F.col(c).cast("double")).alias("count"),
+                             F.avg(F.col(c).cast("double")).alias("mean"),
+                             F.stddev_samp(F.col(c).cast("double")).alias("std"),
+                             F.min(F.col(c).cast("double")).alias("min"),
+                             F.max(F.col(c).cast("double")).alias("max")).alias(c) for c in num]
+            st = df.agg(*aggs).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.*"))
+                                                         for c in num])))
+            q = quantiles(df, num, [0.25, 0.5, 0.75], exact=False)
         qp = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                                        for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
         nump = st.join(qp, "column", "left").select(
-            "column", "count", F.lit(None).cast("bigint").alias("unique"),
+            "column", F.col("count").cast("bigint").alias("count"), F.lit(None).cast("bigint").alias("unique"),
             F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
             "mean", "std", "min", "q25", "q50", "q75", "max")
         parts.append(nump)
