@@ -36,8 +36,15 @@ def _vec(df: DataFrame, vec: str) -> DataFrame:
 
 
 def knn_regress(reference: DataFrame, queries: DataFrame, key: str = "vec_id", vec: str = "embedding",
-                label: str = "label", k: int = 5, buckets: int = 64) -> DataFrame:
-    """(query key, prediction = mean label of the k nearest, neighbours)."""
+                label: str = "label", k: int = 5, buckets: int | None = None,
+                rows_per_bucket: int = 1000) -> DataFrame:
+    """(query key, prediction = mean label of the k nearest, neighbours).
+
+    ``buckets`` defaults to about ``rows_per_bucket`` reference rows per
+    bucket (at least 64), so bucket and band sizes stay bounded as the
+    reference grows (one count reaches the driver)."""
+    if buckets is None:
+        buckets = int(min(max(64, reference.count() // rows_per_bucket), 1_000_000))
     ref = _vec(reference, vec).select(F.col(key).alias("rid"), F.col(vec).alias("rv"),
                                       F.col(label).cast("double").alias("y"))
     qry = _vec(queries, vec).select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
