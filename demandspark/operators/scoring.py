@@ -1,10 +1,9 @@
 """Validated batch scoring with a reject branch.
 
 The per-request loop with try/except becomes one partition-parallel
-plan: rows failing validation take the reject branch (NULL prediction,
-confidence 0, reasons), accepted rows go through the feature recipe and
-the predictor, then both branches are unioned. The same function serves
-batch files and streams.
+projection: every row is validated and scored, and rows failing
+validation are masked into the reject form (NULL prediction, confidence
+0, reasons). The same function serves batch files and streams.
 """
 
 from __future__ import annotations
@@ -31,33 +30,49 @@ def linear_predictor(temp: float = 15.0, hour: float = 25.0, intercept: float =
 
 
 def model_predictor(model, prediction_col: str = "prediction") -> Predictor:
-    """Wrap a fitted ``PipelineModel`` (assembler [+ scaler] + regressor)."""
+    """Wrap a fitted ``PipelineModel`` (assembler [+ scaler] + regressor).
+
+    The assemblers are switched to keep invalid values (NaN) so rejected
+    rows flow through in the same pass and are masked afterwards."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+
+    stages = []
+    for st in model.stages:
+        if isinstance(st, VectorAssembler):
+            st = st.copy({st.handleInvalid: "keep"})
+        stages.append(st)
+    scoring_model = PipelineModel(stages)
+
     def predict(df: DataFrame) -> DataFrame:
-        out = model.transform(FE.features(df, label=None, keep=[c for c in df.columns if c not in S.FEATURES]))
+        out = scoring_model.transform(FE.features(df, label=None,
+                                                  keep=[c for c in df.columns if c not in S.FEATURES]))
         return out.withColumnRenamed(prediction_col, "yhat")
     return predict
 
 
 def score_batch(requests: DataFrame, predictor: Predictor, index: str = "obs_id",
                 date_format: str = "d/M/yyyy", confidence: float = S.CONFIDENCE) -> DataFrame:
-    """(index, prediction bigint, confidence, status, error) per request."""
+    """(index, prediction bigint, confidence, status, error) per request.
+
+    One pass: every row is validated, featurised and scored, and the
+    final projection masks rows that failed validation (NULL prediction,
+    confidence 0, status ``error`` with the reasons). No union, so the
+    requests are read once."""
     v = FL.validate(requests)
     parsed = X.parse_date("date", date_format)
     bad_date = F.col("date").isNotNull() & parsed.isNull()
     v = v.withColumn("reasons", F.when(bad_date, F.array_append("reasons", F.lit("invalid date")))
                      .otherwise(F.col("reasons")))
     v = v.withColumn("valid", F.size("reasons") == 0)
-    ok = v.where(F.col("valid")).drop("reasons", "valid")
-    feats = FE.pad_missing(FE.feature_recipe(ok, date_format=date_format))
-    scored = predictor(feats).select(
-        F.col(index).alias("index"), X.clip_round("yhat").alias("prediction"),
-        F.lit(float(confidence)).alias("confidence"), F.lit("success").alias("status"),
-        F.lit(None).cast("string").alias("error"))
-    rejected = v.where(~F.col("valid")).select(
-        F.col(index).alias("index"), F.lit(None).cast("bigint").alias("prediction"),
-        F.lit(0.0).alias("confidence"), F.lit("error").alias("status"),
-        F.array_join("reasons", "; ").alias("error"))
-    return scored.unionByName(rejected)
+    feats = FE.pad_missing(FE.feature_recipe(v, date_format=date_format))
+    ok = F.col("valid")
+    return predictor(feats).select(
+        F.col(index).alias("index"),
+        F.when(ok, X.clip_round("yhat")).alias("prediction"),
+        F.when(ok, F.lit(float(confidence))).otherwise(F.lit(0.0)).alias("confidence"),
+        F.when(ok, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(ok, F.lit(None).cast("string")).otherwise(F.array_join("reasons", "; ")).alias("error"))
 
 
 def score_totals(scored: DataFrame) -> DataFrame:

@@ -82,3 +82,19 @@ def test_leaderboard_drops_runs_without_metric(spark):
         "start_time", F.current_timestamp())
     lb = RU.leaderboard(runs).collect()
     assert [r["run_id"] for r in lb] == ["a"] and lb[0]["test_rmse"] == float("inf")
+
+
+def test_score_batch_with_fitted_pipeline_keeps_rejects(spark):
+    from demandspark.functions.features import feature_recipe
+    from demandspark.operators import models as M
+
+    train = feature_recipe(V.demand(spark, SF))
+    est = {"Linear Regression": M.estimators(1.0, 100)["Linear Regression"]}
+    model = M.train_all(train, est, parallelism=1)["Linear Regression"]
+    req = V.requests_bad(spark, SF)
+    out = SCO.score_batch(req, SCO.model_predictor(model))
+    n = req.count()
+    assert out.count() == n  # invalid rows are not dropped by the assembler
+    bad = out.where(F.col("status") == "error")
+    assert bad.where(F.col("prediction").isNotNull()).count() == 0
+    assert bad.count() > 0 and out.where(F.col("status") == "success").where(F.col("prediction") < 0).count() == 0
