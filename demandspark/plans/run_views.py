@@ -84,9 +84,20 @@ split AS (SELECT * EXCLUDE (rk, n, s2), CASE WHEN rk <= round(n * 0.25) THEN 'va
   UNION ALL SELECT * EXCLUDE (s1, is_test), 'test' AS split FROM t1 WHERE is_test)"""
 
 
+METRIC_PLACES = 9
+
+
+def _stable(df: DataFrame, cols) -> DataFrame:
+    """Metrics rounded to 9 places: sums of doubles differ in the last bits
+    with the merge order of partial aggregates, and candidates with equal
+    coefficients must tie exactly so rankings break ties by name."""
+    return df.withColumns({c: X.round_half_away(c, METRIC_PLACES) for c in cols})
+
+
 def model_results(spark, sf_dir) -> DataFrame:
     long = candidate_long(split_demand(spark, sf_dir), ["split", S.LABEL])
     t = EV.model_table(long, "model_name", "split", S.LABEL, "yhat")
+    t = _stable(t, [c for c in t.columns if c != "model_name"])
     return t.withColumn("run_id", F.concat(F.lit("run-"), X.slug("model_name")))
 
 
@@ -106,8 +117,10 @@ def _metric_sql(s: str) -> str:
 RESULTS = f"""{SPLIT},
 cl AS ({candidate_long_sql('split', ['split', 'rented_bike_count'])}),
 mt AS (SELECT model_name, {_metric_sql('train')}, {_metric_sql('test')} FROM cl GROUP BY model_name),
-results AS (SELECT *, CASE WHEN isnan(train_rmse - test_rmse) OR isinf(train_rmse - test_rmse) THEN 0
-  ELSE train_rmse - test_rmse END AS overfit_score,
+results AS (SELECT model_name, {', '.join(f"round({s_}_{m_}, 9) AS {s_}_{m_}" for s_ in ("train", "test")
+  for m_ in ("r2", "rmse", "mae", "mape"))},
+  round(CASE WHEN isnan(train_rmse - test_rmse) OR isinf(train_rmse - test_rmse) THEN 0
+  ELSE train_rmse - test_rmse END, 9) AS overfit_score,
   'run-' || lower(translate(model_name, ' -', '__')) AS run_id FROM mt)"""
 
 
@@ -119,7 +132,8 @@ def runs(spark, sf_dir) -> DataFrame:
     """One run per (candidate, year): metrics map (finite values only),
     params and tags maps; the schema of ``schema.RUNS_SCHEMA``."""
     long = candidate_long(_year(V.demand(spark, sf_dir)), ["year", S.LABEL])
-    m = EV.regression_metrics(long, S.LABEL, "yhat", group_by=["model_name", "year"])
+    m = _stable(EV.regression_metrics(long, S.LABEL, "yhat", group_by=["model_name", "year"]),
+                ["r2", "rmse", "mae", "mape"])
     params = {n: (a, b, c) for n, a, b, c in CANDIDATES}
     coef = {k: F.coalesce(*[F.when(F.col("model_name") == n, F.lit(str(v[i]))) for n, v in params.items()])
             for i, k in enumerate(("temp_coef", "hour_coef", "intercept"))}
@@ -148,8 +162,8 @@ rm AS (SELECT model_name, year,
   FROM ycl GROUP BY model_name, year),
 runs AS (SELECT lower(translate(model_name, ' -', '__')) || '-' || CAST(year AS VARCHAR) AS run_id,
   model_name AS model_type, year, CAST(make_timestamp(year, 1, 1, 0, 0, 0) AS TIMESTAMP) AS start_time,
-  CASE WHEN isfinite(r2) THEN r2 END AS test_r2, CASE WHEN isfinite(rmse) THEN rmse END AS test_rmse,
-  CASE WHEN isfinite(mae) THEN mae END AS test_mae, CASE WHEN isfinite(mape) THEN mape END AS test_mape,
+  CASE WHEN isfinite(r2) THEN round(r2, 9) END AS test_r2, CASE WHEN isfinite(rmse) THEN round(rmse, 9) END AS test_rmse,
+  CASE WHEN isfinite(mae) THEN round(mae, 9) END AS test_mae, CASE WHEN isfinite(mape) THEN round(mape, 9) END AS test_mape,
   CASE WHEN lower(model_name) LIKE '%tuned%' THEN 'true' ELSE 'false' END AS tuned FROM rm)"""
 
 
