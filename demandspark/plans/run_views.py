@@ -18,7 +18,6 @@ from demandspark import schema as S
 from demandspark.functions import scalar as X
 from demandspark.operators import evaluate as EV
 from demandspark.operators import split as SP
-from demandspark.plans import sql as Q
 from demandspark.plans import views as V
 
 # Stand-in models (name, temperature coef, hour-shape coef, intercept).
