@@ -294,16 +294,33 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def regression_lines(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Least-squares line of ``target`` on each column: (column, slope,
-    intercept, r2), 3k aggregates in one pass."""
+    intercept, r2) over the rows where both are non-null.
+
+    Centred moments in two plain-sum passes (pair means as one scalar
+    subquery, then Sxx, Syy, Sxy per column), with the ``regr_*`` rules:
+    no x variance -> NULL; no y variance -> r2 = 1."""
+    cols = list(cols)
     y = F.col(target).cast("double")
-    aggs = []
+    x = {c: F.col(c).cast("double") for c in cols}
+    both = {c: x[c].isNotNull() & y.isNotNull() for c in cols}
+    means = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs.append(F.struct(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
-                             F.regr_r2(y, x).alias("r2")).alias(c))
-    one = df.agg(*aggs)
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.*"))
-                                         for c in cols])))
+        means[f"{c}__mx"] = F.avg(F.when(both[c], x[c]))
+        means[f"{c}__my"] = F.avg(F.when(both[c], y))
+    d, st = with_stats(df, means)
+    sums = []
+    for c in cols:
+        dx = F.when(both[c], x[c] - st[f"{c}__mx"])
+        dy = F.when(both[c], y - st[f"{c}__my"])
+        sums.append(F.struct(F.sum(dx * dx).alias("sxx"), F.sum(dy * dy).alias("syy"), F.sum(dx * dy).alias("sxy"),
+                             F.first(st[f"{c}__mx"]).alias("mx"), F.first(st[f"{c}__my"]).alias("my")).alias(c))
+    one = d.agg(*sums)
+    long = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.*")) for c in cols])))
+    slope = F.when(F.col("sxx") != 0, F.col("sxy") / F.col("sxx"))
+    r2 = (F.when(F.col("sxx") == 0, F.lit(None).cast("double")).when(F.col("syy") == 0, F.lit(1.0))
+          .otherwise(F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy"))))
+    return long.select("column", slope.alias("slope"), (F.col("my") - slope * F.col("mx")).alias("intercept"),
+                       r2.alias("r2"))
 
 
 def target_range(df: DataFrame, split: str, target: str) -> DataFrame:

@@ -59,3 +59,18 @@ def test_model_table_overfit(spark):
     r = EV.model_table(p).first()
     assert math.isclose(r["train_rmse"], 0.5) and math.isclose(r["test_rmse"], math.sqrt(2.5))
     assert math.isclose(r["overfit_score"], 0.5 - math.sqrt(2.5))
+
+
+def test_regression_lines_match_builtin_with_nulls(spark):
+    from demandspark.operators import profile as P
+
+    rows = [(float(i), float(2 * i + (i % 3)), None if i % 7 == 0 else float(i % 5), 4.0) for i in range(60)]
+    rows[5] = (None, 1.0, 2.0, 4.0)
+    df = spark.createDataFrame(rows, "y double, a double, b double, c double")
+    got = {r["column"]: r for r in P.regression_lines(df, "y", ["a", "b", "c"]).collect()}
+    for c in ("a", "b", "c"):
+        want = df.agg(F.regr_slope("y", c).alias("s"), F.regr_intercept("y", c).alias("i"),
+                      F.regr_r2("y", c).alias("r")).first()
+        for k, w in (("slope", want["s"]), ("intercept", want["i"]), ("r2", want["r"])):
+            g = got[c][k]
+            assert (g is None and w is None) or math.isclose(g, w, rel_tol=1e-9, abs_tol=1e-12), (c, k, g, w)
