@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,20 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, whatever folder they run in (once per application)."""
+    context = spark.sparkContext
+    if getattr(context, "_demandspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="demandspark-")) / "demandspark_package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in package.rglob("*.py"):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive.resolve()))
+    context._demandspark_shipped = True
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
     """``mapInArrow`` with a function from one batch to one batch (or None)."""
 
@@ -39,4 +56,5 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Recor
                 if out is not None:
                     yield out
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from demandspark.llm.bpe_count import count_tokens
 from demandspark.llm.bpe_encode import encode_documents
 from demandspark.llm.common import table
+from demandspark.llm.mixing import mix_sources, taken_words
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,12 +20,16 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(mix_sources(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, limit=2048)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encoding, op10_token_counts)}
+    return {f.__name__: f for f in (op1_bpe_encoding, op7_mixing_sources, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

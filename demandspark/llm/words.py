@@ -29,6 +29,11 @@ class WordHashes(dict):
         return h
 
 
+def odd_step(n: int) -> np.uint64:
+    """n steps of the golden ratio, modulo 2^64."""
+    return np.uint64(n * int(STEP) & 0xFFFFFFFFFFFFFFFF)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))
@@ -58,7 +63,7 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    acc = np.full(n, np.uint64(seed) * STEP + np.uint64(size), np.uint64)
+    acc = np.full(n, odd_step(seed + size), np.uint64)
     for k in range(size):
         acc = (acc ^ hashes[k:k + n]) * MIX_A
         acc ^= acc >> np.uint64(32)
