@@ -11,6 +11,7 @@ from demandspark.llm.bpe_count import count_tokens
 from demandspark.llm.bpe_encode import encode_documents
 from demandspark.llm.common import table
 from demandspark.llm.mixing import mix_sources, taken_words
+from demandspark.llm.near_dedup import near_duplicates
 from demandspark.llm.quality import judged
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(mix_sources(table(spark, sf_dir, "documents")))
 
@@ -34,7 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op7_mixing_sources, op10_token_counts)}
+    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op5_minhash_near_dedup, op7_mixing_sources, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

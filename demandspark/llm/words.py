@@ -68,3 +68,23 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
         acc = (acc ^ hashes[k:k + n]) * MIX_A
         acc ^= acc >> np.uint64(32)
     return mix(acc)
+
+
+def portions(found: list[bytes], limit: int = 8 << 20) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes together, or one longer text."""
+    out, start, size = [], 0, 0
+    for i, text in enumerate(found):
+        if size and size + len(text) > limit:
+            out.append((start, i))
+            start, size = i, 0
+        size += len(text)
+    return out + [(start, len(found))] if found else out
+
+
+def windows_of(hashes: np.ndarray, starts: np.ndarray, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Window hashes of all texts and where each text's begin (n + 1 offsets); texts of fewer words have none."""
+    every = window_hashes(hashes, size, seed)
+    counts = np.maximum(np.diff(starts) - size + 1, 0)
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    place = np.arange(offsets[-1]) + np.repeat(starts[:-1] - offsets[:-1], counts)
+    return every[place], offsets
