@@ -27,6 +27,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
+    jvm.System.gc()  # lets Spark remove the shuffle files that the written table stands for
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
