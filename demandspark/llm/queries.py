@@ -14,6 +14,7 @@ from demandspark.llm.mixing import mix_sources, taken_words
 from demandspark.llm.near_dedup import near_duplicates
 from demandspark.llm.quality import judged
 from demandspark.llm.substring_dedup import kept_words
+from demandspark.llm.toxicity import toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +36,10 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(mix_sources(table(spark, sf_dir, "documents")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_words(table(spark, sf_dir, "documents"))
 
@@ -44,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op5_minhash_near_dedup, op7_mixing_sources, op9_substring_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op5_minhash_near_dedup, op7_mixing_sources, op8_toxicity, op9_substring_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
