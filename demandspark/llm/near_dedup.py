@@ -11,9 +11,9 @@ is made.
 2. Classes that share a key meet. Every member is compared with its key's
    smallest and then its largest member; the links so far give components, and
    keys whose members are already connected are done. In the keys that are
-   left, members of different components are compared, unless the shingles
-   that they share with any other member are too few for a link. No key's
-   pairs are listed as a whole, and no link between components is left out.
+   left, members of different components are compared, unless what they share
+   with those two bounds their similarity below the threshold. No key's pairs
+   are listed as a whole, and no link between components is left out.
 3. Comparisons use the full shingle sets (64-bit hashes of five lower-cased
    words): 100 |A & B| >= 85 |A | B|.
 4. Components of the links.
@@ -106,43 +106,64 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     return keys.join(met, "key")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, both (how many shingles they share), similar (enough for a link)."""
     one, other = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     rows = pairs.join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        good = []
+        shared, good = [], []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
             x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
-                good.append(False)
-                continue
             both = len(np.intersect1d(x, y, assume_unique=True))
+            shared.append(both)
             good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(good, pa.bool_())], names=["a", "b", "both", "similar"])
 
-    return map_rows(rows, "a long, b long", check)
+    return map_rows(rows, "a long, b long, both long, similar boolean", check)
 
 
 def shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds size and common to the members: how many shingles they have, and how many of these another member has.
+    """Adds size and common to the members: how many shingles they have, and how many of these another member or hub has.
 
-    Two sets share at most the smaller ``common``, which bounds their
-    similarity. Members whose bound is too low for any partner are left out.
+    What a set shares with any other is at most its ``common``; members for
+    which that is too little are left out.
     """
-    some = sets.join(members.select("rep").distinct(), "rep", "left_semi")
+    some = stash(sets.join(members.select(F.explode(F.array("rep", "lo", "hi")).alias("rep")).distinct(), "rep", "left_semi"), "near-some")
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         every = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
         reps = np.repeat(batch.column(0).to_numpy(), [len(x) for x in every])
         return pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.concatenate(every))], names=["rep", "shingle"])
 
-    once = map_rows(some.select("rep", "shingles"), "rep long, shingle long", spread).groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
+    once = map_rows(some, "rep long, shingle long", spread).groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
     lone = once.groupBy("rep").agg(F.count("*").alias("lone"))
     size = (F.length("shingles") / 8).cast("long")
     known = some.select("rep", size.alias("size")).join(lone, "rep", "left").select("rep", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("common"))
-    return members.join(known.where(100 * F.col("common") >= PERCENT * F.col("size")), "rep")
+    return stash(members.drop("size", "common").join(known.where(100 * F.col("common") >= PERCENT * F.col("size")), "rep"), "near-shareable")
+
+
+def open_pairs(members: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs of members that share a key, are in different components and may be similar, as far as bounds can tell.
+
+    Both have been compared with their key's hubs h. They share at most
+    min(|A & h|, |B & h|) shingles of h, and outside h at most the smaller
+    number of those that some other member or hub has.
+    """
+    for _ in range(2):  # who is left out takes its shingles along
+        members = shareable(members, sets)
+    for hub in ("lo", "hi"):
+        inside = tested.select("a", "b", F.col("both").alias(f"in_{hub}"))
+        members = members.withColumns({"a": F.least("rep", hub), "b": F.greatest("rep", hub)}).join(inside, ["a", "b"], "left").drop("a", "b")
+        members = members.withColumn(f"in_{hub}", F.when(F.col("rep") == F.col(hub), F.col("size")).otherwise(F.col(f"in_{hub}")))
+    members = stash(members.select("key", "rep", "c", "size", "common", "in_lo", "in_hi"), "near-open")
+    others = members.select("key", *(F.col(x).alias(f"{x}2") for x in ("rep", "c", "size", "common", "in_lo", "in_hi")))
+    near = F.col("c") < F.col("c2")
+    for hub in ("in_lo", "in_hi"):
+        most = F.least(F.col(hub), F.col(f"{hub}2")) + F.least(F.col("common") - F.col(hub), F.col("common2") - F.col(f"{hub}2"))
+        near = near & ((100 + PERCENT) * most >= PERCENT * (F.col("size") + F.col("size2")))
+    pairs = members.join(others, "key").where(near)
+    return pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,19 +194,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for hub in ("lo", "hi"):
         pairs = members.select(F.least("rep", hub).alias("a"), F.greatest("rep", hub).alias("b")).where("a < b").distinct()
         pairs = pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs
-        pairs = stash(pairs, "near-pairs")
-        links = stash(links.union(linked(pairs, sets)), "near-links")
-        tested = tested.union(pairs) if tested is not None else pairs
+        results = stash(compared(pairs, sets), "near-compared")
+        tested = tested.union(results) if tested is not None else results
+        links = links.union(results.where("similar").select("a", "b"))
         found = components(links)
-        members = members.join(found, members["rep"] == found["v"], "left").withColumn("c", F.coalesce("c", "rep")).drop("v")
+        members = members.drop("c").join(found, members["rep"] == found["v"], "left").withColumn("c", F.coalesce("c", "rep")).drop("v")
         apart = members.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi")).where("c_lo < c_hi").select("key")
-        members = stash(members.join(apart, "key").select("key", "rep", "lo", "hi", F.col("c").alias(f"c_{hub}")), "near-members")
-    left = shareable(members.select("key", "rep", F.col("c_hi").alias("c")), sets)
-    right = left.select("key", *(F.col(c).alias(f"{c}2") for c in ("rep", "c", "size", "common")))
-    common = F.least("common", "common2")
-    pairs = left.join(right, "key").where((F.col("c") < F.col("c2")) & ((100 + PERCENT) * common >= PERCENT * (F.col("size") + F.col("size2"))))
-    pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    found = components(links.union(linked(pairs, sets)))
+        members = stash(members.join(apart, "key").select("key", "rep", "lo", "hi", "c"), "near-members")
+    pairs = open_pairs(members, sets, tested).join(tested, ["a", "b"], "left_anti")
+    links = links.union(stash(compared(pairs, sets), "near-compared").where("similar").select("a", "b"))
+    found = components(links)
 
     out = placed.join(found, placed["rep"] == found["v"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("c", "rep", "id")).alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
