@@ -33,6 +33,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stashed: DataFrame) -> None:
+    """Remove stashed tables that nothing to come reads."""
+    for df in stashed:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/llm-" in folder:
+                where = jvm.org.apache.hadoop.fs.Path(folder)
+                where.getFileSystem(conf).delete(where, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, whatever folder they run in (once per application)."""
     context = spark.sparkContext

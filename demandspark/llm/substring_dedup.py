@@ -12,8 +12,8 @@ window that also starts in a document with a smaller id are removed.
 3. Runs of recurring windows in their first document are the passages. They
    are dealt to shards of about SHARD_WINDOWS windows, and each shard's
    passages are compiled to an Aho-Corasick automaton of their anchors' words.
-   Segments are sent to the shards that have one of their anchors; a shard
-   with much text is repeated, so that no group holds more than SHARD_BYTES.
+   A document's segments are sent to the shards that have one of its windows;
+   a shard with much text is repeated, so that a group holds about SHARD_BYTES.
 4. Streaming the segments through the automata gives every occurrence of an
    anchor; it is extended word by word as far as passage and segment agree.
    Runs of WINDOW words and more are removed where the passage's document
@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import map_rows, stash
-from demandspark.llm.words import WordHashes, hashed_words, mix, odd_step, portions, texts, window_hashes, windows_of
+from demandspark.llm.common import discard, map_rows, stash
+from demandspark.llm.words import STEP, WordHashes, hashed_words, mix, portions, texts, window_hashes
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1  # grams of a window
@@ -50,22 +50,24 @@ SHARD_BYTES = 2 << 20
 _known = WordHashes()
 
 
-def anchors_of(hashes: np.ndarray) -> np.ndarray:
-    """Each window's smallest gram hash, for one text's word hashes."""
+def anchors_of(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every text's windows: the smallest gram hash of each, where a text's begin (n + 1 offsets), and the word each starts at."""
     grams = window_hashes(hashes, GRAM)
-    n = len(grams) - SPAN + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = grams[:n].copy()
+    n = max(len(hashes) - WINDOW + 1, 0)
+    least = grams[:n].copy()
     for k in range(1, SPAN):
-        np.minimum(out, grams[k:k + n], out=out)
-    return out
+        np.minimum(least, grams[k:k + n], out=least)
+    counts = np.maximum(np.diff(starts) - WINDOW + 1, 0)
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    place = np.arange(offsets[-1]) + np.repeat(starts[:-1] - offsets[:-1], counts)
+    return least[place], offsets, place
 
 
-def sign(hashes: np.ndarray, seed: int) -> np.ndarray:
-    """A sign of the word sequence."""
-    place = np.arange(1, len(hashes) + 1, dtype=np.uint64) * odd_step(2 * seed + 1)
-    return mix(hashes ^ mix(place)).sum(dtype=np.uint64)
+def signs(hashes: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
+    """A sign of each text's word sequence."""
+    place = np.arange(len(hashes)) - np.repeat(starts[:-1], np.diff(starts))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ (place.astype(np.uint64) + np.uint64(seed)) * STEP))])
+    return sums[starts[1:]] - sums[starts[:-1]]
 
 
 def _signed(values: list) -> pa.Array:
@@ -78,14 +80,12 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
-def _each(batch: pa.RecordBatch):
-    """(row, words, word hashes) of a batch whose second column is the text."""
+def _parts(batch: pa.RecordBatch):
+    """(first row, words, word hashes, their starts) of portions of a batch whose second column is the text."""
     found = texts(batch.column(1))
     for a, b in portions(found):
         words = [t.split() for t in found[a:b]]
-        hashes, starts = hashed_words(words, _known)
-        for k in range(b - a):
-            yield a + k, words[k], hashes[starts[k]:starts[k + 1]]
+        yield a, words, *hashed_words(words, _known)
 
 
 def documents_anchors(docs: DataFrame) -> DataFrame:
@@ -93,77 +93,73 @@ def documents_anchors(docs: DataFrame) -> DataFrame:
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, s1, s2, anchors = [], [], [], []
-        for _, words, hashes in _each(batch):
-            n.append(len(words))
-            s1.append(sign(hashes, 1))
-            s2.append(sign(hashes, 2))
-            anchors.append(np.unique(anchors_of(hashes)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _signed(s1), _signed(s2), _lists(anchors)], names=["id", "n", "s1", "s2", "anchors"])
+        for _, words, hashes, starts in _parts(batch):
+            own, offsets, _ = anchors_of(hashes, starts)
+            new = np.ones(len(own), bool)
+            new[1:] = own[1:] != own[:-1]
+            new[offsets[:-1][offsets[:-1] < len(own)]] = True
+            kept = np.concatenate([[0], np.cumsum(new)])[offsets]
+            own = own[new]
+            n.append(np.diff(starts))
+            s1.append(signs(hashes, starts, 1))
+            s2.append(signs(hashes, starts, 2))
+            anchors += [np.unique(own[i:j]) for i, j in zip(kept[:-1], kept[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()), _signed(np.concatenate(s1)), _signed(np.concatenate(s2)), _lists(anchors)], names=["id", "n", "s1", "s2", "anchors"])
 
     return map_rows(docs, "id long, n long, s1 long, s2 long, anchors array<long>", one)
 
 
 def segments_of(docs: DataFrame) -> DataFrame:
-    """``docs`` has id, text, shared (its anchors that other documents have) -> id, s1, start, text, anchors of each segment."""
+    """``docs`` has id, text, shared (its anchors that other documents have) -> id, s1, start and text of each segment, and
+    the two hashes of each of its windows that has a shared anchor."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         shared = batch.column(2)
-        ids, s1, starts, found, anchors = [], [], [], [], []
-        for row, words, hashes in _each(batch):
-            own = anchors_of(hashes)
-            hit = np.isin(own, np.array(shared[row].as_py(), np.int64).view(np.uint64))
-            covered = np.zeros(len(words) + 1, np.int64)
-            at = np.flatnonzero(hit)
-            np.add.at(covered, at, 1)
-            np.add.at(covered, at + WINDOW, -1)
-            inside = np.concatenate([[0], (np.cumsum(covered)[:-1] > 0).astype(np.int8), [0]])
-            edges = np.flatnonzero(np.diff(inside))
-            key = sign(hashes, 1)
-            for a, b in zip(edges[::2], edges[1::2], strict=True):
-                ids.append(row)
-                s1.append(key)
-                starts.append(a)
-                found.append(b" ".join(words[a:b]))
-                anchors.append(np.unique(own[a:b - WINDOW + 1][hit[a:b - WINDOW + 1]]))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), _signed(s1), pa.array(starts, pa.int64()), pa.array(found, pa.binary()).cast(pa.string()), _lists(anchors)], names=["id", "s1", "start", "text", "anchors"])
-
-    return map_rows(docs, "id long, s1 long, start long, text string, anchors array<long>", one)
-
-
-def windows_in(segments: DataFrame) -> DataFrame:
-    """w1, w2 (hashes), id of the segments' windows that have a shared anchor."""
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, w1, w2 = batch.column(0).to_numpy(), [], []
-        rows = []
-        for row, _, hashes in _each(batch):
-            hit = np.isin(anchors_of(hashes), np.array(batch.column(2)[row].as_py(), np.int64).view(np.uint64))
-            one, two = (window_hashes(hashes, WINDOW, seed)[hit] for seed in (1, 2))
-            one, at = np.unique(one, return_index=True)
-            w1.append(one)
-            w2.append(two[at])
-            rows.append(np.full(len(one), ids[row]))
-        return pa.RecordBatch.from_arrays([_signed(np.concatenate(w1)), _signed(np.concatenate(w2)), pa.array(np.concatenate(rows))], names=["w1", "w2", "id"])
-
-    return map_rows(segments.select("id", "text", "anchors"), "w1 long, w2 long, id long", one)
+        rows, s1, at, found, w1, w2 = [], [], [], [], [], []
+        for row, words, hashes, starts in _parts(batch):
+            own, offsets, place = anchors_of(hashes, starts)
+            one, two = (window_hashes(hashes, WINDOW, seed) for seed in (1, 2))
+            sign = signs(hashes, starts, 1)
+            for k, text in enumerate(words):
+                i, j = offsets[k], offsets[k + 1]
+                if i == j:
+                    continue
+                wanted = np.sort(shared[row + k].values.to_numpy().view(np.uint64))
+                hit = wanted[np.minimum(np.searchsorted(wanted, own[i:j]), len(wanted) - 1)] == own[i:j]
+                hits = np.flatnonzero(hit)
+                if not len(hits):
+                    continue
+                # hits up to WINDOW apart cover one stretch of words
+                ends = np.flatnonzero(np.diff(hits) > WINDOW)
+                for a, b in zip(hits[np.concatenate([[0], ends + 1])].tolist(), hits[np.concatenate([ends, [len(hits) - 1]])].tolist(), strict=True):
+                    windows = place[i + a:i + b + 1][hit[a:b + 1]]
+                    once, which = np.unique(one[windows], return_index=True)
+                    rows.append(row + k)
+                    s1.append(sign[k])
+                    at.append(a)
+                    found.append(b" ".join(text[a:b + WINDOW]))
+                    w1.append(once)
+                    w2.append(two[windows][which] >> np.uint64(33))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), _signed(s1), pa.array(at, pa.int64()), pa.array(found, pa.binary()).cast(pa.string()), _lists(w1), _lists(w2).cast(pa.list_(pa.int32()))], names=["id", "s1", "start", "text", "w1", "w2"])
+
+    return map_rows(docs, "id long, s1 long, start long, text string, w1 array<long>, w2 array<int>", one)
 
 
 def passages_in(firsts: DataFrame) -> DataFrame:
-    """``firsts`` has id, text (a segment of the document), own (windows first seen there) -> first, text, anchors."""
+    """``firsts`` has id, text (a segment of the document), own (windows first seen there) -> first, text."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, found, anchors = [], [], []
-        for row, words, hashes in _each(batch):
-            hit = np.isin(window_hashes(hashes, WINDOW, 1), np.array(batch.column(2)[row].as_py(), np.int64).view(np.uint64))
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-            own = anchors_of(hashes)
-            for a, b in zip(edges[::2], edges[1::2], strict=True):
-                rows.append(row)
-                found.append(b" ".join(words[a:b + WINDOW - 1]))
-                anchors.append(np.unique(own[a:b]))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.binary()).cast(pa.string()), _lists(anchors)], names=["first", "text", "anchors"])
+        rows, found = [], []
+        for row, words, hashes, starts in _parts(batch):
+            for k, text in enumerate(words):
+                hit = np.isin(window_hashes(hashes[starts[k]:starts[k + 1]], WINDOW, 1), batch.column(2)[row + k].values.to_numpy().view(np.uint64))
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
+                for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    rows.append(row + k)
+                    found.append(b" ".join(text[a:b + WINDOW - 1]))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.binary()).cast(pa.string())], names=["first", "text"])
 
-    return map_rows(firsts, "first long, text string, anchors array<long>", one)
+    return map_rows(firsts, "first long, text string", one)
 
 
 def compiled(passages: list[list[bytes]]) -> ahocorasick.Automaton:
@@ -224,29 +220,31 @@ def located(passages: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, s1 (sign of the row's words), lo, hi: word ranges to remove; they may overlap."""
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    every = stash(documents_anchors(plain), "span-anchors").where(F.col("n") >= WINDOW)
+    anchors = stash(documents_anchors(plain), "span-anchors")
+    every = anchors.where(F.col("n") >= WINDOW)
     least = every.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
-    least = stash(least, "span-classes")
     copies = every.select("id", "n", "s1", "s2").distinct().join(least, ["n", "s1", "s2"]).where("rep < id").select("id", "s1", F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi"))
     copies = stash(copies, "span-copies")
 
-    single = every.select("id", "s1", F.explode("anchors").alias("anchor")).join(copies.select("id", "s1"), ["id", "s1"], "left_anti").select("id", "anchor")
+    single = every.select("id", "s1", "anchors").join(copies.select("id", "s1"), ["id", "s1"], "left_anti").select("id", F.explode("anchors").alias("anchor"))
     met = single.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
     shared = stash(single.join(met, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("shared")), "span-shared")
+    discard(anchors)
     segments = segments_of(plain.join(shared, "id").select("id", "text", "shared"))
-    segments = segments.join(copies.select("id", "s1"), ["id", "s1"], "left_anti").select("id", "s1", "start", "text", "anchors")
-    segments = stash(segments, "span-segments")
-
-    recurring = windows_in(segments).groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    own = stash(recurring.groupBy(F.col("first").alias("id")).agg(F.collect_list("w1").alias("own")), "span-recurring")
-    shards = int((own.agg(F.sum(F.size("own"))).first()[0] or 0) // SHARD_WINDOWS) + 1
-    passages = passages_in(segments.join(own, "id").select("id", "text", "own"))
+    segments = stash(segments.join(copies.select("id", "s1"), ["id", "s1"], "left_anti").select("id", "s1", "start", "text", "w1", "w2"), "span-segments")
+
+    windows = segments.select("id", F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("w.w1", "w.w2", "id")
+    recurring = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("w1", "w2", "first")
+    recurring = stash(recurring, "span-recurring")
+    shards = recurring.count() // SHARD_WINDOWS + 1
+    own = recurring.groupBy(F.col("first").alias("id")).agg(F.collect_list("w1").alias("own"))
+    passages = passages_in(segments.select("id", "text").join(own, "id").select("id", "text", "own"))
     passages = stash(passages.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards))), "span-passages")
 
-    # segments go to the shards that have one of their anchors in an earlier document
-    places = passages.select("shard", "first", F.explode("anchors").alias("anchor")).groupBy("anchor", "shard").agg(F.min("first").alias("first"))
-    routes = segments.select("id", "s1", "start", F.explode("anchors").alias("anchor")).join(places, "anchor").where("first < id").select("id", "s1", "start", "shard").distinct()
-    routed = stash(segments.drop("anchors").join(routes, ["id", "s1", "start"]), "span-routed")
+    # documents go to the shards of the passages' documents
+    routes = windows.join(recurring, ["w1", "w2"]).where("first < id").select("id", F.pmod(F.xxhash64("first"), F.lit(shards)).alias("shard")).distinct()
+    routed = stash(segments.select("id", "s1", "start", "text").join(routes, "id"), "span-routed")
+    discard(recurring)
     sizes = routed.groupBy("shard").agg(F.ceil(F.sum(F.length("text")) / SHARD_BYTES).alias("parts"))
     sizes = stash(sizes, "span-sizes")
 
@@ -272,8 +270,7 @@ def with_removed(docs: DataFrame, id_col: str, text_col: str, schema: str, fn) -
             words = text.split()
             kept = np.ones(len(words), bool)
             if span.is_valid:
-                hashes, _ = hashed_words([words], _known)
-                key = int(sign(hashes, 1).view(np.int64))
+                key = int(signs(*hashed_words([words], _known), 1).view(np.int64)[0])
                 for part in span.as_py():
                     if part["s1"] == key:
                         for r in part["ranges"]:
