@@ -14,6 +14,7 @@ from demandspark.llm.mixing import mix_sources, taken_words
 from demandspark.llm.near_dedup import near_duplicates
 from demandspark.llm.quality import judged
 from demandspark.llm.substring_dedup import kept_words
+from demandspark.llm.topk import top_products
 from demandspark.llm.toxicity import toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +29,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+def op4_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,8 +54,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op5_minhash_near_dedup, op7_mixing_sources, op8_toxicity, op9_substring_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op4_exact_topk_search, op5_minhash_near_dedup, op7_mixing_sources, op8_toxicity, op9_substring_dedup, op10_token_counts)}
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_topk_search": TOPK_SQL}
