@@ -147,7 +147,7 @@ def concentrated(rows: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
 
 
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``id_col``, the statistics, base_failed, distance and kept of every row; ``carry`` names columns to keep as well."""
+    """``id_col``, the statistics, base_failed, distance and kept of every row; columns named in ``carry`` come along as carried_<name>."""
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *(F.col(c).alias(f"_carry_{c}") for c in carry))
     rows = transformed(text_statistics(rows, "_raw").drop("_raw"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -162,5 +162,5 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     far = distance(with_estimates(rows, estimates, few))
     return far.select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("_d") <= CUTOFF)).alias("kept"), F.col("_d").alias("distance"), *(F.col(f"_carry_{c}").alias(c) for c in carry),
+        (~F.col("base_failed") & (F.col("_d") <= CUTOFF)).alias("kept"), F.col("_d").alias("distance"), *(F.col(f"_carry_{c}").alias(f"carried_{c}") for c in carry),
     )

@@ -4,27 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from demandspark.llm.bpe_count import count_tokens
 from demandspark.llm.bpe_encode import encode_documents
 from demandspark.llm.common import table
+from demandspark.llm.html_extract import extract
 from demandspark.llm.mixing import mix_sources, taken_words
 from demandspark.llm.near_dedup import near_duplicates
 from demandspark.llm.quality import judged
+from demandspark.llm.quotations import linked_conversations
 from demandspark.llm.substring_dedup import kept_words
 from demandspark.llm.topk import top_products
 from demandspark.llm.toxicity import toxicity
-
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+from demandspark.llm.vocabularies import BYTE_BPE, WORD_BPE
 
 
 def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(mix_sources(table(spark, sf_dir, "documents")))
 
@@ -53,8 +61,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, limit=2048)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encoding, op3_quality_rules, op4_exact_topk_search, op5_minhash_near_dedup, op7_mixing_sources, op8_toxicity, op9_substring_dedup, op10_token_counts)}
+    every = (
+        op1_bpe_encoding, op2_html_extraction, op3_quality_rules, op4_exact_topk_search, op5_minhash_near_dedup, op6_quotation_linking,
+        op7_mixing_sources, op8_toxicity, op9_substring_dedup, op10_token_counts, pipeline,
+    )
+    return {f.__name__: f for f in every}
 
 
 TOPK_SQL = """
