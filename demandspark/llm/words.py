@@ -18,7 +18,7 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """word -> 64-bit hash; remembers at most ``bound`` words."""
 
-    def __init__(self, bound: int = 300_000, seed: int = 0):
+    def __init__(self, bound: int = 150_000, seed: int = 0):
         super().__init__()
         self.bound, self.seed = bound, seed
 
@@ -70,7 +70,7 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     return mix(acc)
 
 
-def portions(found: list[bytes], limit: int = 8 << 20) -> list[tuple[int, int]]:
+def portions(found: list[bytes], limit: int = 2 << 20) -> list[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes together, or one longer text."""
     out, start, size = [], 0, 0
     for i, text in enumerate(found):
