@@ -184,10 +184,10 @@ def mixed_documents(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", t
     """The mix as documents: for each round through a source, each document with the words which that round takes,
     joined by one space. Other columns stay as they are; ids repeat where words are taken again."""
     spans = mixture.slots.join(mixture.pieces, ["at", "block"]).groupBy("at", "start", "round").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_spans"))
-    cut = mixture.documents.where("size > 0").join(spans, ["at", "start"]).select("id", "copy", "_spans")
+    cut = mixture.documents.where("size > 0").join(spans, ["at", "start"]).select(F.col("id").alias("_cut_id"), F.col("copy").alias("_cut_copy"), "_spans")
     keep = docs.columns
     rows = docs.withColumn("_copy", F.row_number().over(Window.partitionBy(id_col).orderBy(source_col, words_in(F.col(text_col)), F.xxhash64(text_col))))
-    rows = rows.join(cut, rows[id_col].eqNullSafe(cut["id"]) & (rows["_copy"] == cut["copy"]))
+    rows = rows.join(cut, F.col(id_col).eqNullSafe(F.col("_cut_id")) & (F.col("_copy") == F.col("_cut_copy")))
     words = F.filter(F.split(F.col(text_col), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     rows = rows.withColumn("_words", words)
     text = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice("_words", (s["first"] + 1).cast("int"), s["words"].cast("int")))), " ")

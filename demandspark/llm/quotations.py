@@ -57,9 +57,7 @@ def split_quotes(text: str) -> tuple[str, list[tuple[int, str]]]:
             continue
         depth = found[1].count(">")
         if not level:
-            while own and not own[-1].strip():
-                own.pop()
-            if own and ANNOUNCED.match(own[-1].strip()):
+            while own and (not own[-1].strip() or ANNOUNCED.match(own[-1].strip())):
                 own.pop()
         if depth != level:
             passages.append((depth, []))
