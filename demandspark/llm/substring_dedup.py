@@ -36,11 +36,12 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import discard, map_rows, stash
-from demandspark.llm.words import STEP, WordHashes, hashed_words, mix, portions, texts, window_hashes
+from demandspark.llm.words import MIX_A, MIX_B, WordHashes, hashed_words, mix, portions, texts, window_hashes
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1  # grams of a window
@@ -63,11 +64,18 @@ def anchors_of(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return least[place], offsets, place
 
 
-def signs(hashes: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
-    """A sign of each text's word sequence."""
-    place = np.arange(len(hashes)) - np.repeat(starts[:-1], np.diff(starts))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ (place.astype(np.uint64) + np.uint64(seed)) * STEP))])
-    return sums[starts[1:]] - sums[starts[:-1]]
+def windows_hashed(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each window from those of its first, middle and last gram, which cover it."""
+    grams = window_hashes(hashes, GRAM)
+    n = max(len(hashes) - WINDOW + 1, 0)
+    first, middle, last = (grams[k:k + n] for k in (0, (WINDOW - GRAM) // 2, WINDOW - GRAM))
+    return mix((first * MIX_A ^ middle) * MIX_B + last), mix((last * MIX_A ^ first) * MIX_B + middle)
+
+
+def sign(words: list[bytes]) -> tuple[int, int]:
+    """A 128-bit sign of the word sequence, as two signed integers."""
+    digest = xxhash.xxh3_128_digest(b" ".join(words))
+    return tuple(np.frombuffer(digest, np.int64).tolist())
 
 
 def _signed(values: list) -> pa.Array:
@@ -101,10 +109,12 @@ def documents_anchors(docs: DataFrame) -> DataFrame:
             kept = np.concatenate([[0], np.cumsum(new)])[offsets]
             own = own[new]
             n.append(np.diff(starts))
-            s1.append(signs(hashes, starts, 1))
-            s2.append(signs(hashes, starts, 2))
+            for text in words:
+                one, two = sign(text)
+                s1.append(one)
+                s2.append(two)
             anchors += [np.unique(own[i:j]) for i, j in zip(kept[:-1], kept[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()), _signed(np.concatenate(s1)), _signed(np.concatenate(s2)), _lists(anchors)], names=["id", "n", "s1", "s2", "anchors"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _lists(anchors)], names=["id", "n", "s1", "s2", "anchors"])
 
     return map_rows(docs, "id long, n long, s1 long, s2 long, anchors array<long>", one)
 
@@ -118,8 +128,7 @@ def segments_of(docs: DataFrame) -> DataFrame:
         rows, s1, at, found, w1, w2 = [], [], [], [], [], []
         for row, words, hashes, starts in _parts(batch):
             own, offsets, place = anchors_of(hashes, starts)
-            one, two = (window_hashes(hashes, WINDOW, seed) for seed in (1, 2))
-            sign = signs(hashes, starts, 1)
+            one, two = windows_hashed(hashes)
             for k, text in enumerate(words):
                 i, j = offsets[k], offsets[k + 1]
                 if i == j:
@@ -129,18 +138,19 @@ def segments_of(docs: DataFrame) -> DataFrame:
                 hits = np.flatnonzero(hit)
                 if not len(hits):
                     continue
+                key = sign(text)[0]
                 # hits up to WINDOW apart cover one stretch of words
                 ends = np.flatnonzero(np.diff(hits) > WINDOW)
                 for a, b in zip(hits[np.concatenate([[0], ends + 1])].tolist(), hits[np.concatenate([ends, [len(hits) - 1]])].tolist(), strict=True):
                     windows = place[i + a:i + b + 1][hit[a:b + 1]]
                     once, which = np.unique(one[windows], return_index=True)
                     rows.append(row + k)
-                    s1.append(sign[k])
+                    s1.append(key)
                     at.append(a)
                     found.append(b" ".join(text[a:b + WINDOW]))
                     w1.append(once)
                     w2.append(two[windows][which] >> np.uint64(33))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), _signed(s1), pa.array(at, pa.int64()), pa.array(found, pa.binary()).cast(pa.string()), _lists(w1), _lists(w2).cast(pa.list_(pa.int32()))], names=["id", "s1", "start", "text", "w1", "w2"])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(s1, pa.int64()), pa.array(at, pa.int64()), pa.array(found, pa.binary()).cast(pa.string()), _lists(w1), _lists(w2).cast(pa.list_(pa.int32()))], names=["id", "s1", "start", "text", "w1", "w2"])
 
     return map_rows(docs, "id long, s1 long, start long, text string, w1 array<long>, w2 array<int>", one)
 
@@ -152,7 +162,7 @@ def passages_in(firsts: DataFrame) -> DataFrame:
         rows, found = [], []
         for row, words, hashes, starts in _parts(batch):
             for k, text in enumerate(words):
-                hit = np.isin(window_hashes(hashes[starts[k]:starts[k + 1]], WINDOW, 1), batch.column(2)[row + k].values.to_numpy().view(np.uint64))
+                hit = np.isin(windows_hashed(hashes[starts[k]:starts[k + 1]])[0], batch.column(2)[row + k].values.to_numpy().view(np.uint64))
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
                 for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
                     rows.append(row + k)
@@ -178,8 +188,8 @@ def compiled(passages: list[list[bytes]]) -> ahocorasick.Automaton:
     return automaton
 
 
-def occurrences(automaton: ahocorasick.Automaton, passages: list[list[bytes]], before: list[bool], segment: str) -> list[tuple[int, int]]:
-    """Word ranges of the segment that are WINDOW words or more of a passage for which ``before`` holds."""
+def occurrences(automaton: ahocorasick.Automaton, passages: list[list[bytes]], first: list[int], doc: int, segment: str) -> list[tuple[int, int]]:
+    """Word ranges of the document's segment that are WINDOW words or more of passages of smaller ids, joined where they overlap."""
     words = segment.encode().split()
     line = " " + segment + " "
     starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in segment.split(" ")])]).tolist()
@@ -187,7 +197,7 @@ def occurrences(automaton: ahocorasick.Automaton, passages: list[list[bytes]], b
     for end, (size, places) in automaton.iter(line):
         at = bisect_right(starts, end - size + 1) - 1
         for k, place in places:
-            if not before[k]:
+            if first[k] >= doc:
                 continue
             shift = at - place
             if seen.get((k, shift), -1) > at:
@@ -201,7 +211,14 @@ def occurrences(automaton: ahocorasick.Automaton, passages: list[list[bytes]], b
             seen[k, shift] = hi
             if hi - lo >= WINDOW:
                 out.append((lo, hi))
-    return out
+    out.sort()
+    joined: list[tuple[int, int]] = []
+    for lo, hi in out:
+        if joined and lo <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(hi, joined[-1][1]))
+        else:
+            joined.append((lo, hi))
+    return joined
 
 
 def located(passages: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
@@ -209,10 +226,10 @@ def located(passages: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
     rows = []
     if len(passages) and len(segments):
         words = [t.encode().split() for t in passages["text"]]
-        first = passages["first"].to_numpy()
+        first = passages["first"].tolist()
         automaton = compiled(words)
         for doc, s1, start, text in zip(segments["id"], segments["s1"], segments["start"], segments["text"], strict=True):
-            for lo, hi in occurrences(automaton, words, (first < doc).tolist(), text):
+            for lo, hi in occurrences(automaton, words, first, doc, text):
                 rows.append((doc, s1, start + lo, start + hi))
     return pd.DataFrame(rows, columns=["id", "s1", "lo", "hi"])
 
@@ -270,7 +287,7 @@ def with_removed(docs: DataFrame, id_col: str, text_col: str, schema: str, fn) -
             words = text.split()
             kept = np.ones(len(words), bool)
             if span.is_valid:
-                key = int(signs(*hashed_words([words], _known), 1).view(np.int64)[0])
+                key = sign(words)[0]
                 for part in span.as_py():
                     if part["s1"] == key:
                         for r in part["ranges"]:
