@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.profile import with_stats
+from demandspark.operators.profile import finite, with_stats
 
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -28,7 +28,9 @@ def zero_fill(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL -> column mean. The means are one scalar subquery (a single
-    partial/final aggregate), applied row-wise without a join."""
-    d, means = with_stats(df, {c: F.avg(c) for c in cols})
-    return d.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols}).drop("__st")
+    """NULL and NaN -> mean of the column's finite values. The means are one
+    scalar subquery (a single partial/final aggregate), applied row-wise
+    without a join."""
+    d, means = with_stats(df, {c: F.avg(finite(c)) for c in cols})
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) for c in cols}
+    return d.withColumns({c: F.coalesce(known[c], means[c]) for c in cols}).drop("__st")

@@ -210,29 +210,37 @@ def grouping_set_means(df: DataFrame, sets: Sequence[Sequence[str]], target: str
 
 # --- binning, histograms, densities ----------------------------------------------------
 
+def finite(x: Column | str) -> Column:
+    """The value as a double, NULL where it is NULL, NaN or infinite."""
+    x = (F.col(x) if isinstance(x, str) else x).cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
 def equal_width_bins(df: DataFrame, col: str, n: int, out: str = "bin") -> DataFrame:
     """Right-closed equal-width bins over the column's [min, max]; the
     bounds come from one scalar subquery."""
-    d, st = with_stats(df, {"mn": F.min(col), "mx": F.max(col)})
-    return d.withColumn(out, X.equal_width_bin(F.col(col), st["mn"], st["mx"], n)).drop("__st")
+    x = finite(col)
+    d, st = with_stats(df, {"mn": F.min(x), "mx": F.max(x)})
+    return d.withColumn(out, X.equal_width_bin(x, st["mn"], st["mx"], n)).drop("__st")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """(column, bin, lo, hi, count) with numpy-style equal-width bins
-    (left-closed, last bin closed). Bin ids are computed on the wide row
+    (left-closed, last bin closed) over the finite values; NULL, NaN and
+    infinite values are in no bin. Bin ids are computed on the wide row
     (bounds from one scalar subquery), then only the small ints unpivot."""
     stats = {}
     for c in cols:
-        stats[f"{c}__mn"] = F.min(F.col(c).cast("double"))
-        stats[f"{c}__mx"] = F.max(F.col(c).cast("double"))
+        stats[f"{c}__mn"] = F.min(finite(c))
+        stats[f"{c}__mx"] = F.max(finite(c))
     d, st = with_stats(df, stats)
     bcols = {}
     for c in cols:
         mn, mx = st[f"{c}__mn"], st[f"{c}__mx"]
-        x = F.col(c).cast("double")
+        x = finite(c)
         raw = F.floor((x - mn) / (mx - mn) * F.lit(float(bins)))
         b = F.when(mx == mn, F.lit(0)).otherwise(F.least(raw.cast("int"), F.lit(bins - 1)))
-        bcols[c] = F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(b)
+        bcols[c] = F.when(x.isNotNull(), b)
     wide = d.select(*[v.cast("int").alias(k) for k, v in bcols.items()])
     lf = wide.unpivot([], list(cols), "column", "bin").where(F.col("bin").isNotNull())
     counts, st = with_stats(lf.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")), stats, source=df)
@@ -250,8 +258,8 @@ def density(df: DataFrame, cols: Sequence[str], bins: int = 200, grid: int = 100
     h = histogram(df, cols, bins)
     aggs = {}
     for c in cols:
-        aggs[f"{c}__sd"] = F.stddev_samp(F.col(c).cast("double"))
-        aggs[f"{c}__n"] = F.count(F.col(c))
+        aggs[f"{c}__sd"] = F.stddev_samp(finite(c))
+        aggs[f"{c}__n"] = F.count(finite(c))
     h, st = with_stats(h, aggs, source=df)
     sd = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__sd"]) for c in cols])
     n = F.coalesce(*[F.when(F.col("column") == c, st[f"{c}__n"]) for c in cols])
@@ -270,22 +278,31 @@ def density(df: DataFrame, cols: Sequence[str], bins: int = 200, grid: int = 100
 # --- correlation and regression lines ----------------------------------------------------
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form (x, y, corr).
-
-    Two passes, both plain sums: the k means (one scalar subquery), then
-    the k(k+1)/2 centred cross products in one aggregate. Centring keeps
-    the moments numerically stable, and plain sums aggregate far faster
-    than k(k+1)/2 separate ``corr`` buffers. A constant column gives NULL."""
+    """Pearson matrix in long form (x, y, corr), each pair over the rows
+    where both values are finite.
+
+    Two passes, both plain sums: the k means (one scalar subquery), then per
+    pair the count and the first and second moments of the values less those
+    means, in one aggregate. Centring keeps the moments numerically stable,
+    and plain sums aggregate far faster than k(k+1)/2 separate ``corr``
+    buffers. A constant column gives NULL."""
     cols = list(cols)
-    x = {c: F.col(c).cast("double") for c in cols}
+    x = {c: finite(c) for c in cols}
     d, st = with_stats(df, {c: F.avg(x[c]) for c in cols})
     cen = d.select(*[(x[c] - st[c]).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    idx = {p: i for i, p in enumerate(pairs)}
-    one = cen.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        u, v = F.col(a), F.col(b)
+        both = u.isNotNull() & v.isNotNull()
+        for name, e in (("n", F.lit(1.0)), ("a", u), ("b", v), ("ab", u * v), ("aa", u * u), ("bb", v * v)):
+            sums.append(F.sum(F.when(both, e)).alias(f"{name}{i}"))
+    one = cen.agg(*sums)
     entries = []
     for i, (a, b) in enumerate(pairs):
-        r = F.try_divide(F.col(f"p{i}"), F.sqrt(F.col(f"p{idx[(a, a)]}") * F.col(f"p{idx[(b, b)]}")))
+        n, sa, sb, ab, aa, bb = (F.col(f"{name}{i}") for name in ("n", "a", "b", "ab", "aa", "bb"))
+        spread = F.sqrt((aa - F.try_divide(sa * sa, n)) * (bb - F.try_divide(sb * sb, n)))
+        r = F.try_divide(ab - F.try_divide(sa * sb, n), spread)
         entries.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("corr")))
         if a != b:
             entries.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), r.alias("corr")))

@@ -1,19 +1,27 @@
-"""Exact, deterministic splits: stratified, hold-out, ordered and k-fold.
+"""Exact, deterministic splits by selection: stratified, hold-out, ordered and k-fold.
 
 Row order inside a stratum is ``md5(key|seed)`` then the key, so the
 split is reproducible across engines and reruns (``rand()`` is not).
-Ranks come from the distributed running count, so a stratum holding a
-third of the table is still ranked across many tasks.
+Rows are not ranked: the row at the wanted rank is selected by counting
+hash prefixes (or key ranges), narrowing to one cell twice and ordering
+only that cell's rows. A split flag is then a comparison with one cut-off
+per stratum, so no row of the table is shuffled and nothing is
+materialised. Rows without a target form a stratum of their own; rows
+without a key come last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.functions import scalar as X
-from demandspark.operators.ordered import global_rank
-from demandspark.operators.profile import with_stats
+from demandspark.operators.profile import finite, with_stats
+
+CELLS = 4096  # cells of one narrowing step (three hex digits)
+NO_TARGET = -1
 
 
 def hash_order(key: str, seed: int) -> F.Column:
@@ -21,18 +29,43 @@ def hash_order(key: str, seed: int) -> F.Column:
 
 
 def _stratum(df: DataFrame, target: str, bins: int, out: str) -> DataFrame:
-    d, st = with_stats(df, {"mn": F.min(target), "mx": F.max(target)})
-    return d.withColumn(out, X.equal_width_bin(F.col(target), st["mn"], st["mx"], bins)).drop("__st")
+    x = finite(target)
+    d, st = with_stats(df, {"mn": F.min(x), "mx": F.max(x)})
+    own = X.equal_width_bin(finite(target), st["mn"], st["mx"], bins)
+    return d.withColumn(out, F.coalesce(own, F.lit(NO_TARGET))).drop("__st")
+
+
+def _narrow(cells: DataFrame, group: list[str], cell: str) -> DataFrame:
+    """The cell of each group that holds rank ``__r``, with the rank inside it.
+
+    ``cells`` has group, cell, __n and the group's __r; at most CELLS rows of a group.
+    """
+    w = Window.partitionBy(*group).orderBy(cell)
+    c = cells.withColumn("__to", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    hit = c.where((F.col("__to") >= F.col("__r")) & (F.col("__to") - F.col("__n") < F.col("__r")))
+    return hit.select(*group, cell, (F.col("__r") - F.col("__to") + F.col("__n")).alias("__r"))
 
 
-def _take(df: DataFrame, key: str, stratum: str, frac: float, seed: int, flag: str) -> DataFrame:
-    h = "__h"
-    d = df.withColumn(h, hash_order(key, seed))
-    ranked = global_rank(d, [stratum], [h, key], out="__rk")
-    n = ranked.groupBy(stratum).agg(F.count(F.lit(1)).alias("__n"))
-    j = ranked.join(n, stratum)
-    return j.withColumn(flag, F.col("__rk") <= F.round(F.col("__n") * F.lit(float(frac)))).drop(
-        h, "__rk", "__n")
+def _cut_offs(rows: DataFrame, frac: float) -> DataFrame:
+    """``rows`` (s, h, k) -> s, h, k of the row at rank round(frac n) of each stratum by (h, k)."""
+    one = rows.groupBy("s", F.substring("h", 1, 3).alias("p")).agg(F.count(F.lit(1)).alias("__n"))
+    size = one.groupBy("s").agg(F.round(F.sum("__n") * F.lit(float(frac))).cast("long").alias("__r"))
+    first = _narrow(one.join(F.broadcast(size), "s"), ["s"], "p")  # one row per stratum
+    inside = rows.withColumn("p", F.substring("h", 1, 3)).join(F.broadcast(first), ["s", "p"])
+    two = inside.groupBy("s", "p", "__r", F.substring("h", 4, 3).alias("q")).agg(F.count(F.lit(1)).alias("__n"))
+    second = _narrow(two, ["s", "p"], "q")
+    cell = inside.drop("__r").withColumn("q", F.substring("h", 4, 3)).join(F.broadcast(second), ["s", "p", "q"])
+    place = F.row_number().over(Window.partitionBy("s").orderBy("h", "k"))
+    return cell.withColumn("__i", place).where(F.col("__i") == F.col("__r")).select("s", "h", "k")
+
+
+def _take(df: DataFrame, key: str, stratum: str, frac: float, seed: int) -> Column:
+    """Whether a row is among the first round(frac n) of its stratum."""
+    rows = df.select(F.col(stratum).alias("s"), hash_order(key, seed).alias("h"), F.col(key).alias("k"))
+    cuts = _cut_offs(rows, frac).agg(F.map_from_entries(F.collect_list(F.struct("s", F.struct("h", "k")))).alias("m"))
+    cut = F.try_element_at(cuts.scalar(), F.col(stratum))  # one entry per stratum
+    h = hash_order(key, seed)
+    return F.coalesce((h < cut["h"]) | ((h == cut["h"]) & F.coalesce(F.col(key) <= cut["k"], F.lit(True))), F.lit(False))
 
 
 def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
@@ -41,14 +74,18 @@ def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
     """``test`` = ``test_size`` of each target stratum; from the rest,
     ``val`` = ``val_size`` of each re-binned stratum; the remainder is
     ``train``. Strata: ``bins`` right-closed equal-width target bins."""
-    s = _take(_stratum(df, target, bins, "__s1"), key, "__s1", test_size, seed, "__test")
+    s = _stratum(df, target, bins, "__s1")
+    s = s.withColumn("__test", _take(s, key, "__s1", test_size, seed))
     if val_size is None:
         return s.withColumn(out, F.when(F.col("__test"), "test").otherwise("train")).drop("__s1", "__test")
     rest = s.where(~F.col("__test"))
-    test = s.where(F.col("__test")).withColumn(out, F.lit("test"))
-    r = _take(_stratum(rest, target, bins, "__s2"), key, "__s2", val_size, seed, "__val")
-    r = r.withColumn(out, F.when(F.col("__val"), "val").otherwise("train")).drop("__s2", "__val")
-    return r.unionByName(test).drop("__s1", "__test")
+    x = finite(target)
+    both, st = with_stats(s, {"mn": F.min(x), "mx": F.max(x)}, source=rest)
+    again = F.coalesce(X.equal_width_bin(finite(target), st["mn"], st["mx"], bins), F.lit(NO_TARGET))
+    both = both.withColumn("__s2", again).drop("__st")
+    held = _take(_stratum(rest, target, bins, "__s2"), key, "__s2", val_size, seed)
+    name = F.when(F.col("__test"), "test").when(held, "val").otherwise("train")
+    return both.withColumn(out, name).drop("__s1", "__s2", "__test")
 
 
 def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins: int = 5,
@@ -56,20 +93,41 @@ def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins:
     return stratified(df, key, target, test_size, None, bins, seed, out)
 
 
+def _keys_at(df: DataFrame, key: str, ranks: list[Column]) -> Column:
+    """Map from 0, 1, ... to the key at each rank (1-based; expressions over the row count ``n``), by numeric key order."""
+    k = F.col(key).cast("double")
+    rows = df.select(F.col(key).alias("k")).where(F.col(key).isNotNull())
+    d, st = with_stats(rows, {"mn": F.min("k"), "mx": F.max("k"), "n": F.count(F.lit(1))})
+    k, lo = F.col("k").cast("double"), st["mn"].cast("double")
+    # any rule that never falls as the key rises narrows rightly
+    d = d.select("k", st["n"].alias("n"), ((k - lo) / (st["mx"].cast("double") - lo + 1) * CELLS * CELLS).alias("x"))
+    d = d.withColumns({"p": F.floor(F.col("x") / CELLS), "q": F.floor("x") % CELLS})
+    one = d.groupBy("n", "p").agg(F.count(F.lit(1)).alias("__n"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), r.cast("long").alias("r")) for i, r in enumerate(ranks)]))
+    one = one.withColumn("w", wanted).select("p", "__n", F.col("w.i").alias("i"), F.col("w.r").alias("__r"))
+    first = _narrow(one, ["i"], "p")  # one row per rank
+    inside = d.select("k", "p", "q").join(F.broadcast(first), "p")
+    two = inside.groupBy("i", "p", "__r", "q").agg(F.count(F.lit(1)).alias("__n"))
+    second = _narrow(two, ["i", "p"], "q")
+    cell = inside.drop("__r").join(F.broadcast(second), ["i", "p", "q"])
+    place = F.row_number().over(Window.partitionBy("i").orderBy("k"))
+    hit = cell.withColumn("__i", place).where(F.col("__i") == F.col("__r"))
+    return hit.agg(F.map_from_entries(F.collect_list(F.struct("i", "k"))).alias("m")).scalar()
+
+
 def ordered(df: DataFrame, key: str, test_size: float = 0.2, out: str = "split") -> DataFrame:
-    """Head/tail split in key order at ``int(n * (1 - test_size))``."""
-    r, st = with_stats(global_rank(df, [], [key], out="__rk"), {"n": F.count(F.lit(1))}, source=df)
-    n = st["n"]
+    """Head/tail split in (numeric) key order at ``int(n * (1 - test_size))``."""
     # int(n * (1 - test_size)) in exact rational arithmetic
-    from fractions import Fraction
-
     q = Fraction(1) - Fraction(str(test_size))
-    cut = F.floor((n * F.lit(q.numerator)) / F.lit(q.denominator))
-    return r.withColumn(out, F.when(F.col("__rk") <= cut, "train").otherwise("test")).drop("__rk", "__st")
+    cut = F.floor((F.col("n") * F.lit(q.numerator)) / F.lit(q.denominator))
+    head = F.col(key) <= F.try_element_at(_keys_at(df, key, [cut]), F.lit(0))
+    return df.withColumn(out, F.when(head, "train").otherwise("test"))
 
 
 def kfold(df: DataFrame, key: str, k: int = 3, out: str = "fold") -> DataFrame:
-    """Contiguous, unshuffled folds in key order: fold = (rank-1)*k div n
+    """Contiguous, unshuffled folds in (numeric) key order: fold = (rank-1)*k div n
     (the first n mod k folds get one extra row)."""
-    r, st = with_stats(global_rank(df, [], [key], out="__rk"), {"n": F.count(F.lit(1))}, source=df)
-    return r.withColumn(out, F.floor((F.col("__rk") - 1) * F.lit(k) / st["n"]).cast("int")).drop("__rk", "__st")
+    ranks = [F.ceil(F.col("n") * F.lit(f) / F.lit(k)) for f in range(1, k)]
+    at = _keys_at(df, key, ranks)
+    past = [F.coalesce(F.col(key) > F.try_element_at(at, F.lit(f)), F.lit(False)).cast("int") for f in range(k - 1)]
+    return df.withColumn(out, sum(past[1:], past[0]) if past else F.lit(0))

@@ -52,8 +52,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` (or a directory already set on the context)
-    wins; only when neither exists -- local tests -- a fresh scratch folder
-    is created.
+    wins; only when neither exists and the master is local (tests) a fresh
+    scratch folder is created. A cluster without the setting is an error:
+    a folder of the driver's machine is not shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="demandspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
