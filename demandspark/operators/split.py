@@ -59,33 +59,50 @@ def _cut_offs(rows: DataFrame, frac: float) -> DataFrame:
     return cell.withColumn("__i", place).where(F.col("__i") == F.col("__r")).select("s", "h", "k")
 
 
-def _take(df: DataFrame, key: str, stratum: str, frac: float, seed: int) -> Column:
-    """Whether a row is among the first round(frac n) of its stratum."""
-    rows = df.select(F.col(stratum).alias("s"), hash_order(key, seed).alias("h"), F.col(key).alias("k"))
-    cuts = _cut_offs(rows, frac).agg(F.map_from_entries(F.collect_list(F.struct("s", F.struct("h", "k")))).alias("m"))
-    cut = F.try_element_at(cuts.scalar(), F.col(stratum))  # one entry per stratum
+def _before(key: str, seed: int, cut: Column) -> Column:
+    """Whether a row stands at or before the cut-off (h, k) of its stratum; not if there is none."""
     h = hash_order(key, seed)
     return F.coalesce((h < cut["h"]) | ((h == cut["h"]) & F.coalesce(F.col(key) <= cut["k"], F.lit(True))), F.lit(False))
 
 
+def _cuts_of(df: DataFrame, key: str, stratum: str, frac: float, seed: int) -> DataFrame:
+    """One row: map from stratum to the cut-off of its first round(frac n) rows."""
+    rows = df.select(F.col(stratum).alias("s"), hash_order(key, seed).alias("h"), F.col(key).alias("k"))
+    return _cut_offs(rows, frac).agg(F.map_from_entries(F.collect_list(F.struct("s", F.struct("h", "k")))).alias("m"))
+
+
 def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
                val_size: float | None = 0.25, bins: int = 5, seed: int = 42,
                out: str = "split") -> DataFrame:
     """``test`` = ``test_size`` of each target stratum; from the rest,
     ``val`` = ``val_size`` of each re-binned stratum; the remainder is
     ``train``. Strata: ``bins`` right-closed equal-width target bins."""
-    s = _stratum(df, target, bins, "__s1")
-    s = s.withColumn("__test", _take(s, key, "__s1", test_size, seed))
     if val_size is None:
-        return s.withColumn(out, F.when(F.col("__test"), "test").otherwise("train")).drop("__s1", "__test")
-    rest = s.where(~F.col("__test"))
+        s = _stratum(df, target, bins, "__s1")
+        cut = F.try_element_at(_cuts_of(s, key, "__s1", test_size, seed).scalar(), F.col("__s1"))
+        return s.withColumn(out, F.when(_before(key, seed, cut), "test").otherwise("train")).drop("__s1")
+    test = _held_out(df, key, target, test_size, bins, seed)
+    val = _held_out(df.where(~test), key, target, val_size, bins, seed)
+    return df.withColumn(out, F.when(test, "test").when(val, "val").otherwise("train"))
+
+
+def _held_out(df: DataFrame, key: str, target: str, frac: float, bins: int, seed: int) -> Column:
+    """The flag of the first round(frac n) rows of each stratum, as an expression over the row alone.
+
+    The bounds and the cut-offs (one per stratum) come to the driver and enter
+    as literals: a second step nested on the first one's subqueries would work
+    them out again at every place that uses them.
+    """
     x = finite(target)
-    both, st = with_stats(s, {"mn": F.min(x), "mx": F.max(x)}, source=rest)
-    again = F.coalesce(X.equal_width_bin(finite(target), st["mn"], st["mx"], bins), F.lit(NO_TARGET))
-    both = both.withColumn("__s2", again).drop("__st")
-    held = _take(_stratum(rest, target, bins, "__s2"), key, "__s2", val_size, seed)
-    name = F.when(F.col("__test"), "test").when(held, "val").otherwise("train")
-    return both.withColumn(out, name).drop("__s1", "__s2", "__test")
+    bound = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
+    own = X.equal_width_bin(x, F.lit(bound["mn"]).cast("double"), F.lit(bound["mx"]).cast("double"), bins)
+    stratum = F.coalesce(own, F.lit(NO_TARGET))
+    cuts = _cuts_of(df.withColumn("__s", stratum), key, "__s", frac, seed).first()["m"] or {}
+    kind, flag = df.schema[key].dataType, F.lit(False)
+    for number, at in sorted(cuts.items()):
+        cut = {"h": F.lit(at["h"]), "k": F.lit(at["k"]).cast(kind)}
+        flag = F.when(stratum == number, _before(key, seed, cut)).otherwise(flag)
+    return flag
 
 
 def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins: int = 5,
