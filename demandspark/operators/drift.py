@@ -52,12 +52,12 @@ def _totals(counts: DataFrame) -> DataFrame:
 
 
 def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
-    lam = F.sqrt(n1 * n2 / (n1 + n2)) * d
+    lam = F.sqrt(F.try_divide(n1 * n2, n1 + n2)) * d
     series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
                          lambda acc, k: acc + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
                          * F.exp(F.lit(-2.0) * k * k * lam * lam))
     p = F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0))
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(p)
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), p)
 
 
 def numeric_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -85,16 +85,16 @@ def numeric_from_cdf(cum: DataFrame) -> DataFrame:
     aggregated from the value counts; no second scan of the inputs)."""
     tot = cum.groupBy("column").agg(F.max("cum_n_ref").alias("tot_ref"), F.max("cum_n_cur").alias("tot_cur"),
                                     F.sum(F.col("n_ref") * F.col("value")).alias("s1"))
-    tot = tot.withColumn("mean_ref", F.col("s1") / F.col("tot_ref"))
+    tot = tot.withColumn("mean_ref", F.try_divide("s1", "tot_ref"))
     j = cum.join(F.broadcast(tot), "column")  # one row per column: bounded by the column list
-    gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
+    gap = F.abs(F.try_divide("cum_n_ref", "tot_ref") - F.try_divide("cum_n_cur", "tot_cur"))
     area = F.coalesce(gap * (F.col("next_value") - F.col("value")), F.lit(0.0))
     dev = F.col("value") - F.col("mean_ref")
     per = j.groupBy("column").agg(
         F.max(gap).alias("statistic"), F.sum(area).alias("wasserstein"),
         F.sum(F.col("n_ref") * dev * dev).alias("ss"),
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
-    sd = F.sqrt(F.col("ss") / (F.col("n_ref") - 1))
+    sd = F.sqrt(F.try_divide(F.col("ss"), F.col("n_ref") - 1))
     return per.select(
         "column", F.lit("numeric").alias("kind"), "statistic",
         ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
@@ -113,9 +113,9 @@ def chi_from_counts(c: DataFrame) -> DataFrame:
     j = c.join(F.broadcast(tot), "column")
     n = F.col("tot_ref") + F.col("tot_cur")
     row = F.col("n_ref") + F.col("n_cur")
-    e_ref = row * F.col("tot_ref") / n
-    e_cur = row * F.col("tot_cur") / n
-    term = (F.col("n_ref") - e_ref) ** 2 / e_ref + (F.col("n_cur") - e_cur) ** 2 / e_cur
+    e_ref = F.try_divide(row * F.col("tot_ref"), n)
+    e_cur = F.try_divide(row * F.col("tot_cur"), n)
+    term = F.try_divide((F.col("n_ref") - e_ref) ** 2, e_ref) + F.try_divide((F.col("n_cur") - e_cur) ** 2, e_cur)
     return j.groupBy("column").agg(
         F.lit("categorical").alias("kind"), F.sum(term).alias("statistic"),
         (F.count(F.lit(1)) - 1).alias("dof"), F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
@@ -146,8 +146,7 @@ def chi_square_p_values(reference: DataFrame, current: DataFrame, cols: Sequence
 def _shares(c: DataFrame) -> DataFrame:
     tot = _totals(c)
     j = c.join(F.broadcast(tot), "column")
-    return j.select("column", "value", (F.col("n_ref") / F.col("tot_ref")).alias("p"),
-                    (F.col("n_cur") / F.col("tot_cur")).alias("q"))
+    return j.select("column", "value", F.try_divide("n_ref", "tot_ref").alias("p"), F.try_divide("n_cur", "tot_cur").alias("q"))
 
 
 def _magnitudes(shares: DataFrame) -> DataFrame:
@@ -167,7 +166,7 @@ def binned_counts(values: DataFrame, bins: int = 10) -> DataFrame:
     out, no row-level data touched."""
     rng = values.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
     j = values.join(F.broadcast(rng), "column")  # one row per column
-    raw = F.least(F.floor((F.col("value") - F.col("mn")) / (F.col("mx") - F.col("mn")) * F.lit(float(bins)))
+    raw = F.least(F.floor(F.try_divide(F.col("value") - F.col("mn"), F.col("mx") - F.col("mn")) * F.lit(float(bins)))
                   .cast("int"), F.lit(bins - 1))
     b = F.when(F.col("mx") == F.col("mn"), F.lit(0)).otherwise(raw)
     return j.groupBy("column", b.cast("string").alias("value")).agg(
@@ -191,15 +190,15 @@ def binned_magnitudes(reference: DataFrame, current: DataFrame, numeric: Sequenc
 
 def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                 categorical: Sequence[str], p_threshold: float = 0.05, magnitude_threshold: float = 0.1,
-                small_n: int = 1000, bins: int = 10) -> DataFrame:
+                method: str = "magnitude", bins: int = 10) -> DataFrame:
     """One row per column: kind, statistic, p_value (numeric), wasserstein_norm,
     js_distance, psi, drifted.
 
-    Decision per column: numeric columns with at most ``small_n``
-    reference rows use KS p < ``p_threshold``; above it, effect sizes
-    decide (Wasserstein/std >= ``magnitude_threshold``), since p-values of
-    large samples flag negligible shifts. Categorical columns use the JS
-    distance (chi-square p-values: ``chi_square_p_values``).
+    Decision per column, the same at every size: by effect size (``method``
+    "magnitude": Wasserstein/std of numeric columns, JS distance of
+    categorical ones >= ``magnitude_threshold``), or for numeric columns by
+    KS p < ``p_threshold`` ("p_value"). A column without values on one side
+    has NULL statistics and isn't drifted.
 
     Inputs are scanned twice: once for the numeric (column, value)
     counts, from which CDFs, sizes, reference moments and binned shares
@@ -226,11 +225,8 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     for p in parts[1:]:
         t = t.unionByName(p)
     t = t.join(mag, "column", "left")
-    small = F.col("n_ref") <= small_n
-    drifted = (F.when(F.col("kind") == "numeric",
-                      F.when(small, F.col("p_value") < p_threshold)
-                      .otherwise(F.col("wasserstein_norm") >= magnitude_threshold))
-               .otherwise(F.col("js_distance") >= magnitude_threshold))
+    numeric_rule = {"magnitude": F.col("wasserstein_norm") >= magnitude_threshold, "p_value": F.col("p_value") < p_threshold}[method]
+    drifted = F.when(F.col("kind") == "numeric", numeric_rule).otherwise(F.col("js_distance") >= magnitude_threshold)
     return t.withColumn("drifted", F.coalesce(drifted, F.lit(False))).drop("n_ref")
 
 

@@ -19,11 +19,12 @@ from demandspark.operators.projection import numeric_columns
 
 
 def attach(base: DataFrame, *one_row: DataFrame) -> DataFrame:
-    """Add the columns of one-row result tables to ``base`` as scalar
-    subqueries (each evaluated once; no join)."""
+    """Add the columns of one-row result tables to ``base``: one scalar
+    subquery per table, its columns packed in a struct (no join)."""
     out = base
-    for t in one_row:
-        out = out.withColumns({c: t.select(c).scalar() for c in t.columns})
+    for i, t in enumerate(one_row):
+        packed = t.select(F.struct(*t.columns).alias("row")).scalar()
+        out = out.withColumn(f"__row{i}", packed).select("*", *[F.col(f"__row{i}")[c].alias(c) for c in t.columns]).drop(f"__row{i}")
     return out
 
 

@@ -248,14 +248,14 @@ def tune_early_stop(spark, sf_dir):
 
 @register("tune_compare", D(Q.DEMAND, _trials_sql(), """ba AS (SELECT model_name, sqrt(min(loss)) AS rmse_random,
   count(*) AS trials_random FROM trials WHERE trial <= 10 GROUP BY model_name),
-bb AS (SELECT model_name, sqrt(min(loss)) AS rmse_extended, count(*) AS trials_extended FROM trials GROUP BY model_name)""",
+bb AS (SELECT model_name, sqrt(min(loss)) AS rmse_extended, count(*) AS trials_extended FROM trials WHERE trial > 10 GROUP BY model_name)""",
     body="SELECT model_name, round(rmse_random, 6) AS rmse_random, round(rmse_extended, 6) AS rmse_extended, "
     "trials_random, trials_extended, round(rmse_random - rmse_extended, 6) AS improvement, "
     "round(rmse_extended / rmse_random, 6) AS ratio, CASE WHEN rmse_extended < rmse_random THEN 'extended' "
     "ELSE 'random' END AS winner FROM ba JOIN bb USING (model_name)"))
 def tune_compare(spark, sf_dir):
     t = _trials(spark, sf_dir)
-    return round_doubles(TU.compare_methods(t.where(F.col("trial") <= 10), t, "random", "extended"))
+    return round_doubles(TU.compare_methods(t.where(F.col("trial") <= 10), t.where(F.col("trial") > 10), "random", "extended"))
 
 
 # --- §2.8 joins and §2.14 run tables -----------------------------------------------------

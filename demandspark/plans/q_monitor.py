@@ -96,7 +96,7 @@ DRIFT_SQL = f"""{_ks_sql()},
 {_mag_sql()},
 dt AS (
   SELECT k."column", 'numeric' AS kind, statistic, p_value, wasserstein_norm, js_distance, psi,
-    COALESCE(CASE WHEN n_ref <= 1000 THEN p_value < 0.05 ELSE wasserstein_norm >= 0.1 END, false) AS drifted
+    COALESCE(wasserstein_norm >= 0.1, false) AS drifted
   FROM ksp k LEFT JOIN mag USING ("column")
   UNION ALL
   SELECT c."column", 'categorical', statistic, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), js_distance, psi,
@@ -118,13 +118,13 @@ def union_tagged(spark, sf_dir):
 
 
 @register("mon_prepare", D(Q.DEMAND, Q.DEMAND_DIRTY, body=
-    "SELECT obs_id, COALESCE(temperature_c, 0) AS temperature_c, COALESCE(humidity, 0) AS humidity, "
+    "SELECT CASE WHEN obs_id % 2 = 0 THEN 'reference' ELSE 'current' END AS dataset, obs_id, COALESCE(temperature_c, 0) AS temperature_c, COALESCE(humidity, 0) AS humidity, "
     "CASE WHEN isnan(wind_speed) OR isinf(wind_speed) THEN 0 ELSE wind_speed END AS wind_speed, "
-    "hour, rented_bike_count FROM demand_dirty WHERE obs_id % 2 = 1"))
+    "hour, rented_bike_count FROM demand_dirty"))
 def mon_prepare(spark, sf_dir):
-    _, cur = V.reference_current(spark, sf_dir, base=V.demand_dirty(spark, sf_dir))
-    p = MO.prepare(cur)
-    return p.select("obs_id", "temperature_c", "humidity", "wind_speed", "hour", S.LABEL)
+    ref, cur = V.reference_current(spark, sf_dir, base=V.demand_dirty(spark, sf_dir))
+    p = DR.tagged_union(MO.prepare(ref), MO.prepare(cur))
+    return p.select("dataset", "obs_id", "temperature_c", "humidity", "wind_speed", "hour", S.LABEL)
 
 
 @register("mon_drift_numeric", D(*PAIR, _ks_sql(), body=
@@ -200,7 +200,8 @@ def _col_summary_sql(cols):
     return "\nUNION ALL\n".join(parts)
 
 
-_SUMCOLS = ["temperature_c", "humidity", "rented_bike_count"]
+_SUMCOLS = ["hour", "rented_bike_count", "temperature_c", "humidity", "wind_speed", "visibility_10m",
+            "dew_point_c", "solar_radiation", "rainfall_mm", "snowfall_cm"]
 
 
 @register("mon_column_summary", D(Q.DEMAND, Q.REF_CUR_SHIFTED, body=_col_summary_sql(_SUMCOLS)))

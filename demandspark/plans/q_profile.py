@@ -142,7 +142,7 @@ def agg_mean_grouping_sets(spark, sf_dir):
     return g.withColumn("avg_count", X.round_half_away("avg_count", 6))
 
 
-HIST = ["rented_bike_count", "temperature_c", "humidity", "wind_speed", "rainfall_mm"]
+FINITE = "({x} IS NOT NULL AND NOT isnan({x}) AND NOT isinf({x}))"
 
 
 def _hist_sql(cols, src, bins, value_expr=None) -> str:
@@ -154,21 +154,21 @@ def _hist_sql(cols, src, bins, value_expr=None) -> str:
             f"round(mn + (b + 1) * ((mx - mn) / CAST({bins} AS DOUBLE)), 9) AS hi, count(*) AS count FROM ("
             f"SELECT mn, mx, CASE WHEN mx = mn THEN 0 ELSE CAST(least(floor(({x} - mn) / (mx - mn) * "
             f"CAST({bins} AS DOUBLE)), {bins - 1}) AS INTEGER) END AS b FROM {src}, "
-            f"(SELECT min({x}) AS mn, max({x}) AS mx FROM {src}) WHERE {x} IS NOT NULL AND NOT isnan({x})) "
+            f"(SELECT min({x}) AS mn, max({x}) AS mx FROM {src} WHERE {FINITE.format(x=x)}) WHERE {FINITE.format(x=x)}) "
             f"GROUP BY b, mn, mx")
     return "\nUNION ALL\n".join(parts)
 
 
-@register("agg_histogram", D(Q.DEMAND, body=_hist_sql(HIST, "demand", 10)))
+@register("agg_histogram", D(Q.DEMAND, Q.DEMAND_DIRTY, body=_hist_sql(NUM, "demand_dirty", 10)))
 def agg_histogram(spark, sf_dir):
-    return round_doubles(P.histogram(V.demand(spark, sf_dir), HIST, 10), 9)
+    return round_doubles(P.histogram(V.demand_dirty(spark, sf_dir), NUM, 10), 9)
 
 
 def _density_sql(cols, bins, grid) -> str:
-    h = _hist_sql(cols, "demand", bins).replace("round(", "(").replace(", 9) AS lo", ") AS lo").replace(
+    h = _hist_sql(cols, "demand_dirty", bins).replace("round(", "(").replace(", 9) AS lo", ") AS lo").replace(
         ", 9) AS hi", ") AS hi")
     st = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, stddev_samp(CAST({c} AS DOUBLE)) AS sd, count({c}) AS nn "
-                             f"FROM demand" for c in cols)
+                             f"FROM demand_dirty WHERE {FINITE.format(x=f'CAST({c} AS DOUBLE)')}" for c in cols)
     return f""", hist AS ({h}),
 st AS ({st}),
 hb AS (SELECT h.*, min(lo) OVER (PARTITION BY h."column") AS g_lo, max(hi) OVER (PARTITION BY h."column") AS g_hi,
@@ -180,10 +180,9 @@ SELECT "column", CAST(g AS INTEGER) AS g, round(max(x), 9) AS x,
 FROM g GROUP BY "column", g"""
 
 
-@register("agg_density", D(Q.DEMAND, body="SELECT 1").replace("\nSELECT 1", _density_sql(
-    ["temperature_c", "humidity"], 50, 40)))
+@register("agg_density", D(Q.DEMAND, Q.DEMAND_DIRTY, body="SELECT 1").replace("\nSELECT 1", _density_sql(NUM, 50, 40)))
 def agg_density(spark, sf_dir):
-    d = P.density(V.demand(spark, sf_dir), ["temperature_c", "humidity"], bins=50, grid=40)
+    d = P.density(V.demand_dirty(spark, sf_dir), NUM, bins=50, grid=40)
     return d.select("column", "g", X.round_half_away("x", 9).alias("x"), X.round_half_away("density", 10).alias("density"))
 
 
@@ -195,16 +194,17 @@ def _corr_sql() -> str:
     parts = []
     for i, a in enumerate(CORR):
         for b in CORR[i:]:
-            e = f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 9)"
-            parts.append(f"SELECT '{a}' AS x, '{b}' AS y, {e} AS corr FROM demand")
+            x, y = (f"CAST({c} AS DOUBLE)" for c in (a, b))
+            src = f"round(corr({x}, {y}), 9) AS corr FROM demand_dirty WHERE {FINITE.format(x=x)} AND {FINITE.format(x=y)}"
+            parts.append(f"SELECT '{a}' AS x, '{b}' AS y, {src}")
             if a != b:
-                parts.append(f"SELECT '{b}' AS x, '{a}' AS y, {e} AS corr FROM demand")
+                parts.append(f"SELECT '{b}' AS x, '{a}' AS y, {src}")
     return "\nUNION ALL\n".join(parts)
 
 
-@register("agg_correlation", D(Q.DEMAND, body=_corr_sql()))
+@register("agg_correlation", D(Q.DEMAND, Q.DEMAND_DIRTY, body=_corr_sql()))
 def agg_correlation(spark, sf_dir):
-    return round_doubles(P.correlation(V.demand(spark, sf_dir), CORR), 9)
+    return round_doubles(P.correlation(V.demand_dirty(spark, sf_dir), CORR), 9)
 
 
 REG = [c for c in CORR if c != "rented_bike_count"]
@@ -262,13 +262,17 @@ def cln_zero_fill(spark, sf_dir):
     return CL.zero_fill(CL.inf_to_null(d, ["wind_speed"]), ["temperature_c", "humidity", "wind_speed"])
 
 
-@register("cln_mean_impute", D(Q.DEMAND, Q.DEMAND_DIRTY, """dd AS (SELECT DISTINCT * FROM demand_dirty),
-clean AS (SELECT obs_id, temperature_c, humidity,
-  CASE WHEN isinf(wind_speed) OR isnan(wind_speed) THEN NULL ELSE wind_speed END AS wind_speed FROM dd)""", body=
-    "SELECT obs_id, round(COALESCE(temperature_c, (SELECT avg(temperature_c) FROM clean)), 9) AS temperature_c, "
-    "round(COALESCE(humidity, (SELECT avg(humidity) FROM clean)), 9) AS humidity, "
-    "round(COALESCE(wind_speed, (SELECT avg(wind_speed) FROM clean)), 9) AS wind_speed FROM clean"))
+_FLOATS = [c for c in NUM if c not in ("hour", "rented_bike_count")]
+
+
+def _impute_sql() -> str:
+    mean = {c: f"(SELECT avg(CAST({c} AS DOUBLE)) FROM dd WHERE {FINITE.format(x=f'CAST({c} AS DOUBLE)')})" for c in NUM}
+    known = {c: f"CASE WHEN {FINITE.format(x=c)} THEN {c} END" if c in _FLOATS else f"CAST({c} AS DOUBLE)" for c in NUM}
+    return "SELECT obs_id, " + ", ".join(f"round(COALESCE({known[c]}, {mean[c]}), 9) AS {c}" for c in NUM) + " FROM dd"
+
+
+@register("cln_mean_impute", D(Q.DEMAND, Q.DEMAND_DIRTY, "dd AS (SELECT DISTINCT * FROM demand_dirty)", body=_impute_sql()))
 def cln_mean_impute(spark, sf_dir):
     d = CL.drop_duplicates(V.demand_dirty(spark, sf_dir))
-    d = CL.inf_to_null(d.select(*_CLEAN_COLS), ["wind_speed"])
-    return round_doubles(CL.mean_impute(d, ["temperature_c", "humidity", "wind_speed"]), 9)
+    d = CL.inf_to_null(d.select("obs_id", *[F.col(c).cast("double").alias(c) for c in NUM]), NUM)
+    return round_doubles(CL.mean_impute(d, NUM), 9)
