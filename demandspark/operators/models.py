@@ -8,9 +8,11 @@ fitted models' parameters.
 
 from __future__ import annotations
 
+import itertools
+import logging
 import math
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +29,9 @@ from demandspark.operators import evaluate as EV
 
 SEED = 42
 LABEL_D = "label"
+TREES = ("Decision Tree", "Random Forest", "Gradient Boosting", "Boosted Trees (sampled)")
+# room for many nodes' histograms in one pass over the data; rows remember their node
+TREE_WORK = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
 
 
 def label_stats(train: DataFrame, label: str = S.LABEL) -> tuple[float, int]:
@@ -49,18 +54,19 @@ def estimators(sigma_y: float, n: int, trees: int = 100, rounds: int = 100) -> d
                                               maxIter=1000, tol=1e-9), True),
         "Elastic Net": (LinearRegression(regParam=en_reg, elasticNetParam=l1 / en_reg, standardization=False,
                                          maxIter=1000, tol=1e-9), True),
-        "Decision Tree": (DecisionTreeRegressor(maxDepth=15, seed=SEED), False),
+        "Decision Tree": (DecisionTreeRegressor(maxDepth=15, seed=SEED, **TREE_WORK), False),
         "Random Forest": (RandomForestRegressor(numTrees=trees, maxDepth=15, featureSubsetStrategy="all",
-                                                seed=SEED), False),
-        "Gradient Boosting": (GBTRegressor(maxIter=rounds, maxDepth=6, stepSize=0.1, seed=SEED), False),
+                                                seed=SEED, **TREE_WORK), False),
+        "Gradient Boosting": (GBTRegressor(maxIter=rounds, maxDepth=6, stepSize=0.1, seed=SEED, **TREE_WORK), False),
         "Boosted Trees (sampled)": (GBTRegressor(maxIter=rounds, maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
-                                                 featureSubsetStrategy="0.8", seed=SEED), False),
+                                                 featureSubsetStrategy="0.8", seed=SEED, **TREE_WORK), False),
     }
 
 
 def pipeline(estimator, scale: bool, features: Sequence[str] = S.FEATURES) -> Pipeline:
     raw = "raw_features" if scale else "features"
-    stages = [VectorAssembler(inputCols=list(features), outputCol=raw, handleInvalid="skip")]
+    # a NULL feature is an error: rows are imputed or rejected before, never dropped here
+    stages = [VectorAssembler(inputCols=list(features), outputCol=raw, handleInvalid="error")]
     if scale:
         stages.append(StandardScaler(inputCol=raw, outputCol="features", withMean=True, withStd=True))
     estimator.setFeaturesCol("features").setLabelCol(LABEL_D)
@@ -71,15 +77,28 @@ def with_label(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     return df.withColumn(LABEL_D, F.col(label).cast("double"))
 
 
+def assembled(df: DataFrame, features: Sequence[str] = S.FEATURES, keep: Sequence[str] = ()) -> DataFrame:
+    """label, raw feature vector and ``keep``: what fits read, assembled once."""
+    rows = with_label(df)
+    if "split" in df.columns and "split" not in keep:
+        keep = [*keep, "split"]
+    return VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error").transform(rows).select(*keep, LABEL_D, "raw_features")
+
+
 def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallelism: int = 4,
               features: Sequence[str] = S.FEATURES) -> dict[str, PipelineModel]:
-    """Fit every model on the (cached) train set, ``parallelism`` fits at a
-    time; each fit is itself a distributed Spark job."""
-    t = with_label(train).persist()
+    """Fit every model, ``parallelism`` fits at a time; each fit is itself a
+    distributed Spark job over the train rows' vectors, which are assembled
+    and cached once."""
+    t = assembled(train, features).persist()
+    assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error")
     try:
         def fit(item):
             name, (est, scale) = item
-            return name, pipeline(est, scale, features).fit(t)
+            stages = [StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)] if scale else []
+            est = est.copy({est.featuresCol: "features" if scale else "raw_features", est.labelCol: LABEL_D})
+            fitted = Pipeline(stages=[*stages, est]).fit(t)
+            return name, PipelineModel([assembler, *fitted.stages])
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             return dict(pool.map(fit, models.items()))
     finally:
@@ -87,14 +106,14 @@ def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallel
 
 
 def predictions(models: dict[str, PipelineModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Long predictions (model_name, keep..., yhat) of several models."""
-    parts = [m.transform(with_label(df)).select(F.lit(n).alias("model_name"), *keep,
-                                                F.col("prediction").alias("yhat"))
-             for n, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Long predictions (model_name, keep..., yhat) of several models, in one
+    pass over ``df``: the models' stages follow each other on the same rows."""
+    rows = with_label(df).select(*dict.fromkeys([*keep, *S.FEATURES, LABEL_D]))
+    entries = []
+    for i, (name, m) in enumerate(models.items()):
+        rows = m.transform(rows).withColumnRenamed("prediction", f"yhat_{i}").drop("raw_features", "features")
+        entries.append(F.struct(F.lit(name).alias("model_name"), F.col(f"yhat_{i}").alias("yhat")))
+    return rows.select(*keep, F.inline(F.array(*entries))).select("model_name", *keep, "yhat")
 
 
 def results_table(models: dict[str, PipelineModel], split_df: DataFrame, split: str = "split") -> DataFrame:
@@ -104,19 +123,21 @@ def results_table(models: dict[str, PipelineModel], split_df: DataFrame, split:
 
 
 def importances(spark, model: PipelineModel, features: Sequence[str] = S.FEATURES) -> DataFrame:
-    """(feature, importance, rank) of a tree model: one row per feature."""
-    last = model.stages[-1]
-    imp = getattr(last, "featureImportances", None)
-    if imp is None:
-        coef = getattr(last, "coefficients", None)
-        vals = [abs(float(x)) for x in coef] if coef is not None else [0.0] * len(features)
-    else:
-        vals = [float(x) for x in imp.toArray()]
-    rows = [(f, v) for f, v in zip(features, vals)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    from pyspark.sql import Window
+    """(feature, importance, rank) of a fitted model: one row per feature."""
+    return all_importances(spark, {"": model}, features).drop("model_name")
 
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature")))
+
+def all_importances(spark, models: dict[str, PipelineModel], features: Sequence[str] = S.FEATURES) -> DataFrame:
+    """(model_name, feature, importance, rank); bounded by models x features."""
+    rows = []
+    for name, model in models.items():
+        last = model.stages[-1]
+        imp = getattr(last, "featureImportances", None)
+        coef = getattr(last, "coefficients", None)
+        vals = imp.toArray() if imp is not None else [abs(float(x)) for x in coef] if coef is not None else [0.0] * len(features)
+        ranked = sorted(zip(features, map(float, vals)), key=lambda x: (-x[1], x[0]))
+        rows += [(name, f, v, i) for i, (f, v) in enumerate(ranked, 1)]
+    return spark.createDataFrame(rows, "model_name string, feature string, importance double, rank int")
 
 
 def save_model(model: PipelineModel, uri: str) -> str:
@@ -141,6 +162,21 @@ GBT_GRID = {
     "subsamplingRate": [0.8, 1.0],
     "featureSubsetStrategy": ["0.8", "all"],
 }
+# The same for the forests: numTrees, maxDepth, minInstancesPerNode.
+RF_GRID = {
+    "numTrees": [100, 200],
+    "maxDepth": [10, 20, 30],
+    "minInstancesPerNode": [1, 2],
+}
+# Elastic net, whose full budgets are quick: strength and mixing.
+NET_GRID = {
+    "regParam": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0],
+    "elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0],
+}
+NET_SPACE = {
+    "regParam": ("loguniform", (1e-3, 1e2)),
+    "elasticNetParam": ("uniform", (0.0, 1.0)),
+}
 GBT_SPACE = {
     "maxIter": ("choice", [100, 200, 300, 500, 800]),
     "maxDepth": ("choice", [3, 4, 5, 6, 7, 8, 9]),
@@ -152,9 +188,10 @@ GBT_SPACE = {
 
 
 def grid_draws(grid: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
-    rng = random.Random(seed)
+    """``n`` different settings of the grid (all of them, if it has fewer)."""
     keys = sorted(grid)
-    return [{k: rng.choice(grid[k]) for k in keys} for _ in range(n)]
+    every = [dict(zip(keys, values)) for values in itertools.product(*(grid[k] for k in keys))]
+    return random.Random(seed).sample(every, min(n, len(every)))
 
 
 def space_draws(space: dict[str, tuple], n: int, seed: int = SEED) -> list[dict]:
@@ -182,41 +219,50 @@ def _apply(est, params: dict):
     return est.copy({est.getParam(k): v for k, v in params.items()})
 
 
-def random_search(train: DataFrame, fold_col: str, draws: list[dict], base=None,
-                  parallelism: int = 4, scale_budget: Callable[[dict], dict] | None = None):
-    """k-fold random search (folds from ``fold_col``), best by MSE; returns
-    (best PipelineModel refit on all train rows, best params, trials df)."""
-    base = base or GBTRegressor(seed=SEED)
-    draws = [scale_budget(d) if scale_budget else d for d in draws]
-    pipe = pipeline(base, scale=False)
-    maps = []
-    for d in draws:
-        maps.append({base.getParam(k): v for k, v in d.items()})
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=RegressionEvaluator(metricName="mse"),
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED)
-    m = cv.fit(with_label(train))
-    spark = train.sparkSession
-    rows = [(i + 1, {k: str(v) for k, v in d.items()}, float(mse)) for i, (d, mse) in enumerate(zip(draws, m.avgMetrics))]
-    trials = spark.createDataFrame(rows, "trial int, params map<string,string>, loss double")
-    best_i = min(range(len(draws)), key=lambda i: m.avgMetrics[i])
-    return m.bestModel, draws[best_i], trials
+def random_search(train: DataFrame, fold_col: str, draws: list[dict], base=None, folds: int = 3,
+                  parallelism: int = 4, scale: bool = False):
+    """k-fold search over ``draws`` (folds 0 .. ``folds`` - 1 in ``fold_col``), best by
+    MSE; returns (best PipelineModel refit on all train rows, its params, trials)."""
+    base = base or GBTRegressor(seed=SEED, **TREE_WORK)
+    rows = with_label(train).select(fold_col, LABEL_D, *S.FEATURES).persist()
+    try:
+        cv = CrossValidator(estimator=pipeline(base, scale=scale), estimatorParamMaps=[{base.getParam(k): v for k, v in d.items()} for d in draws],
+                            evaluator=RegressionEvaluator(metricName="mse"), foldCol=fold_col, numFolds=folds, parallelism=parallelism, seed=SEED)
+        m = cv.fit(rows)
+    finally:
+        rows.unpersist()
+    trials = _trials(train, draws, m.avgMetrics)
+    best = min(range(len(draws)), key=lambda i: m.avgMetrics[i])
+    return m.bestModel, draws[best], trials
+
+
+def _trials(df: DataFrame, draws: list[dict], losses: Sequence[float]) -> DataFrame:
+    rows = [(i + 1, {k: str(x) for k, x in d.items()}, float(loss)) for i, (d, loss) in enumerate(zip(draws, losses))]
+    return df.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, loss double")
 
 
 def continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], base=None,
-                      patience: int | None = None, batch: int = 4):
+                      patience: int | None = None, batch: int = 4, scale: bool = False):
     """Trials scored on a fixed validation set (RMSE), run in batches of
     ``batch`` parallel fits; stops when ``patience`` trials bring no gain.
-    A failed fit scores +inf. Returns (best params, trials df)."""
-    base = base or GBTRegressor(seed=SEED)
-    t, v = with_label(train).persist(), with_label(val).persist()
-    ev = RegressionEvaluator(metricName="rmse")
+    A fit that fails scores +inf and is logged; if all fail, the last error
+    is raised. Returns (best params, trials)."""
+    base = base or GBTRegressor(seed=SEED, **TREE_WORK)
+    t, v = assembled(train).persist(), assembled(val).persist()
+    ev = RegressionEvaluator(metricName="rmse", labelCol=LABEL_D)
+    stages = [StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)] if scale else []
+    column = "features" if scale else "raw_features"
     losses: list[float] = []
+    errors: list[Exception] = []
 
     def run(d):
         try:
-            m = pipeline(_apply(base, d), scale=False).fit(t)
+            est = _apply(base, d)
+            m = Pipeline(stages=[*stages, est.copy({est.featuresCol: column, est.labelCol: LABEL_D})]).fit(t)
             return ev.evaluate(m.transform(v))
-        except Exception:  # noqa: BLE001 - a failed trial is a loss of +inf
+        except Exception as e:  # a trial's setting may be impossible
+            logging.getLogger(__name__).warning("trial %s failed: %s", d, e)
+            errors.append(e)
             return float("inf")
     try:
         with ThreadPoolExecutor(max_workers=batch) as pool:
@@ -229,8 +275,34 @@ def continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], base=
     finally:
         t.unpersist()
         v.unpersist()
-    spark = train.sparkSession
-    rows = [(i + 1, {k: str(x) for k, x in d.items()}, float(loss)) for i, (d, loss) in enumerate(zip(draws, losses))]
-    trials = spark.createDataFrame(rows, "trial int, params map<string,string>, loss double")
-    best_i = min(range(len(losses)), key=lambda j: losses[j])
-    return draws[best_i], trials
+    if errors and not any(map(math.isfinite, losses)):
+        raise errors[-1]
+    best = min(range(len(losses)), key=lambda j: losses[j])
+    return draws[best], _trials(train, draws, losses)
+
+
+def compare_searches(train: DataFrame, val: DataFrame, found: dict[str, tuple[dict, float]], base, scale: bool = False) -> DataFrame:
+    """``found``: method -> (best params, seconds of its search). Refits each on
+    ``train`` and sets RMSE and R2 on ``val``, the gain over the first method and
+    the ratio of the times beside each other: one row per method."""
+    models = train_all(train, {name: (_apply(base, params), scale) for name, (params, _) in found.items()}, parallelism=len(found))
+    long = predictions(models, val, [S.LABEL])
+    m = long.groupBy("model_name").agg(EV.rmse_expr(S.LABEL, "yhat").alias("rmse"), EV.r2_expr(S.LABEL, "yhat").alias("r2"))
+    first = next(iter(found))
+    base_row = m.where(F.col("model_name") == first).select(F.struct("rmse", "r2").alias("b")).scalar()
+    seconds = F.coalesce(*[F.when(F.col("model_name") == n, F.lit(float(t))) for n, (_, t) in found.items()])
+    return m.withColumn("b", base_row).select(
+        F.col("model_name").alias("method"), "rmse", "r2", seconds.alias("seconds"), (F.col("b.rmse") - F.col("rmse")).alias("rmse_gain"),
+        (F.col("r2") - F.col("b.r2")).alias("r2_gain"), (seconds / F.lit(max(float(found[first][1]), 1e-9))).alias("time_ratio"))
+
+
+def cross_validated(df: DataFrame, fold_col: str, folds: int, models: dict[str, tuple[object, bool]], parallelism: int = 4) -> DataFrame:
+    """(model_name, fold, rmse): each fold's rows predicted by models fitted on the others."""
+    parts = []
+    for fold in range(folds):
+        fitted = train_all(df.where(F.col(fold_col) != fold), models, parallelism)
+        parts.append(predictions(fitted, df.where(F.col(fold_col) == fold), [fold_col, S.LABEL]))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return long.groupBy("model_name", F.col(fold_col).alias("fold")).agg(EV.rmse_expr(S.LABEL, "yhat").alias("rmse"))

@@ -8,7 +8,7 @@ validation are masked into the reject form (NULL prediction, confidence
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,14 +52,16 @@ def model_predictor(model, prediction_col: str = "prediction") -> Predictor:
 
 
 def score_batch(requests: DataFrame, predictor: Predictor, index: str = "obs_id",
-                date_format: str = "d/M/yyyy", confidence: float = S.CONFIDENCE) -> DataFrame:
-    """(index, prediction bigint, confidence, status, error) per request.
+                date_format: str = "d/M/yyyy", confidence: float = S.CONFIDENCE,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """(``keep`` as requested..., index, prediction bigint, confidence, status, error) per request.
 
     One pass: every row is validated, featurised and scored, and the
     final projection masks rows that failed validation (NULL prediction,
     confidence 0, status ``error`` with the reasons). No union, so the
     requests are read once."""
-    v = FL.validate(requests)
+    # the request's own values ride along, untouched by padding and features
+    v = FL.validate(requests.withColumn("__request", F.struct(*keep)) if keep else requests)
     parsed = X.parse_date("date", date_format)
     bad_date = F.col("date").isNotNull() & parsed.isNull()
     v = v.withColumn("reasons", F.when(bad_date, F.array_append("reasons", F.lit("invalid date")))
@@ -68,6 +70,7 @@ def score_batch(requests: DataFrame, predictor: Predictor, index: str = "obs_id"
     feats = FE.pad_missing(FE.feature_recipe(v, date_format=date_format))
     ok = F.col("valid")
     return predictor(feats).select(
+        *[F.col("__request")[c].alias(c) for c in keep],
         F.col(index).alias("index"),
         F.when(ok, X.clip_round("yhat")).alias("prediction"),
         F.when(ok, F.lit(float(confidence))).otherwise(F.lit(0.0)).alias("confidence"),

@@ -98,11 +98,11 @@ def _held_out(df: DataFrame, key: str, target: str, frac: float, bins: int, seed
     own = X.equal_width_bin(x, F.lit(bound["mn"]).cast("double"), F.lit(bound["mx"]).cast("double"), bins)
     stratum = F.coalesce(own, F.lit(NO_TARGET))
     cuts = _cuts_of(df.withColumn("__s", stratum), key, "__s", frac, seed).first()["m"] or {}
-    kind, flag = df.schema[key].dataType, F.lit(False)
-    for number, at in sorted(cuts.items()):
-        cut = {"h": F.lit(at["h"]), "k": F.lit(at["k"]).cast(kind)}
-        flag = F.when(stratum == number, _before(key, seed, cut)).otherwise(flag)
-    return flag
+    kind, numbers = df.schema[key].dataType, range(NO_TARGET, bins)
+    at = (stratum - NO_TARGET + 1).cast("int")
+    hashes = F.array(*[F.lit(cuts[i]["h"] if i in cuts else None).cast("string") for i in numbers])
+    keys = F.array(*[F.lit(cuts[i]["k"] if i in cuts else None).cast(kind) for i in numbers])
+    return _before(key, seed, {"h": F.element_at(hashes, at), "k": F.element_at(keys, at)})
 
 
 def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins: int = 5,

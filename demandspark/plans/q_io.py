@@ -15,6 +15,7 @@ from demandspark.operators import runs as RU
 from demandspark.operators import scoring as SCO
 from demandspark.plans import run_views as RV
 from demandspark.plans import sql as Q
+from demandspark.plans import q_model as QMOD
 from demandspark.plans import q_monitor as QM
 from demandspark.plans import views as V
 from demandspark.plans.common import round_doubles
@@ -44,12 +45,12 @@ def src_demand_csv(spark, sf_dir):
     return RD.read_demand_csv(spark, path, schema=schema).select(*V.DEMAND_COLS)
 
 
-@register("src_first_available")
+@register("src_first_available", D(Q.DEMAND, body="SELECT * FROM demand"))
 def src_first_available(spark, sf_dir):
     path = _write_raw_csv(spark, sf_dir)
     missing = scratch_path(spark, "absent")
     schema = T.StructType([OBS, *S.RAW_CSV_SCHEMA.fields])
-    return RD.read_demand_csv(spark, [missing, path], schema=schema)
+    return RD.read_demand_csv(spark, [missing, path], schema=schema).select(*V.DEMAND_COLS)
 
 
 _INFERRED = ", ".join(f"CAST({c} AS INTEGER) AS {c}" if c in ("obs_id", "hour", "rented_bike_count") else c
@@ -144,22 +145,11 @@ _PRED_SCHEMA = T.StructType([OBS, *S.REQUEST_SCHEMA.fields, T.StructField("predi
     "SELECT r.*, s.prediction AS predicted_bike_count FROM requests_bad r JOIN scored s ON r.obs_id = s.\"index\""))
 def sink_predictions_csv(spark, sf_dir):
     req = V.requests_bad(spark, sf_dir)
-    s = SCO.score_batch(req, SCO.linear_predictor()).select(F.col("index").alias("obs_id"),
-                                                            F.col("prediction").alias("predicted_bike_count"))
-    path = SK.write_csv(req.join(s, "obs_id"), scratch_path(spark, "predictions"))
+    s = SCO.score_batch(req, SCO.linear_predictor(), keep=req.columns)
+    path = SK.write_csv(s.select(*req.columns, F.col("prediction").alias("predicted_bike_count")), scratch_path(spark, "predictions"))
     return spark.read.option("header", True).schema(_PRED_SCHEMA).csv(path)
 
 
-@register("score_file")
-def score_file(spark, sf_dir):
-    """CSV in -> CSV out: read raw requests, score, write, read back."""
-    src = _write_raw_csv(spark, sf_dir)
-    req = RD.read_demand_csv(spark, src, schema=T.StructType([OBS, *S.RAW_CSV_SCHEMA.fields])).drop(S.LABEL)
-    s = SCO.score_batch(req, SCO.linear_predictor())
-    out = SK.write_csv(s, scratch_path(spark, "scored"))
-    return spark.read.option("header", True).csv(out)
-
-
 _RES_SCHEMA = S.MODEL_RESULTS_SCHEMA
 
 
@@ -211,12 +201,11 @@ def sink_report_json(spark, sf_dir):
     return back.select("column", "kind", "drifted", "check", F.col("report_date").cast("string").alias("report_date"))
 
 
-@register("sink_trials_csv")
+@register("sink_trials_csv", D(Q.DEMAND, QMOD._trials_sql(), body="SELECT model_name, trial, temp_coef, hour_coef, intercept, round(loss, 6) AS loss FROM trials"))
 def sink_trials_csv(spark, sf_dir):
-    from demandspark.plans import q_model as QMOD
-
-    path = SK.write_csv(QMOD._trials(spark, sf_dir), scratch_path(spark, "trials"))
-    return spark.read.option("header", True).csv(path)
+    path = SK.write_csv(QMOD._flat_trials(QMOD._trials(spark, sf_dir)), scratch_path(spark, "trials"))
+    schema = "model_name string, trial int, temp_coef int, hour_coef int, intercept int, loss double"
+    return round_doubles(spark.read.option("header", True).schema(schema).csv(path))
 
 
 @register("sink_snapshot_csv", D(Q.DEMAND, Q.REF_CUR, body="SELECT * FROM current"))

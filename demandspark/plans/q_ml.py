@@ -1,67 +1,58 @@
 """Registered queries: Spark ML regressors, importances, model storage and
-tuning runs (§2.10, §2.12); the monitoring workflow (§2.13).
+tuning runs (§2.10, §2.12); scoring with a fitted model (§2.14) and the
+monitoring workflow (§2.13).
 
 These results come from fitted models, so they have no SQL twin (the
-driver checks rows only). Check sizes: the library defaults use the
-original learners' sizes (100 trees / rounds); the registered checks fit
-``CHECK_TREES`` trees and ``CHECK_ROUNDS`` boosting rounds (1/5), with
-depths and grids unchanged, so the whole check suite stays minutes long.
+driver checks rows only). Every fit has its full size (100 trees, 100
+rounds); nothing is kept between queries.
 """
 
 from __future__ import annotations
 
+import time
+
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark import schema as S
 from demandspark.functions.features import feature_recipe
 from demandspark.operators import cleaning as CL
 from demandspark.operators import drift as DR
+from demandspark.operators import evaluate as EV
 from demandspark.operators import models as M
 from demandspark.operators import monitor as MO
 from demandspark.operators import scoring as SCO
 from demandspark.operators import split as SP
 from demandspark.plans import run_views as RV
 from demandspark.plans import views as V
+from demandspark.plans.q_io import _write_raw_csv
 from demandspark.plans.registry import register
 from demandspark.session import scratch_path
+from demandspark.sources import readers as RD
 from demandspark.sources import sinks as SK
 
-CHECK_TREES = 20
-CHECK_ROUNDS = 20
-BUDGET_DIVISOR = 5
-CONTINUOUS_DRAWS = 10  # half the configured 20 evaluations, for check time
-
-
-# Fit once, reuse: fitted models and search results are kept per
-# (application, data folder, model) so queries sharing a fit do not refit.
-_FITS: dict[tuple, object] = {}
-
-
-def _memo(spark, sf_dir, name, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _FITS:
-        _FITS[key] = make()
-    return _FITS[key]
+LINEAR = "Linear Regression"
+LINEAR_MODELS = (LINEAR, "Ridge Regression", "Lasso Regression", "Elastic Net")
+DRAWS, FOLDS, EVALUATIONS, PATIENCE = 10, 3, 20, 30
 
 
 def _split(spark, sf_dir):
     return feature_recipe(RV.split_demand(spark, sf_dir))
 
 
-def _fit_one(spark, sf_dir, name):
+def _fitted(spark, sf_dir, names, parallelism=4):
+    """(fitted models by name, the split table)."""
     s = _split(spark, sf_dir)
-
-    def make():
-        train = s.where(F.col("split") == "train")
-        sigma, n = M.label_stats(train)
-        est = {name: M.estimators(sigma, n, CHECK_TREES, CHECK_ROUNDS)[name]}
-        return M.train_all(train, est, parallelism=1)
-    return _memo(spark, sf_dir, ("fit", name), make), s
+    train = s.where(F.col("split") == "train")
+    sigma, n = M.label_stats(train)
+    every = M.estimators(sigma, n)
+    return M.train_all(train, {k: every[k] for k in names}, parallelism), s
 
 
 def _one(name):
     def build(spark, sf_dir):
-        models, s = _fit_one(spark, sf_dir, name)
+        models, s = _fitted(spark, sf_dir, [name])
         return M.results_table(models, s.where(F.col("split") != "val"))
     return build
 
@@ -75,74 +66,100 @@ for _key, _name in [("ml_linear", "Linear Regression"), ("ml_ridge", "Ridge Regr
 
 @register("ml_train_all")
 def ml_train_all(spark, sf_dir):
-    s = _split(spark, sf_dir).persist()
-    train = s.where(F.col("split") == "train")
-    sigma, n = M.label_stats(train)
-    models = M.train_all(train, M.estimators(sigma, n, CHECK_TREES, CHECK_ROUNDS), parallelism=4)
+    models, s = _fitted(spark, sf_dir, [*LINEAR_MODELS, *M.TREES])
     return M.results_table(models, s.where(F.col("split") != "val"))
 
 
-def _forest(spark, sf_dir):
-    models, _ = _fit_one(spark, sf_dir, "Random Forest")
-    return models["Random Forest"]
-
-
 @register("ml_importance")
 def ml_importance(spark, sf_dir):
-    return M.importances(spark, _forest(spark, sf_dir))
+    """Importances of every tree model."""
+    return M.all_importances(spark, _fitted(spark, sf_dir, M.TREES)[0])
 
 
 @register("topk_importance")
 def topk_importance(spark, sf_dir):
-    return M.importances(spark, _forest(spark, sf_dir)).where(F.col("rank") <= 15)
+    return M.all_importances(spark, _fitted(spark, sf_dir, ["Random Forest"])[0]).where(F.col("rank") <= 15)
 
 
 @register("sink_importance_csv")
 def sink_importance_csv(spark, sf_dir):
-    path = SK.write_csv(M.importances(spark, _forest(spark, sf_dir)), scratch_path(spark, "importance"))
+    table = M.all_importances(spark, _fitted(spark, sf_dir, ["Decision Tree", *LINEAR_MODELS])[0])
+    path = SK.write_csv(table, scratch_path(spark, "importance"))
     return spark.read.option("header", True).csv(path)
 
 
 @register("ml_model_store")
 def ml_model_store(spark, sf_dir):
     """Fit (scaler inside the pipeline), save, load, score the test rows."""
-    models, s = _fit_one(spark, sf_dir, "Linear Regression")
-    uri = M.save_model(models["Linear Regression"], scratch_path(spark, "model"))
+    models, s = _fitted(spark, sf_dir, [LINEAR])
+    uri = M.save_model(models[LINEAR], scratch_path(spark, "model"))
     loaded = M.load_model(uri)
     test = M.with_label(s.where(F.col("split") == "test"))
     return loaded.transform(test).select("obs_id", S.LABEL, F.col("prediction").alias("yhat"))
 
 
-def _scaled(d: dict) -> dict:
-    out = dict(d)
-    if "maxIter" in out:
-        out["maxIter"] = max(1, int(out["maxIter"]) // BUDGET_DIVISOR)
-    return out
+@register("score_file")
+def score_file(spark, sf_dir):
+    """CSV in -> CSV out with a stored, fitted model: the input columns and the prediction."""
+    models, _ = _fitted(spark, sf_dir, [LINEAR])
+    loaded = M.load_model(M.save_model(models[LINEAR], scratch_path(spark, "model")))
+    src = _write_raw_csv(spark, sf_dir)
+    schema = T.StructType([T.StructField("obs_id", T.LongType()), *S.RAW_CSV_SCHEMA.fields])
+    req = RD.read_demand_csv(spark, src, schema=schema).drop(S.LABEL)
+    s = SCO.score_batch(req, SCO.model_predictor(loaded), keep=req.columns).drop("index")
+    out = SK.write_csv(s, scratch_path(spark, "scored"))
+    return spark.read.option("header", True).csv(out)
+
+
+def _net():
+    return LinearRegression(standardization=False, maxIter=1000, tol=1e-9)
 
 
-def _random_search(spark, sf_dir):
-    def make():
-        train = _split(spark, sf_dir).where(F.col("split") == "train")
-        folded = SP.kfold(train, "obs_id", 3)
-        return M.random_search(folded, "fold", M.grid_draws(M.GBT_GRID, 10), scale_budget=_scaled)
-    return _memo(spark, sf_dir, "random_search", make)
+def _random_search(spark, sf_dir, train):
+    """Settings of the elastic net, drawn without replacement, over contiguous folds of the train rows."""
+    folded = SP.kfold(train, "obs_id", FOLDS)
+    return M.random_search(folded, "fold", M.grid_draws(M.NET_GRID, DRAWS), _net(), FOLDS, scale=True)
 
 
 @register("tune_random_search")
 def tune_random_search(spark, sf_dir):
-    """10 draws x 3 folds (contiguous folds of the train rows), best by MSE."""
-    _, best, trials = _random_search(spark, sf_dir)
+    """10 draws x 3 folds, best by MSE."""
+    _, best, trials = _random_search(spark, sf_dir, _split(spark, sf_dir).where(F.col("split") == "train"))
     return trials.withColumn("best_params", F.lit(str(sorted(best.items()))))
 
 
+def _continuous_search(s):
+    return M.continuous_search(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"),
+                               M.space_draws(M.NET_SPACE, EVALUATIONS), _net(), patience=PATIENCE, scale=True)
+
+
 @register("tune_continuous")
 def tune_continuous(spark, sf_dir):
-    """``CONTINUOUS_DRAWS`` draws scored on the validation split,
-    stopping after 30 trials without gain."""
+    """20 draws of the elastic net's strength (log-uniform) and mixing
+    (uniform), scored on the validation split, stopping after 30 idle trials."""
+    return _continuous_search(_split(spark, sf_dir))[1]
+
+
+@register("tune_compare_fitted")
+def tune_compare_fitted(spark, sf_dir):
+    """Both searches, their winners refit and set beside each other on the validation rows."""
     s = _split(spark, sf_dir)
-    best, trials = M.continuous_search(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"),
-                                       [_scaled(d) for d in M.space_draws(M.GBT_SPACE, CONTINUOUS_DRAWS)], patience=30)
-    return trials
+    train, found = s.where(F.col("split") == "train"), {}
+    for name, search in (("random", lambda: _random_search(spark, sf_dir, train)[1]), ("continuous", lambda: _continuous_search(s)[0])):
+        began = time.time()
+        best = search()
+        found[name] = (best, time.time() - began)
+    return M.compare_searches(train, s.where(F.col("split") == "val"), found, _net(), scale=True)
+
+
+@register("eval_cv_fitted")
+def eval_cv_fitted(spark, sf_dir):
+    """Cross-validated RMSE of fitted models over contiguous folds of all rows."""
+    f = SP.kfold(feature_recipe(V.demand(spark, sf_dir)), "obs_id", FOLDS)
+    sigma, n = M.label_stats(f)
+    every = M.estimators(sigma, n)
+    folds = M.cross_validated(f, "fold", FOLDS, {k: every[k] for k in [*LINEAR_MODELS, "Decision Tree"]})
+    return EV.cv_summary(folds)
 
 
 @register("tune_retrain_eval")
@@ -150,20 +167,22 @@ def tune_retrain_eval(spark, sf_dir):
     """Refit the random-search winner on train, evaluate train and test."""
     s = _split(spark, sf_dir)
     train = s.where(F.col("split") == "train")
-    _, best, _ = _random_search(spark, sf_dir)
-    est = M._apply(M.GBTRegressor(seed=M.SEED), best)
-    models = M.train_all(train, {"Gradient Boosting (tuned)": (est, False)}, parallelism=1)
+    _, best, _ = _random_search(spark, sf_dir, train)
+    models = M.train_all(train, {"Elastic Net (tuned)": (M._apply(_net(), best), True)}, parallelism=1)
     return M.results_table(models, s.where(F.col("split") != "val"))
 
 
 @register("mon_workflow")
 def mon_workflow(spark, sf_dir):
-    """Clean -> score -> drift / quality / performance -> alerts -> report."""
+    """Clean -> score with a fitted model -> drift / quality / performance -> alerts -> report."""
     ref, cur = V.reference_current(spark, sf_dir, base=V.demand_dirty(spark, sf_dir))
-    num = ["temperature_c", "humidity", "wind_speed"]
-    cur = CL.mean_impute(CL.inf_to_null(CL.drop_duplicates(cur), num), num)
-    scored = SCO.linear_predictor()(cur)
-    fr, fc = feature_recipe(MO.prepare(ref)), feature_recipe(cur)
+    num = [f.name for f in S.FACT_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)]
+    ref, cur = (CL.mean_impute(CL.inf_to_null(CL.drop_duplicates(x), num), num) for x in (ref, cur))
+    train = feature_recipe(ref)
+    sigma, n = M.label_stats(train)
+    models = M.train_all(train, {LINEAR: M.estimators(sigma, n)[LINEAR]}, parallelism=1)
+    scored = SCO.model_predictor(models[LINEAR])(feature_recipe(cur))
+    fr, fc = train, feature_recipe(cur)
     summary = DR.drift_summary(DR.drift_table(fr, fc, S.NUMERIC_FEATURES + [S.LABEL], S.MONITOR_CATEGORICAL))
     q = MO.quality(cur)
     perf = MO.performance(scored, S.LABEL, "yhat")

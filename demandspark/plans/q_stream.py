@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from demandspark import schema as S
 from demandspark.functions.features import feature_recipe
 from demandspark.operators import scoring as SCO
+from demandspark.plans import q_io as QIO
 from demandspark.plans import sql as Q
 from demandspark.plans import views as V
 from demandspark.plans.common import round_doubles
@@ -79,7 +80,7 @@ def _request_files(spark, sf_dir, name, parts=4, base=None):
     return SK.write_json(df.repartition(parts, "obs_id"), scratch_path(spark, name))
 
 
-@register("st_score")
+@register("st_score", D(Q.DEMAND, QIO.SCORED, body="SELECT * FROM scored"))
 def st_score(spark, sf_dir):
     src = _request_files(spark, sf_dir, "requests")
     ok, bad, ck = (scratch_path(spark, n) for n in ("accepted", "rejected", "score_ck"))
