@@ -1,96 +1,139 @@
-"""Exact k-nearest-neighbour regression as a pivot band join.
-
-No query x reference cross product is formed. With pivots p1, p2 and
-t_i(x) = d(x, p_i), the triangle inequality gives |t_i(x) - t_i(q)| <=
-d(x, q). So once a query has an upper bound R_q on its k-th neighbour
-distance, every true neighbour lies in the band |t_1(x) - t_1(q)| <= R_q:
-
-1. pivots: the reference centroid (one aggregate) and the reference point
-   with the smallest id; t1, t2 for every row;
-2. equal-width buckets of t1 over the reference range;
-3. R_q: distance to the k-th closest of a few bucket representatives
-   (k per bucket, taken from the query's bucket and its neighbours, plus
-   k global representatives so there are always >= k real points);
-4. the band's buckets are exploded and equi-joined to the reference
-   rows, pairs are filtered by both pivot bounds and by d <= R_q, and the
-   k nearest per query (ties by reference id) give the mean label.
-
-Every true neighbour survives each filter, so the result equals brute
-force; only pairs the bounds cannot exclude are scored.
+"""Exact k-nearest-neighbour regression over Voronoi cells.
+
+1. ``pivots`` pivots are chosen farthest-first from a bounded sample of the
+   reference; every row belongs to the cell of its nearest pivot, and each
+   cell has a size and a least and greatest distance to its pivot (one row
+   per pivot).
+2. For a query q, rows of cell c are at most d(q, p_c) + greatest_c away, so
+   the nearest cells that hold k rows together bound its k-th distance; cells
+   whose rows must be farther (triangle inequality) are left out.
+3. Cells are cut into chunks of about ``chunk`` rows and queries likewise, and
+   each chunk of queries meets each chunk of its cells once. A meeting is one
+   matrix product; it returns the k nearest per query, distances worked out
+   anew from the vectors. The k nearest of these are the neighbours.
+
+No task holds more than a chunk of either side, whatever the table's size, and
+no candidate is capped. In many dimensions the bounds exclude little and nearly
+every pair is evaluated; ``evaluated_share`` measures it.
+
+Rows without key, vector or label take no part; ties go to the smaller key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+PIVOTS, SAMPLE, CHUNK = 64, 4096, 4096
 
-def distance(a: Column, b: Column) -> Column:
-    """Euclidean distance of two equal-length double arrays (JVM-side)."""
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
 
+def _vectors(column) -> np.ndarray:
+    return np.array([np.asarray(v, float) for v in column]) if len(column) else np.empty((0, 1))
 
-def _vec(df: DataFrame, vec: str) -> DataFrame:
-    return df.withColumn(vec, F.col(vec).cast("array<double>"))
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    square = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)
+    return np.sqrt(np.maximum(square, 0))
+
+
+def _pivots(ref: DataFrame, n: int, rows: int) -> np.ndarray:
+    """Farthest-first pivots of about SAMPLE reference rows (the least hashes)."""
+    share = min(1.0, SAMPLE / max(rows, 1))
+    some = ref.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("rid").limit(2 * SAMPLE)
+    sample = _vectors([r["rv"] for r in some.select("rv").collect()])
+    if not len(sample):
+        return sample
+    chosen, near = [0], _distances(sample, sample[:1])[:, 0]
+    while len(chosen) < min(n, len(sample)) and near.max() > 0:
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, _distances(sample, sample[chosen[-1:]])[:, 0])
+    return sample[chosen]
+
+
+def _visits(q: np.ndarray, pivots: np.ndarray, cells: pd.DataFrame, k: int) -> list[np.ndarray]:
+    """The cells that may hold one of the k nearest rows of each query."""
+    d = _distances(q, pivots[cells["cell"].to_numpy()])
+    farthest = d + cells["hi"].to_numpy()
+    nearest = np.maximum(np.maximum(d - cells["hi"].to_numpy(), cells["lo"].to_numpy() - d), 0)
+    out = []
+    for far, close in zip(farthest, nearest, strict=True):
+        order = np.argsort(far, kind="stable")
+        enough = np.searchsorted(np.cumsum(cells["n"].to_numpy()[order]), k)
+        bound = far[order[min(enough, len(order) - 1)]] if cells["n"].sum() >= k else np.inf
+        out.append(cells["cell"].to_numpy()[close <= bound * (1 + 1e-9) + 1e-9])
+    return out
+
+
+def _sides(reference: DataFrame, queries: DataFrame, key: str, vec: str, label: str) -> tuple[DataFrame, DataFrame]:
+    v = F.col(vec).cast("array<double>")
+    ref = reference.select(F.col(key).alias("rid"), v.alias("rv"), F.col(label).cast("double").alias("y")).dropna()
+    return ref, queries.select(F.col(key).alias("qid"), v.alias("qv")).dropna()
+
+
+def _placed(ref: DataFrame, qry: DataFrame, k: int, pivots: int) -> tuple[DataFrame, DataFrame, pd.DataFrame]:
+    """Reference rows with their cell, queries with each cell to visit, and the cells."""
+    kinds = {f.name: f.dataType.simpleString() for f in [*ref.schema.fields, *qry.schema.fields]}
+    points = _pivots(ref, pivots, ref.count())
+
+    def assign(frames):
+        for x in frames:
+            d = _distances(_vectors(x["rv"]), points)
+            yield x.assign(cell=d.argmin(1).astype("int32"), d=d.min(1))
+
+    ref = ref.mapInPandas(assign, f"rid {kinds['rid']}, rv array<double>, y double, cell int, d double")
+    cells = ref.groupBy("cell").agg(F.count("*").alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).orderBy("cell").toPandas()  # one row per pivot
+
+    def visit(frames):
+        for x in frames:
+            visited = _visits(_vectors(x["qv"]), points, cells, k) if len(x) and len(cells) else [np.empty(0, int)] * len(x)
+            yield x.assign(cells=[v.astype("int32") for v in visited])
+
+    qry = qry.mapInPandas(visit, f"qid {kinds['qid']}, qv array<double>, cells array<int>")
+    return ref.drop("d"), qry.select("qid", "qv", F.explode("cells").alias("cell")), cells
 
 
 def knn_regress(reference: DataFrame, queries: DataFrame, key: str = "vec_id", vec: str = "embedding",
-                label: str = "label", k: int = 5, buckets: int | None = None,
-                rows_per_bucket: int = 1000) -> DataFrame:
-    """(query key, prediction = mean label of the k nearest, neighbours).
-
-    ``buckets`` defaults to about ``rows_per_bucket`` reference rows per
-    bucket (at least 64), so bucket and band sizes stay bounded as the
-    reference grows (one count reaches the driver)."""
-    if buckets is None:
-        buckets = int(min(max(64, reference.count() // rows_per_bucket), 1_000_000))
-    ref = _vec(reference, vec).select(F.col(key).alias("rid"), F.col(vec).alias("rv"),
-                                      F.col(label).cast("double").alias("y"))
-    qry = _vec(queries, vec).select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
-    dims = ref.select(F.posexplode("rv").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"))
-    centroid = dims.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"])
-                        .alias("p")).scalar()  # one array of `dim` numbers
-    anchor = ref.agg(F.min_by("rv", "rid").alias("p")).scalar()
-    # pivots enter as columns of their own projection (subqueries may not
-    # sit inside the higher-order distance function)
-    ref = ref.withColumns({"p1": centroid, "p2": anchor})
-    ref = ref.withColumns({"t1": distance(F.col("rv"), F.col("p1")),
-                           "t2": distance(F.col("rv"), F.col("p2"))}).drop("p1", "p2")
-    qry = qry.withColumns({"p1": centroid, "p2": anchor})
-    qry = qry.withColumns({"t1": distance(F.col("qv"), F.col("p1")),
-                           "t2": distance(F.col("qv"), F.col("p2"))}).drop("p1", "p2")
-    rng = ref.agg(F.struct(F.min("t1").alias("lo"), F.max("t1").alias("hi")).alias("r")).scalar()
-    width = F.greatest((rng["hi"] - rng["lo"]) / F.lit(float(buckets)), F.lit(1e-12))
-
-    def bucket(t: Column) -> Column:
-        return F.least(F.greatest(F.floor((t - rng["lo"]) / width), F.lit(0)), F.lit(buckets - 1)).cast("int")
-
-    ref = ref.withColumn("b", bucket(F.col("t1")))
-    qry = qry.withColumn("b", bucket(F.col("t1")))
-
-    # 3. upper bound from representatives (k per bucket + k global)
-    wb = Window.partitionBy("b").orderBy("rid")
-    reps = ref.withColumn("r", F.row_number().over(wb)).where(F.col("r") <= k).select("b", "rid", "rv")
-    # k global representatives (distributed top-k), attached to every query
-    # as one k-element array: a Generate, not a join
-    glob = ref.orderBy("rid").limit(k).agg(F.collect_list(F.struct("rid", "rv")).alias("g")).scalar()
-    near = qry.select("qid", "qv", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("b")) \
-        .join(reps, "b").select("qid", "qv", "rid", "rv")
-    far = qry.select("qid", "qv", F.inline(glob))
-    cand = near.unionByName(far)
-    cand = cand.withColumn("d", distance(F.col("qv"), F.col("rv"))).dropDuplicates(["qid", "rid"])
-    wq = Window.partitionBy("qid").orderBy("d", "rid")
-    bound = cand.withColumn("r", F.row_number().over(wq)).where(F.col("r") == k).select("qid", F.col("d").alias("R"))
-
-    # 4. band join on buckets, pivot filters, exact top-k
-    q = qry.join(bound, "qid").withColumns({"bl": bucket(F.col("t1") - F.col("R")),
-                                            "bh": bucket(F.col("t1") + F.col("R"))})
-    band = q.select("qid", "qv", F.col("t1").alias("qt1"), F.col("t2").alias("qt2"), "R",
-                    F.explode(F.sequence("bl", "bh")).alias("b"))
-    pairs = band.join(ref, "b").where(
-        (F.abs(F.col("t1") - F.col("qt1")) <= F.col("R")) & (F.abs(F.col("t2") - F.col("qt2")) <= F.col("R")))
-    pairs = pairs.withColumn("d", distance(F.col("qv"), F.col("rv"))).where(F.col("d") <= F.col("R"))
-    top = pairs.withColumn("r", F.row_number().over(wq)).where(F.col("r") <= k)
-    return top.groupBy("qid").agg(F.avg("y").alias("prediction"), F.count(F.lit(1)).alias("neighbours")) \
-        .withColumnRenamed("qid", key)
+                label: str = "label", k: int = 5, pivots: int = PIVOTS, chunk: int = CHUNK) -> DataFrame:
+    """(query key, prediction = mean label of the k nearest, neighbours)."""
+    ref, qry = _sides(reference, queries, key, vec, label)
+    kinds = (ref.schema["rid"].dataType.simpleString(), qry.schema["qid"].dataType.simpleString())
+    sets = -(-qry.count() // chunk) or 1
+    ref, qry, cells = _placed(ref, qry, k, pivots)
+    parts = {int(c): -(-int(n) // chunk) for c, n in zip(cells["cell"], cells["n"], strict=True)}
+    count = F.element_at(F.array(*[F.lit(parts.get(c, 1)) for c in range(max(parts, default=0) + 1)]), F.col("cell") + 1)
+    ref = ref.withColumn("part", F.pmod(F.xxhash64("rid"), count)).withColumn("set", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sets - 1).cast("long"))))
+    qry = qry.withColumn("set", F.pmod(F.xxhash64("qid"), F.lit(sets))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (count - 1).cast("long"))))
+
+    def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(r):
+            return pd.DataFrame({"qid": [], "rid": [], "y": [], "d": []})
+        r = r.sort_values("rid", kind="stable")
+        x, y = _vectors(q["qv"]), _vectors(r["rv"])
+        ids, labels = r["rid"].to_numpy(), r["y"].to_numpy()
+        near, out = _distances(x, y), []
+        for i, row in enumerate(near):
+            limit = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
+            some = np.flatnonzero(row <= limit * (1 + 1e-6) + 1e-6)
+            exact = np.sqrt(((y[some] - x[i]) ** 2).sum(1))
+            best = np.argsort(exact, kind="stable")[:k]  # rows are in key order
+            out.append(pd.DataFrame({"qid": q["qid"].iloc[i], "rid": ids[some[best]], "y": labels[some[best]], "d": exact[best]}))
+        return pd.concat(out)
+
+    by = ["cell", "part", "set"]
+    met = qry.groupBy(*by).cogroup(ref.groupBy(*by)).applyInPandas(meet, f"qid {kinds[1]}, rid {kinds[0]}, y double, d double")
+    place = F.row_number().over(Window.partitionBy("qid").orderBy("d", "rid"))
+    top = met.withColumn("r", place).where(F.col("r") <= k)
+    return top.groupBy("qid").agg(F.avg("y").alias("prediction"), F.count(F.lit(1)).alias("neighbours")).withColumnRenamed("qid", key)
+
+
+def evaluated_share(reference: DataFrame, queries: DataFrame, key: str = "vec_id", vec: str = "embedding",
+                    label: str = "label", k: int = 5, pivots: int = PIVOTS) -> float:
+    """Share of the query x reference pairs that the bounds leave to evaluate."""
+    ref, qry = _sides(reference, queries, key, vec, label)
+    pairs = ref.count() * qry.count()
+    _, visits, cells = _placed(ref, qry, k, pivots)
+    size = dict(zip(cells["cell"], cells["n"], strict=True))
+    seen = visits.groupBy("cell").count().collect()  # one row per pivot
+    return sum(r["count"] * int(size[r["cell"]]) for r in seen) / max(pairs, 1)

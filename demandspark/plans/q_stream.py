@@ -85,7 +85,7 @@ def st_score(spark, sf_dir):
     src = _request_files(spark, sf_dir, "requests")
     ok, bad, ck = (scratch_path(spark, n) for n in ("accepted", "rejected", "score_ck"))
     J.score_stream(J.records_stream(spark, src, _REQ_SCHEMA, max_files=1), SCO.linear_predictor(), ok, bad, ck)
-    return spark.read.parquet(ok).unionByName(spark.read.parquet(bad))
+    return spark.read.parquet(ok).unionByName(spark.read.parquet(bad)).drop("batch_id")
 
 
 @register("st_monitor_batch")

@@ -91,13 +91,14 @@ def dedup(events: DataFrame, keys: Sequence[str] = ("event_id",), ts: str = "ts"
 def score_stream(requests: DataFrame, predictor: SCO.Predictor, accepted_path: str, rejected_path: str,
                  checkpoint: str, index: str = "obs_id") -> None:
     """Score a record stream; successes and rejects go to two sinks (one
-    micro-batch is written to both in ``foreachBatch``)."""
+    micro-batch is written to both in ``foreachBatch``). A batch's rows are one
+    partition, ``batch_id``, which a replayed batch overwrites."""
     scored = SCO.score_batch(requests, predictor, index=index)
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        batch.where(F.col("status") == "success").write.mode("append").parquet(accepted_path)
-        batch.where(F.col("status") != "success").write.mode("append").parquet(rejected_path)
+        batch.where(F.col("status") == "success").write.mode("overwrite").parquet(f"{accepted_path}/batch_id={epoch}")
+        batch.where(F.col("status") != "success").write.mode("overwrite").parquet(f"{rejected_path}/batch_id={epoch}")
         batch.unpersist()
     run_available(scored, checkpoint, foreach_batch=write)
 
@@ -105,11 +106,14 @@ def score_stream(requests: DataFrame, predictor: SCO.Predictor, accepted_path: s
 def monitor_batches(current: DataFrame, reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                     report_path: str, checkpoint: str) -> None:
     """Per micro-batch: drift against the static reference and quality of
-    the batch, appended to the report sink with the batch id."""
+    the batch, in the report sink's partition ``batch_id``, which a replayed
+    batch overwrites."""
     def check(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
         summary = DR.drift_summary(DR.drift_table(reference, batch, numeric, categorical))
         q = MO.quality(batch).select("total_rows", "missing_total", "duplicate_rows")
-        MO.attach(summary, q).withColumn("batch_id", F.lit(epoch)).write.mode("append").json(report_path)
+        MO.attach(summary, q).write.mode("overwrite").json(f"{report_path}/batch_id={epoch}")
+        batch.unpersist()
     run_available(current, checkpoint, foreach_batch=check)
 
 

@@ -1,20 +1,20 @@
-"""Exact k-NN band join against numpy brute force."""
+"""Exact k-NN over Voronoi cells against numpy brute force."""
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from demandspark.operators.knn import knn_regress
+from demandspark.operators.knn import evaluated_share, knn_regress
 
 
 def test_knn_equals_brute_force(spark):
     rng = np.random.default_rng(11)
-    centers = rng.normal(size=(4, 8))
+    centers = 5 * rng.normal(size=(4, 8))
     pts = np.vstack([c + 0.3 * rng.normal(size=(60, 8)) for c in centers])
     labels = np.repeat(np.arange(4), 60).astype(float) + rng.normal(scale=0.1, size=240)
     rows = [(i, [float(x) for x in p], float(y)) for i, (p, y) in enumerate(zip(pts, labels))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label double")
     ref, qry = df.where(F.col("vec_id") % 4 != 0), df.where(F.col("vec_id") % 4 == 0)
-    got = {r["vec_id"]: r["prediction"] for r in knn_regress(ref, qry, k=5, buckets=16).collect()}
+    got = {r["vec_id"]: r["prediction"] for r in knn_regress(ref, qry, k=5, pivots=8, chunk=50).collect()}
     p32 = pts.astype(np.float32).astype(np.float64)
     ref_ids = [i for i in range(240) if i % 4]
     for q in range(0, 240, 4):
@@ -22,3 +22,13 @@ def test_knn_equals_brute_force(spark):
         order = sorted(range(len(ref_ids)), key=lambda j: (d[j], ref_ids[j]))[:5]
         want = float(np.mean([labels[ref_ids[j]] for j in order]))
         assert abs(got[q] - want) < 1e-9
+    assert evaluated_share(ref, qry, k=5, pivots=8) < 0.6  # the clusters lie apart
+    assert knn_regress(ref.limit(0), qry, k=5).count() == 0
+    assert {r["neighbours"] for r in knn_regress(ref.limit(3), qry, k=5).collect()} == {3}
+
+
+def test_bounds_exclude_little_in_many_dimensions(spark):
+    """Measured on the given 64-dimensional vectors: nearly all pairs are evaluated, so the product itself must be cheap."""
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    share = evaluated_share(df.where(F.col("vec_id") % 5 != 0), df.where(F.col("vec_id") % 5 == 0))
+    assert 0.5 < share <= 1.0
