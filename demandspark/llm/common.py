@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting_stashes() -> Iterator[list[str]]:
+    """Collects the folders that ``stash`` writes meanwhile."""
+    _noted.append([])
+    try:
+        yield _noted[-1]
+    finally:
+        _noted.pop()
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -25,6 +39,8 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    for noted in _noted:
+        noted.append(path)
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     jvm.System.gc()  # lets Spark remove the shuffle files that the written table stands for
@@ -36,12 +52,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 def discard(*stashed: DataFrame) -> None:
     """Remove stashed tables that nothing to come reads."""
     for df in stashed:
-        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for folder in folders:
-            if "/llm-" in folder:
-                where = jvm.org.apache.hadoop.fs.Path(folder)
-                where.getFileSystem(conf).delete(where, True)
+        remove(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Remove folders that ``stash`` has written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        if "/llm-" in folder:
+            where = jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(conf).delete(where, True)
 
 
 def ship(spark: SparkSession) -> None:
@@ -69,4 +89,11 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Recor
                     yield out
 
     ship(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: Spark's default of 10,000 rows to a batch holds too much at once."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import map_rows, stash
-from demandspark.llm.words import STEP, mix, odd_step
+from demandspark.llm.words import STEP, mix, odd_step, texts
 
 BLOCK = 32
 SHARD = 4096  # slots of an output shard
@@ -188,7 +188,14 @@ def mixed_documents(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", t
     keep = docs.columns
     rows = docs.withColumn("_copy", F.row_number().over(Window.partitionBy(id_col).orderBy(source_col, words_in(F.col(text_col)), F.xxhash64(text_col))))
     rows = rows.join(cut, F.col(id_col).eqNullSafe(F.col("_cut_id")) & (F.col("_copy") == F.col("_cut_copy")))
-    words = F.filter(F.split(F.col(text_col), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    rows = rows.withColumn("_words", words)
-    text = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice("_words", (s["first"] + 1).cast("int"), s["words"].cast("int")))), " ")
-    return rows.withColumn(text_col, text).select(*keep)
+
+    def cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at, spans = batch.schema.get_field_index(text_col), batch.column(batch.num_columns - 1).to_pylist()
+        found = []
+        for text, own in zip(texts(batch.column(at)), spans, strict=True):
+            words = text.split()
+            found.append(b" ".join([w for s in own for w in words[s["first"]:s["first"] + s["words"]]]))
+        out = [pa.array(found, pa.binary()).cast(pa.string()) if i == at else batch.column(i) for i in range(len(keep))]
+        return pa.RecordBatch.from_arrays(out, names=keep)
+
+    return map_rows(rows.select(*keep, "_spans"), docs.schema, cut_out)

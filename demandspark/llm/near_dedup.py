@@ -35,20 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import map_rows, stash
+from demandspark.llm.common import discard, map_rows, stash
 from demandspark.llm.components import components
-from demandspark.llm.words import WordHashes, hashed_words, mix, odd_step, portions, texts, window_hashes, windows_of
+from demandspark.llm.words import KNOWN, hashed_words, mix, odd_step, portions, texts, window_hashes, windows_of
 
 SHINGLE = 5
 BANDS, ROWS = 10, 3
 PERCENT = 85
 
-_known = WordHashes()
-
-
 def shingle_sets(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The texts' sorted distinct shingles one after the other, and n + 1 offsets."""
-    hashes, starts = hashed_words([t.lower().split() for t in found], _known)  # bytes.lower: A-Z only
+    hashes, starts = hashed_words([t.lower().split() for t in found], KNOWN)  # bytes.lower: A-Z only
     windows, offsets = windows_of(hashes, starts, SHINGLE)
     sets = []
     for k in range(len(found)):
@@ -95,15 +92,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id long, n long, s1 long, s2 long, bands array<long>", one)
 
 
-def shared_keys(classes: DataFrame) -> DataFrame:
-    """key, rep of the keys that two classes or more have."""
+def shared_keys(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All keys (key, rep) that bands shared with other classes give; those that two classes or more have, with lo and hi."""
     bands = classes.select("rep", F.posexplode("bands").alias("band", "value")).withColumn("value", F.xxhash64("band", "value"))
     met = bands.groupBy("value").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("value")
     bands = bands.join(met, "value").groupBy("rep").agg(*(F.collect_list(F.when(side, F.col("value"))).alias(name) for name, side in (("x", F.col("band") < BANDS), ("y", F.col("band") >= BANDS))))
     keys = bands.select("rep", "y", F.explode("x").alias("x")).select("rep", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "rep")
     keys = stash(keys, "near-keys")
     met = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    return keys.join(met, "key")
+    return keys, keys.join(met, "key")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -172,7 +169,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sign = ["n", "s1", "s2"]
     classes = signs.where("n > 0 and id is not null").groupBy(*sign).agg(F.min(F.struct("id", "bands")).alias("m")).select(*sign, F.col("m.id").alias("rep"), F.col("m.bands").alias("bands"))
     classes = stash(classes, "near-classes")
-    members = stash(shared_keys(classes), "near-members")
+    keys, members = shared_keys(classes)
+    members = stash(members, "near-members")
+    discard(keys)
 
     wanted = members.select("rep").distinct()
     own = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
@@ -188,6 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # rows of one id are one document, and so link their classes
     placed = stash(signs.join(classes.drop("bands"), sign, "left").select("id", "n", "rep"), "near-placed")
+    discard(signs, classes)
     same = placed.where("rep is not null").withColumn("lo", F.min("rep").over(Window.partitionBy("id"))).where("lo < rep").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
 
     links, tested = same, None

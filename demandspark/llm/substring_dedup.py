@@ -41,16 +41,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import discard, map_rows, stash
-from demandspark.llm.words import MIX_A, MIX_B, WordHashes, hashed_words, mix, portions, texts, window_hashes
+from demandspark.llm.words import MIX_A, MIX_B, KNOWN, hashed_words, mix, portions, texts, window_hashes
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1  # grams of a window
 SHARD_WINDOWS = 32_000
 SHARD_BYTES = 2 << 20
 
-_known = WordHashes()
-
-
 def anchors_of(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every text's windows: the smallest gram hash of each, where a text's begin (n + 1 offsets), and the word each starts at."""
     grams = window_hashes(hashes, GRAM)
@@ -93,7 +90,7 @@ def _parts(batch: pa.RecordBatch):
     found = texts(batch.column(1))
     for a, b in portions(found):
         words = [t.split() for t in found[a:b]]
-        yield a, words, *hashed_words(words, _known)
+        yield a, words, *hashed_words(words, KNOWN)
 
 
 def documents_anchors(docs: DataFrame) -> DataFrame:
@@ -174,7 +171,7 @@ def passages_in(firsts: DataFrame) -> DataFrame:
 
 def compiled(passages: list[list[bytes]]) -> ahocorasick.Automaton:
     """Automaton of the passages' anchor words; a hit gives the anchor's length and its (passage, place)s."""
-    hashes, starts = hashed_words(passages, _known)
+    hashes, starts = hashed_words(passages, KNOWN)
     places: dict[str, list[tuple[int, int]]] = {}
     for k, words in enumerate(passages):
         grams = window_hashes(hashes[starts[k]:starts[k + 1]], GRAM)

@@ -18,7 +18,7 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """word -> 64-bit hash; remembers at most ``bound`` words."""
 
-    def __init__(self, bound: int = 150_000, seed: int = 0):
+    def __init__(self, bound: int = 100_000, seed: int = 0):
         super().__init__()
         self.bound, self.seed = bound, seed
 
@@ -29,6 +29,10 @@ class WordHashes(dict):
         return h
 
 
+#: One per Python worker, for all operators.
+KNOWN = WordHashes()
+
+
 def odd_step(n: int) -> np.uint64:
     """n steps of the golden ratio, modulo 2^64."""
     return np.uint64(n * int(STEP) & 0xFFFFFFFFFFFFFFFF)

@@ -59,10 +59,11 @@ def test_stages(spark, tmp_path, which):
     assert five.count() == four.count() and five.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
-def test_empty_pipeline(spark):
+def test_empty_pipeline(spark, tmp_path):
     docs = edge_docs(spark).limit(0)
-    for _, stage in cp.STAGES:
-        docs = stage(spark, docs, SF)
+    for name, stage in cp.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
         assert docs.count() == 0
 
 
