@@ -75,11 +75,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 20 = 0
 ), r AS (
@@ -89,5 +89,24 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+SUBSTRING_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) AS t(i) WHERE len(w) >= 13
+), firsts AS (
+  SELECT k, min(doc_id) AS f FROM windows GROUP BY k
+), covered AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM windows JOIN firsts USING (k), range(0, 13) AS r(j) WHERE f < doc_id
+), places AS (
+  SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS line FROM places ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_removed, sha256(COALESCE(line, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_topk_search": TOPK_SQL}
+    return {"op4_exact_topk_search": TOPK_SQL, "op9_substring_dedup": SUBSTRING_SQL}

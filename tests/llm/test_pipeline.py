@@ -18,10 +18,10 @@ def test_every_operator_is_registered():
     assert sorted({int(k[2:].split("_")[0]) for k in names if k != "pipeline"}) == list(range(1, 11)) and "pipeline" in names
 
 
-def test_topk_oracle(spark):
+@pytest.mark.parametrize("key", ["op4_exact_topk_search", "op9_substring_dedup"])
+def test_oracles(spark, key):
     from tools.oracle_check import compare, duck
 
-    key = "op4_exact_topk_search"
     r = compare(E.queries()[key](spark, SF), E.oracle_sql()[key], duck(SF))
     assert r["exact"] and not r["type_mismatch"], r
 
