@@ -5,7 +5,9 @@ how many distinct texts of either label have a unit, smoothed by a Dirichlet
 prior of PRIOR pseudo-units spread like all units. Units are whole words and
 words' beginnings, as stems take many endings. The lexicon has the units that
 toxic texts have significantly more often (signed root of the likelihood
-ratio), at most LEXICON, the most frequent first. A word scores the log ratio
+ratio at least SIGNIFICANT) and at log-odds of STRONG or more, as common words
+that toxic texts merely favour would add up over long texts; at most LEXICON
+units, the most frequent first. A word scores the log ratio
 of the probabilities of its longest unit in the lexicon, any other word that of
 the rest. The scores' exponents then have a mean of 1 on clean text: the decay
 rate of the extreme-value law is 1, and a segment of score S is expected at
@@ -45,7 +47,8 @@ from demandspark.llm.pretokens import chunks
 SAMPLE = 20_000
 PRIOR = 500.0
 STEMS = (6, 5, 4, 3)
-SIGNIFICANT = 6.0
+SIGNIFICANT = 5.0
+STRONG = 4.0
 LEXICON = 2_000
 EXPECTED = 0.01
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -170,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratio = F.log((F.col("t") + prior) / (toxic + PRIOR)) - F.log((F.col("c") + prior) / (clean + PRIOR))
     both, rate = F.col("t") + F.col("c"), toxic / (toxic + clean)
     surplus = 2 * (F.col("t") * F.log(F.col("t") / (both * rate)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - rate)))).otherwise(0.0))
-    best = counts.where((F.col("t") > both * rate)).withColumn("score", ratio).where(F.sqrt(surplus) >= SIGNIFICANT)
+    best = counts.where((F.col("t") > both * rate)).withColumn("score", ratio).where((F.sqrt(surplus) >= SIGNIFICANT) & (F.col("score") >= STRONG))
     lexicon = best.orderBy(F.desc("t"), "token").limit(LEXICON).collect()
     scores = tuple((r["token"], r["score"]) for r in lexicon)
     words = [r for r in lexicon if r["token"].endswith("$")]
