@@ -36,7 +36,7 @@ from demandspark.llm.bpe_count import Remembered, Words, byte_symbols
 from demandspark.llm.common import map_rows
 from demandspark.llm.pretokens import BESIDE, chunks, space_led_words
 
-PAIRS = 400_000  # remembered verdicts on token pairs
+PAIRS, SPINES = 200_000, 10_000  # remembered verdicts on token pairs, and spines of tokens
 NEVER = 1 << 60
 
 
@@ -44,7 +44,7 @@ class PrefixEncoder(Remembered):
     """A space and the stretch up to the next one -> ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        super().__init__(200_000)
+        super().__init__(150_000)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -56,7 +56,7 @@ class PrefixEncoder(Remembered):
             a, b = ("".join(raw[c] for c in x) for x in (a, b))
             self.rank[number[a], number[b]] = rank
             self.parts[number[a + b]] = (number[a], number[b], rank)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # left token * 2^20 + right token
         self.right: dict[int, list[tuple[int, int]]] = {}
         self.left: dict[int, list[tuple[int, int]]] = {}
         self.automaton = ahocorasick.Automaton()
@@ -65,16 +65,19 @@ class PrefixEncoder(Remembered):
                 self.automaton.add_word(t, (len(t), i))
         self.automaton.make_automaton()
         self.bytes = {i: t.encode("latin-1") for i, t in self.text.items()}
+        self.size = {i: len(t) for i, t in self.bytes.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
         self.mark = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = space_led_words()
-        self.known = Words(100_000)
+        self.known = Words(75_000)
         self.known.find = self.word
 
-    def spine(self, token: int, side: int, known: dict) -> list[tuple[int, int]]:
+    def spine(self, token: int, side: int, known: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
         """The token and its descendants along one border, each with the rank of the merge that consumes it."""
         if token not in known:
+            if len(known) >= SPINES:
+                known.clear()
             out, gone, at = [], NEVER, token
             while True:
                 out.append((at, gone))
@@ -119,17 +122,17 @@ class PrefixEncoder(Remembered):
                 continue
             start = at - size
             if start:
-                pair = (last[start], token)
+                pair = last[start] << 20 | token
                 fit = fits.get(pair)
                 if fit is None:
-                    fit = fits[pair] = self.compatible(*pair)
+                    fit = fits[pair] = self.compatible(last[start], token)
                 if not fit:
                     continue
             last[at] = token
         ids, at = array("I"), len(data)
         while at:
             ids.append(last[at])
-            at -= len(self.text[last[at]])
+            at -= self.size[last[at]]
         ids.reverse()
         return ids.tobytes()
 
