@@ -106,10 +106,6 @@ def clip_round(c: ColumnOrName) -> Column:
     return F.greatest(F.lit(0.0), F.bround(_c(c), 0)).cast("bigint")
 
 
-def clip_zero(c: ColumnOrName) -> Column:
-    return F.greatest(F.lit(0.0), _c(c))
-
-
 def finite_or(c: ColumnOrName, default: float = 0.0) -> Column:
     """NULL, NaN and +-inf -> ``default``."""
     c = _c(c)

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark import schema as S
 from demandspark.operators.ordered import running_totals
 from demandspark.session import checkpoint_dir
 
@@ -189,7 +190,7 @@ def binned_magnitudes(reference: DataFrame, current: DataFrame, numeric: Sequenc
 
 
 def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
-                categorical: Sequence[str], p_threshold: float = 0.05, magnitude_threshold: float = 0.1,
+                categorical: Sequence[str], p_threshold: float = S.DRIFT_P_THRESHOLD, magnitude_threshold: float = S.DRIFT_MAGNITUDE,
                 method: str = "magnitude", bins: int = 10) -> DataFrame:
     """One row per column: kind, statistic, p_value (numeric), wasserstein_norm,
     js_distance, psi, drifted.
@@ -230,7 +231,7 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     return t.withColumn("drifted", F.coalesce(drifted, F.lit(False))).drop("n_ref")
 
 
-def drift_summary(drift: DataFrame, share_threshold: float = 0.5) -> DataFrame:
+def drift_summary(drift: DataFrame, share_threshold: float = S.DRIFT_SHARE_THRESHOLD) -> DataFrame:
     """drift_detected, drift_score (share of drifted columns), counts."""
     return drift.agg(F.count_if("drifted").alias("drifted_columns"),
                      F.count(F.lit(1)).alias("total_columns")).select(

@@ -32,11 +32,6 @@ def validate(df: DataFrame, limits: Mapping[str, tuple] | None = None,
     return out.withColumn("valid", F.size(reasons_col) == 0)
 
 
-def split_valid(df: DataFrame, limits: Mapping[str, tuple] | None = None) -> tuple[DataFrame, DataFrame]:
-    v = validate(df, limits)
-    return v.where("valid"), v.where("NOT valid")
-
-
 def has_key(df: DataFrame, map_col: str, key: str) -> DataFrame:
     return df.where(F.map_contains_key(map_col, F.lit(key)))
 

@@ -103,13 +103,6 @@ def reconcile(latest: DataFrame, recorded: DataFrame, listing: DataFrame, key: s
     return j.select("name", "version", status.alias("status"))
 
 
-def reconcile_counts(status: DataFrame) -> DataFrame:
-    return status.agg(F.count(F.lit(1)).alias("total_models"),
-                      F.count_if(F.col("status") == "synced").alias("synced_models"),
-                      F.count_if(F.col("status") == "missing_in_store").alias("missing_s3"),
-                      F.count_if(F.col("status") == "missing_in_registry").alias("missing_mlflow"))
-
-
 def artifact_rollup(listing: DataFrame, key: str = "key") -> DataFrame:
     """Per model directory: file count, has a model file, has a scaler."""
     parts = F.split(F.col(key), "/")

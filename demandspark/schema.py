@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
@@ -91,6 +90,7 @@ CONFIDENCE = 0.85
 
 # Monitoring defaults.
 DRIFT_P_THRESHOLD = 0.05
+DRIFT_MAGNITUDE = 0.1
 DRIFT_SHARE_THRESHOLD = 0.5
 MIN_ROWS = 100
 MIN_R2 = 0.7
@@ -136,13 +136,6 @@ MODEL_RESULTS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
 ])
 
-TRIALS_SCHEMA = T.StructType([
-    T.StructField("model_name", T.StringType()),
-    T.StructField("trial", T.IntegerType()),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("loss", T.DoubleType()),
-])
-
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("model_type", T.StringType()),
@@ -151,24 +144,3 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
 ])
-
-MODEL_VERSIONS_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("version", T.IntegerType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("stage", T.StringType()),
-    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
-])
-
-
-@dataclass(frozen=True)
-class ColumnRoles:
-    """Names only: which columns are numeric, categorical, label, key."""
-
-    numeric: list[str] = field(default_factory=lambda: list(NUMERIC_FEATURES))
-    categorical: list[str] = field(default_factory=lambda: list(MONITOR_CATEGORICAL))
-    label: str | None = LABEL
-    key: str | None = "obs_id"
-
-    def with_label_numeric(self) -> list[str]:
-        return self.numeric + ([self.label] if self.label else [])
