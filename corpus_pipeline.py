@@ -84,7 +84,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of each text's ids and of the text decoded from them."""
-    return encode_documents(docs, BYTE_BPE)
+    return encode_documents(docs, BYTE_BPE, remember=100_000)  # workers have served the other stages before
 
 
 STAGES = [

@@ -24,7 +24,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from demandspark.llm.common import map_rows
+from demandspark.llm.common import forgets, map_rows
 from demandspark.llm.pretokens import bare_words, chunks
 
 
@@ -132,6 +132,9 @@ def counter(path: str) -> MergeCounter:
     return MergeCounter(path)
 
 
+forgets.append(counter.cache_clear)
+
+
 def count_tokens(df: DataFrame, vocabulary: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_bytes, n_tokens, over_limit`` for every row."""
     kind = dict(df.dtypes)[id_col]

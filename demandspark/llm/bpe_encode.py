@@ -33,18 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from demandspark.llm.bpe_count import Remembered, Words, byte_symbols
-from demandspark.llm.common import map_rows
+from demandspark.llm.common import forgets, map_rows
 from demandspark.llm.pretokens import BESIDE, chunks, space_led_words
 
-PAIRS, SPINES = 200_000, 10_000  # remembered verdicts on token pairs, and spines of tokens
+REMEMBER = 220_000  # stretches of text whose ids a worker remembers (twice as many for a while)
+PAIRS, SPINES = 400_000, 20_000  # remembered verdicts on token pairs, and spines of tokens
 NEVER = 1 << 60
 
 
 class PrefixEncoder(Remembered):
     """A space and the stretch up to the next one -> ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
-        super().__init__(150_000)
+    def __init__(self, path: str, remember: int):
+        super().__init__(remember)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -70,7 +71,7 @@ class PrefixEncoder(Remembered):
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
         self.mark = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = space_led_words()
-        self.known = Words(75_000)
+        self.known = Words(remember // 2)
         self.known.find = self.word
 
     def spine(self, token: int, side: int, known: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
@@ -159,21 +160,25 @@ class PrefixEncoder(Remembered):
         return b"".join(map(self.bytes.__getitem__, array("I", packed)))
 
 
-@functools.lru_cache(maxsize=4)
-def encoder(path: str) -> PrefixEncoder:
-    return PrefixEncoder(path)
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, remember: int = REMEMBER) -> PrefixEncoder:
+    return PrefixEncoder(path, remember)
 
 
-def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+forgets.append(encoder.cache_clear)
+
+
+def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """Encode every text, then decode the ids.
 
     Returns ``id_col, n_tokens, ids_sha256, decoded_sha256``, and with
     ``keep_ids`` the ids (``array<int>``) and the decoded text as well.
+    ``remember`` bounds the stretches of text whose ids a worker keeps.
     """
     kind = dict(df.dtypes)[id_col]
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = encoder(vocabulary)
+        model = encoder(vocabulary, remember)
         n, ids_sha, text_sha, ids, back = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             of_ids, of_text, size = hashlib.sha256(), hashlib.sha256(), 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -78,15 +80,39 @@ def ship(spark: SparkSession) -> None:
     context._demandspark_shipped = True
 
 
+#: What operators remember in a Python worker; each entry forgets one of these.
+forgets: list[Callable[[], None]] = []
+_tenant = [""]
+
+
+def settle(operator: str) -> None:
+    """Called where a task begins: a worker serves many operators in turn, and keeps only the current one's memory."""
+    if _tenant[0] != operator:
+        for forget in forgets:
+            forget()
+        _tenant[0] = operator
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
     """``mapInArrow`` with a function from one batch to one batch (or None)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle(fn.__module__)
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)
                 if out is not None:
                     yield out
+        give_back()
 
     ship(df.sparkSession)
     small_batches(df.sparkSession)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import discard, map_rows, stash
+from demandspark.llm.common import discard, map_rows, settle, stash
 from demandspark.llm.words import MIX_A, MIX_B, KNOWN, hashed_words, mix, portions, texts, window_hashes
 
 WINDOW, GRAM = 13, 5
@@ -221,6 +221,7 @@ def occurrences(automaton: ahocorasick.Automaton, passages: list[list[bytes]], f
 def located(passages: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
     """Removed word ranges of one shard's segments."""
     rows = []
+    settle(__name__)
     if len(passages) and len(segments):
         words = [t.encode().split() for t in passages["text"]]
         first = passages["first"].tolist()

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.bpe_count import Remembered
-from demandspark.llm.common import map_rows, stash
+from demandspark.llm.common import forgets, map_rows, stash
 from demandspark.llm.pretokens import chunks
 
 SAMPLE = 20_000
@@ -80,6 +80,9 @@ def scorer(scores: tuple[tuple[str, float], ...]) -> Scorer:
     return Scorer(scores)
 
 
+forgets.append(scorer.cache_clear)
+
+
 def units(word: str) -> list[str]:
     """The word with its end marked, then its beginnings, longest first."""
     return [word + "$", *(word[:k] for k in STEMS if len(word) >= k)]

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from demandspark.llm.common import forgets
+
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -31,6 +33,7 @@ class WordHashes(dict):
 
 #: One per Python worker, for all operators.
 KNOWN = WordHashes()
+forgets.append(KNOWN.clear)
 
 
 def odd_step(n: int) -> np.uint64:
