@@ -17,7 +17,11 @@ an article is judged as if it told 0. Other branches tell 1 with w = 0.3, so
 they fall if their host's pages agree on them; hosts with fewer than LEAST
 pages tell too little, and there such branches stay. Branches under 0.5 are
 removed. Where that leaves a page without text, the branches that only the
-measure removed come back.
+measure removed come back. Class names and ids count as whole tokens
+("no-sidebar" is no sidebar). An article or main element inside a wrapper that
+only its name, a form or a header makes noise is main text all the same; inside
+menus, asides, related texts, hidden elements and the like it is where the page
+has no other text, and inside comments and adverts it is not.
 
 Only verdicts that measurement changes travel back to the pages, as one list
 of paths per host.
@@ -33,6 +37,7 @@ an empty result. Only id, url and html are read, so other names cannot clash.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from typing import NamedTuple
@@ -57,47 +62,78 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 LISTS = {"ul", "ol", "dl", "table", "body", "article", "main", "section", "div"}
 NOISE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "datalist", "fieldset"}
 MAIN = {"article", "main"}
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?|menus?|nav|navbar|navigation|breadcrumbs?|sidebars?|side-bar|footers?|masthead|site-header|page-header|header|topbar|toolbar"
-    r"|comments?|commentlist|comment-list|repl(?:y|ies)|discussion|disqus|respond|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign-up|login|search|share|sharing|social|related|recommended|recommendations"
-    r"|widgets?|pagination|pager|tags|copyright|disclaimer|legal|hidden)(?:$|[\s_-])", re.I)
+# Names are whole class tokens or ids: an area's name, with words beside it that only say where or what kind of box it is.
+_PLACE = r"(?:site|page|main|global|top|bottom|upper|lower|left|right|side|primary|secondary|mobile|desktop|sticky|fixed|floating|first|last|box|bar|block|area|zone|slot|unit|container|wrapper|wrap|inner|outer|panel|group|row|col|column|module|component|list|items?|links?|buttons?|btns?|icons?|form|section|region|open|active|collapsed|\d+(?:x\d+)?)"
+_ABOUT = r"(?:post|entry|article|blog|story|user|reader|google|dfp|gpt|native|text|display|email|facebook)"
+_REMARK = r"(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|comments?|commentlist|repl(?:y|ies)|discussion|disqus|respond)"
+_AREA = (
+    r"(?:banners?|menus?|nav|navbar|navigation|breadcrumbs?|sidebars?|footers?|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign[_-]up"
+    r"|login|search|share|sharing|social|widgets?|pagination|pager|tags|copyright|disclaimer|legal|hidden|visually[_-]hidden)")
+_OTHERS = r"(?:related|recommended|recommendations)"
+REMARKS = re.compile(rf"(?:(?:{_PLACE}|{_ABOUT})[_-]+)*{_REMARK}\d*(?:[_-]+(?:{_PLACE}|{_ABOUT}|{_REMARK}|{_AREA}|{_OTHERS}))*", re.I)
+OTHERS = re.compile(rf"(?:(?:{_PLACE}|{_ABOUT})[_-]+)*{_OTHERS}\d*(?:[_-]+(?:{_PLACE}|{_AREA}|posts?|articles?|stories|content|reading))*", re.I)
+AREAS = re.compile(rf"(?:(?:{_PLACE}|{_ABOUT})[_-]+)*{_AREA}\d*(?:[_-]+(?:{_PLACE}|{_REMARK}|{_AREA}|{_OTHERS}|posts?|articles?|stories))*|(?:(?:site|page|main|global|top)[_-]+)?header(?:[_-]+{_PLACE})*", re.I)
+REPLIES = re.compile(r"(?:(?:post|entry|user|reader|article|blog)[_-]+)?(?:comments?|repl(?:y|ies))(?:[_-]+(?:list|items?|body|content|\d+))*", re.I)
+SOFT = {"form", "fieldset", "header"}
+# How surely an element is noise: SOFTLY is a wrapper that may hold an article, SURELY is not, REMARK is a comment or advert.
+SOFTLY, SURELY, REMARK = 1, 2, 3
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 
 
 class Block(NamedTuple):
     path: str
     text: str
-    noise: bool
+    noise: int
     main: bool
 
 
 class Open(NamedTuple):
     tag: str
     path: str
-    noise: bool
+    noise: int
     main: bool
     children: list
 
 
-def told(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool, bool]:
-    """Name of the element in paths, and whether it tells of noise or of main text."""
-    noise, main, name = tag in NOISE or (tag == "header" and not inside_main), tag in MAIN, ""
-    for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), value.strip("\"'")
+def attributes_of(attributes: str) -> dict[str, str]:
+    """Whole attribute names and their values; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for key, value in ATTRIBUTE.findall(attributes):
+        found.setdefault(key.lower(), value[1:].rstrip(value[0]) if value[:1] in ("'", '"') else value)
+    return found
+
+
+@functools.lru_cache(maxsize=10_000)
+def named(tag: str, value: str) -> int:
+    """What the class or id tells of noise."""
+    if tag in ("body", "html"):
+        return 0
+    tokens = value.split()
+    if tag in MAIN:
+        return REMARK if any(REPLIES.fullmatch(t) for t in tokens) else 0
+    return next((noise for noise, names in ((REMARK, REMARKS), (SURELY, OTHERS), (SOFTLY, AREAS)) if any(names.fullmatch(t) for t in tokens)), 0)
+
+
+def told(tag: str, attributes: str, inside_main: bool) -> tuple[str, int, bool]:
+    """Name of the element in paths, how surely it is noise, and whether it tells of main text."""
+    noise, main, name = 0, tag in MAIN, ""
+    if tag in NOISE or (tag == "header" and not inside_main):
+        noise = SOFTLY if tag in SOFT else SURELY
+    for key, value in attributes_of(attributes).items() if attributes else ():
         if key in ("class", "id"):
             name = name or re.sub(r"\d+", "", value.split()[0]) if value.split() else name
-            noise = noise or (tag not in ("body", "html", "article", "main") and bool(NAMES.search(value))) or (tag in MAIN and bool(re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", value, re.I)))
+            noise = max(noise, named(tag, value))
         elif key == "role":
-            noise, main = noise or value.lower() in ROLES, main or value.lower() in ("main", "article")
+            noise, main = max(noise, SURELY if value.lower() in ROLES else 0), main or value.lower() in ("main", "article")
         elif key == "itemprop":
             main = main or value.lower() == "articlebody"
         elif key == "style":
-            noise = noise or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
+            noise = max(noise, SURELY if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) else 0)
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            noise = True
+            noise = max(noise, SURELY)
     return (f"{tag}.{name}" if name else tag), noise, main
 
 
@@ -105,7 +141,7 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
     """The page's blocks in order, and each element's path with its children's names."""
     blocks: list[Block] = []
     nodes: list[tuple[str, list]] = []
-    root = Open("", "", False, False, [])
+    root = Open("", "", 0, False, [])
     stack, parts, at = [root], [], 0
 
     def flush() -> None:
@@ -169,7 +205,9 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
         path = name if tag in ("html", "body") else f"{top.path}/{name}"
         if tag == "html":
             path = ""
-        node = Open(tag, path, top.noise or noise, (top.main or main) and not noise, [])
+        # an article stands out of a wrapper, but not out of comments or of what main text has around it
+        above = 0 if main and top.noise == SOFTLY and not any(o.main and not o.noise for o in stack) else top.noise
+        node = Open(tag, path, max(above, noise), (top.main or main) and not noise, [])
         top.children.append(name)
         nodes.append((node.path, node.children))
         if not attributes.endswith("/") or tag not in INLINE:
@@ -180,7 +218,7 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
 
 def main_text(blocks: list[Block], low: set[str]) -> str:
     """The blocks that stay; ``low`` has the host's branches that measurement removes."""
-    clean = [b for b in blocks if not b.noise]
+    clean = [b for b in blocks if not b.noise] or [b for b in blocks if b.noise < REMARK and b.main]
     main = [b for b in clean if b.main]
     if main:
         return "\n".join(b.text for b in main)

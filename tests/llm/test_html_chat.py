@@ -30,6 +30,28 @@ def test_broken_markup():
         assert main_text(parsed(page)[0], set()) == expected, page
 
 
+def test_attributes_and_names_count_as_a_whole():
+    """Words of the noise list inside other attributes, their values, or longer class names tell nothing."""
+    for link in ('href="/the-hidden-valley"', 'href="/item?id=login"', "href=/x?class=nav", 'data-id="search"', 'title="a role=menu"', 'data-hidden-by="x"', "title='style=display:none'"):
+        assert main_text(parsed(f"<article><p>See <a {link}>this link</a> here.</p></article>")[0], set()) == "See this link here.", link
+    assert main_text(parsed('<article><p data-note="hidden gem">a</p><p hidden>b</p><p STYLE="display: none">c</p><p id=login>d</p></article>')[0], set()) == "a"
+    for name in ("content no-sidebar", "overflow-hidden", "has-menu", "hidden-xs", "search-results", "entry-header", "with_social x", "legal-history"):
+        assert main_text(parsed(f'<body><div class="{name}"><p>x</p><article><p>a</p></article></div>')[0], set()) == "a", name
+        assert main_text(parsed(f'<body><p>b</p><div class="{name}"><p>a</p></div>')[0], set()) == "b\na", name
+    for name in ("sidebar", "x main-nav", "ad-300x250", "cookie_banner", "site-header", "post-comments", "related-posts", "share-buttons", "widget widget_text", "AD1"):
+        assert main_text(parsed(f'<body><p>b</p><div class="{name}"><p>a</p></div>')[0], set()) == "b", name
+
+
+def test_an_article_stands_out_of_a_wrapper():
+    for wrapper in ('div class="sidebar"', 'form id="aspnetForm"', 'div class="hidden"', "header"):
+        assert main_text(parsed(f'<body><{wrapper}><p>x</p><article><p>a</p><div class="ad">y</div></article></{wrapper.split()[0]}><p>z</p>')[0], set()) == "a", wrapper
+    assert main_text(parsed('<main><p>a</p><div class="sidebar"><article>x</article></div></main>')[0], set()) == "a"
+    for wrapper in ('div class="comments"', 'div id="ad"', "aside", 'div class="related-posts"'):
+        assert main_text(parsed(f"<body><{wrapper}><article><p>x</p></article></{wrapper.split()[0]}><p>a</p>")[0], set()) == "a", wrapper
+    assert main_text(parsed("<body><aside><p>x</p><article>a</article></aside>")[0], set()) == "a"
+    assert main_text(parsed('<body><div class="comments"><article>x</article></div>')[0], set()) == ""
+
+
 def test_hosts():
     assert [host(u) for u in ("https://u:p@A.example.com:80/x", "http://b.org", None, "nothing")] == ["a.example.com", "b.org", "", ""]
 
