@@ -31,8 +31,10 @@ space becomes one space, and blocks are joined by newlines in page order.
 
 Defined cases: a null html is empty and gives an empty text; a null or odd url
 belongs to the host ""; null ids and repeated rows are kept; broken markup is
-read leniently (unclosed elements end with their parent); an empty table gives
-an empty result. Only id, url and html are read, so other names cannot clash.
+read leniently (unclosed elements end with their parent, embedded ones such as
+select or iframe also at the next block; only scripts, styles and comments run
+to the end of the page); formulas and drawings keep their text; an empty table
+gives an empty result. Only id, url and html are read, so other names cannot clash.
 """
 
 from __future__ import annotations
@@ -55,12 +57,17 @@ BELOW = 0.5
 PRESENTED = 0.1  # weight of presentation in the measured importance
 
 # HTML's element kinds.
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math", "object", "select"}
+RAW = {"script", "style"}
+# Embedded kinds without text of their own; one that is not closed ends with its parent or at the next block.
+EMBEDDED = {"textarea", "title", "noscript", "iframe", "noembed", "noframes", "template", "select"}
+DRAWN = {"svg", "g", "path", "text", "tspan", "textpath", "defs", "symbol", "use", "circle", "ellipse", "line", "polygon", "polyline", "rect", "lineargradient", "radialgradient", "stop", "clippath", "mask", "image"}
+FORMULA = {"math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mmultiscripts", "mprescripts", "mstyle", "mpadded", "mphantom", "merror", "menclose", "mtable", "mtr", "mtd"}
+UNSEEN = {"annotation", "desc"}  # source and description beside a formula or drawing
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "br", "input"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "br", "input", "object"} | DRAWN | FORMULA | UNSEEN
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 LISTS = {"ul", "ol", "dl", "table", "body", "article", "main", "section", "div"}
-NOISE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "datalist", "fieldset"}
+NOISE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "datalist", "fieldset", "metadata", "annotation-xml"} | EMBEDDED
 MAIN = {"article", "main"}
 # Names are whole class tokens or ids: an area's name, with words beside it that only say where or what kind of box it is.
 _PLACE = r"(?:site|page|main|global|top|bottom|upper|lower|left|right|side|primary|secondary|mobile|desktop|sticky|fixed|floating|first|last|box|bar|block|area|zone|slot|unit|container|wrapper|wrap|inner|outer|panel|group|row|col|column|module|component|list|items?|links?|buttons?|btns?|icons?|form|section|region|open|active|collapsed|\d+(?:x\d+)?)"
@@ -96,6 +103,7 @@ class Open(NamedTuple):
     noise: int
     main: bool
     children: list
+    loose: bool = False  # an embedded element without an end
 
 
 def attributes_of(attributes: str) -> dict[str, str]:
@@ -137,12 +145,19 @@ def told(tag: str, attributes: str, inside_main: bool) -> tuple[str, int, bool]:
     return (f"{tag}.{name}" if name else tag), noise, main
 
 
+def ended(tag: str, page: str, at: int) -> bool:
+    """Whether an embedded element that begins before ``at`` has an end tag: before the next of its kind, as only templates nest."""
+    found = re.compile(rf"<(/?){tag}\b", re.I).finditer(page, at)
+    return any(f[1] for f in found) if tag == "template" else bool((first := next(found, None)) and first[1])
+
+
 def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
     """The page's blocks in order, and each element's path with its children's names."""
     blocks: list[Block] = []
     nodes: list[tuple[str, list]] = []
     root = Open("", "", 0, False, [])
     stack, parts, at = [root], [], 0
+    drawing = unseen = False
 
     def flush() -> None:
         if parts:
@@ -158,33 +173,38 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
 
     while True:
         found = TAG.search(page, at)
-        parts.append(page[at:found.start()] if found else page[at:])
+        if not unseen:
+            parts.append(page[at:found.start()] if found else page[at:])
         if not found:
             break
         at = found.end()
         slash, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
         if not tag:
             continue  # a comment or declaration
-        tag = tag.lower()
+        tag, unseen = tag.lower(), False
         if slash:
+            drawing = drawing and tag != "svg"
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     close(k)
                     break
             else:
-                if tag not in INLINE:
+                if tag not in INLINE and not (drawing and tag == "title"):
                     flush()
             continue
         if tag in RAW:
-            if tag not in INLINE:
-                flush()
+            flush()
             if not attributes.rstrip().endswith("/"):
                 end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
-        if tag == "br":
+        if tag in ("br", "mtr", "mtd"):
             parts.append(" ")
             continue
+        if tag in UNSEEN or (drawing and tag == "title"):
+            unseen = not attributes.endswith("/")
+            continue
+        drawing = tag == "svg" or (drawing and tag in INLINE)
         name, noise, main = told(tag, attributes, stack[-1].main)
         if tag in VOID:
             if tag not in INLINE:
@@ -194,6 +214,13 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
             continue
         flush()
         if tag not in INLINE:
+            if tag not in ("option", "optgroup"):
+                for k in range(1, len(stack)):
+                    if stack[k].loose:
+                        close(k)
+                        break
+            if tag == "body" and stack[-1].tag not in ("", "html") and all(o.tag != "body" for o in stack):
+                close(1 + (stack[1].tag == "html"))  # ends an open head
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p" or stack[k].tag in ENDS.get(tag, ()):
                     close(k)
@@ -210,7 +237,9 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
         node = Open(tag, path, max(above, noise), (top.main or main) and not noise, [])
         top.children.append(name)
         nodes.append((node.path, node.children))
-        if not attributes.endswith("/") or tag not in INLINE:
+        if tag in EMBEDDED:
+            node = node._replace(loose=not ended(tag, page, at))
+        if not attributes.endswith("/") or (tag not in INLINE and tag not in EMBEDDED):
             stack.append(node)
     flush()
     return blocks, [(path, tuple(children)) for path, children in nodes]

@@ -52,6 +52,20 @@ def test_an_article_stands_out_of_a_wrapper():
     assert main_text(parsed('<body><div class="comments"><article>x</article></div>')[0], set()) == ""
 
 
+def test_embedded_elements():
+    """Only scripts, styles and comments run to the end of the page; formulas keep their text."""
+    for tag in ("math", "svg", "object", "select", "textarea", "iframe", "noscript", "template", "title"):
+        assert main_text(parsed(f"<article><p>a</p><{tag}><p>b</p></article><p>x")[0], set()) == "a\nb", tag
+        assert main_text(parsed(f"<article><div><{tag}></div><p>b <i>c</i></p></article><{tag}></{tag}>")[0], set()) == "b c", tag
+    for tag in ("select", "textarea", "iframe", "noscript", "template", "title"):
+        assert main_text(parsed(f"<article><p>a</p><{tag}>x<option>y</option></{tag}><p>b</p></article>")[0], set()) == "a\nb", tag
+    for page, expected in (("<p>If <math display=inline><semantics><mrow><mi>x</mi> <mo>&lt;</mo> <mn>2</mn></mrow><annotation encoding=tex>x \\lt 2</annotation></semantics></math> then", "If x < 2 then"),
+                           ("<p>a <svg viewBox='0 0 1 1'><title>icon</title><desc>long</desc><path d='M0 0'/></svg> b<p>c", "a b\nc"), ("<p>a <object data=x>seen <b>here</b></object> b", "a seen here b"),
+                           ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>", "1 2"), ("<head><title>T<body><p>a", "a"), ("<html><head><title>a < b <i>T</i></title></head><body><p>a", "a"),
+                           ("<p>a<select><option>x<option>y<p>b", "a\nb"), ("<template><template>x</template><p>y</p></template>a", "a"), ("a<script>x<p>y", "a"), ("a<style>x<p>y", "a")):
+        assert main_text(parsed(page)[0], set()) == expected, page
+
+
 def test_hosts():
     assert [host(u) for u in ("https://u:p@A.example.com:80/x", "http://b.org", None, "nothing")] == ["a.example.com", "b.org", "", ""]
 
