@@ -10,20 +10,22 @@ presentations. Text that is the same on every page has none, text that differs
 has all.
 
 The importance of a branch is (1 - w) times its measured importance plus w
-times what its elements tell: menus, headers, footers, asides, forms, and
+times what its elements tell. With w = 0.3 measurement decides: branches of an
+article or main element, and branches of pages without one, tell 1 and fall if
+their host's pages agree on them; branches beside an article tell 0 and stay if
+their host's pages differ in them. Only menus, footers, asides, forms, and
 elements whose class, id or role names an advert, notice, comment and the like
-0; an article or main element 1. For these w is 0.8, and whatever stands beside
-an article is judged as if it told 0. Other branches tell 1 with w = 0.3, so
-they fall if their host's pages agree on them; hosts with fewer than LEAST
-pages tell too little, and there such branches stay. Branches under 0.5 are
-removed. Where that leaves a page without text, the branches that only the
-measure removed come back. Class names and ids count as whole tokens
-("no-sidebar" is no sidebar). An article or main element inside a wrapper that
-only its name, a form or a header makes noise is main text all the same; inside
-menus, asides, related texts, hidden elements and the like it is where the page
-has no other text, and inside comments and adverts it is not.
-
-Only verdicts that measurement changes travel back to the pages, as one list
+tell 0 with w = 0.8 and always fall, as adverts and comments differ on every
+page too. Branches under 0.5 are removed, with those below them, where none of
+these has more. Branches on fewer than LEAST of a host's pages tell too little:
+for them the elements alone decide (an article if there is one, else all). So
+they do where the measure leaves a page without text. Class names and ids count
+as whole tokens ("no-sidebar" is no sidebar). An article or main element inside
+a wrapper that only its name, a form or a header makes noise is main text all
+the same; inside menus, asides, related texts, hidden elements and the like it
+is where the page has no other text, and inside comments and adverts it is not.
+
+Only verdicts that measurement changes travel back to the pages, as two lists
 of paths per host.
 
 Blocks are the texts between block elements; references are decoded, white
@@ -52,8 +54,9 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import map_rows, stash
 
 LEAST = 4
-TOLD, UNTOLD = 0.8, 0.3
+TOLD, UNTOLD = 0.8, 0.3  # w of noise, and of all else
 BELOW = 0.5
+BESIDE = 2  # told of what stands beside an article
 PRESENTED = 0.1  # weight of presentation in the measured importance
 
 # HTML's element kinds.
@@ -245,14 +248,13 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
     return blocks, [(path, tuple(children)) for path, children in nodes]
 
 
-def main_text(blocks: list[Block], low: set[str]) -> str:
-    """The blocks that stay; ``low`` has the host's branches that measurement removes."""
+def main_text(blocks: list[Block], low: set[str], high: set[str] | frozenset[str] = frozenset()) -> str:
+    """The blocks that stay; the host's branches ``low`` are removed by measurement, and ``high`` stay beside an article by it."""
     clean = [b for b in blocks if not b.noise] or [b for b in blocks if b.noise < REMARK and b.main]
     main = [b for b in clean if b.main]
-    if main:
-        return "\n".join(b.text for b in main)
-    kept = [b for b in clean if not low or not any(b.path == p or b.path.startswith(p + "/") for p in low)]
-    return "\n".join(b.text for b in kept or clean)
+    led = [b for b in clean if b.main or b.path in high] if main else clean
+    kept = [b for b in led if not low or not any(b.path == p or b.path.startswith(p + "/") for p in low)]
+    return "\n".join(b.text for b in kept or main or clean)
 
 
 def host(url: str | None) -> str:
@@ -261,7 +263,7 @@ def host(url: str | None) -> str:
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path, told (0, 1, or null where nothing is told), pages, content, presentation, measured, importance of every branch."""
+    """host, path, told (0, 1, or null where nothing or not the same is told), beside (an article, on some page), pages, content, presentation, measured, importance (beside an article: aside) of every branch."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [], [], [])
@@ -269,7 +271,7 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             site = host(url)
             blocks, nodes = parsed(page or "")
             has_main = any(b.main and not b.noise for b in blocks)
-            tells = {b.path: 0 if b.noise else 1 if b.main else 0 if has_main else None for b in blocks}
+            tells = {b.path: 0 if b.noise else 1 if b.main else BESIDE if has_main else None for b in blocks}
             seen = {(b.path, 0, xxhash.xxh3_64_intdigest(b.text)) for b in blocks}
             seen |= {(path, 1, xxhash.xxh3_64_intdigest(repr(children))) for path, children in nodes if path}
             seen |= {(path, 2, 0) for path in tells} | {(path, 2, 0) for path, _ in nodes if path}
@@ -280,38 +282,47 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["host", "path", "kind", "feature", "told"])
 
     seen = map_rows(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")), "host string, path string, kind int, feature long, told int", one)
-    counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"), F.max("told").alias("told"), F.max(F.col("told").isNull()).alias("untold"))
+    counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"), F.min("told").alias("low"), F.max("told").alias("high"), F.max(F.col("told").isNull()).alias("untold"))
     own = counts.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 2, F.col("n"))).alias("pages"), F.sum(F.when(F.col("kind") == 0, F.lit(1))).alias("contents"), F.sum(F.when(F.col("kind") == 0, F.log("n"))).alias("spread"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("shapes"), F.max("told").alias("told"), F.max(F.when(F.col("kind") == 0, F.col("untold"))).alias("untold"),
+        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("shapes"), F.min("low").alias("low"), F.max("high").alias("high"), F.max(F.when(F.col("kind") == 0, F.col("untold"))).alias("untold"),
     )
     own = stash(own, "style-nodes")
     scale = F.log(F.greatest("pages", F.lit(2)))
     # a content counts for its node and all nodes above
     steps = F.split("path", "/")
-    above = own.where("contents > 0").select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))).alias("path"), "contents", (F.col("spread") / scale).alias("entropy"), "told", "untold")
-    branch = above.groupBy("host", "path").agg(F.sum("contents").alias("all"), F.sum("entropy").alias("entropy"), F.min("told").alias("low"), F.max("told").alias("high"), F.max("untold").alias("untold"))
+    above = own.where("contents > 0").select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))).alias("path"), "contents", (F.col("spread") / scale).alias("entropy"), "low", "high", "untold")
+    branch = above.groupBy("host", "path").agg(F.sum("contents").alias("all"), F.sum("entropy").alias("entropy"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("untold").alias("untold"))
     tree = branch.join(own.select("host", "path", "pages", "shapes"), ["host", "path"])
     content = 1 - F.col("entropy") / F.col("all")
     presentation = F.coalesce((scale - F.col("shapes") / F.col("pages")) / scale, F.lit(0.0))
-    tells = F.when(~F.col("untold") & (F.col("low") == F.col("high")), F.col("low"))
-    tree = tree.select("host", "path", tells.alias("told"), "pages", content.alias("content"), presentation.alias("presentation"))
+    tells = F.when(~F.col("untold") & (F.col("low") == F.col("high")) & (F.col("low") < BESIDE), F.col("low"))
+    tree = tree.select("host", "path", tells.alias("told"), (F.col("high") == BESIDE).alias("beside"), "pages", content.alias("content"), presentation.alias("presentation"))
     tree = tree.withColumn("measured", (1 - PRESENTED) * F.col("content") + PRESENTED * F.col("presentation"))
-    untold = F.when(F.col("pages") >= LEAST, UNTOLD + (1 - UNTOLD) * F.col("measured")).otherwise(1.0)
-    return tree.withColumn("importance", F.when(F.col("told").isNotNull(), TOLD * F.col("told") + (1 - TOLD) * F.col("measured")).otherwise(untold))
+    measured = (1 - UNTOLD) * F.col("measured")
+    noise = F.col("told") == 0
+    tree = tree.withColumn("importance", F.when(noise, (1 - TOLD) * F.col("measured")).when(F.col("pages") >= LEAST, UNTOLD + measured).otherwise(1.0))
+    return tree.withColumn("aside", F.when(noise.isNull() | ~noise, F.when(F.col("pages") >= LEAST, measured).otherwise(0.0)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col, url, text, n_chars`` of every page."""
     tree = style_tree(pages, url_col, html_col)
-    low = tree.where(F.col("told").isNull() & (F.col("importance") < BELOW)).groupBy("host").agg(F.collect_set("path").alias("low"))
-    low = stash(low, "style-low")
+    tree = stash(tree.select("host", "path", "told", "beside", "importance", "aside"), "style-tree")
+    # a branch falls if all of it is low
+    steps = F.split("path", "/")
+    up = tree.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))).alias("path"), "importance")
+    low = up.groupBy("host", "path").agg(F.max("importance").alias("most")).where(F.col("most") < BELOW).join(tree.where("told is null or told = 1"), ["host", "path"]).select("host", "path", F.lit(True).alias("falls"))
+    high = tree.where(F.col("beside") & (F.col("aside") >= BELOW)).select("host", "path", F.lit(False).alias("falls"))
+    verdicts = low.union(high).groupBy("host").agg(*(F.collect_set(F.when(F.col("falls") == falls, F.col("path"))).alias(name) for name, falls in (("low", True), ("high", False))))
+    verdicts = stash(verdicts, "style-verdicts")
     site = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^\s*[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), site.alias("host")).join(low, "host", "left").drop("host")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), site.alias("host")).join(verdicts, "host", "left").drop("host")
     kind = dict(pages.dtypes)[id_col]
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [main_text(parsed(page or "")[0], set(low or ())) for page, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+        found = [main_text(parsed(page or "")[0], set(low or ()), set(high or ())) for page, low, high in rows]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], names=["id", "url", "text", "n_chars"])
 
     return map_rows(rows, f"id {kind}, url string, text string, n_chars long", one).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

@@ -95,6 +95,32 @@ def test_branches_that_a_host_repeats_are_removed(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def test_measurement_decides_about_articles(spark):
+    """Boilerplate inside an article falls, main text beside teaser articles stays; few pages keep what elements tell."""
+
+    def inside(k):
+        return f"<body><article><h1>News {k * 13}</h1><div class=box><p>Read our <b>guide</b></p></div><p>Story {k} {k * 7}</p><p>More {k}</p></article><div class=low>Same</div><div class=ad>Buy {k}</div></body>"
+
+    def beside(k):
+        return f"<body><article class=card><p>Teaser</p></article><div class=text><p>Story {k}</p><p>End {k * 3}</p></div><article class=card><p>Other</p></article><div class=low>Same</div><div class=comments><p>I think {k}</p></div></body>"
+
+    rows = [(k, f"http://in.org/{k}", inside(k)) for k in range(20)] + [(100 + k, f"http://by.org/{k}", beside(k)) for k in range(20)]
+    rows += [(200 + k, f"http://few.org/{k}", inside(k)) for k in range(3)] + [(300 + k, f"http://less.org/{k}", beside(k)) for k in range(3)]
+    rows += [(400 + k, f"http://one.org/{k}", "<body><article><p>One</p></article><p>x</p></body>") for k in range(9)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        assert got[k] == f"News {k * 13}\nStory {k} {k * 7}\nMore {k}" and got[100 + k] == f"Story {k}\nEnd {k * 3}"
+    for k in range(3):
+        assert got[200 + k] == f"News {k * 13}\nRead our guide\nStory {k} {k * 7}\nMore {k}" and got[300 + k] == "Teaser\nOther"
+    assert all(got[400 + k] == "One" for k in range(9))
+
+
+def test_much_boilerplate_does_not_take_the_text_along(spark):
+    rows = [(k, f"http://m.org/{k}", "<body>" + "".join(f"<div class=b{'x' * n}>Same {n}</div>" for n in range(40)) + f"<div class=text><p>Story {k}</p></div></body>") for k in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extract(pages).collect()} == {k: f"Story {k}" for k in range(5)}
+
+
 def test_quotes():
     own, passages = split_quotes("Hi\n\nOn Monday X wrote:\n> a b\n> c\n>> deeper\nmine\n > again")
     assert own == "Hi\nmine" and passages == [(1, "a b c"), (2, "deeper"), (1, "again")]
