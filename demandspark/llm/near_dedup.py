@@ -7,7 +7,9 @@ computations. Two texts meet under some key exactly if they agree in a band of
 either collection, so bands that no other text has are dropped before any key
 is made.
 
-1. Texts with equal shingle sets are one class, standing by its smallest id.
+1. Texts with equal shingle sets are one class. Classes have numbers of their
+   own and stand for their smallest id, which several may share where rows
+   repeat an id; comparisons and bounds go by class, links by id.
 2. Classes that share a key meet. Every member is compared with its key's
    smallest and then its largest member; the links so far give components, and
    keys whose members are already connected are done. In the keys that are
@@ -72,6 +74,12 @@ def band_hashes(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return result
 
 
+def set_signs(shingles: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set."""
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles ^ odd_step(k)))]) for k in (1001, 1002)]
+    return [s[offsets[1:]] - s[offsets[:-1]] for s in sums]
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
@@ -83,8 +91,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         found, parts = texts(batch.column(1)), []
         for a, b in portions(found):
             sets, ends = shingle_sets(found[a:b])
-            sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(sets ^ odd_step(k)))]) for k in (1001, 1002)]
-            parts.append((np.diff(ends), *(s[ends[1:]] - s[ends[:-1]] for s in sums), band_hashes(sets, ends)))
+            parts.append((np.diff(ends), *set_signs(sets, ends), band_hashes(sets, ends)))
         n, s1, s2, bands = (np.concatenate(x) for x in zip(*parts, strict=True))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 2 * BANDS), _signed(bands.reshape(-1)))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), _signed(s1), _signed(s2), lists], names=["id", "n", "s1", "s2", "bands"])
@@ -93,20 +100,21 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shared_keys(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All keys (key, rep) that bands shared with other classes give; those that two classes or more have, with lo and hi."""
-    bands = classes.select("rep", F.posexplode("bands").alias("band", "value")).withColumn("value", F.xxhash64("band", "value"))
+    """All keys (key, cls, rep) that bands shared with other classes give; those that two ids or more have, with lo and hi."""
+    bands = classes.select("cls", "rep", F.posexplode("bands").alias("band", "value")).withColumn("value", F.xxhash64("band", "value"))
     met = bands.groupBy("value").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("value")
-    bands = bands.join(met, "value").groupBy("rep").agg(*(F.collect_list(F.when(side, F.col("value"))).alias(name) for name, side in (("x", F.col("band") < BANDS), ("y", F.col("band") >= BANDS))))
-    keys = bands.select("rep", "y", F.explode("x").alias("x")).select("rep", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "rep")
+    bands = bands.join(met, "value").groupBy("cls", "rep").agg(*(F.collect_list(F.when(side, F.col("value"))).alias(name) for name, side in (("x", F.col("band") < BANDS), ("y", F.col("band") >= BANDS))))
+    keys = bands.select("cls", "rep", "y", F.explode("x").alias("x")).select("cls", "rep", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "cls", "rep")
     keys = stash(keys, "near-keys")
-    met = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
+    # hubs are classes of the smallest and largest id, the same in all keys: other choices leave more keys open
+    met = keys.groupBy("key").agg(F.min_by("cls", "rep").alias("lo"), F.max_by("cls", "rep").alias("hi"), F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").drop("least", "most")
     return keys, keys.join(met, "key")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, both (how many shingles they share), similar (enough for a link)."""
-    one, other = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
-    rows = pairs.join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b")
+    """Classes a and b with their ids rep_a and rep_b, both (how many shingles they share), similar (enough for a link)."""
+    one, other = sets.toDF("a", "rep_a", "set_a"), sets.toDF("b", "rep_b", "set_b")
+    rows = pairs.join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b", "rep_a", "rep_b")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         shared, good = [], []
@@ -115,9 +123,9 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             both = len(np.intersect1d(x, y, assume_unique=True))
             shared.append(both)
             good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(good, pa.bool_())], names=["a", "b", "both", "similar"])
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 4, 5)), pa.array(shared, pa.int64()), pa.array(good, pa.bool_())], names=["a", "b", "rep_a", "rep_b", "both", "similar"])
 
-    return map_rows(rows, "a long, b long, both long, similar boolean", check)
+    return map_rows(rows, "a long, b long, rep_a long, rep_b long, both long, similar boolean", check)
 
 
 def shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -126,18 +134,18 @@ def shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
     What a set shares with any other is at most its ``common``; members for
     which that is too little are left out.
     """
-    some = stash(sets.join(members.select(F.explode(F.array("rep", "lo", "hi")).alias("rep")).distinct(), "rep", "left_semi"), "near-some")
+    some = stash(sets.drop("rep").join(members.select(F.explode(F.array("cls", "lo", "hi")).alias("cls")).distinct(), "cls", "left_semi"), "near-some")
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         every = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
-        reps = np.repeat(batch.column(0).to_numpy(), [len(x) for x in every])
-        return pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.concatenate(every))], names=["rep", "shingle"])
+        owners = np.repeat(batch.column(0).to_numpy(), [len(x) for x in every])
+        return pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(every))], names=["cls", "shingle"])
 
-    once = map_rows(some, "rep long, shingle long", spread).groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
-    lone = once.groupBy("rep").agg(F.count("*").alias("lone"))
+    once = map_rows(some, "cls long, shingle long", spread).groupBy("shingle").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other")
+    lone = once.groupBy("cls").agg(F.count("*").alias("lone"))
     size = (F.length("shingles") / 8).cast("long")
-    known = some.select("rep", size.alias("size")).join(lone, "rep", "left").select("rep", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("common"))
-    return stash(members.drop("size", "common").join(known.where(100 * F.col("common") >= PERCENT * F.col("size")), "rep"), "near-shareable")
+    known = some.select("cls", size.alias("size")).distinct().join(lone, "cls", "left").select("cls", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("common"))
+    return stash(members.drop("size", "common").join(known.where(100 * F.col("common") >= PERCENT * F.col("size")), "cls"), "near-shareable")
 
 
 def open_pairs(members: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
@@ -151,16 +159,16 @@ def open_pairs(members: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFr
         members = shareable(members, sets)
     for hub in ("lo", "hi"):
         inside = tested.select("a", "b", F.col("both").alias(f"in_{hub}"))
-        members = members.withColumns({"a": F.least("rep", hub), "b": F.greatest("rep", hub)}).join(inside, ["a", "b"], "left").drop("a", "b")
-        members = members.withColumn(f"in_{hub}", F.when(F.col("rep") == F.col(hub), F.col("size")).otherwise(F.col(f"in_{hub}")))
-    members = stash(members.select("key", "rep", "c", "size", "common", "in_lo", "in_hi"), "near-open")
-    others = members.select("key", *(F.col(x).alias(f"{x}2") for x in ("rep", "c", "size", "common", "in_lo", "in_hi")))
+        members = members.withColumns({"a": F.least("cls", hub), "b": F.greatest("cls", hub)}).join(inside, ["a", "b"], "left").drop("a", "b")
+        members = members.withColumn(f"in_{hub}", F.when(F.col("cls") == F.col(hub), F.col("size")).otherwise(F.col(f"in_{hub}")))
+    members = stash(members.select("key", "cls", "c", "size", "common", "in_lo", "in_hi"), "near-open")
+    others = members.select("key", *(F.col(x).alias(f"{x}2") for x in ("cls", "c", "size", "common", "in_lo", "in_hi")))
     near = F.col("c") < F.col("c2")
     for hub in ("in_lo", "in_hi"):
         most = F.least(F.col(hub), F.col(f"{hub}2")) + F.least(F.col("common") - F.col(hub), F.col("common2") - F.col(f"{hub}2"))
         near = near & ((100 + PERCENT) * most >= PERCENT * (F.col("size") + F.col("size2")))
     pairs = members.join(others, "key").where(near)
-    return pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+    return pairs.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,41 +176,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signs = stash(signatures(docs, id_col, text_col), "near-signs")
     sign = ["n", "s1", "s2"]
     classes = signs.where("n > 0 and id is not null").groupBy(*sign).agg(F.min(F.struct("id", "bands")).alias("m")).select(*sign, F.col("m.id").alias("rep"), F.col("m.bands").alias("bands"))
-    classes = stash(classes, "near-classes")
+    classes = stash(classes.withColumn("cls", F.monotonically_increasing_id()), "near-classes")
     keys, members = shared_keys(classes)
     members = stash(members, "near-members")
     discard(keys)
 
-    wanted = members.select("rep").distinct()
-    own = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
+    wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi").groupBy("rep").agg(F.collect_list(F.struct("cls", *sign)).alias("classes"))
+    own = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep").select("rep", "text", "classes")
 
     def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, out = texts(batch.column(1)), []
+        found, out, signed = texts(batch.column(1)), [], []
         for a, b in portions(found):
             sets, ends = shingle_sets(found[a:b])
             out += [sets[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rep", "shingles"])
+            signed += zip(np.diff(ends).tolist(), *(x.view(np.int64).tolist() for x in set_signs(sets, ends)), strict=True)
+        numbers = [{(c["n"], c["s1"], c["s2"]): c["cls"] for c in known}.get(own) for known, own in zip(batch.column(2).to_pylist(), signed, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), batch.column(0), pa.array(out, pa.binary())], names=["cls", "rep", "shingles"])
 
-    sets = stash(map_rows(own, "rep long, shingles binary", sets_of).where("length(shingles) > 0"), "near-sets")
+    # a text of the id whose class stands for another id has no number here
+    sets = stash(map_rows(own, "cls long, rep long, shingles binary", sets_of).where("cls is not null"), "near-sets")
 
     # rows of one id are one document, and so link their classes
-    placed = stash(signs.join(classes.drop("bands"), sign, "left").select("id", "n", "rep"), "near-placed")
+    placed = stash(signs.join(classes.drop("bands", "cls"), sign, "left").select("id", "n", "rep"), "near-placed")
     discard(signs, classes)
     same = placed.where("rep is not null").withColumn("lo", F.min("rep").over(Window.partitionBy("id"))).where("lo < rep").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
 
     links, tested = same, None
     for hub in ("lo", "hi"):
-        pairs = members.select(F.least("rep", hub).alias("a"), F.greatest("rep", hub).alias("b")).where("a < b").distinct()
+        pairs = members.select(F.least("cls", hub).alias("a"), F.greatest("cls", hub).alias("b")).where("a < b").distinct()
         pairs = pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs
-        results = stash(compared(pairs, sets), "near-compared")
+        results = stash(compared(pairs, sets).distinct(), "near-compared")
         tested = tested.union(results) if tested is not None else results
-        links = links.union(results.where("similar").select("a", "b"))
+        links = links.union(results.where("similar").select("rep_a", "rep_b"))
         found = components(links)
         members = members.drop("c").join(found, members["rep"] == found["v"], "left").withColumn("c", F.coalesce("c", "rep")).drop("v")
         apart = members.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi")).where("c_lo < c_hi").select("key")
-        members = stash(members.join(apart, "key").select("key", "rep", "lo", "hi", "c"), "near-members")
+        members = stash(members.join(apart, "key").select("key", "cls", "rep", "lo", "hi", "c"), "near-members")
     pairs = open_pairs(members, sets, tested).join(tested, ["a", "b"], "left_anti")
-    links = links.union(stash(compared(pairs, sets), "near-compared").where("similar").select("a", "b"))
+    links = links.union(stash(compared(pairs, sets), "near-compared").where("similar").select("rep_a", "rep_b"))
     found = components(links)
 
     out = placed.join(found, placed["rep"] == found["v"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("c", "rep", "id")).alias("component_id"))

@@ -62,6 +62,23 @@ def test_near_duplicates_of_a_family(spark):
     assert sorted(map(tuple, near_duplicates(docs).collect())) == sorted(brute_components(rows))
 
 
+def test_near_duplicates_of_a_repeated_id_in_open_keys(spark):
+    """Only the last comparisons can find 50 and 60 alike, and id 50 has a second text without a shared shingle."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(50, " ".join(base)), (50, " ".join(f"u{i}" for i in range(600))), (60, " ".join(base[:100] + ["x"] + base[101:]))]
+    for doc in [*range(40), *range(100, 140)]:  # hubs below and above, none alike enough
+        text = list(base)
+        for at in rng.sample(range(5, 195, 10), 5):
+            text[at] = f"y{doc}_{at}"
+        rows.append((doc, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, near_duplicates(docs).collect()))
+    assert got == sorted(brute_components(rows)) and {r[2] for r in got if r[0] in (50, 60)} == {50}
+    more = rows + rows[:3] + [(60, "a b c d e f"), (39, rows[1][1])]
+    assert sorted(map(tuple, near_duplicates(spark.createDataFrame(more, "doc_id long, text string")).collect())) == sorted(brute_components(more))
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(edge_docs(spark).limit(0)).count() == 0
 
