@@ -44,13 +44,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     for noted in _noted:
         noted.append(path)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    jvm.System.gc()  # lets Spark remove the shuffle files that the written table stands for
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    spark.sparkContext._jvm.System.gc()  # lets Spark remove the shuffle files that the written table stands for
+    discard_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_at_end(spark: SparkSession, path: str) -> None:
+    """Have the folder removed when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def discard(*stashed: DataFrame) -> None:
     """Remove stashed tables that nothing to come reads."""
     for df in stashed:
