@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows of one id are one document, and so link their classes
     placed = stash(signs.join(classes.drop("bands", "cls"), sign, "left").select("id", "n", "rep"), "near-placed")
     discard(signs, classes)
-    same = placed.where("rep is not null").withColumn("lo", F.min("rep").over(Window.partitionBy("id"))).where("lo < rep").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
+    same = placed.where("rep is not null and id is not null").withColumn("lo", F.min("rep").over(Window.partitionBy("id"))).where("lo < rep").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
 
     links, tested = same, None
     for hub in ("lo", "hi"):

@@ -79,6 +79,17 @@ def test_near_duplicates_of_a_repeated_id_in_open_keys(spark):
     assert sorted(map(tuple, near_duplicates(spark.createDataFrame(more, "doc_id long, text string")).collect())) == sorted(brute_components(more))
 
 
+def test_rows_without_an_id_link_nothing(spark):
+    """Three null-id rows that copy unrelated documents don't make these one."""
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(f"{name}{rng.randint(0, 900)}" for _ in range(60)) for name in "abcd")
+    rows = [(1, a), (2, b), (3, c), (4, a + " more"), (None, a), (None, b), (None, c), (None, d), (None, d), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, near_duplicates(docs).collect()), key=str)
+    assert got == sorted(brute_components(rows), key=str)
+    assert {r[0]: r[3] for r in got if r[0] is not None} == {1: True, 2: True, 3: True, 4: False}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(edge_docs(spark).limit(0)).count() == 0
 
