@@ -17,9 +17,10 @@ their host's pages differ in them. Only menus, footers, asides, forms, and
 elements whose class, id or role names an advert, notice, comment and the like
 tell 0 with w = 0.8 and always fall, as adverts and comments differ on every
 page too. Branches under 0.5 are removed, with those below them, where none of
-these has more. Branches on fewer than LEAST of a host's pages tell too little:
-for them the elements alone decide (an article if there is one, else all). So
-they do where the measure leaves a page without text. Class names and ids count
+these has more. A measure over m of a host's pages is trusted by 1 - (2/3)^m, the
+rest is left to what the elements tell (an article if there is one, else all):
+up to three pages they decide alone, on four a branch falls if hardly anything
+in it differs. They also do where the measure leaves a page without text. Class names and ids count
 as whole tokens ("no-sidebar" is no sidebar). An article or main element inside
 a wrapper that only its name, a form or a header makes noise is main text all
 the same; inside menus, asides, related texts, hidden elements and the like it
@@ -33,9 +34,10 @@ space becomes one space, and blocks are joined by newlines in page order.
 
 Defined cases: a null html is empty and gives an empty text; a null or odd url
 belongs to the host ""; null ids and repeated rows are kept; broken markup is
-read leniently (unclosed elements end with their parent, embedded ones such as
+read leniently (a quote opens a string only after "="; unclosed elements end with their parent, embedded ones such as
 select or iframe also at the next block; only scripts, styles and comments run
-to the end of the page); formulas and drawings keep their text; an empty table
+to the end of the page); elements nested deeper than DEEP share the path of the
+one above them, and are read all the same; formulas and drawings keep their text; an empty table
 gives an empty result. Only id, url and html are read, so other names cannot clash.
 """
 
@@ -44,6 +46,7 @@ from __future__ import annotations
 import functools
 import html as entities
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -53,10 +56,12 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.common import map_rows, stash
 
-LEAST = 4
 TOLD, UNTOLD = 0.8, 0.3  # w of noise, and of all else
 BELOW = 0.5
 BESIDE = 2  # told of what stands beside an article
+DOUBT = 2 / 3  # each page that has a branch leaves so much of the doubt in its measure
+DEEP = 64  # paths end here; elements below belong to their path's last one
+NAME = 40  # characters of a name in paths; longer ones are hashed
 PRESENTED = 0.1  # weight of presentation in the measured importance
 
 # HTML's element kinds.
@@ -89,8 +94,10 @@ SOFT = {"form", "fieldset", "header"}
 SOFTLY, SURELY, REMARK = 1, 2, 3
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
+# A quote opens a string only directly after "=".
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)"
+TAG = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE}?+)?+)*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({_VALUE}))?+")
 
 
 class Block(NamedTuple):
@@ -145,13 +152,14 @@ def told(tag: str, attributes: str, inside_main: bool) -> tuple[str, int, bool]:
             noise = max(noise, SURELY if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) else 0)
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             noise = max(noise, SURELY)
-    return (f"{tag}.{name}" if name else tag), noise, main
+    label = f"{tag}.{name}" if name else tag
+    return (label if len(label) <= NAME else f"{label[:NAME]}~{xxhash.xxh3_64_hexdigest(label)}"), noise, main
 
 
 def ended(tag: str, page: str, at: int) -> bool:
-    """Whether an embedded element that begins before ``at`` has an end tag: before the next of its kind, as only templates nest."""
-    found = re.compile(rf"<(/?){tag}\b", re.I).finditer(page, at)
-    return any(f[1] for f in found) if tag == "template" else bool((first := next(found, None)) and first[1])
+    """Whether an embedded element that begins before ``at`` has an end tag before the next of its kind (templates nest, and aren't asked for here)."""
+    first = re.compile(rf"<(/?){tag}\b", re.I).search(page, at)
+    return bool(first and first[1])
 
 
 def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
@@ -161,6 +169,22 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
     root = Open("", "", 0, False, [])
     stack, parts, at = [root], [], 0
     drawing = unseen = False
+    templates = None  # where the last end of one is
+
+    paths: dict[tuple[str, str], str] = {}
+    depth = {"": 0}
+    opened: Counter[str] = Counter()
+    led = loose = 0  # open articles that aren't noise, open embedded elements without an end
+
+    def below(path: str, name: str) -> str:
+        """One string per path, whatever number of elements has it."""
+        if depth[path] >= DEEP:
+            return path
+        found = paths.get((path, name))
+        if found is None:
+            found = paths[path, name] = f"{path}/{name}"
+            depth[found] = depth[path] + 1
+        return found
 
     def flush() -> None:
         if parts:
@@ -171,7 +195,12 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
                 blocks.append(Block(top.path, text, top.noise, top.main))
 
     def close(until: int) -> None:
+        nonlocal led, loose
         flush()
+        for o in stack[until:]:
+            opened[o.tag] -= 1
+            led -= o.main and not o.noise
+            loose -= o.loose
         del stack[until:]
 
     while True:
@@ -187,13 +216,10 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
         tag, unseen = tag.lower(), False
         if slash:
             drawing = drawing and tag != "svg"
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-            else:
-                if tag not in INLINE and not (drawing and tag == "title"):
-                    flush()
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+            elif tag not in INLINE and not (drawing and tag == "title"):
+                flush()
             continue
         if tag in RAW:
             flush()
@@ -217,14 +243,12 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
             continue
         flush()
         if tag not in INLINE:
-            if tag not in ("option", "optgroup"):
-                for k in range(1, len(stack)):
-                    if stack[k].loose:
-                        close(k)
-                        break
-            if tag == "body" and stack[-1].tag not in ("", "html") and all(o.tag != "body" for o in stack):
+            if loose and tag not in ("option", "optgroup"):
+                close(next(k for k in range(1, len(stack)) if stack[k].loose))
+            if tag == "body" and stack[-1].tag not in ("", "html") and not opened["body"]:
                 close(1 + (stack[1].tag == "html"))  # ends an open head
-            for k in range(len(stack) - 1, 0, -1):
+            ending = opened["p"] or any(opened[t] for t in ENDS.get(tag, ()))
+            for k in range(len(stack) - 1, 0, -1) if ending else ():
                 if stack[k].tag == "p" or stack[k].tag in ENDS.get(tag, ()):
                     close(k)
                     if tag == "p" or tag not in ENDS:
@@ -232,18 +256,22 @@ def parsed(page: str) -> tuple[list[Block], list[tuple[str, tuple]]]:
                 elif stack[k].tag in LISTS or tag not in ENDS:
                     break
         top = stack[-1]
-        path = name if tag in ("html", "body") else f"{top.path}/{name}"
-        if tag == "html":
-            path = ""
+        path = "" if tag == "html" else name if tag == "body" else below(top.path, name)
+        depth.setdefault(path, 1)
         # an article stands out of a wrapper, but not out of comments or of what main text has around it
-        above = 0 if main and top.noise == SOFTLY and not any(o.main and not o.noise for o in stack) else top.noise
+        above = 0 if main and top.noise == SOFTLY and not led else top.noise
         node = Open(tag, path, max(above, noise), (top.main or main) and not noise, [])
         top.children.append(name)
         nodes.append((node.path, node.children))
         if tag in EMBEDDED:
-            node = node._replace(loose=not ended(tag, page, at))
+            if tag == "template" and templates is None:
+                templates = max((f.start() for f in re.finditer(r"</template\b", page, re.I)), default=-1)
+            node = node._replace(loose=templates < at if tag == "template" else not ended(tag, page, at))
         if not attributes.endswith("/") or (tag not in INLINE and tag not in EMBEDDED):
             stack.append(node)
+            opened[tag] += 1
+            led += node.main and not node.noise
+            loose += node.loose
     flush()
     return blocks, [(path, tuple(children)) for path, children in nodes]
 
@@ -253,7 +281,11 @@ def main_text(blocks: list[Block], low: set[str], high: set[str] | frozenset[str
     clean = [b for b in blocks if not b.noise] or [b for b in blocks if b.noise < REMARK and b.main]
     main = [b for b in clean if b.main]
     led = [b for b in clean if b.main or b.path in high] if main else clean
-    kept = [b for b in led if not low or not any(b.path == p or b.path.startswith(p + "/") for p in low)]
+    falls: dict[str, bool] = {}
+    for path in {b.path for b in led} if low else ():
+        steps = path.split("/")
+        falls[path] = any("/".join(steps[:k]) in low for k in range(1, len(steps) + 1))
+    kept = [b for b in led if not falls.get(b.path)]
     return "\n".join(b.text for b in kept or main or clean)
 
 
@@ -299,10 +331,11 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     tells = F.when(~F.col("untold") & (F.col("low") == F.col("high")) & (F.col("low") < BESIDE), F.col("low"))
     tree = tree.select("host", "path", tells.alias("told"), (F.col("high") == BESIDE).alias("beside"), "pages", content.alias("content"), presentation.alias("presentation"))
     tree = tree.withColumn("measured", (1 - PRESENTED) * F.col("content") + PRESENTED * F.col("presentation"))
-    measured = (1 - UNTOLD) * F.col("measured")
+    # the fewer pages, the nearer to what elements tell
+    trust = (1 - UNTOLD) * (1 - F.pow(F.lit(DOUBT), "pages"))
     noise = F.col("told") == 0
-    tree = tree.withColumn("importance", F.when(noise, (1 - TOLD) * F.col("measured")).when(F.col("pages") >= LEAST, UNTOLD + measured).otherwise(1.0))
-    return tree.withColumn("aside", F.when(noise.isNull() | ~noise, F.when(F.col("pages") >= LEAST, measured).otherwise(0.0)))
+    tree = tree.withColumn("importance", F.when(noise, (1 - TOLD) * F.col("measured")).otherwise(1 - trust * (1 - F.col("measured"))))
+    return tree.withColumn("aside", F.when(noise.isNull() | ~noise, trust * F.col("measured")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -1,8 +1,11 @@
 """HTML extraction and quotation linking."""
 
+import time
+import tracemalloc
+
 from pyspark.sql import functions as F
 
-from demandspark.llm.html_extract import extract, host, main_text, parsed, style_tree
+from demandspark.llm.html_extract import DEEP, extract, host, main_text, parsed, style_tree
 from demandspark.llm.quotations import linked_conversations, split_quotes
 
 from tests.llm.data import SF
@@ -66,6 +69,25 @@ def test_embedded_elements():
         assert main_text(parsed(page)[0], set()) == expected, page
 
 
+def test_quotes_open_strings_only_after_an_equals_sign():
+    for page, expected in (("<p title=don't>Story</p><p>it's long</p><p>End</p>", "Story\nit's long\nEnd"), ("a<!-->b<!--->c<!-- x -->d<!-- y --!>e", "abcde"), ("<p a=\"x>y\" b='>' c = d e=>z</p>", "z"),
+                           ('<p>a <a href=/x?q="y">l</a> "k"</p>', 'a l "k"'), ("<p'>a</p><p \">b</p>", "a\nb"), ("<p a = 'x' b>it's</p>", "it's"), ("<p a='x'b=\"y\">c</p>", "c"), ("<p =x>a</p>", "a")):
+        assert main_text(parsed(page)[0], set()) == expected, page
+
+
+def test_deep_nesting_is_linear():
+    """A megabyte of unclosed elements, and texts below the deepest path."""
+    for unit in ("<div>", "<div>ab ", "<div></section>", "<blockquote><p>", "<template>", "<select>", "<form><article>", "<h1><li>"):
+        began = time.process_time()
+        tracemalloc.start()
+        blocks, nodes = parsed(unit * ((1 << 18) // len(unit)))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert time.process_time() - began < 20 and most < 125 << 20, unit
+        assert len({p for p, _ in nodes}) <= 2 * DEEP + 2 and max(p.count("/") for p, _ in nodes) <= DEEP
+    assert main_text(parsed("<div>" * 500 + "a" + "<div class=ad>x</div><p>b" + "</div>" * 500 + "c")[0], set()) == "a\nb\nc"
+
+
 def test_hosts():
     assert [host(u) for u in ("https://u:p@A.example.com:80/x", "http://b.org", None, "nothing")] == ["a.example.com", "b.org", "", ""]
 
