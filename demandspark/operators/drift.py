@@ -1,9 +1,9 @@
 """Distribution drift between a reference and a current table.
 
-All columns are tested in one job: the tagged union is unpivoted to long
-form and grouped by (column, value) -- so repeated values collapse
-map-side -- and the ordered statistics use the distributed running sum
-(no per-column single-task window).
+All numeric columns are tested together from counts by value prefix (no
+value is sorted or shuffled, but those of the few cells that decide), all
+categorical ones from counts by value. Infinite values and NaN count as
+missing.
 
 Statistics (published bases):
 * two-sample Kolmogorov-Smirnov D = max |F_ref - F_cur| and its
@@ -18,19 +18,26 @@ Statistics (published bases):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark import schema as S
-from demandspark.operators.ordered import running_totals
+from demandspark.operators import selection as SEL
+from demandspark.operators.profile import finite
 from demandspark.session import checkpoint_dir
 
 TAG = "dataset"
 REF, CUR = "reference", "current"
 FLOOR = 1e-4
 KS_TERMS = 100
+GAMMA_STEPS = 200
+# Lanczos' coefficients for g = 7.
+LANCZOS_G = 7
+LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
+           12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
 
 
 def tagged_union(reference: DataFrame, current: DataFrame, tag: str = TAG) -> DataFrame:
@@ -38,12 +45,10 @@ def tagged_union(reference: DataFrame, current: DataFrame, tag: str = TAG) -> Da
         current.withColumn(tag, F.lit(CUR)), allowMissingColumns=True)
 
 
-def _counts(union: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
-    """(column, value, n_ref, n_cur) without NULL/NaN values."""
-    cast = union.select(F.col(TAG), *[F.col(c).cast(dtype).alias(c) for c in cols])
+def _counts(union: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n_ref, n_cur) of text values, without NULL."""
+    cast = union.select(F.col(TAG), *[F.col(c).cast("string").alias(c) for c in cols])
     lf = cast.unpivot([TAG], list(cols), "column", "value").where(F.col("value").isNotNull())
-    if dtype == "double":
-        lf = lf.where(~F.isnan("value"))
     return lf.groupBy("column", "value").agg(
         F.count_if(F.col(TAG) == REF).alias("n_ref"), F.count_if(F.col(TAG) == CUR).alias("n_cur"))
 
@@ -61,52 +66,142 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), p)
 
 
-def numeric_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, n_ref, n_cur): the one scan of the numeric inputs."""
-    return _counts(tagged_union(reference.select(*cols), current.select(*cols)), cols, "double")
+def numeric_rows(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(c, x, n_ref, n_cur): each finite value once, c its column's position in ``cols``."""
+    u = tagged_union(reference.select(*cols), current.select(*cols))
+    side = F.col(TAG) == REF
+    rows = u.select(side.alias("side"), F.posexplode(F.array(*[finite(c) for c in cols])).alias("c", "x")).where(F.col("x").isNotNull())
+    return rows.select("c", "x", F.col("side").cast("long").alias("n_ref"), (~F.col("side")).cast("long").alias("n_cur"))
+
+
+def value_counts(rows: DataFrame) -> DataFrame:
+    """The same with one row per distinct value."""
+    return rows.groupBy("c", "x").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
+class NumericDrift:
+    """KS, Wasserstein, moments and binned counts of numeric columns from cells.
+
+    Values are counted by image prefix (``selection.image``), so a cell holds
+    neighbouring values and the cells' running counts give D = F_ref - F_cur at
+    every cell border. Inside a cell D rises by at most the cell's reference
+    share and falls by at most its current share. So the cell can hold a larger
+    |D| than the borders only if these bounds say so, and where D cannot change
+    its sign the area under |D| follows from the cell's sums of values. Only the
+    other cells are looked into: narrowed by longer prefixes while they have
+    more than GATHER rows, then value by value.
+
+    ``rows`` (c, x, n_ref, n_cur) are scanned for bounds, for the cells, and
+    once for each look into open cells. What comes to the driver is one row per
+    column.
+    """
+
+    def __init__(self, rows: DataFrame, names: Sequence[str], bins: int = 10, gather: int = SEL.GATHER):
+        self.rows, self.names, self.gather = rows, list(names), gather
+        self.spark = rows.sparkSession
+        checkpoint_dir(self.spark)
+        x = F.col("x")
+        found = {r["c"]: r for r in rows.groupBy("c").agg(
+            F.min(x).alias("mn"), F.max(x).alias("mx"), F.sum("n_ref").alias("nr"), F.sum("n_cur").alias("nc"), F.sum(F.col("n_ref") * x).alias("s")).collect()}
+        none = dict.fromkeys(("mn", "mx", "nr", "nc", "s"))
+        self.known = [found[c].asDict() if c in found else dict(none) for c in range(len(self.names))]
+        means = [k["s"] / k["nr"] if k["nr"] else None for k in self.known]
+        lo, hi = self._of([k["mn"] for k in self.known]), self._of([k["mx"] for k in self.known])
+        raw = F.least(F.floor(F.try_divide(x - lo, hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+        dev = x - self._of(means)
+        placed = rows.withColumns({"p": SEL.prefix(SEL.image(x), SEL.BITS[0]), "bin": F.when(hi == lo, F.lit(0)).otherwise(raw), "ss": F.col("n_ref") * dev * dev})
+        self.cells = self._counted(placed, "c", "p", "bin", ss=F.sum("ss")).checkpoint(eager=True)
+
+    def _of(self, values: Sequence[float | None]) -> Column:
+        """The value of a row's column."""
+        return F.element_at(F.array(*[F.lit(v).cast("double") for v in values]), F.col("c") + 1)
+
+    @staticmethod
+    def _counted(rows: DataFrame, *keys: str, **more: Column) -> DataFrame:
+        x = F.col("x")
+        return rows.groupBy(*keys).agg(
+            F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"), F.sum(F.col("n_ref") * x).alias("s_ref"), F.sum(F.col("n_cur") * x).alias("s_cur"),
+            F.min(x).alias("lo"), F.max(x).alias("hi"), *[e.alias(k) for k, e in more.items()])
+
+    def binned(self) -> DataFrame:
+        """(column, value, n_ref, n_cur): counts of equal-width bins over [min, max]."""
+        names = F.array(*[F.lit(n) for n in self.names])
+        return self.cells.groupBy(F.element_at(names, F.col("c") + 1).alias("column"), F.col("bin").cast("string").alias("value")).agg(
+            F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+    def _told(self, cells: DataFrame, group: list[str], key: str, best: list[float]) -> DataFrame:
+        """Cells (with what stands left of their group, and whether it wants the area) and what their borders tell."""
+        nr, nc = (self._of([k[n] for k in self.known]) for n in ("nr", "nc"))
+        w = Window.partitionBy(*group).orderBy(key)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        t = cells.withColumns({"to_ref": F.col("left_ref") + F.sum("n_ref").over(upto), "to_cur": F.col("left_cur") + F.sum("n_cur").over(upto), "next": F.lead("lo").over(w)})
+        t = t.withColumns({"right": F.try_divide("to_ref", nr) - F.try_divide("to_cur", nc),
+                           "left": F.try_divide(F.col("to_ref") - F.col("n_ref"), nr) - F.try_divide(F.col("to_cur") - F.col("n_cur"), nc)})
+        up, down = F.col("left") + F.try_divide("n_ref", nr), F.col("left") - F.try_divide("n_cur", nc)
+        one, same_sign = F.col("lo") == F.col("hi"), (down >= 0) | (up <= 0)
+        held = F.try_divide(F.col("n_ref") * F.col("hi") - F.col("s_ref"), nr) - F.try_divide(F.col("n_cur") * F.col("hi") - F.col("s_cur"), nc)
+        inside = F.abs(F.col("left") * (F.col("hi") - F.col("lo")) + held)
+        gap = F.coalesce(F.abs("right") * (F.col("next") - F.col("hi")), F.lit(0.0))
+        most = F.greatest(F.max(F.abs("right")).over(Window.partitionBy("c")), self._of(best))
+        t = t.withColumns({"ks": F.abs("right"), "area": F.when(F.col("wants"), gap + F.when(~one & same_sign, inside).otherwise(0.0)).otherwise(0.0),
+                           "unknown": F.col("wants") & ~one & ~same_sign})
+        return t.withColumn("open", ~one & (F.col("unknown") | (F.greatest(up, -down) > most)))
+
+    def solve(self) -> list[dict]:
+        """Per column: statistic, wasserstein, ss (of the reference), n_ref, n_cur; None without values on both sides."""
+        both = [c for c, k in enumerate(self.known) if k["nr"] and k["nc"]]
+        ks, area = [0.0] * len(self.names), [0.0] * len(self.names)
+        merged = self.cells.where(F.col("c").isin(both)).groupBy("c", "p").agg(
+            *[F.sum(n).alias(n) for n in ("n_ref", "n_cur", "s_ref", "s_cur")], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        zero = F.lit(0).cast("long")
+        cells, group, key = merged.withColumns({"left_ref": zero, "left_cur": zero, "wants": F.lit(True)}), ["c"], "p"
+        self.opened: list[int] = []  # rows of the cells looked into, step by step
+        for level, bits in enumerate(SEL.BITS):
+            told = self._told(cells, group, key, ks).checkpoint(eager=True)
+            own = F.when(F.col("open"), F.col("n_ref") + F.col("n_cur"))
+            sums = told.groupBy("c").agg(F.max("ks").alias("ks"), F.sum("area").alias("area"), F.sum(own).alias("n"), F.max(own).alias("most")).collect()
+            for r in sums:
+                ks[r["c"]], area[r["c"]] = max(ks[r["c"]], r["ks"]), area[r["c"]] + r["area"]
+            self.opened.append(sum(r["n"] or 0 for r in sums))
+            if not self.opened[-1]:
+                break
+            open_ = told.where("open").select("c", F.col(key).alias("p"), (F.col("to_ref") - F.col("n_ref")).alias("left_ref"), (F.col("to_cur") - F.col("n_cur")).alias("left_cur"), F.col("unknown").alias("wants"))
+            v = SEL.image(F.col("x"))
+            inside = self.rows.withColumns({"v": v, "p": SEL.prefix(v, bits)}).join(open_, ["c", "p"])
+            last = level + 1 == len(SEL.BITS) - 1 or max(r["most"] or 0 for r in sums) <= self.gather
+            cells = self._counted(inside.withColumn("q", F.col("v") if last else SEL.prefix(F.col("v"), SEL.BITS[level + 1])), "c", "p", "q", "left_ref", "left_cur", "wants")
+            group, key = ["c", "p"], "q"
+            if last:  # every cell is one value
+                told = self._told(cells, group, key, ks).groupBy("c").agg(F.max("ks").alias("ks"), F.sum("area").alias("area")).collect()
+                for r in told:
+                    ks[r["c"]], area[r["c"]] = max(ks[r["c"]], r["ks"]), area[r["c"]] + r["area"]
+                break
+        spread = {r["c"]: r["ss"] for r in self.cells.groupBy("c").agg(F.sum("ss").alias("ss")).collect()}
+        return [{"statistic": ks[c], "wasserstein": area[c], "ss": spread[c], "n_ref": k["nr"], "n_cur": k["nc"]} if c in both
+                else {"statistic": None, "wasserstein": None, "ss": spread.get(c) if k["nr"] else None, "n_ref": k["nr"], "n_cur": k["nc"]} for c, k in enumerate(self.known)]
+
+    def table(self) -> DataFrame:
+        """column, kind, statistic, p_value, wasserstein_norm, n_ref, n_cur: columns without any value have no row."""
+        rows = [(n, *(r[k] for k in ("statistic", "wasserstein", "ss", "n_ref", "n_cur"))) for n, r in zip(self.names, self.solve()) if r["n_ref"] is not None]
+        t = self.spark.createDataFrame(rows, "column string, statistic double, wasserstein double, ss double, n_ref long, n_cur long")
+        sd = F.sqrt(F.try_divide(F.col("ss"), F.col("n_ref") - 1))
+        return t.select(
+            "column", F.lit("numeric").alias("kind"), "statistic", ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
+            (F.col("wasserstein") / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias("wasserstein_norm"), "n_ref", "n_cur")
 
 
 def categorical_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value, n_ref, n_cur) of the categorical inputs, checkpointed
     (it feeds both the chi-square and the share statistics)."""
-    c = _counts(tagged_union(reference.select(*cols), current.select(*cols)), cols, "string")
+    c = _counts(tagged_union(reference.select(*cols), current.select(*cols)), cols)
     checkpoint_dir(c.sparkSession)
     return c.checkpoint(eager=True)
 
 
-def cdf_table(nc: DataFrame) -> DataFrame:
-    """Both empirical CDFs at every distinct value (distributed running
-    sums), with the next distinct value for the Wasserstein area."""
-    return running_totals(nc, ["column"], ["value"], ["n_ref", "n_cur"], next_of="value")
-
-
-def numeric_from_cdf(cum: DataFrame) -> DataFrame:
-    """KS statistic and p-value and Wasserstein / sd_ref per column, all
-    from the CDF table (sizes, mean and deviation of the reference are
-    aggregated from the value counts; no second scan of the inputs)."""
-    tot = cum.groupBy("column").agg(F.max("cum_n_ref").alias("tot_ref"), F.max("cum_n_cur").alias("tot_cur"),
-                                    F.sum(F.col("n_ref") * F.col("value")).alias("s1"))
-    tot = tot.withColumn("mean_ref", F.try_divide("s1", "tot_ref"))
-    j = cum.join(F.broadcast(tot), "column")  # one row per column: bounded by the column list
-    gap = F.abs(F.try_divide("cum_n_ref", "tot_ref") - F.try_divide("cum_n_cur", "tot_cur"))
-    area = F.coalesce(gap * (F.col("next_value") - F.col("value")), F.lit(0.0))
-    dev = F.col("value") - F.col("mean_ref")
-    per = j.groupBy("column").agg(
-        F.max(gap).alias("statistic"), F.sum(area).alias("wasserstein"),
-        F.sum(F.col("n_ref") * dev * dev).alias("ss"),
-        F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"))
-    sd = F.sqrt(F.try_divide(F.col("ss"), F.col("n_ref") - 1))
-    return per.select(
-        "column", F.lit("numeric").alias("kind"), "statistic",
-        ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
-        (F.col("wasserstein") / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias("wasserstein_norm"),
-        "n_ref", "n_cur")
-
-
 def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: KS statistic and p-value, normalised
     Wasserstein distance; with the sample sizes."""
-    return numeric_from_cdf(cdf_table(numeric_counts(reference, current, cols)))
+    return NumericDrift(numeric_rows(reference, current, cols), cols).table()
 
 
 def chi_from_counts(c: DataFrame) -> DataFrame:
@@ -128,20 +223,41 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[s
     return chi_from_counts(categorical_counts(reference, current, cols))
 
 
-def chi_square_p_values(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Chi-square p-values by ``pyspark.ml.stat.ChiSquareTest`` with the
-    dataset tag as label; one small row per column comes back."""
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.stat import ChiSquareTest
+def log_gamma(x: Column) -> Column:
+    """ln Gamma(x), x > 0 (Lanczos 1964)."""
+    total = F.lit(LANCZOS[0])
+    for k, c in enumerate(LANCZOS[1:]):
+        total = total + F.lit(c) / (x + k)
+    t = x + LANCZOS_G - 0.5
+    return F.lit(0.5 * math.log(2 * math.pi)) + (x - 0.5) * F.log(t) - t + F.log(total)
+
 
-    u = tagged_union(reference.select(*cols), current.select(*cols)).na.fill("__null__", list(cols))
-    idx = StringIndexer(inputCols=list(cols) + [TAG], outputCols=[f"{c}__i" for c in cols] + ["__label"],
-                        handleInvalid="keep").fit(u).transform(u)
-    vec = VectorAssembler(inputCols=[f"{c}__i" for c in cols], outputCol="__f").transform(idx)
-    r = ChiSquareTest.test(vec, "__f", "__label", flatten=True)
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("featureIndex") + 1)
-    return r.select(names.alias("column"), F.col("pValue").alias("p_value"),
-                    F.col("degreesOfFreedom").alias("dof"), F.col("statistic"))
+def upper_gamma_share(a: Column, x: Column) -> Column:
+    """The regularised upper incomplete gamma function Q(a, x): by the series of
+    1 - Q below a + 1, by the continued fraction (Lentz) above."""
+    front = F.exp(a * F.log(x) - x - log_gamma(a))
+    steps = F.sequence(F.lit(1), F.least(F.lit(GAMMA_STEPS) + F.ceil(10 * F.sqrt(a)), F.lit(100_000)).cast("int"))
+    one = F.struct((1 / a).alias("term"), (1 / a).alias("sum"))
+    series = F.aggregate(steps, one, lambda s, k: F.struct((s["term"] * x / (a + k)).alias("term"), (s["sum"] + s["term"] * x / (a + k)).alias("sum")))["sum"]
+    b0 = x + 1 - a
+
+    def lentz(s, k):
+        up = -k * (k - a)
+        b = x + 1 - a + 2 * k
+        d, c = 1 / (up * s["d"] + b), b + up / s["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
+
+    first = F.struct(F.lit(1e300).alias("c"), (1 / b0).alias("d"), (1 / b0).alias("h"))
+    fraction = F.aggregate(steps, first, lentz)["h"]
+    return F.when(x <= 0, 1.0).when(x < a + 1, F.greatest(1 - front * series, F.lit(0.0))).otherwise(front * fraction)
+
+
+def chi_square_p_values(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """column, statistic, dof, p_value (NULL without freedom or without values on
+    a side) of the (value x dataset) table, from its counts alone."""
+    t = categorical_drift(reference, current, cols)
+    p = upper_gamma_share(F.col("dof") / F.lit(2.0), F.col("statistic") / 2)
+    return t.select("column", F.when((F.col("dof") > 0) & F.col("statistic").isNotNull(), p).alias("p_value"), "dof", "statistic")
 
 
 def _shares(c: DataFrame) -> DataFrame:
@@ -161,26 +277,13 @@ def _magnitudes(shares: DataFrame) -> DataFrame:
                                         F.sum(psi).alias("psi"))
 
 
-def binned_counts(values: DataFrame, bins: int = 10) -> DataFrame:
-    """Re-bin (column, value, n_ref, n_cur) into ``bins`` equal-width bins
-    over each column's [min, max] of values present: counts in, counts
-    out, no row-level data touched."""
-    rng = values.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-    j = values.join(F.broadcast(rng), "column")  # one row per column
-    raw = F.least(F.floor(F.try_divide(F.col("value") - F.col("mn"), F.col("mx") - F.col("mn")) * F.lit(float(bins)))
-                  .cast("int"), F.lit(bins - 1))
-    b = F.when(F.col("mx") == F.col("mn"), F.lit(0)).otherwise(raw)
-    return j.groupBy("column", b.cast("string").alias("value")).agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-
-
 def binned_magnitudes(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                       categorical: Sequence[str], bins: int = 10) -> DataFrame:
     """Jensen-Shannon distance and PSI per column. Numeric columns use
     ``bins`` equal-width bins over the union's [min, max]."""
     parts = []
     if numeric:
-        parts.append(_magnitudes(_shares(binned_counts(numeric_counts(reference, current, numeric), bins))))
+        parts.append(_magnitudes(_shares(NumericDrift(numeric_rows(reference, current, numeric), numeric, bins).binned())))
     if categorical:
         parts.append(_magnitudes(_shares(categorical_counts(reference, current, categorical))))
     out = parts[0]
@@ -201,19 +304,23 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     KS p < ``p_threshold`` ("p_value"). A column without values on one side
     has NULL statistics and isn't drifted.
 
-    Inputs are scanned twice: once for the numeric (column, value)
-    counts, from which CDFs, sizes, reference moments and binned shares
-    all derive, and once for the categorical counts (checkpointed, shared
-    by chi-square and the shares)."""
+    The numeric values are scanned as ``NumericDrift`` says, the categorical
+    ones once (their counts serve chi-square and shares)."""
+    rows = numeric_rows(reference, current, numeric) if numeric else None
+    counts = categorical_counts(reference, current, categorical) if categorical else None
+    return drift_from_counts(rows, numeric, counts, p_threshold, magnitude_threshold, method, bins)
+
+
+def drift_from_counts(rows: DataFrame | None, numeric: Sequence[str], counts: DataFrame | None,
+                      p_threshold: float = S.DRIFT_P_THRESHOLD, magnitude_threshold: float = S.DRIFT_MAGNITUDE,
+                      method: str = "magnitude", bins: int = 10) -> DataFrame:
+    """``drift_table`` of numeric values (c, x, n_ref, n_cur) and categorical counts (column, value, n_ref, n_cur)."""
     num = nmag = cat = cmag = None
-    if numeric:
-        cum = cdf_table(numeric_counts(reference, current, numeric))
-        num = numeric_from_cdf(cum)
-        nmag = _magnitudes(_shares(binned_counts(cum.select("column", "value", "n_ref", "n_cur"), bins)))
-    if categorical:
-        cc = categorical_counts(reference, current, categorical)
-        cat = chi_from_counts(cc)
-        cmag = _magnitudes(_shares(cc))
+    if rows is not None:
+        profile = NumericDrift(rows, numeric, bins)
+        num, nmag = profile.table(), _magnitudes(_shares(profile.binned()))
+    if counts is not None:
+        cat, cmag = chi_from_counts(counts), _magnitudes(_shares(counts))
     mags = [m for m in (nmag, cmag) if m is not None]
     mag = mags[0] if len(mags) == 1 else mags[0].unionByName(mags[1])
     parts = []

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from demandspark import schema as S
 from demandspark.operators import cleaning as CL
+from demandspark.operators import drift as DR
 from demandspark.operators import evaluate as EV
 from demandspark.operators import profile as P
 from demandspark.operators.projection import numeric_columns
@@ -50,9 +51,13 @@ def quality(df: DataFrame, zero_fill_first: bool = False) -> DataFrame:
 
 
 def column_summary(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """describe() of each side, tagged with the dataset."""
-    return P.describe(reference, cols).withColumn("dataset", F.lit("reference")).unionByName(
-        P.describe(current, cols).withColumn("dataset", F.lit("current")))
+    """Numeric profile of each side, tagged with the dataset: both sides and all
+    columns in the same scans."""
+    u = DR.tagged_union(reference.select(*cols), current.select(*cols))
+    values = {(side, c): F.when(F.col(DR.TAG) == side, P.finite(c)) for side in (DR.REF, DR.CUR) for c in cols}
+    found = P.numeric_profiles(u, values)
+    rows = [(side, c, *(r[k] for k in P.NUMERIC_PROFILE)) for (side, c), r in found.items()]
+    return u.sparkSession.createDataFrame(rows, "dataset string, column string, count long, " + ", ".join(f"{k} double" for k in P.NUMERIC_PROFILE[1:]))
 
 
 def performance(df: DataFrame, y: str, yhat: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions import scalar as X
-from demandspark.operators.ordered import running_totals
+from demandspark.operators import selection as SEL
 from demandspark.operators.projection import numeric_columns, string_columns
 
 
@@ -81,68 +81,54 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def value_cdf(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, cnt, cum_cnt) over non-null, non-NaN values: the one
-    scan behind exact quantiles and the describe statistics."""
-    lf = long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = lf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return running_totals(counts, ["column"], ["value"], ["cnt"])
-
-
-def quantiles_from_cdf(cum: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Linear interpolation between order statistics (pandas /
-    ``quantile_cont``), reading the value CDF only."""
-    n = cum.groupBy("column").agg(F.max("cum_cnt").alias("n"))
-    # Target ranks: #columns x #probs x 2 rows, bounded by the parameters.
-    tg = n.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    tg = tg.withColumn("h", (F.col("n") - 1) * F.col("prob"))
-    tg = tg.withColumns({"lo": F.floor("h"), "hi": F.ceil("h")})
-    ranks = tg.select("column", "prob", "h", "lo", F.explode(F.array("lo", "hi")).alias("r")).distinct()
-    hit = cum.join(F.broadcast(ranks), on="column").where(
-        (F.col("cum_cnt") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum_cnt")))
-    piv = hit.groupBy("column", "prob", "h", "lo").agg(
-        F.max(F.when(F.col("r") == F.col("lo"), F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("r") != F.col("lo"), F.col("value"))).alias("v_hi"))
-    v_hi = F.coalesce("v_hi", "v_lo")
-    q = F.col("v_lo") + (F.col("h") - F.col("lo")) * (v_hi - F.col("v_lo"))
-    return piv.select("column", "prob", q.alias("quantile"))
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """(column, prob, quantile) with linear interpolation between order
-    statistics (pandas / ``quantile_cont``).
+    """(column, prob, quantile) of the finite values with linear interpolation
+    between order statistics (pandas / ``quantile_cont``).
 
-    ``exact`` ranks distinct values with the distributed running count
-    (no group is gathered into one task); otherwise ``percentile_approx``.
+    ``exact`` selects the values at the ranks by narrowing (``selection``):
+    no value is sorted or shuffled; otherwise ``percentile_approx``.
     """
     if not exact:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols]
+        aggs = [F.percentile_approx(finite(c), list(probs), accuracy).alias(c) for c in cols]
         one = df.agg(*aggs)
         return one.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
                      F.col(c)[i].cast("double").alias("quantile"))
             for c in cols for i, p in enumerate(probs)])))
-    return quantiles_from_cdf(value_cdf(df, cols), probs)
+    counts = df.agg(*[F.count(finite(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    found = exact_quantiles(df, [finite(c) for c in cols], list(counts), probs)
+    rows = [(c, float(p), q) for c, own in zip(cols, found) for p, q in zip(probs, own) if q is not None]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, quantile double")
+
+
+def exact_quantiles(df: DataFrame, values: Sequence[Column], counts: Sequence[int], probs: Sequence[float]) -> list[list[float | None]]:
+    ranks = [[r for p in probs for r in SEL.quantile_ranks(n, p)] if n else [] for n in counts]
+    at = SEL.select_ranks(df, values, ranks)
+    return [[SEL.interpolated(n, p, own) for p in probs] for n, own in zip(counts, at)]
 
 
-def moments_from_cdf(cum: DataFrame) -> DataFrame:
-    """count, mean, sample std, min, max per column from the value counts
-    (the deviation is centred on the mean: two passes over distinct values)."""
-    m = cum.groupBy("column").agg(F.sum("cnt").alias("count"),
-                                  (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mean"),
-                                  F.min("value").alias("min"), F.max("value").alias("max"))
-    dev = cum.join(F.broadcast(m.select("column", "mean")), "column")  # one row per column
-    ss = dev.groupBy("column").agg(F.sum(F.col("cnt") * (F.col("value") - F.col("mean")) ** 2).alias("ss"))
-    return m.join(ss, "column").withColumn(
-        "std", F.sqrt(F.try_divide(F.col("ss"), (F.col("count") - 1).cast("double")))).drop("ss")
+NUMERIC_PROFILE = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+def numeric_profiles(df: DataFrame, values: dict[object, Column], exact: bool = True) -> dict[object, dict]:
+    """count, mean, sample std, min, quartiles and max of each of ``values``
+    (finite doubles or NULL): one aggregate, then the quartiles' ranks for all
+    together. What comes to the driver is one row per value column."""
+    aggs, probs = [], [0.25, 0.5, 0.75]
+    for x in values.values():
+        own = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        aggs.append(F.struct(*own, *([] if exact else [F.percentile_approx(x, probs).alias("q")])).alias(f"s{len(aggs)}"))
+    one = [r.asDict() for r in df.agg(*aggs).first()]
+    quartiles = exact_quantiles(df, list(values.values()), [r["count"] for r in one], probs) if exact else [r.pop("q") or [None] * 3 for r in one]
+    return {name: {**r, **dict(zip(("q25", "q50", "q75"), q))} for name, r, q in zip(values, one, quartiles)}
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """pandas ``describe(include='all')`` transposed: one row per column.
 
-    Numeric: count, mean, std (sample), min, 25%, 50%, 75%, max -- all
-    from one (column, value, count) table when ``exact``. Text: count,
+    Numeric: count, mean, std (sample), min, 25%, 50%, 75%, max of the
+    finite values (a column without any has count 0 and NULLs). Text: count,
     unique, top (most frequent; ties -> smallest), freq.
     """
     cols = list(cols or df.columns)
@@ -150,26 +136,13 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     txt = [c for c in string_columns(df) if c in cols]
     parts = []
     if num:
-        if exact:
-            cum = value_cdf(df, num)
-            st = moments_from_cdf(cum)
-            q = quantiles_from_cdf(cum, [0.25, 0.5, 0.75])
-        else:
-            aggs = [F.struct(F.count(F.col(c).cast("double")).alias("count"),
-                             F.avg(F.col(c).cast("double")).alias("mean"),
-                             F.stddev_samp(F.col(c).cast("double")).alias("std"),
-                             F.min(F.col(c).cast("double")).alias("min"),
-                             F.max(F.col(c).cast("double")).alias("max")).alias(c) for c in num]
-            st = df.agg(*aggs).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.*"))
-                                                         for c in num])))
-            q = quantiles(df, num, [0.25, 0.5, 0.75], exact=False)
-        qp = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
-                                       for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-        nump = st.join(qp, "column", "left").select(
-            "column", F.col("count").cast("bigint").alias("count"), F.lit(None).cast("bigint").alias("unique"),
+        found = numeric_profiles(df, {c: finite(c) for c in num}, exact)
+        rows = [(c, *(found[c][k] for k in NUMERIC_PROFILE)) for c in num]
+        schema = "column string, count long, " + ", ".join(f"{k} double" for k in NUMERIC_PROFILE[1:])
+        parts.append(df.sparkSession.createDataFrame(rows, schema).select(
+            "column", "count", F.lit(None).cast("bigint").alias("unique"),
             F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
-            "mean", "std", "min", "q25", "q50", "q75", "max")
-        parts.append(nump)
+            "mean", "std", "min", "q25", "q50", "q75", "max"))
     if txt:
         vc = value_counts(df, txt).where(F.col("value").isNotNull())
         # top: highest count, ties -> smallest value; min_by aggregates
@@ -311,14 +284,14 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def regression_lines(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Least-squares line of ``target`` on each column: (column, slope,
-    intercept, r2) over the rows where both are non-null.
+    intercept, r2) over the rows where both are finite.
 
     Centred moments in two plain-sum passes (pair means as one scalar
     subquery, then Sxx, Syy, Sxy per column), with the ``regr_*`` rules:
     no x variance -> NULL; no y variance -> r2 = 1."""
     cols = list(cols)
-    y = F.col(target).cast("double")
-    x = {c: F.col(c).cast("double") for c in cols}
+    y = finite(target)
+    x = {c: finite(c) for c in cols}
     both = {c: x[c].isNotNull() & y.isNotNull() for c in cols}
     means = {}
     for c in cols:
@@ -346,8 +319,9 @@ def target_range(df: DataFrame, split: str, target: str) -> DataFrame:
 
 
 def error_by_range(df: DataFrame, y: str, yhat: str, bins: int = 10) -> DataFrame:
-    """Mean absolute error per equal-width bin of the actual value."""
-    b = equal_width_bins(df, y, bins, out="bin")
+    """Mean absolute error per equal-width bin of the actual value, over the
+    rows where the actual and the predicted value are finite."""
+    b = equal_width_bins(df.where(finite(y).isNotNull() & finite(yhat).isNotNull()), y, bins, out="bin")
     return b.groupBy("bin").agg(F.avg(F.abs(F.col(y) - F.col(yhat))).alias("mean_abs_error"),
                                 F.count(F.lit(1)).alias("n"))
 

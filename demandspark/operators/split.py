@@ -3,8 +3,8 @@
 Row order inside a stratum is ``md5(key|seed)`` then the key, so the
 split is reproducible across engines and reruns (``rand()`` is not).
 Rows are not ranked: the row at the wanted rank is selected by counting
-hash prefixes (or key ranges), narrowing to one cell twice and ordering
-only that cell's rows. A split flag is then a comparison with one cut-off
+hash prefixes (or key ranges), narrowing to one cell, where needed
+twice, and ordering only that cell's rows. A split flag is then a comparison with one cut-off
 per stratum, so no row of the table is shuffled and nothing is
 materialised. Rows without a target form a stratum of their own; rows
 without a key come last.
@@ -12,6 +12,7 @@ without a key come last.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,9 @@ from pyspark.sql import functions as F
 from demandspark.functions import scalar as X
 from demandspark.operators.profile import finite, with_stats
 
-CELLS = 4096  # cells of one narrowing step (three hex digits)
+DIGITS = 3
+CELLS = 16 ** DIGITS  # cells of one narrowing step (hex digits)
+GATHER = 20_000  # rows of a cell that are ordered by key
 NO_TARGET = -1
 
 
@@ -28,13 +31,6 @@ def hash_order(key: str, seed: int) -> F.Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def _stratum(df: DataFrame, target: str, bins: int, out: str) -> DataFrame:
-    x = finite(target)
-    d, st = with_stats(df, {"mn": F.min(x), "mx": F.max(x)})
-    own = X.equal_width_bin(finite(target), st["mn"], st["mx"], bins)
-    return d.withColumn(out, F.coalesce(own, F.lit(NO_TARGET))).drop("__st")
-
-
 def _narrow(cells: DataFrame, group: list[str], cell: str) -> DataFrame:
     """The cell of each group that holds rank ``__r``, with the rank inside it.
 
@@ -46,29 +42,103 @@ def _narrow(cells: DataFrame, group: list[str], cell: str) -> DataFrame:
     return hit.select(*group, cell, (F.col("__r") - F.col("__to") + F.col("__n")).alias("__r"))
 
 
-def _cut_offs(rows: DataFrame, frac: float) -> DataFrame:
-    """``rows`` (s, h, k) -> s, h, k of the row at rank round(frac n) of each stratum by (h, k)."""
-    one = rows.groupBy("s", F.substring("h", 1, 3).alias("p")).agg(F.count(F.lit(1)).alias("__n"))
-    size = one.groupBy("s").agg(F.round(F.sum("__n") * F.lit(float(frac))).cast("long").alias("__r"))
-    first = _narrow(one.join(F.broadcast(size), "s"), ["s"], "p")  # one row per stratum
-    inside = rows.withColumn("p", F.substring("h", 1, 3)).join(F.broadcast(first), ["s", "p"])
-    two = inside.groupBy("s", "p", "__r", F.substring("h", 4, 3).alias("q")).agg(F.count(F.lit(1)).alias("__n"))
-    second = _narrow(two, ["s", "p"], "q")
-    cell = inside.drop("__r").withColumn("q", F.substring("h", 4, 3)).join(F.broadcast(second), ["s", "p", "q"])
-    place = F.row_number().over(Window.partitionBy("s").orderBy("h", "k"))
-    return cell.withColumn("__i", place).where(F.col("__i") == F.col("__r")).select("s", "h", "k")
+def _rounded(x: float) -> int:
+    """Half away from zero, as SQL's round."""
+    return int(Decimal(repr(x)).quantize(Decimal(1), ROUND_HALF_UP))
 
 
-def _before(key: str, seed: int, cut: Column) -> Column:
-    """Whether a row stands at or before the cut-off (h, k) of its stratum; not if there is none."""
-    h = hash_order(key, seed)
-    return F.coalesce((h < cut["h"]) | ((h == cut["h"]) & F.coalesce(F.col(key) <= cut["k"], F.lit(True))), F.lit(False))
+class _Strata:
+    """Equal-width bins of a target, and the (hash, key) order of each one's rows.
 
+    Bounds, cut-offs and counts are bounded by the parameters (bins x CELLS
+    numbers) and come to the driver; flags are expressions over the row alone.
+    """
 
-def _cuts_of(df: DataFrame, key: str, stratum: str, frac: float, seed: int) -> DataFrame:
-    """One row: map from stratum to the cut-off of its first round(frac n) rows."""
-    rows = df.select(F.col(stratum).alias("s"), hash_order(key, seed).alias("h"), F.col(key).alias("k"))
-    return _cut_offs(rows, frac).agg(F.map_from_entries(F.collect_list(F.struct("s", F.struct("h", "k")))).alias("m"))
+    def __init__(self, df: DataFrame, key: str, target: str, bins: int, seed: int):
+        self.df, self.key, self.seed, self.bins, self.x = df, key, seed, bins, finite(target)
+        bound = df.agg(F.min(self.x).alias("mn"), F.max(self.x).alias("mx")).first()
+        self.bounds = bound["mn"], bound["mx"]
+        own = X.equal_width_bin(self.x, *(F.lit(b).cast("double") for b in self.bounds), bins)
+        self.stratum = F.coalesce(own, F.lit(NO_TARGET))
+        h = hash_order(key, seed)
+        self.rows = df.select(self.stratum.alias("s"), h.alias("h"), F.col(key).alias("k"), self.x.alias("x"))
+        self.cells = self._counted(self.rows, F.substring("h", 1, DIGITS).alias("p"))
+        self.sizes = {s: sum(c[1] for c in cells) for s, cells in self.cells.items()}
+
+    @staticmethod
+    def _counted(rows: DataFrame, *keys: Column) -> dict[int, list[tuple[str, int, float, float]]]:
+        """Each stratum's (cell, rows, least and largest target), in order."""
+        found = rows.groupBy("s", *keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
+        out: dict[int, list] = {}
+        for r in sorted(found, key=lambda r: (r["s"], r["p"])):
+            out.setdefault(r["s"], []).append((r["p"], r["n"], r["mn"], r["mx"]))
+        return out
+
+    def _hit(self, cells: list[tuple], rank: int) -> tuple[str, int, int]:
+        """The cell that holds the rank, the rank inside it, and its rows."""
+        for p, n, *_ in cells:
+            if rank <= n:
+                return p, rank, n
+            rank -= n
+        raise ValueError(rank)
+
+    def cut(self, ranks: dict[tuple[int, int], int]) -> dict[tuple[int, int], dict]:
+        """(stratum, number) -> rank becomes h and k of the row there, how many rows beyond the rank share them, and the least and largest targets of its cell's later rows."""
+        at = {name: self._hit(self.cells[name[0]], rank) for name, rank in ranks.items()}
+        later: dict[tuple[int, int], list[tuple]] = {}  # finer cells of the same cell behind the cut-off
+        spark = self.df.sparkSession
+        if any(n > GATHER for _, _, n in at.values()):  # a second step: cells of twice as many digits
+            wanted = F.broadcast(spark.createDataFrame(sorted({(s, p) for (s, _), (p, _, _) in at.items()}), "s int, p string"))
+            inside = self.rows.withColumn("p", F.substring("h", 1, DIGITS)).join(wanted, ["s", "p"])
+            fine = self._counted(inside.drop("p"), F.substring("h", 1, 2 * DIGITS).alias("p"))
+            at = {name: self._hit([c for c in fine[name[0]] if c[0].startswith(p)], rank) for name, (p, rank, _) in at.items()}
+            later = {(s, i): [c for c in fine[s] if c[0].startswith(p[:DIGITS]) and c[0] > p] for (s, i), (p, _, _) in at.items()}
+        digits = max((len(p) for p, _, _ in at.values()), default=DIGITS)
+        # at most a few rows per stratum and cut-off; a key's rows are one row of counts
+        wanted = F.broadcast(spark.createDataFrame([(s, p, i, r) for (s, i), (p, r, _) in at.items()], "s int, p string, i int, r long"))
+        cell = F.substring("h", 1, digits).alias("p")
+        keys = self.rows.join(F.broadcast(wanted.select("s", "p").distinct()), (F.col("p") == F.substring("h", 1, digits)) & (self.rows["s"] == wanted["s"]), "left_semi")
+        keys = keys.groupBy("s", cell, "h", "k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+        upto = F.sum("n").over(Window.partitionBy("s", "p").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0))
+        t = keys.withColumn("upto", upto).join(wanted, ["s", "p"])
+        here, after = (F.col("upto") >= F.col("r")) & (F.col("upto") - F.col("n") < F.col("r")), F.col("upto") - F.col("n") >= F.col("r")
+        got = t.groupBy("s", "p", "i", "r").agg(F.max(F.when(here, F.struct("h", "k", "upto"))).alias("at"), F.min(F.when(after, F.col("mn"))).alias("mn"), F.max(F.when(after, F.col("mx"))).alias("mx")).collect()
+        out = {}
+        for g in got:
+            behind = later.get((g["s"], g["i"]), [])
+            out[g["s"], g["i"]] = {"h": g["at"]["h"], "k": g["at"]["k"], "extra": g["at"]["upto"] - g["r"], "cell": g["p"][:DIGITS],
+                                   "low": [g["mn"], *(c[2] for c in behind)], "high": [g["mx"], *(c[3] for c in behind)]}
+        return out
+
+    def before(self, cuts: dict[int, dict]) -> Column:
+        """Whether a row stands at or before the cut-off of its stratum; not if there is none."""
+        kind, numbers = self.df.schema[self.key].dataType, range(NO_TARGET, self.bins)
+        at = (self.stratum - NO_TARGET + 1).cast("int")
+        cut_h = F.element_at(F.array(*[F.lit(cuts[i]["h"] if i in cuts else None).cast("string") for i in numbers]), at)
+        cut_k = F.element_at(F.array(*[F.lit(cuts[i]["k"] if i in cuts else None).cast(kind) for i in numbers]), at)
+        h = hash_order(self.key, self.seed)
+        return F.coalesce((h < cut_h) | ((h == cut_h) & F.coalesce(F.col(self.key) <= cut_k, F.lit(True))), F.lit(False))
+
+    def later_bounds(self, cuts: dict[int, dict]) -> tuple:
+        """Least and largest target of the rows behind the cut-offs."""
+        low, high = [], []
+        for s, cells in self.cells.items():
+            cut = cuts.get(s)
+            for p, _, mn, mx in cells:
+                if not cut or p > cut["cell"]:
+                    low.append(mn)
+                    high.append(mx)
+            if cut:
+                low += cut["low"]
+                high += cut["high"]
+        return min((v for v in low if v is not None), default=None), max((v for v in high if v is not None), default=None)
+
+
+def _first_rows(df: DataFrame, key: str, target: str, frac: float, bins: int, seed: int) -> Column:
+    """The flag of the first round(frac n) rows of each stratum."""
+    strata = _Strata(df, key, target, bins, seed)
+    ranks = {(s, 0): r for s, n in strata.sizes.items() if (r := _rounded(n * frac))}
+    return strata.before({s: c for (s, _), c in strata.cut(ranks).items()})
 
 
 def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
@@ -76,35 +146,29 @@ def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
                out: str = "split") -> DataFrame:
     """``test`` = ``test_size`` of each target stratum; from the rest,
     ``val`` = ``val_size`` of each re-binned stratum; the remainder is
-    ``train``. Strata: ``bins`` right-closed equal-width target bins."""
+    ``train``. Strata: ``bins`` right-closed equal-width target bins.
+
+    The rest nearly always spans the whole target range, and its strata are the
+    first ones then, in the same order: both cut-offs come from one table of
+    counts (three scans: bounds, counts, the cut cells' rows). Where the rest's
+    bounds differ, or a repeated key straddles a cut-off, the second step is
+    made by itself over the rest."""
     if val_size is None:
-        s = _stratum(df, target, bins, "__s1")
-        cut = F.try_element_at(_cuts_of(s, key, "__s1", test_size, seed).scalar(), F.col("__s1"))
-        return s.withColumn(out, F.when(_before(key, seed, cut), "test").otherwise("train")).drop("__s1")
-    test = _held_out(df, key, target, test_size, bins, seed)
-    val = _held_out(df.where(~test), key, target, val_size, bins, seed)
+        return df.withColumn(out, F.when(_first_rows(df, key, target, test_size, bins, seed), "test").otherwise("train"))
+    strata = _Strata(df, key, target, bins, seed)
+    first = {s: _rounded(n * test_size) for s, n in strata.sizes.items()}
+    second = {s: _rounded((n - first[s]) * val_size) for s, n in strata.sizes.items()}
+    ranks = {(s, 0): r for s, r in first.items() if r} | {(s, 1): first[s] + r for s, r in second.items() if r}
+    cuts = strata.cut(ranks)
+    tests = {s: c for (s, i), c in cuts.items() if i == 0}
+    test = strata.before(tests)
+    if not any(c["extra"] for c in tests.values()) and strata.later_bounds(tests) == strata.bounds:
+        val = strata.before({s: c for (s, i), c in cuts.items() if i == 1})
+    else:
+        val = _first_rows(df.where(~test), key, target, val_size, bins, seed)
     return df.withColumn(out, F.when(test, "test").when(val, "val").otherwise("train"))
 
 
-def _held_out(df: DataFrame, key: str, target: str, frac: float, bins: int, seed: int) -> Column:
-    """The flag of the first round(frac n) rows of each stratum, as an expression over the row alone.
-
-    The bounds and the cut-offs (one per stratum) come to the driver and enter
-    as literals: a second step nested on the first one's subqueries would work
-    them out again at every place that uses them.
-    """
-    x = finite(target)
-    bound = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
-    own = X.equal_width_bin(x, F.lit(bound["mn"]).cast("double"), F.lit(bound["mx"]).cast("double"), bins)
-    stratum = F.coalesce(own, F.lit(NO_TARGET))
-    cuts = _cuts_of(df.withColumn("__s", stratum), key, "__s", frac, seed).first()["m"] or {}
-    kind, numbers = df.schema[key].dataType, range(NO_TARGET, bins)
-    at = (stratum - NO_TARGET + 1).cast("int")
-    hashes = F.array(*[F.lit(cuts[i]["h"] if i in cuts else None).cast("string") for i in numbers])
-    keys = F.array(*[F.lit(cuts[i]["k"] if i in cuts else None).cast(kind) for i in numbers])
-    return _before(key, seed, {"h": F.element_at(hashes, at), "k": F.element_at(keys, at)})
-
-
 def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins: int = 5,
             seed: int = 42, out: str = "split") -> DataFrame:
     return stratified(df, key, target, test_size, None, bins, seed, out)

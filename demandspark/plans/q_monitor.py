@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandspark import schema as S
+from demandspark.functions import scalar as X
 from demandspark.functions.features import feature_recipe
 from demandspark.operators import drift as DR
 from demandspark.operators import monitor as MO
@@ -144,11 +145,15 @@ def mon_drift_categorical(spark, sf_dir):
     return round_doubles(r.select("column", "statistic", "dof"), 9)
 
 
-@register("mon_drift_categorical_p")
+# P(a, x) as a sum of x^(a+n) e^-x / Gamma(a+n+1)
+@register("mon_drift_categorical_p", D(*PAIR, _chi_sql(), body=
+    "SELECT \"column\", round(statistic, 6) AS statistic, dof, CASE WHEN dof = 0 THEN NULL WHEN statistic = 0 THEN CAST(1 AS DOUBLE) "
+    "ELSE round(greatest(0, 1 - list_sum(list_transform(range(0, 20000), lambda n: exp((dof / CAST(2 AS DOUBLE) + n) * ln(statistic / 2) - statistic / 2 "
+    "- lgamma(dof / CAST(2 AS DOUBLE) + n + 1))))), 9) END AS p_value FROM chi"))
 def mon_drift_categorical_p(spark, sf_dir):
-    """Chi-square p-values by Spark ML's ChiSquareTest (no SQL twin)."""
     ref, cur = _pair(spark, sf_dir)
-    return DR.chi_square_p_values(ref, cur, CAT)
+    t = DR.chi_square_p_values(ref, cur, CAT).select("column", X.round_half_away("statistic", 6).alias("statistic"), "dof", "p_value")
+    return t.withColumn("p_value", X.round_half_away("p_value", 9))
 
 
 @register("mon_drift_magnitude", D(*PAIR, _mag_sql(), body=

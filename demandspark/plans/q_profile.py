@@ -42,10 +42,14 @@ def _describe_sql(src: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-@register("agg_describe", D(Q.DEMAND, body=_describe_sql("demand")))
+_FLOATS = [c for c in NUM if c not in ("hour", "rented_bike_count")]
+# the dirty table with NULL for what is not finite
+FINITE_DIRTY = "fin AS (SELECT * REPLACE (" + ", ".join(f"CASE WHEN isfinite({c}) THEN {c} END AS {c}" for c in _FLOATS) + ") FROM demand_dirty)"
+
+
+@register("agg_describe", D(Q.DEMAND, Q.DEMAND_DIRTY, FINITE_DIRTY, body=_describe_sql("fin")))
 def agg_describe(spark, sf_dir):
-    d = V.demand(spark, sf_dir)
-    return round_doubles(P.describe(d, NUM + TXT))
+    return round_doubles(P.describe(V.demand_dirty(spark, sf_dir), NUM + TXT))
 
 
 _SPARK_TYPES = {"obs_id": "bigint", "date": "string", "hour": "int", "rented_bike_count": "bigint",
@@ -81,11 +85,11 @@ def agg_duplicate_rows(spark, sf_dir):
     return P.duplicate_rows(V.demand_dirty(spark, sf_dir))
 
 
-@register("agg_value_counts", D(Q.DEMAND, body="\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS count FROM demand GROUP BY {c}"
+@register("agg_value_counts", D(Q.DEMAND, Q.DEMAND_DIRTY, body="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS count FROM demand_dirty GROUP BY {c}"
     for c in ("season", "holiday", "functioning_day"))))
 def agg_value_counts(spark, sf_dir):
-    return P.value_counts(V.demand(spark, sf_dir), ["season", "holiday", "functioning_day"])
+    return P.value_counts(V.demand_dirty(spark, sf_dir), ["season", "holiday", "functioning_day"])
 
 
 def _mean_sql(keys: list[str], extra: str = "") -> str:
@@ -210,20 +214,20 @@ def agg_correlation(spark, sf_dir):
 REG = [c for c in CORR if c != "rented_bike_count"]
 
 
-@register("agg_regression_line", D(Q.DEMAND, body="\nUNION ALL\n".join(
+@register("agg_regression_line", D(Q.DEMAND, Q.DEMAND_DIRTY, FINITE_DIRTY, body="\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", round(regr_slope(CAST(rented_bike_count AS DOUBLE), CAST({c} AS DOUBLE)), 9) AS slope, "
     f"round(regr_intercept(CAST(rented_bike_count AS DOUBLE), CAST({c} AS DOUBLE)), 9) AS intercept, "
-    f"round(regr_r2(CAST(rented_bike_count AS DOUBLE), CAST({c} AS DOUBLE)), 9) AS r2 FROM demand" for c in REG)))
+    f"round(regr_r2(CAST(rented_bike_count AS DOUBLE), CAST({c} AS DOUBLE)), 9) AS r2 FROM fin" for c in REG)))
 def agg_regression_line(spark, sf_dir):
-    return round_doubles(P.regression_lines(V.demand(spark, sf_dir), S.LABEL, REG), 9)
+    return round_doubles(P.regression_lines(V.demand_dirty(spark, sf_dir), S.LABEL, REG), 9)
 
 
-@register("agg_error_by_range", D(Q.DEMAND, body=f"""SELECT bin, round(avg(abs(rented_bike_count - ({Q.LINEAR}))), 6)
+@register("agg_error_by_range", D(Q.DEMAND, Q.DEMAND_DIRTY, FINITE_DIRTY, f"told AS (SELECT * FROM fin WHERE {Q.LINEAR} IS NOT NULL)", body=f"""SELECT bin, round(avg(abs(rented_bike_count - ({Q.LINEAR}))), 6)
  AS mean_abs_error, count(*) AS n FROM (
  SELECT *, {' + '.join(f'CAST(rented_bike_count > mn + {i}*((mx - mn)/CAST(10 AS DOUBLE)) AS INTEGER)' for i in range(1, 10))}
- AS bin FROM demand, (SELECT min(rented_bike_count) AS mn, max(rented_bike_count) AS mx FROM demand)) GROUP BY bin"""))
+ AS bin FROM told, (SELECT min(rented_bike_count) AS mn, max(rented_bike_count) AS mx FROM told)) GROUP BY bin"""))
 def agg_error_by_range(spark, sf_dir):
-    d = V.linear_pred(V.demand(spark, sf_dir))
+    d = V.linear_pred(V.demand_dirty(spark, sf_dir))
     return round_doubles(P.error_by_range(d, S.LABEL, "yhat", 10))
 
 
@@ -246,12 +250,9 @@ def cln_drop_duplicates(spark, sf_dir):
     return CL.drop_duplicates(V.demand_dirty(spark, sf_dir))
 
 
-@register("cln_inf_to_null", D(Q.DEMAND, Q.DEMAND_DIRTY, body=
-    "SELECT obs_id, CASE WHEN isinf(wind_speed) OR isnan(wind_speed) THEN NULL ELSE wind_speed END AS wind_speed "
-    "FROM demand_dirty"))
+@register("cln_inf_to_null", D(Q.DEMAND, Q.DEMAND_DIRTY, FINITE_DIRTY, body="SELECT obs_id, " + ", ".join(_FLOATS) + " FROM fin"))
 def cln_inf_to_null(spark, sf_dir):
-    d = V.demand_dirty(spark, sf_dir).select("obs_id", "wind_speed")
-    return CL.inf_to_null(d, ["wind_speed"])
+    return CL.inf_to_null(V.demand_dirty(spark, sf_dir).select("obs_id", *_FLOATS), _FLOATS)
 
 
 @register("cln_zero_fill", D(Q.DEMAND, Q.DEMAND_DIRTY, body=
@@ -262,9 +263,6 @@ def cln_zero_fill(spark, sf_dir):
     return CL.zero_fill(CL.inf_to_null(d, ["wind_speed"]), ["temperature_c", "humidity", "wind_speed"])
 
 
-_FLOATS = [c for c in NUM if c not in ("hour", "rented_bike_count")]
-
-
 def _impute_sql() -> str:
     mean = {c: f"(SELECT avg(CAST({c} AS DOUBLE)) FROM dd WHERE {FINITE.format(x=f'CAST({c} AS DOUBLE)')})" for c in NUM}
     known = {c: f"CASE WHEN {FINITE.format(x=c)} THEN {c} END" if c in _FLOATS else f"CAST({c} AS DOUBLE)" for c in NUM}
