@@ -34,6 +34,8 @@ REF, CUR = "reference", "current"
 FLOOR = 1e-4
 KS_TERMS = 100
 GAMMA_STEPS = 200
+DIRECT = 5_000_000  # values that are counted one by one at once
+GATHER = 1_000_000  # rows of a cell that are looked at value by value
 # Lanczos' coefficients for g = 7.
 LANCZOS_G = 7
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
@@ -82,7 +84,7 @@ def value_counts(rows: DataFrame) -> DataFrame:
 class NumericDrift:
     """KS, Wasserstein, moments and binned counts of numeric columns from cells.
 
-    Values are counted by image prefix (``selection.image``), so a cell holds
+    Values are counted by image prefix (``selection.with_image``), so a cell holds
     neighbouring values and the cells' running counts give D = F_ref - F_cur at
     every cell border. Inside a cell D rises by at most the cell's reference
     share and falls by at most its current share. So the cell can hold a larger
@@ -92,25 +94,32 @@ class NumericDrift:
     more than GATHER rows, then value by value.
 
     ``rows`` (c, x, n_ref, n_cur) are scanned for bounds, for the cells, and
-    once for each look into open cells. What comes to the driver is one row per
-    column.
+    once for each look into open cells. Where ``size``, the number of values, is
+    known to be small (DIRECT), every value is a cell from the start, and one
+    scan does: the results are the same. What comes to the driver is one row
+    per column.
     """
 
-    def __init__(self, rows: DataFrame, names: Sequence[str], bins: int = 10, gather: int = SEL.GATHER):
+    def __init__(self, rows: DataFrame, names: Sequence[str], bins: int = 10, size: int | None = None, gather: int = GATHER):
         self.rows, self.names, self.gather = rows, list(names), gather
         self.spark = rows.sparkSession
         checkpoint_dir(self.spark)
-        x = F.col("x")
-        found = {r["c"]: r for r in rows.groupBy("c").agg(
-            F.min(x).alias("mn"), F.max(x).alias("mx"), F.sum("n_ref").alias("nr"), F.sum("n_cur").alias("nc"), F.sum(F.col("n_ref") * x).alias("s")).collect()}
+        x, direct = F.col("x"), size is not None and size <= DIRECT
+        source, n_ref = rows, F.col("n_ref")
+        if direct:
+            source = self._counted(SEL.with_image(rows, "x", "v").withColumn("p", F.col("v")), "c", "p").withColumn("x", F.col("lo")).checkpoint(eager=True)
+        found = {r["c"]: r for r in source.groupBy("c").agg(
+            F.min(x).alias("mn"), F.max(x).alias("mx"), F.sum("n_ref").alias("nr"), F.sum("n_cur").alias("nc"), F.sum(n_ref * x).alias("s")).collect()}
         none = dict.fromkeys(("mn", "mx", "nr", "nc", "s"))
         self.known = [found[c].asDict() if c in found else dict(none) for c in range(len(self.names))]
-        means = [k["s"] / k["nr"] if k["nr"] else None for k in self.known]
-        lo, hi = self._of([k["mn"] for k in self.known]), self._of([k["mx"] for k in self.known])
-        raw = F.least(F.floor(F.try_divide(x - lo, hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
-        dev = x - self._of(means)
-        placed = rows.withColumns({"p": SEL.prefix(SEL.image(x), SEL.BITS[0]), "bin": F.when(hi == lo, F.lit(0)).otherwise(raw), "ss": F.col("n_ref") * dev * dev})
-        self.cells = self._counted(placed, "c", "p", "bin", ss=F.sum("ss")).checkpoint(eager=True)
+        # one row per column; equal bounds make one bin
+        per = [(c, float(k["mn"]), float(k["mx"] - k["mn"]) or 1.0, k["s"] / k["nr"] if k["nr"] else 0.0) for c, k in enumerate(self.known) if k["mn"] is not None]
+        told = F.broadcast(self.spark.createDataFrame(per, "c int, mn double, width double, mean double"))
+        placed = (source if direct else SEL.with_image(rows, "x", "v").withColumn("p", SEL.prefix("v", SEL.BITS[0]))).join(told, "c")
+        raw = F.least(F.floor((x - F.col("mn")) / F.col("width") * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+        dev = x - F.col("mean")
+        placed = placed.withColumns({"bin": raw, "ss": n_ref * dev * dev})
+        self.cells = placed if direct else self._counted(placed, "c", "p", "bin", ss=F.sum("ss")).checkpoint(eager=True)
 
     def _of(self, values: Sequence[float | None]) -> Column:
         """The value of a row's column."""
@@ -152,22 +161,25 @@ class NumericDrift:
         both = [c for c, k in enumerate(self.known) if k["nr"] and k["nc"]]
         ks, area = [0.0] * len(self.names), [0.0] * len(self.names)
         merged = self.cells.where(F.col("c").isin(both)).groupBy("c", "p").agg(
-            *[F.sum(n).alias(n) for n in ("n_ref", "n_cur", "s_ref", "s_cur")], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            *[F.sum(n).alias(n) for n in ("n_ref", "n_cur", "s_ref", "s_cur", "ss")], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         zero = F.lit(0).cast("long")
         cells, group, key = merged.withColumns({"left_ref": zero, "left_cur": zero, "wants": F.lit(True)}), ["c"], "p"
+        spread: dict[int, float] = {}
         self.opened: list[int] = []  # rows of the cells looked into, step by step
         for level, bits in enumerate(SEL.BITS):
-            told = self._told(cells, group, key, ks).checkpoint(eager=True)
+            told = self._told(cells, group, key, ks)
+            told = told.checkpoint(eager=True) if level else told  # the first cells are a small written table already
             own = F.when(F.col("open"), F.col("n_ref") + F.col("n_cur"))
-            sums = told.groupBy("c").agg(F.max("ks").alias("ks"), F.sum("area").alias("area"), F.sum(own).alias("n"), F.max(own).alias("most")).collect()
+            sums = told.groupBy("c").agg(F.max("ks").alias("ks"), F.sum("area").alias("area"), F.sum(own).alias("n"), F.max(own).alias("most"), *([] if level else [F.sum("ss").alias("ss")])).collect()
+            spread = spread or {r["c"]: r["ss"] for r in sums}
             for r in sums:
                 ks[r["c"]], area[r["c"]] = max(ks[r["c"]], r["ks"]), area[r["c"]] + r["area"]
             self.opened.append(sum(r["n"] or 0 for r in sums))
             if not self.opened[-1]:
                 break
             open_ = told.where("open").select("c", F.col(key).alias("p"), (F.col("to_ref") - F.col("n_ref")).alias("left_ref"), (F.col("to_cur") - F.col("n_cur")).alias("left_cur"), F.col("unknown").alias("wants"))
-            v = SEL.image(F.col("x"))
-            inside = self.rows.withColumns({"v": v, "p": SEL.prefix(v, bits)}).join(open_, ["c", "p"])
+            some = self.rows.where(F.col("c").isin([r["c"] for r in sums if r["n"]]))
+            inside = SEL.with_image(some, "x", "v").withColumn("p", SEL.prefix("v", bits)).join(open_, ["c", "p"])
             last = level + 1 == len(SEL.BITS) - 1 or max(r["most"] or 0 for r in sums) <= self.gather
             cells = self._counted(inside.withColumn("q", F.col("v") if last else SEL.prefix(F.col("v"), SEL.BITS[level + 1])), "c", "p", "q", "left_ref", "left_cur", "wants")
             group, key = ["c", "p"], "q"
@@ -176,9 +188,8 @@ class NumericDrift:
                 for r in told:
                     ks[r["c"]], area[r["c"]] = max(ks[r["c"]], r["ks"]), area[r["c"]] + r["area"]
                 break
-        spread = {r["c"]: r["ss"] for r in self.cells.groupBy("c").agg(F.sum("ss").alias("ss")).collect()}
         return [{"statistic": ks[c], "wasserstein": area[c], "ss": spread[c], "n_ref": k["nr"], "n_cur": k["nc"]} if c in both
-                else {"statistic": None, "wasserstein": None, "ss": spread.get(c) if k["nr"] else None, "n_ref": k["nr"], "n_cur": k["nc"]} for c, k in enumerate(self.known)]
+                else {"statistic": None, "wasserstein": None, "ss": None, "n_ref": k["nr"], "n_cur": k["nc"]} for c, k in enumerate(self.known)]
 
     def table(self) -> DataFrame:
         """column, kind, statistic, p_value, wasserstein_norm, n_ref, n_cur: columns without any value have no row."""
@@ -201,7 +212,12 @@ def categorical_counts(reference: DataFrame, current: DataFrame, cols: Sequence[
 def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: KS statistic and p-value, normalised
     Wasserstein distance; with the sample sizes."""
-    return NumericDrift(numeric_rows(reference, current, cols), cols).table()
+    return _profile(reference, current, cols).table()
+
+
+def _profile(reference: DataFrame, current: DataFrame, cols: Sequence[str], bins: int = 10) -> NumericDrift:
+    size = (reference.count() + current.count()) * len(cols)
+    return NumericDrift(numeric_rows(reference, current, cols), cols, bins, size)
 
 
 def chi_from_counts(c: DataFrame) -> DataFrame:
@@ -283,7 +299,7 @@ def binned_magnitudes(reference: DataFrame, current: DataFrame, numeric: Sequenc
     ``bins`` equal-width bins over the union's [min, max]."""
     parts = []
     if numeric:
-        parts.append(_magnitudes(_shares(NumericDrift(numeric_rows(reference, current, numeric), numeric, bins).binned())))
+        parts.append(_magnitudes(_shares(_profile(reference, current, numeric, bins).binned())))
     if categorical:
         parts.append(_magnitudes(_shares(categorical_counts(reference, current, categorical))))
     out = parts[0]
@@ -306,18 +322,17 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
 
     The numeric values are scanned as ``NumericDrift`` says, the categorical
     ones once (their counts serve chi-square and shares)."""
-    rows = numeric_rows(reference, current, numeric) if numeric else None
+    profile = _profile(reference, current, numeric, bins) if numeric else None
     counts = categorical_counts(reference, current, categorical) if categorical else None
-    return drift_from_counts(rows, numeric, counts, p_threshold, magnitude_threshold, method, bins)
+    return drift_from_counts(profile, counts, p_threshold, magnitude_threshold, method)
 
 
-def drift_from_counts(rows: DataFrame | None, numeric: Sequence[str], counts: DataFrame | None,
+def drift_from_counts(profile: NumericDrift | None, counts: DataFrame | None,
                       p_threshold: float = S.DRIFT_P_THRESHOLD, magnitude_threshold: float = S.DRIFT_MAGNITUDE,
-                      method: str = "magnitude", bins: int = 10) -> DataFrame:
-    """``drift_table`` of numeric values (c, x, n_ref, n_cur) and categorical counts (column, value, n_ref, n_cur)."""
+                      method: str = "magnitude") -> DataFrame:
+    """``drift_table`` of a numeric profile and categorical counts (column, value, n_ref, n_cur)."""
     num = nmag = cat = cmag = None
-    if rows is not None:
-        profile = NumericDrift(rows, numeric, bins)
+    if profile is not None:
         num, nmag = profile.table(), _magnitudes(_shares(profile.binned()))
     if counts is not None:
         cat, cmag = chi_from_counts(counts), _magnitudes(_shares(counts))

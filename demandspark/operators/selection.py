@@ -20,23 +20,27 @@ from pyspark.sql import functions as F
 BITS = (20, 32, 44, 56, 64)  # prefix lengths: sign, exponent and 8 bits of the mantissa first
 GATHER = 50_000  # values of a cell that are gathered and ordered
 _MANTISSA = 1 << 52
-_LOWEST = -1022  # exponent of the smallest normal double
+_LOWEST, _HIGHEST = -1022, 1023  # exponents of normal doubles
 
 
-def image(x: Column) -> Column:
-    """Order-preserving long of a finite double (NULL stays NULL; -0.0 is 0.0).
+def with_image(df: DataFrame, x: str, out: str) -> DataFrame:
+    """Adds the order-preserving long of a finite double column without NULL (-0.0 is 0.0).
 
-    The logarithm only proposes the exponent; comparing with the powers of
-    two decides it, so the result is the double's bit pattern exactly.
+    The logarithm only proposes the exponent; the quotient by that power of
+    two decides it, so the result is the double's bit pattern exactly. One
+    projection per step: what a step uses twice is computed once.
     """
-    a = F.abs(x)
-    guess = F.greatest(F.floor(F.log2(a)), F.lit(_LOWEST)).cast("int")
-    power = F.pow(F.lit(2.0), guess.cast("double"))
-    # one too high or too low next to a power of two
-    e = F.when((a < power) & (guess > _LOWEST), guess - 1).when(a / power >= 2, guess + 1).otherwise(guess)
-    m = (a / F.pow(F.lit(2.0), e.cast("double")) * F.lit(float(_MANTISSA))).cast("long")
-    bits = (e - _LOWEST).cast("long") * F.lit(_MANTISSA) + m
-    return F.when(x == 0, F.lit(0).cast("long")).when(x < 0, -bits).otherwise(bits)
+    g, q, bits = f"__{out}_g", f"__{out}_q", f"__{out}_b"
+    df = df.withColumn(g, F.least(F.greatest(F.floor(F.log2(F.abs(x))), F.lit(_LOWEST)), F.lit(_HIGHEST)).cast("int"))
+    df = df.withColumn(q, F.abs(x) / F.pow(F.lit(2.0), F.col(g).cast("double")))
+    # the proposal is one too high or too low next to some powers of two
+    high, low = F.col(q) >= 2, (F.col(q) < 1) & (F.col(g) > _LOWEST)
+    e = F.when(high, F.col(g) + 1).when(low, F.col(g) - 1).otherwise(F.col(g))
+    m = F.when(high, F.col(q) / 2).when(low, F.col(q) * 2).otherwise(F.col(q))
+    df = df.withColumn(bits, (e - _LOWEST).cast("long") * F.lit(_MANTISSA) + (m * F.lit(float(_MANTISSA))).cast("long"))
+    v = F.when(F.col(x) == 0, F.lit(0).cast("long")).when(F.col(x) < 0, -F.col(bits)).otherwise(F.col(bits))
+    # never NULL, and known to be: else joins on it push a NULL test of the whole expression down to the scan
+    return df.withColumn(out, F.coalesce(v, F.lit(0).cast("long"))).drop(g, q, bits)
 
 
 def value_of(bits: int) -> float:
@@ -52,7 +56,7 @@ def prefix(v: Column | str, bits: int) -> Column:
 def long_images(df: DataFrame, values: Sequence[Column]) -> DataFrame:
     """(c, v): position in ``values`` and image of every non-NULL value."""
     rows = df.select(F.posexplode(F.array(*[x.cast("double") for x in values])).alias("c", "x"))
-    return rows.where(F.col("x").isNotNull()).select("c", image(F.col("x")).alias("v"))
+    return with_image(rows.where(F.col("x").isNotNull()), "x", "v").select("c", "v")
 
 
 def select_ranks(df: DataFrame, values: Sequence[Column], ranks: Sequence[Sequence[int]], gather: int = GATHER) -> list[dict[int, float]]:

@@ -24,7 +24,7 @@ from demandspark.operators.profile import finite, with_stats
 DIGITS = 3
 CELLS = 16 ** DIGITS  # cells of one narrowing step (hex digits)
 GATHER = 20_000  # rows of a cell that are ordered by key
-NO_TARGET = -1
+NO_TARGET, GONE = -1, -2
 
 
 def hash_order(key: str, seed: int) -> F.Column:
@@ -54,15 +54,21 @@ class _Strata:
     numbers) and come to the driver; flags are expressions over the row alone.
     """
 
-    def __init__(self, df: DataFrame, key: str, target: str, bins: int, seed: int):
+    def __init__(self, df: DataFrame, key: str, target: str, bins: int, seed: int, without: str | None = None, bounds: tuple | None = None):
+        """``without``: a flag column of the rows that have gone already; a filter
+        on it would be pushed below the columns that it hangs on and repeat them."""
         self.df, self.key, self.seed, self.bins, self.x = df, key, seed, bins, finite(target)
-        bound = df.agg(F.min(self.x).alias("mn"), F.max(self.x).alias("mx")).first()
-        self.bounds = bound["mn"], bound["mx"]
+        if without:
+            self.x = F.when(~F.col(without), self.x)
+        if bounds is None:
+            bound = df.agg(F.min(self.x).alias("mn"), F.max(self.x).alias("mx")).first()
+            bounds = bound["mn"], bound["mx"]
+        self.bounds = bounds
         own = X.equal_width_bin(self.x, *(F.lit(b).cast("double") for b in self.bounds), bins)
-        self.stratum = F.coalesce(own, F.lit(NO_TARGET))
-        h = hash_order(key, seed)
-        self.rows = df.select(self.stratum.alias("s"), h.alias("h"), F.col(key).alias("k"), self.x.alias("x"))
+        self.stratum = F.coalesce(own, F.when(F.col(without), F.lit(GONE)) if without else F.lit(NO_TARGET), F.lit(NO_TARGET))
+        self.rows = df.select(self.stratum.alias("s"), hash_order(key, seed).alias("h"), F.col(key).alias("k"), self.x.alias("x"))
         self.cells = self._counted(self.rows, F.substring("h", 1, DIGITS).alias("p"))
+        self.cells.pop(GONE, None)
         self.sizes = {s: sum(c[1] for c in cells) for s, cells in self.cells.items()}
 
     @staticmethod
@@ -110,14 +116,18 @@ class _Strata:
                                    "low": [g["mn"], *(c[2] for c in behind)], "high": [g["mx"], *(c[3] for c in behind)]}
         return out
 
-    def before(self, cuts: dict[int, dict]) -> Column:
-        """Whether a row stands at or before the cut-off of its stratum; not if there is none."""
+    def flagged(self, df: DataFrame, out: str, cuts: dict[int, dict]) -> DataFrame:
+        """Adds whether a row stands at or before the cut-off of its stratum; not if there is none.
+
+        Hash, stratum and cut-off are columns of their own on the way, so each is computed once.
+        """
         kind, numbers = self.df.schema[self.key].dataType, range(NO_TARGET, self.bins)
-        at = (self.stratum - NO_TARGET + 1).cast("int")
-        cut_h = F.element_at(F.array(*[F.lit(cuts[i]["h"] if i in cuts else None).cast("string") for i in numbers]), at)
-        cut_k = F.element_at(F.array(*[F.lit(cuts[i]["k"] if i in cuts else None).cast(kind) for i in numbers]), at)
-        h = hash_order(self.key, self.seed)
-        return F.coalesce((h < cut_h) | ((h == cut_h) & F.coalesce(F.col(self.key) <= cut_k, F.lit(True))), F.lit(False))
+        s, h, c = (f"__{out}_{x}" for x in "shc")
+        cut = F.array(*[F.struct(F.lit(cuts[i]["h"] if i in cuts else None).cast("string").alias("h"), F.lit(cuts[i]["k"] if i in cuts else None).cast(kind).alias("k")) for i in numbers])
+        df = df.withColumns({s: F.greatest(self.stratum - NO_TARGET + 1, F.lit(1)).cast("int"), h: hash_order(self.key, self.seed)}).withColumn(c, F.element_at(cut, F.col(s)))
+        cut_h, cut_k = F.col(c)["h"], F.col(c)["k"]
+        flag = (F.col(h) < cut_h) | ((F.col(h) == cut_h) & F.coalesce(F.col(self.key) <= cut_k, F.lit(True)))
+        return df.withColumn(out, F.coalesce(flag, F.lit(False))).drop(s, h, c)
 
     def later_bounds(self, cuts: dict[int, dict]) -> tuple:
         """Least and largest target of the rows behind the cut-offs."""
@@ -134,11 +144,11 @@ class _Strata:
         return min((v for v in low if v is not None), default=None), max((v for v in high if v is not None), default=None)
 
 
-def _first_rows(df: DataFrame, key: str, target: str, frac: float, bins: int, seed: int) -> Column:
-    """The flag of the first round(frac n) rows of each stratum."""
-    strata = _Strata(df, key, target, bins, seed)
+def _first_rows(df: DataFrame, key: str, target: str, frac: float, bins: int, seed: int, without: str | None = None, bounds: tuple | None = None) -> tuple[_Strata, dict[int, dict]]:
+    """The strata, and the cut-offs of the first round(frac n) rows of each."""
+    strata = _Strata(df, key, target, bins, seed, without, bounds)
     ranks = {(s, 0): r for s, n in strata.sizes.items() if (r := _rounded(n * frac))}
-    return strata.before({s: c for (s, _), c in strata.cut(ranks).items()})
+    return strata, {s: c for (s, _), c in strata.cut(ranks).items()}
 
 
 def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
@@ -151,22 +161,26 @@ def stratified(df: DataFrame, key: str, target: str, test_size: float = 0.2,
     The rest nearly always spans the whole target range, and its strata are the
     first ones then, in the same order: both cut-offs come from one table of
     counts (three scans: bounds, counts, the cut cells' rows). Where the rest's
-    bounds differ, or a repeated key straddles a cut-off, the second step is
-    made by itself over the rest."""
+    bounds differ, or a repeated key straddles a cut-off, the second step counts
+    the rest by itself (two scans more; the bounds are known)."""
+    test, val = f"__{out}_test", f"__{out}_val"
     if val_size is None:
-        return df.withColumn(out, F.when(_first_rows(df, key, target, test_size, bins, seed), "test").otherwise("train"))
+        strata, cuts = _first_rows(df, key, target, test_size, bins, seed)
+        return strata.flagged(df, test, cuts).withColumn(out, F.when(F.col(test), "test").otherwise("train")).drop(test)
     strata = _Strata(df, key, target, bins, seed)
     first = {s: _rounded(n * test_size) for s, n in strata.sizes.items()}
     second = {s: _rounded((n - first[s]) * val_size) for s, n in strata.sizes.items()}
     ranks = {(s, 0): r for s, r in first.items() if r} | {(s, 1): first[s] + r for s, r in second.items() if r}
     cuts = strata.cut(ranks)
     tests = {s: c for (s, i), c in cuts.items() if i == 0}
-    test = strata.before(tests)
-    if not any(c["extra"] for c in tests.values()) and strata.later_bounds(tests) == strata.bounds:
-        val = strata.before({s: c for (s, i), c in cuts.items() if i == 1})
+    told = strata.flagged(df, test, tests)
+    bounds = strata.later_bounds(tests)
+    if bounds == strata.bounds and not any(c["extra"] for c in tests.values()):
+        told = strata.flagged(told, val, {s: c for (s, i), c in cuts.items() if i == 1})
     else:
-        val = _first_rows(df.where(~test), key, target, val_size, bins, seed)
-    return df.withColumn(out, F.when(test, "test").when(val, "val").otherwise("train"))
+        inner, more = _first_rows(told, key, target, val_size, bins, seed, test, bounds)
+        told = inner.flagged(told, val, more)
+    return told.withColumn(out, F.when(F.col(test), "test").when(F.col(val), "val").otherwise("train")).drop(test, val)
 
 
 def holdout(df: DataFrame, key: str, target: str, test_size: float = 0.2, bins: int = 5,

@@ -24,7 +24,7 @@ def test_images_are_the_bits_of_every_exponent(spark):
     for e in range(-1074, 1024):
         values += [v for m in (1.0, np.nextafter(1.0, 2), 1.5, np.nextafter(2.0, 1)) if math.isfinite(v := math.ldexp(m, e))]
     values += [-v for v in values]
-    for r in spark.createDataFrame([(float(v),) for v in values], "x double").select("x", SEL.image(F.col("x")).alias("v")).collect():
+    for r in SEL.with_image(spark.createDataFrame([(float(v),) for v in values], "x double"), "x", "v").collect():
         bits = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
         assert r.v == (-bits if r.x < 0 else bits) and SEL.value_of(r.v) == r.x
 
@@ -79,12 +79,16 @@ def test_drift_of_many_shapes(spark, gather):
     for x in names:
         shapes[x] = ([float(v) for v in shapes[x][0]] + [INF, NAN, None], [float(v) for v in shapes[x][1]] + [-INF, None])
     a, b = (spark.createDataFrame(list(zip(*(shapes[x][i] for x in names))), ", ".join(f"{x} double" for x in names)) for i in (0, 1))
-    found = DR.NumericDrift(DR.numeric_rows(a, b, names), names, gather=gather).solve()
-    for x, r in zip(names, found):
-        ks, area = brute_drift(*shapes[x])
-        assert r["statistic"] == pytest.approx(ks, abs=1e-12), x
-        assert r["wasserstein"] == pytest.approx(area, rel=1e-9, abs=1e-12), x
-        assert (r["n_ref"], r["n_cur"]) == (n, m)
+    bins = []
+    for size in (None, 10_000):  # by cells, and value by value
+        found = DR.NumericDrift(DR.numeric_rows(a, b, names), names, size=size, gather=gather)
+        bins.append(sorted(map(tuple, found.binned().collect())))
+        for x, r in zip(names, found.solve()):
+            ks, area = brute_drift(*shapes[x])
+            assert r["statistic"] == pytest.approx(ks, abs=1e-12), x
+            assert r["wasserstein"] == pytest.approx(area, rel=1e-9, abs=1e-12), x
+            assert (r["n_ref"], r["n_cur"]) == (n, m)
+    assert bins[0] == bins[1]
 
 
 def test_smooth_drift_looks_into_few_cells(spark):
