@@ -1,9 +1,10 @@
 """Spark ML regressors, training, importances, storage and tuning.
 
-Pipeline per model: VectorAssembler -> (StandardScaler when the model is
-scale sensitive) -> regressor. Fits run on the cluster; the driver only
-submits them (a thread pool runs several fits at once) and holds the
-fitted models' parameters.
+Linear models are solved from moments (``linear``) and become Spark's
+linear regression models. The others are pipelines: VectorAssembler -> (StandardScaler when
+the model is scale sensitive) -> regressor. Fits run on the cluster; the
+driver only submits them (a thread pool runs several fits at once) and holds
+the fitted models' parameters.
 """
 
 from __future__ import annotations
@@ -15,17 +16,18 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark import schema as S
 from demandspark.operators import evaluate as EV
+from demandspark.operators import linear as LI
 
 SEED = 42
 LABEL_D = "label"
@@ -34,26 +36,19 @@ TREES = ("Decision Tree", "Random Forest", "Gradient Boosting", "Boosted Trees (
 TREE_WORK = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
 
 
-def label_stats(train: DataFrame, label: str = S.LABEL) -> tuple[float, int]:
-    """Sample std and count of the label (two numbers to the driver)."""
-    r = train.agg(F.stddev_samp(label).alias("s"), F.count(label).alias("n")).first()
-    return float(r["s"] or 0.0), int(r["n"] or 0)
+LINEAR_SPECS = {
+    "Linear Regression": LI.LinearSpec("ols"),
+    "Ridge Regression": LI.LinearSpec("ridge", 1.0),
+    "Lasso Regression": LI.LinearSpec("net", 1.0, 1.0),
+    "Elastic Net": LI.LinearSpec("net", 1.0, 0.5),
+}
 
 
-def estimators(sigma_y: float, n: int, trees: int = 100, rounds: int = 100) -> dict[str, tuple[object, bool]]:
+def estimators(trees: int = 100, rounds: int = 100) -> dict[str, tuple[object, bool]]:
     """name -> (estimator, scale_sensitive), parameters mapped from the
-    original learners. Penalised linear models: Spark scales the L2 term
-    by the label's sample deviation, so alpha maps to regParam as below."""
-    l1 = l2 = 0.5  # elastic net: alpha=1, l1_ratio=0.5
-    en_reg = l1 + l2 * sigma_y
+    original learners. Linear models are solved from moments (``linear``)."""
     return {
-        "Linear Regression": (LinearRegression(regParam=0.0, solver="normal"), True),
-        "Ridge Regression": (LinearRegression(regParam=(sigma_y / n) if n else 0.0, elasticNetParam=0.0,
-                                              standardization=False, solver="normal"), True),
-        "Lasso Regression": (LinearRegression(regParam=1.0, elasticNetParam=1.0, standardization=False,
-                                              maxIter=1000, tol=1e-9), True),
-        "Elastic Net": (LinearRegression(regParam=en_reg, elasticNetParam=l1 / en_reg, standardization=False,
-                                         maxIter=1000, tol=1e-9), True),
+        **{name: (spec, True) for name, spec in LINEAR_SPECS.items()},
         "Decision Tree": (DecisionTreeRegressor(maxDepth=15, seed=SEED, **TREE_WORK), False),
         "Random Forest": (RandomForestRegressor(numTrees=trees, maxDepth=15, featureSubsetStrategy="all",
                                                 seed=SEED, **TREE_WORK), False),
@@ -87,9 +82,15 @@ def assembled(df: DataFrame, features: Sequence[str] = S.FEATURES, keep: Sequenc
 
 def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallelism: int = 4,
               features: Sequence[str] = S.FEATURES) -> dict[str, PipelineModel]:
-    """Fit every model, ``parallelism`` fits at a time; each fit is itself a
-    distributed Spark job over the train rows' vectors, which are assembled
-    and cached once."""
+    """Fit every model. The linear ones share one scan for their moments; the
+    others are distributed Spark jobs, ``parallelism`` at a time, over the train
+    rows' vectors, which are assembled and cached once."""
+    specs = {name: est for name, (est, _) in models.items() if isinstance(est, LI.LinearSpec)}
+    moments = LI.total(LI.fold_moments(train, features, S.LABEL)) if specs else None
+    solved = {name: LI.fit(moments, spec, features).pipeline() for name, spec in specs.items()}
+    rest = {name: m for name, m in models.items() if name not in solved}
+    if not rest:
+        return solved
     t = assembled(train, features).persist()
     assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error")
     try:
@@ -100,7 +101,8 @@ def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallel
             fitted = Pipeline(stages=[*stages, est]).fit(t)
             return name, PipelineModel([assembler, *fitted.stages])
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            return dict(pool.map(fit, models.items()))
+            fitted = solved | dict(pool.map(fit, rest.items()))
+            return {name: fitted[name] for name in models}
     finally:
         t.unpersist()
 
@@ -123,7 +125,8 @@ def results_table(models: dict[str, PipelineModel], split_df: DataFrame, split:
 
 
 def importances(spark, model: PipelineModel, features: Sequence[str] = S.FEATURES) -> DataFrame:
-    """(feature, importance, rank) of a fitted model: one row per feature."""
+    """(feature, importance, rank) of a fitted model: one row per feature (of
+    linear models the size of the scaled features' coefficients)."""
     return all_importances(spark, {"": model}, features).drop("model_name")
 
 
@@ -131,10 +134,9 @@ def all_importances(spark, models: dict[str, PipelineModel], features: Sequence[
     """(model_name, feature, importance, rank); bounded by models x features."""
     rows = []
     for name, model in models.items():
-        last = model.stages[-1]
+        last, linear = model.stages[-1], getattr(model, "linear", None)
         imp = getattr(last, "featureImportances", None)
-        coef = getattr(last, "coefficients", None)
-        vals = imp.toArray() if imp is not None else [abs(float(x)) for x in coef] if coef is not None else [0.0] * len(features)
+        vals = imp.toArray() if imp is not None else np.abs(linear.scaled) if linear is not None else [0.0] * len(features)
         ranked = sorted(zip(features, map(float, vals)), key=lambda x: (-x[1], x[0]))
         rows += [(name, f, v, i) for i, (f, v) in enumerate(ranked, 1)]
     return spark.createDataFrame(rows, "model_name string, feature string, importance double, rank int")
@@ -168,14 +170,14 @@ RF_GRID = {
     "maxDepth": [10, 20, 30],
     "minInstancesPerNode": [1, 2],
 }
-# Elastic net, whose full budgets are quick: strength and mixing.
+# Elastic net: strength and mixing.
 NET_GRID = {
-    "regParam": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0],
-    "elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0],
+    "alpha": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0],
+    "l1_ratio": [0.0, 0.25, 0.5, 0.75, 1.0],
 }
 NET_SPACE = {
-    "regParam": ("loguniform", (1e-3, 1e2)),
-    "elasticNetParam": ("uniform", (0.0, 1.0)),
+    "alpha": ("loguniform", (1e-3, 1e2)),
+    "l1_ratio": ("uniform", (0.0, 1.0)),
 }
 GBT_SPACE = {
     "maxIter": ("choice", [100, 200, 300, 500, 800]),
@@ -241,6 +243,31 @@ def _trials(df: DataFrame, draws: list[dict], losses: Sequence[float]) -> DataFr
     return df.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, loss double")
 
 
+def net_random_search(train: DataFrame, fold_col: str, draws: list[dict], features: Sequence[str] = S.FEATURES):
+    """k-fold search of the elastic net from one scan for the folds' moments, best by
+    the folds' mean MSE; returns (best model on all train rows, its params, trials)."""
+    folds = LI.fold_moments(train, features, S.LABEL, fold_col)
+    losses = []
+    for d in draws:
+        own = LI.cross_validated(folds, LI.LinearSpec("net", **d), features)
+        losses.append(sum(own.values()) / len(own))
+    best = draws[min(range(len(draws)), key=lambda i: losses[i])]
+    return LI.fit(LI.total(folds), LI.LinearSpec("net", **best), features).pipeline(), best, _trials(train, draws, losses)
+
+
+def net_continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], patience: int | None = None, features: Sequence[str] = S.FEATURES):
+    """The elastic net's draws scored on a validation set (RMSE), from one scan of each
+    set; stops when ``patience`` trials bring no gain. Returns (best params, trials)."""
+    t, v = (LI.total(LI.fold_moments(df, features, S.LABEL)) for df in (train, val))
+    losses: list[float] = []
+    for d in draws:
+        losses.append(math.sqrt(LI.fit(t, LI.LinearSpec("net", **d), features).mse(v)))
+        if patience and len(losses) - 1 - min(range(len(losses)), key=lambda j: losses[j]) >= patience:
+            break
+    best = min(range(len(losses)), key=lambda j: losses[j])
+    return draws[best], _trials(train, draws, losses)
+
+
 def continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], base=None,
                       patience: int | None = None, batch: int = 4, scale: bool = False):
     """Trials scored on a fixed validation set (RMSE), run in batches of
@@ -281,11 +308,11 @@ def continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], base=
     return draws[best], _trials(train, draws, losses)
 
 
-def compare_searches(train: DataFrame, val: DataFrame, found: dict[str, tuple[dict, float]], base, scale: bool = False) -> DataFrame:
-    """``found``: method -> (best params, seconds of its search). Refits each on
+def compare_searches(train: DataFrame, val: DataFrame, found: dict[str, tuple[dict, float]], base=None, scale: bool = False) -> DataFrame:
+    """``found``: method -> (best params, seconds of its search). Refits each (an elastic net without ``base``) on
     ``train`` and sets RMSE and R2 on ``val``, the gain over the first method and
     the ratio of the times beside each other: one row per method."""
-    models = train_all(train, {name: (_apply(base, params), scale) for name, (params, _) in found.items()}, parallelism=len(found))
+    models = train_all(train, {name: (_apply(base, params) if base else LI.LinearSpec("net", **params), scale) for name, (params, _) in found.items()}, parallelism=len(found))
     long = predictions(models, val, [S.LABEL])
     m = long.groupBy("model_name").agg(EV.rmse_expr(S.LABEL, "yhat").alias("rmse"), EV.r2_expr(S.LABEL, "yhat").alias("r2"))
     first = next(iter(found))
@@ -297,12 +324,15 @@ def compare_searches(train: DataFrame, val: DataFrame, found: dict[str, tuple[di
 
 
 def cross_validated(df: DataFrame, fold_col: str, folds: int, models: dict[str, tuple[object, bool]], parallelism: int = 4) -> DataFrame:
-    """(model_name, fold, rmse): each fold's rows predicted by models fitted on the others."""
-    parts = []
-    for fold in range(folds):
-        fitted = train_all(df.where(F.col(fold_col) != fold), models, parallelism)
-        parts.append(predictions(fitted, df.where(F.col(fold_col) == fold), [fold_col, S.LABEL]))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    return long.groupBy("model_name", F.col(fold_col).alias("fold")).agg(EV.rmse_expr(S.LABEL, "yhat").alias("rmse"))
+    """(model_name, fold, rmse): each fold's rows predicted by models fitted on the
+    others; linear models come from one scan for the folds' moments."""
+    specs = {name: est for name, (est, _) in models.items() if isinstance(est, LI.LinearSpec)}
+    rest = {name: m for name, m in models.items() if name not in specs}
+    moments = LI.fold_moments(df, S.FEATURES, S.LABEL, fold_col) if specs else {}
+    rows = [(name, f, math.sqrt(mse)) for name, spec in specs.items() for f, mse in LI.cross_validated(moments, spec, S.FEATURES).items()]
+    out = df.sparkSession.createDataFrame(rows, f"model_name string, fold {dict(df.dtypes)[fold_col]}, rmse double")
+    for fold in range(folds) if rest else ():
+        fitted = train_all(df.where(F.col(fold_col) != fold), rest, parallelism)
+        long = predictions(fitted, df.where(F.col(fold_col) == fold), [fold_col, S.LABEL])
+        out = out.unionByName(long.groupBy("model_name", F.col(fold_col).alias("fold")).agg(EV.rmse_expr(S.LABEL, "yhat").alias("rmse")))
+    return out

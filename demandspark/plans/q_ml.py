@@ -2,20 +2,21 @@
 tuning runs (§2.10, §2.12); scoring with a fitted model (§2.14) and the
 monitoring workflow (§2.13).
 
-These results come from fitted models, so they have no SQL twin (the
-driver checks rows only). Every fit has its full size (100 trees, 100
-rounds); nothing is kept between queries.
+The linear models have SQL twins that solve the same equations
+(``linear_sql``); the trees' results have none (the driver checks rows
+only). Every fit has its full size (100 trees, 100 rounds); nothing is
+kept between queries.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark import schema as S
+from demandspark.functions import scalar as X
 from demandspark.functions.features import feature_recipe
 from demandspark.operators import cleaning as CL
 from demandspark.operators import drift as DR
@@ -24,8 +25,10 @@ from demandspark.operators import models as M
 from demandspark.operators import monitor as MO
 from demandspark.operators import scoring as SCO
 from demandspark.operators import split as SP
+from demandspark.plans import linear_sql as LS
 from demandspark.plans import run_views as RV
 from demandspark.plans import views as V
+from demandspark.plans.common import round_doubles
 from demandspark.plans.q_io import _write_raw_csv
 from demandspark.plans.registry import register
 from demandspark.session import scratch_path
@@ -34,7 +37,8 @@ from demandspark.sources import sinks as SK
 
 LINEAR = "Linear Regression"
 LINEAR_MODELS = (LINEAR, "Ridge Regression", "Lasso Regression", "Elastic Net")
-DRAWS, FOLDS, EVALUATIONS, PATIENCE = 10, 3, 20, 30
+TUNED = "Elastic Net (tuned)"
+DRAWS, FOLDS, CV_FOLDS, EVALUATIONS, PATIENCE = 10, 3, 5, 20, 30
 
 
 def _split(spark, sf_dir):
@@ -44,22 +48,22 @@ def _split(spark, sf_dir):
 def _fitted(spark, sf_dir, names, parallelism=4):
     """(fitted models by name, the split table)."""
     s = _split(spark, sf_dir)
-    train = s.where(F.col("split") == "train")
-    sigma, n = M.label_stats(train)
-    every = M.estimators(sigma, n)
-    return M.train_all(train, {k: every[k] for k in names}, parallelism), s
+    every = M.estimators()
+    return M.train_all(s.where(F.col("split") == "train"), {k: every[k] for k in names}, parallelism), s
 
 
 def _one(name):
     def build(spark, sf_dir):
         models, s = _fitted(spark, sf_dir, [name])
-        return M.results_table(models, s.where(F.col("split") != "val"))
+        t = M.results_table(models, s.where(F.col("split") != "val"))
+        return round_doubles(t) if name in LINEAR_MODELS else t
     return build
 
 
 for _key, _name in [("ml_linear", "Linear Regression"), ("ml_ridge", "Ridge Regression"),
-                    ("ml_lasso", "Lasso Regression"), ("ml_elastic_net", "Elastic Net"),
-                    ("ml_decision_tree", "Decision Tree"), ("ml_random_forest", "Random Forest"),
+                    ("ml_lasso", "Lasso Regression"), ("ml_elastic_net", "Elastic Net")]:
+    register(_key, LS.results_sql(_name, M.LINEAR_SPECS[_name]))(_one(_name))
+for _key, _name in [("ml_decision_tree", "Decision Tree"), ("ml_random_forest", "Random Forest"),
                     ("ml_gbt", "Gradient Boosting"), ("ml_gbt_sampled", "Boosted Trees (sampled)")]:
     register(_key)(_one(_name))
 
@@ -83,7 +87,7 @@ def topk_importance(spark, sf_dir):
 
 @register("sink_importance_csv")
 def sink_importance_csv(spark, sf_dir):
-    table = M.all_importances(spark, _fitted(spark, sf_dir, ["Decision Tree", *LINEAR_MODELS])[0])
+    table = M.all_importances(spark, _fitted(spark, sf_dir, ["Random Forest", "Decision Tree", *LINEAR_MODELS])[0])
     path = SK.write_csv(table, scratch_path(spark, "importance"))
     return spark.read.option("header", True).csv(path)
 
@@ -111,33 +115,34 @@ def score_file(spark, sf_dir):
     return spark.read.option("header", True).csv(out)
 
 
-def _net():
-    return LinearRegression(standardization=False, maxIter=1000, tol=1e-9)
+def _random_search(train):
+    """Settings of the elastic net, drawn without replacement, over contiguous folds of the train rows."""
+    return M.net_random_search(SP.kfold(train, "obs_id", FOLDS), "fold", M.grid_draws(M.NET_GRID, DRAWS))
 
 
-def _random_search(spark, sf_dir, train):
-    """Settings of the elastic net, drawn without replacement, over contiguous folds of the train rows."""
-    folded = SP.kfold(train, "obs_id", FOLDS)
-    return M.random_search(folded, "fold", M.grid_draws(M.NET_GRID, DRAWS), _net(), FOLDS, scale=True)
+def _trials(t):
+    return t.select("trial", *[F.col("params")[k].cast("double").alias(k) for k in ("alpha", "l1_ratio")], "loss")
 
 
-@register("tune_random_search")
+@register("tune_random_search", LS.random_search_sql(M.grid_draws(M.NET_GRID, DRAWS), FOLDS))
 def tune_random_search(spark, sf_dir):
-    """10 draws x 3 folds, best by MSE."""
-    _, best, trials = _random_search(spark, sf_dir, _split(spark, sf_dir).where(F.col("split") == "train"))
-    return trials.withColumn("best_params", F.lit(str(sorted(best.items()))))
+    """10 draws x 3 folds, best by MSE (one decimal: the SQL twin's sweeps creep where
+    a lasso's penalty is tiny and columns depend on each other)."""
+    _, best, trials = _random_search(_split(spark, sf_dir).where(F.col("split") == "train"))
+    t = _trials(trials).withColumns({f"best_{k}": F.lit(float(v)) for k, v in best.items()})
+    return round_doubles(t.withColumn("loss", X.round_half_away("loss", 1)))
 
 
 def _continuous_search(s):
-    return M.continuous_search(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"),
-                               M.space_draws(M.NET_SPACE, EVALUATIONS), _net(), patience=PATIENCE, scale=True)
+    return M.net_continuous_search(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"),
+                                   M.space_draws(M.NET_SPACE, EVALUATIONS), PATIENCE)
 
 
-@register("tune_continuous")
+@register("tune_continuous", LS.continuous_search_sql(M.space_draws(M.NET_SPACE, EVALUATIONS)))
 def tune_continuous(spark, sf_dir):
     """20 draws of the elastic net's strength (log-uniform) and mixing
     (uniform), scored on the validation split, stopping after 30 idle trials."""
-    return _continuous_search(_split(spark, sf_dir))[1]
+    return round_doubles(_trials(_continuous_search(_split(spark, sf_dir))[1]))
 
 
 @register("tune_compare_fitted")
@@ -145,31 +150,39 @@ def tune_compare_fitted(spark, sf_dir):
     """Both searches, their winners refit and set beside each other on the validation rows."""
     s = _split(spark, sf_dir)
     train, found = s.where(F.col("split") == "train"), {}
-    for name, search in (("random", lambda: _random_search(spark, sf_dir, train)[1]), ("continuous", lambda: _continuous_search(s)[0])):
+    for name, search in (("random", lambda: _random_search(train)[1]), ("continuous", lambda: _continuous_search(s)[0])):
         began = time.time()
         best = search()
         found[name] = (best, time.time() - began)
-    return M.compare_searches(train, s.where(F.col("split") == "val"), found, _net(), scale=True)
+    return M.compare_searches(train, s.where(F.col("split") == "val"), found)
 
 
 @register("eval_cv_fitted")
 def eval_cv_fitted(spark, sf_dir):
-    """Cross-validated RMSE of fitted models over contiguous folds of all rows."""
-    f = SP.kfold(feature_recipe(V.demand(spark, sf_dir)), "obs_id", FOLDS)
-    sigma, n = M.label_stats(f)
-    every = M.estimators(sigma, n)
-    folds = M.cross_validated(f, "fold", FOLDS, {k: every[k] for k in [*LINEAR_MODELS, "Decision Tree"]})
-    return EV.cv_summary(folds)
+    """Cross-validated RMSE of the linear models and the tree over five contiguous
+    folds of all rows (the forest and the boosted models: see README)."""
+    return _cross_validated(spark, sf_dir, [*LINEAR_MODELS, "Decision Tree"])
+
 
+def _cross_validated(spark, sf_dir, names):
+    f = SP.kfold(feature_recipe(V.demand(spark, sf_dir)), "obs_id", CV_FOLDS)
+    every = M.estimators()
+    return EV.cv_summary(M.cross_validated(f, "fold", CV_FOLDS, {k: every[k] for k in names}))
 
-@register("tune_retrain_eval")
+
+@register("eval_cv_linear", LS.cross_validated_sql(M.LINEAR_SPECS, CV_FOLDS))
+def eval_cv_linear(spark, sf_dir):
+    """The linear models alone, from one scan."""
+    return round_doubles(_cross_validated(spark, sf_dir, LINEAR_MODELS))
+
+
+@register("tune_retrain_eval", LS.results_sql(TUNED, None, LS.best_of_random(M.grid_draws(M.NET_GRID, DRAWS), FOLDS)))
 def tune_retrain_eval(spark, sf_dir):
     """Refit the random-search winner on train, evaluate train and test."""
     s = _split(spark, sf_dir)
     train = s.where(F.col("split") == "train")
-    _, best, _ = _random_search(spark, sf_dir, train)
-    models = M.train_all(train, {"Elastic Net (tuned)": (M._apply(_net(), best), True)}, parallelism=1)
-    return M.results_table(models, s.where(F.col("split") != "val"))
+    model, _, _ = _random_search(train)
+    return round_doubles(M.results_table({TUNED: model}, s.where(F.col("split") != "val")))
 
 
 @register("mon_workflow")
@@ -179,8 +192,7 @@ def mon_workflow(spark, sf_dir):
     num = [f.name for f in S.FACT_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)]
     ref, cur = (CL.mean_impute(CL.inf_to_null(CL.drop_duplicates(x), num), num) for x in (ref, cur))
     train = feature_recipe(ref)
-    sigma, n = M.label_stats(train)
-    models = M.train_all(train, {LINEAR: M.estimators(sigma, n)[LINEAR]}, parallelism=1)
+    models = M.train_all(train, {LINEAR: M.estimators()[LINEAR]}, parallelism=1)
     scored = SCO.model_predictor(models[LINEAR])(feature_recipe(cur))
     fr, fc = train, feature_recipe(cur)
     summary = DR.drift_summary(DR.drift_table(fr, fc, S.NUMERIC_FEATURES + [S.LABEL], S.MONITOR_CATEGORICAL))
@@ -219,9 +231,8 @@ SELECT qid AS vec_id, round(avg(y), 6) AS prediction, count(*) AS neighbours FRO
 @register("ml_knn", _knn_sql())
 def ml_knn(spark, sf_dir):
     """Exact k-NN regression (k=5) of test embeddings on train embeddings
-    via the pivot band join (brute force only in the SQL oracle)."""
+    over Voronoi cells (brute force only in the SQL oracle)."""
     from demandspark.operators.knn import knn_regress
-    from demandspark.plans.common import round_doubles
 
     s = _embeddings_split(spark, sf_dir)
     out = knn_regress(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), k=KNN_K)

@@ -89,7 +89,7 @@ def test_score_batch_with_fitted_pipeline_keeps_rejects(spark):
     from demandspark.operators import models as M
 
     train = feature_recipe(V.demand(spark, SF))
-    est = {"Linear Regression": M.estimators(1.0, 100)["Linear Regression"]}
+    est = {"Linear Regression": M.estimators()["Linear Regression"]}
     model = M.train_all(train, est, parallelism=1)["Linear Regression"]
     req = V.requests_bad(spark, SF)
     out = SCO.score_batch(req, SCO.model_predictor(model))
