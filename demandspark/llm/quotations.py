@@ -5,10 +5,14 @@
    of level 0 are the message's own text. Quoted lines of one level in a row are
    a passage; passages and own texts are cut into sentences, normalised (lower
    case, letters and digits only) and hashed, so other line breaks don't matter.
-2. A quoted sentence is linked to the latest earlier message of the
-   conversation whose own text has it. The message that a first-level
-   quotation covers most (the later one of equals) is the one replied to; a
-   message that quotes nothing known replies to the one before it.
+2. A sentence quoted at level d is linked to the latest earlier message of the
+   conversation that has it one level up: in its own text for d = 1, else as a
+   quotation of level d - 1. Of the shallowest level with a link, the message
+   covered most (the later one of equals) is the one replied to. Where no
+   message has a deeper quotation one level up, the message whose own text it
+   is is looked up, and its latest reply so far is the one replied to (itself,
+   if it has none). A message that quotes nothing known replies to the one
+   before it.
 3. Conversations come in reply order: each message is followed by its replies,
    earlier ones first. Where all reply to the one before, that is the order of
    turns. Elsewhere places come from ranking the Euler tour of the reply tree
@@ -26,7 +30,7 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import map_rows, stash
@@ -84,15 +88,31 @@ def parsed_messages(rows: DataFrame) -> DataFrame:
 
 
 def replied_to(messages: DataFrame) -> DataFrame:
-    """conv, seq, to: the message that each first-level quotation covers most."""
+    """conv, seq, to: the message that each message's quotations tell it replies to."""
     quoting = messages.where("passages > 0").select("conv").distinct()
-    some = messages.join(quoting, "conv", "left_semi")
-    said = some.select("conv", "seq", F.explode("said").alias("hash")).select("conv", "hash", "seq", F.lit(1).alias("own"), F.lit(0).cast("long").alias("length"))
-    asked = some.select("conv", "seq", F.explode("quoted").alias("q")).where("q.level = 1").select("conv", F.col("q.hash").alias("hash"), "seq", F.lit(0).alias("own"), F.col("q.length").alias("length"))
-    earlier = Window.partitionBy("conv", "hash").orderBy("seq", "own").rowsBetween(Window.unboundedPreceding, -1)
-    source = F.last(F.when(F.col("own") == 1, F.col("seq")), ignorenulls=True).over(earlier)
-    found = said.union(asked).withColumn("to", source).where("own = 0 and to < seq").groupBy("conv", "seq", "to").agg(F.sum("length").alias("covered"))
-    return found.groupBy("conv", "seq").agg(F.max(F.struct("covered", "to")).alias("best")).select("conv", "seq", F.col("best.to").alias("to"))
+    some = stash(messages.join(quoting, "conv", "left_semi").select("conv", "seq", "said", "quoted"), "chat-quoting")
+    quoted = some.select("conv", "seq", F.explode("quoted").alias("q")).select("conv", "seq", "q.*")
+
+    def entries(df: DataFrame, at: Column, has: int, deep: bool = False) -> DataFrame:
+        asked = (F.col("level"), F.col("length")) if not has else (F.lit(0), F.lit(0).cast("long"))
+        return df.select("conv", "hash", at.cast("int").alias("at"), "seq", F.lit(has).alias("has"), asked[0].alias("level"), asked[1].alias("length"), F.lit(deep).alias("deep"))
+
+    # who has a sentence as its own (0) or as a quotation of a level, and who asks for it one level up or, deep, for its author
+    said = entries(some.select("conv", "seq", F.explode("said").alias("hash")), F.lit(0), 1)
+    every = said.union(entries(quoted, F.col("level"), 1)).union(entries(quoted, F.col("level") - 1, 0)).union(entries(quoted.where("level > 1"), F.lit(0), 0, True))
+    earlier = Window.partitionBy("conv", "hash", "at").orderBy("seq", "has").rowsBetween(Window.unboundedPreceding, -1)
+    source = F.last(F.when(F.col("has") == 1, F.col("seq")), ignorenulls=True).over(earlier)
+    found = every.withColumn("to", source).where("has = 0 and to < seq").groupBy("conv", "seq", "deep", "level", "to").agg(F.sum("length").alias("covered"))
+    best = F.min(F.struct("level", (-F.col("covered")).alias("covered"), (-F.col("to")).alias("to")))
+    found = stash(found.groupBy("conv", "seq", "deep").agg(best.alias("best")).select("conv", "seq", "deep", (-F.col("best.to")).alias("to")), "chat-found")
+    exact = found.where("not deep").select("conv", "seq", "to")
+    # the author is known, but nobody between quotes it: its latest reply so far
+    lost = found.where("deep").join(exact, ["conv", "seq"], "left_anti").select("conv", "seq", "to")
+    replies = some.join(lost.select("conv").distinct(), "conv", "left_semi").select("conv", "seq").join(exact, ["conv", "seq"], "left").join(lost.select("conv", "seq"), ["conv", "seq"], "left_anti")
+    replies = replies.select("conv", "seq", F.coalesce("to", F.col("seq") - 1).alias("to"), F.lit(1).alias("has"))
+    latest = F.last(F.when(F.col("has") == 1, F.col("seq")), ignorenulls=True).over(Window.partitionBy("conv", "to").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
+    placed = replies.union(lost.withColumn("has", F.lit(0))).withColumn("reply", latest).where("has = 0").select("conv", "seq", F.coalesce("reply", "to").alias("to"))
+    return exact.union(placed)
 
 
 def reply_places(tree: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 Fit, on a bounded sample of labelled rows (about SAMPLE, by hash of the id):
 how many distinct texts of either label have a unit, smoothed by a Dirichlet
 prior of PRIOR pseudo-units spread like all units. Units are whole words and
-words' beginnings, as stems take many endings. The lexicon has the units that
+words' beginnings, as stems take many endings. The lexicon has all units that
 toxic texts have significantly more often (signed root of the likelihood
-ratio at least SIGNIFICANT) and at log-odds of STRONG or more, as common words
-that toxic texts merely favour would add up over long texts; at most LEXICON
-units, the most frequent first. A word scores the log ratio
+ratio at least SIGNIFICANT) and at a least log-odds, as common words that toxic
+texts merely favour would add up over long texts. Which of STRONG the least is,
+one part in FOLD of the sample's texts tells: the log loss there of models
+fitted on the other parts. Held-out rows have no say. A word scores the log ratio
 of the probabilities of its longest unit in the lexicon, any other word that of
 the rest. The scores' exponents then have a mean of 1 on clean text: the decay
 rate of the extreme-value law is 1, and a segment of score S is expected at
@@ -48,8 +49,8 @@ SAMPLE = 20_000
 PRIOR = 500.0
 STEMS = (6, 5, 4, 3)
 SIGNIFICANT = 5.0
-STRONG = 4.0
-LEXICON = 2_000
+STRONG = (0.0, 1.0, 2.0, 3.0, 4.0, 5.0)  # least log-odds to choose from
+FOLD = 5  # one of so many parts of the sample tells which
 EXPECTED = 0.01
 TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -155,43 +156,89 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = usable.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(share, 1.0) * 1_000_000))
     # about SAMPLE rows of 12 bytes
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    rows = stash(rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").groupBy("text").agg(F.max("y").alias("y")), "toxic-sample")
+    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").groupBy("text").agg(F.max("y").alias("y"))
+    rows = stash(rows.withColumn("apart", F.pmod(F.xxhash64("text"), F.lit(FOLD)) == 0), "toxic-sample")
 
     def present(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, ys = [], []
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        tokens, ys, parts = [], [], []
+        for text, y, apart in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             own = {unit for word in {t for part in chunks(text) for t in TOKEN.findall(part.lower())} for unit in units(word)}
             tokens += own
             ys += [y] * len(own)
-        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(ys, pa.int32())], names=["token", "y"])
+            parts += [apart] * len(own)
+        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(ys, pa.int32()), pa.array(parts, pa.bool_())], names=["token", "y", "apart"])
 
-    counts = map_rows(rows, "token string, y int", present).groupBy("token").agg(F.sum("y").cast("double").alias("t"), F.sum(1 - F.col("y")).cast("double").alias("c"))
+    def summed(y: Column) -> Column:
+        return F.coalesce(F.sum(y), F.lit(0)).cast("double")
+
+    t, c, inner = F.col("y"), 1 - F.col("y"), ~F.col("apart")
+    counts = map_rows(rows, "token string, y int, apart boolean", present).groupBy("token").agg(
+        summed(t).alias("t"), summed(c).alias("c"), summed(F.when(inner, t)).alias("t_inner"), summed(F.when(inner, c)).alias("c_inner"))
     counts = stash(counts, "toxic-counts")
-    toxic, clean = counts.agg(F.sum("t"), F.sum("c")).first()
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
-    if not toxic or not clean or not positive or positive == n:
+    found, masses = significant(counts.select("token", "t", "c"))
+    if not found or not positive or positive == n:
         rate = min(max((positive or 0) / max(n, 1), 1e-9), 1 - 1e-9)
         return Model((), 0.0, 0.0, math.log(rate / (1 - rate)))
+    some, some_masses = significant(counts.select("token", F.col("t_inner").alias("t"), F.col("c_inner").alias("c")))
+    strong = STRONG[0]
+    if some:  # units from the other parts, judged by how well they tell the part apart
+        trials = [lexicon(some, some_masses, least) for least in STRONG]
+        pairs = weighed(rows, trials)
+        losses = [log_loss(pairs[~pairs["apart"]], pairs[pairs["apart"]], f"x{k}") for k in range(len(trials))]
+        strong = STRONG[int(np.argmin(losses))]
+    model = lexicon(found, masses, strong)
+    pairs = weighed(rows, [model])
+    slope, level = logistic(pairs["x0"].to_numpy(), pairs["y"].to_numpy())
+    return model._replace(slope=slope, level=level)
+
+
+def significant(counts: DataFrame) -> tuple[list, tuple[float, float]]:
+    """The units (token, t, c, score) that toxic texts have significantly more often, and both sides' totals.
+
+    As many as the bounded sample's texts give.
+    """
+    toxic, clean = counts.agg(F.sum("t"), F.sum("c")).first()
+    if not toxic or not clean:
+        return [], (0.0, 0.0)
     prior = PRIOR * (F.col("t") + F.col("c")) / (toxic + clean)
     ratio = F.log((F.col("t") + prior) / (toxic + PRIOR)) - F.log((F.col("c") + prior) / (clean + PRIOR))
     both, rate = F.col("t") + F.col("c"), toxic / (toxic + clean)
     surplus = 2 * (F.col("t") * F.log(F.col("t") / (both * rate)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - rate)))).otherwise(0.0))
-    best = counts.where((F.col("t") > both * rate)).withColumn("score", ratio).where((F.sqrt(surplus) >= SIGNIFICANT) & (F.col("score") >= STRONG))
-    lexicon = best.orderBy(F.desc("t"), "token").limit(LEXICON).collect()
-    scores = tuple((r["token"], r["score"]) for r in lexicon)
-    words = [r for r in lexicon if r["token"].endswith("$")]
-    mass_t = sum((r["t"] + PRIOR * (r["t"] + r["c"]) / (toxic + clean)) / (toxic + PRIOR) for r in words)
-    mass_c = sum((r["c"] + PRIOR * (r["t"] + r["c"]) / (toxic + clean)) / (clean + PRIOR) for r in words)
-    other = math.log((1 - mass_t) / (1 - mass_c))
-    model = Model(scores, min(other, -1e-6), 0.0, 0.0)
-
-    def weighed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([evidence(t, model)[0] for t in batch.column(0).to_pylist()], pa.float64()), batch.column(1)], names=["x", "y"])
-
-    pairs = np.array([tuple(r) for r in map_rows(rows, "x double, y int", weighed).collect()], float)  # the bounded sample
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-    slope, level = logistic(pairs[:, 0], pairs[:, 1])
-    return model._replace(slope=slope, level=level)
+    best = counts.where(F.col("t") > both * rate).withColumn("score", ratio).where((F.sqrt(surplus) >= SIGNIFICANT) & (F.col("score") > 0))
+    return best.orderBy("token").collect(), (toxic, clean)
+
+
+def lexicon(found: list, masses: tuple[float, float], least: float) -> Model:
+    """A model without a curve: the units of at least this log-odds, and the score of words without one."""
+    toxic, clean = masses
+    kept = [r for r in found if r["score"] >= least]
+    # a word counts in the mass by its longest unit, so only whole words do
+    words = [r for r in kept if r["token"].endswith("$")]
+    mass_t, mass_c = (min(sum((r[k] + PRIOR * (r["t"] + r["c"]) / (toxic + clean)) / (side + PRIOR) for r in words), 0.999) for k, side in (("t", toxic), ("c", clean)))
+    return Model(tuple((r["token"], r["score"]) for r in kept), min(math.log((1 - mass_t) / (1 - mass_c)), -1e-6), 0.0, 0.0)
+
+
+def weighed(rows: DataFrame, models: list[Model]):
+    """The sample's labels, parts and evidence x0, x1, ... under each model, in a fixed order (the bounded sample)."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = batch.column(0).to_pylist()
+        xs = [pa.array([evidence(text, m)[0] for text in found], pa.float64()) for m in models]
+        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *xs], names=["y", "apart", *(f"x{k}" for k in range(len(models)))])
+
+    schema = "y int, apart boolean, " + ", ".join(f"x{k} double" for k in range(len(models)))
+    pairs = map_rows(rows.select("text", "y", "apart"), schema, one).toPandas()
+    return pairs.sort_values([*(f"x{k}" for k in range(len(models))), "y"], kind="stable").reset_index(drop=True)
+
+
+def log_loss(known, apart, x: str) -> float:
+    """Of the rows set apart, under the curve fitted on the others."""
+    if not len(apart) or known["y"].nunique() < 2:
+        return 0.0
+    slope, level = logistic(known[x].to_numpy(), known["y"].to_numpy())
+    z = np.clip((slope * apart[x] + level) * (2 * apart["y"] - 1), -700, 700)
+    return float(np.logaddexp(0, -z).mean())
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,7 +1,9 @@
 """HTML extraction and quotation linking."""
 
+import random
 import time
 import tracemalloc
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -186,3 +188,55 @@ def test_reply_places_of_a_random_tree(spark):
     to = {seq: rng.randint(max(1, seq - 6), seq - 1) if seq > 1 else 0 for seq in range(1, 90)}
     tree = spark.createDataFrame([(5, s, p) for s, p in to.items()], "conv long, seq long, to long")
     assert {r.seq: r.place for r in reply_places(tree).collect()} == brute_order(to)
+
+
+def brute_parents(texts):
+    """Each message's parent by number, straight from the rules; messages are numbered from 1."""
+    from demandspark.llm.quotations import sentences
+
+    own, quoted = [], []
+    for text in texts:
+        clean, passages = split_quotes(text or "")
+        own.append({h for h, _ in sentences(clean)})
+        quoted.append([(d, h, n) for d, p in passages for h, n in sentences(p)])
+    parents = {}
+    lost = {}
+    for i, asks in enumerate(quoted):
+        exact, deep = {}, {}
+        for d, h, n in asks:
+            has = [j for j in range(i) if (h in own[j] if d == 1 else any(e == d - 1 and g == h for e, g, _ in quoted[j]))]
+            if has:
+                exact.setdefault(d, Counter())[has[-1]] += n
+            has = [j for j in range(i) if h in own[j]]
+            if d > 1 and has:
+                deep.setdefault(d, Counter())[has[-1]] += n
+        for found, out in ((exact, parents), (deep, lost)):
+            if found:
+                level = found[min(found)]
+                out[i] = max(level, key=lambda j: (level[j], j))
+    for i, author in lost.items():
+        if i not in parents:
+            before = [j for j in range(i) if j not in lost or j in parents]
+            replies = [j for j in before if j and parents.get(j, j - 1) == author]
+            lost[i] = max(replies, default=author)
+    return [parents.get(i, lost.get(i, i - 1)) + 1 if i else 0 for i in range(len(texts))]
+
+
+def test_quotations_of_all_levels(spark):
+    rng = random.Random(11)
+    said = [f"Sentence number {k} says {k * 37 % 101}." for k in range(40)]
+    talks = [["One thing.", "Other thing.", "Third.", ">> One thing.\nI see"], ["a one.", "> a one.\nb two.", "c three.", ">> a one.\n> b two.\nd", ">> a one.\nonly deep", ">>> a one.\ndeeper"],
+             ["Q here.", "no quote", "> Q here.\nyes", ">> Q here.\n", ">> unknown\nx", ">> Q here.\n> no quote\ny"]]
+    for _ in range(60):
+        talk = []
+        for i in range(rng.randint(2, 9)):
+            lines = []
+            for _ in range(rng.randint(0, 3)):
+                if talk:
+                    lines += [f"{'>' * rng.randint(1, 3)} {rng.choice(said[:8])}"]
+            talk.append("\n".join([*lines, rng.choice(said[:8]) if rng.random() < 0.8 else rng.choice(said)]))
+        talks.append(talk)
+    rows = [(c, t, "user", text) for c, talk in enumerate(talks) for t, text in enumerate(talk, 1)]
+    got = {(r.conv_id, r.turn): r.reply_to or 0 for r in linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k: got[k] for k in got} == {(c, t): p for c, talk in enumerate(talks) for t, p in enumerate(brute_parents(talk), 1)}
+    assert got[1, 4] == 2 and got[1, 5] == 2 and got[1, 6] == 5 and got[2, 4] == 3
