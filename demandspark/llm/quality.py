@@ -1,18 +1,22 @@
 """Quality rules: base limits, then robust multivariate outliers.
 
 Every text's statistics come from one pass of built-in expressions. Documents
-that pass the base limits are then judged together: per language and source a
+that pass the base limits are then judged together: per language and source the
 minimum-covariance-determinant estimate of the transformed statistics is
-reached by concentration steps, and documents whose Mahalanobis distance from
-it is above the cut-off are rejected.
+sought by concentration steps from three starts (medians with the least
+deviations, medians with equal deviations, mean and covariance of all), all
+starts of all groups in the same steps, until no start's determinant falls any
+more. The start with the smallest determinant gives the group's estimate, and
+documents whose Mahalanobis distance from it is above the cut-off are rejected.
 
 A concentration step bins the squared distances and sums, per group and bin,
 the counts and first and second moments; the bins up to the one that holds the
 h-th smallest distance give the next mean and covariance. So a step is one
 aggregation with partial sums, and a group of any size leaves a bounded number
 of rows. The statistics are fixed-point integers, so sums don't depend on their
-order and reruns agree. Each statistic has a least deviation, which keeps the
-covariance regular where a group's documents hardly differ.
+order and reruns agree. Each statistic has a least deviation, whose square is
+added to its variance: it keeps covariance and determinant regular where a
+group's documents hardly differ.
 
 DataFrame functions only.
 
@@ -38,7 +42,9 @@ LEAST = (0.12, 0.05, 0.10, 0.12)  # least deviations
 COVER = 0.75  # share of a group's documents in the estimate
 SPREAD = 1.486  # consistency factor for COVER and four dimensions
 CUTOFF = 23.5  # chi-square, four degrees of freedom, 0.9999
-STEPS = 3
+EQUAL = 0.1  # deviations of the second start
+FALLS = 1e-4  # a log determinant that falls by less has converged
+STEPS = 30  # binned subsets could alternate without end; steps converge long before
 BROADCAST_GROUPS = 50_000  # estimates of so many groups stay under 20 MB
 GROUP = ["_lang", "_source"]
 DIMS = range(len(LEAST))
@@ -113,12 +119,28 @@ def factored(df: DataFrame) -> DataFrame:
     return df
 
 
-def kept_part(df: DataFrame) -> list[str]:
-    return [*GROUP, *(f"_m{k}" for k in DIMS), *(f"_c{k}{j}" for k in DIMS for j in range(k + 1))]
+def kept_part() -> list[str]:
+    return [*GROUP, "_start", "_det", *(f"_m{k}" for k in DIMS), *(f"_c{k}{j}" for k in DIMS for j in range(k + 1))]
+
+
+def moments() -> list[Column]:
+    return [F.count("*").alias("_n"), *(F.sum(f"_x{k}").alias(f"_s{k}") for k in DIMS), *(F.sum(F.col(f"_x{k}") * F.col(f"_x{j}")).alias(f"_p{k}{j}") for k in DIMS for j in range(k + 1))]
+
+
+def estimated(sums: DataFrame) -> DataFrame:
+    """Mean, covariance's factor and log determinant from summed moments."""
+    sums = sums.withColumns({f"_m{k}": F.col(f"_s{k}") / F.col("_n") for k in DIMS})
+
+    def spread(k: int, j: int) -> Column:
+        v = SPREAD * (F.col(f"_p{k}{j}") / F.col("_n") - F.col(f"_m{k}") * F.col(f"_m{j}"))
+        return v + (LEAST[k] * UNIT) ** 2 if j == k else v
+
+    found = factored(sums.withColumns({f"_v{k}{j}": spread(k, j) for k in DIMS for j in range(k + 1)}))
+    return found.withColumn("_det", 2 * sum((F.log(f"_c{k}{k}") for k in DIMS[1:]), F.log("_c00")))
 
 
 def first_estimates(rows: DataFrame) -> DataFrame:
-    """Medians, to the sixteenth of a unit's 64th, with the least deviations."""
+    """Three starts per group; medians are to the sixteenth of a unit's 64th."""
     step = UNIT // 64
     one = rows.select(*GROUP, F.posexplode(F.array(*(F.floor(F.col(f"_x{k}") / step) for k in DIMS))).alias("_k", "_bin"))
     bins = one.groupBy(*GROUP, "_k", "_bin").agg(F.count("*").alias("_n"))
@@ -126,24 +148,36 @@ def first_estimates(rows: DataFrame) -> DataFrame:
     bins = bins.withColumn("_upto", F.sum("_n").over(over.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_n").over(over))
     medians = bins.where(2 * F.col("_upto") >= F.col("_all")).groupBy(*GROUP).agg(*(F.min(F.when(F.col("_k") == k, F.col("_bin"))).alias(f"_b{k}") for k in DIMS))
     medians = medians.withColumns({f"_m{k}": (F.col(f"_b{k}") + 0.5) * step for k in DIMS})
-    medians = medians.withColumns({f"_v{k}{j}": F.lit((LEAST[k] * UNIT) ** 2 if j == k else 0.0) for k in DIMS for j in range(k + 1)})
-    return factored(medians)
+
+    def around(start: int, deviations: tuple[float, ...]) -> DataFrame:
+        told = medians.withColumns({f"_v{k}{j}": F.lit((deviations[k] * UNIT) ** 2 if j == k else 0.0) for k in DIMS for j in range(k + 1)})
+        return factored(told).withColumns({"_start": F.lit(start), "_det": F.lit(float("inf"))}).select(*kept_part())
+
+    every = estimated(rows.groupBy(*GROUP).agg(*moments())).withColumns({"_start": F.lit(2), "_det": F.lit(float("inf"))}).select(*kept_part())
+    return around(0, LEAST).unionByName(around(1, (EQUAL,) * len(LEAST))).unionByName(every)
 
 
 def concentrated(rows: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
-    """One concentration step: estimates from the COVER nearest documents of each group."""
+    """One concentration step: estimates from the COVER nearest documents of each group and start, with the determinant before."""
     near = distance(with_estimates(rows, estimates, few)).withColumn("_bin", F.floor(32 * F.log1p("_d")))
-    sums = [F.sum(f"_x{k}").alias(f"_s{k}") for k in DIMS] + [F.sum(F.col(f"_x{k}") * F.col(f"_x{j}")).alias(f"_p{k}{j}") for k in DIMS for j in range(k + 1)]
-    bins = near.groupBy(*GROUP, "_bin").agg(F.count("*").alias("_n"), *sums)
-    over = Window.partitionBy(*GROUP)
+    keys = [*GROUP, "_start"]
+    bins = near.groupBy(*keys, "_bin").agg(*moments(), F.max("_det").alias("_was"))
+    over = Window.partitionBy(*keys)
     bins = bins.withColumn("_before", F.coalesce(F.sum("_n").over(over.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_all", F.sum("_n").over(over))
     taken = bins.where(F.col("_before") < F.ceil(COVER * F.col("_all")))
-    total = taken.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in bins.columns if c[:2] in ("_n", "_s", "_p") and c != "_source"))
-    total = total.withColumns({f"_m{k}": F.col(f"_s{k}") / F.col("_n") for k in DIMS})
-    def spread(k: int, j: int) -> Column:
-        v = SPREAD * (F.col(f"_p{k}{j}") / F.col("_n") - F.col(f"_m{k}") * F.col(f"_m{j}"))
-        return v + (LEAST[k] * UNIT) ** 2 if j == k else v
-    return factored(total.withColumns({f"_v{k}{j}": spread(k, j) for k in DIMS for j in range(k + 1)}))
+    total = taken.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in bins.columns if c[:2] in ("_n", "_s", "_p") and c not in keys), F.max("_was").alias("_was"))
+    return estimated(total).select(*kept_part(), "_was")
+
+
+def least_determinant(rows: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
+    """Each group's estimate: steps from all starts until none falls, then the start of the smallest determinant."""
+    for step in range(STEPS):
+        estimates = stash(concentrated(rows, estimates, few), f"quality-step{step}")
+        if not estimates.where(F.col("_was") - F.col("_det") > FALLS).head(1):
+            break
+    rest = [c for c in kept_part() if c not in GROUP]
+    best = estimates.groupBy(*GROUP).agg(F.min(F.struct("_det", "_start", *(c for c in rest if c not in ("_det", "_start")))).alias("_best"))
+    return stash(best.select(*GROUP, *(F.col(f"_best.{c}").alias(c) for c in rest)), "quality-estimates")
 
 
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -153,12 +187,9 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = stash(rows.withColumn("base_failed", base), "quality-statistics")
     sound = rows.where(~F.col("base_failed")).select(*GROUP, *(f"_x{k}" for k in DIMS))
-    estimates = first_estimates(sound)
-    estimates = stash(estimates.select(*kept_part(estimates)), "quality-start")
+    estimates = stash(first_estimates(sound), "quality-start")
     few = estimates.count() <= BROADCAST_GROUPS
-    for step in range(STEPS):
-        estimates = concentrated(sound, estimates, few)
-        estimates = stash(estimates.select(*kept_part(estimates)), f"quality-step{step}")
+    estimates = least_determinant(sound, estimates, few)
     far = distance(with_estimates(rows, estimates, few))
     return far.select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
