@@ -68,12 +68,15 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), p)
 
 
+def side_rows(df: DataFrame, cols: Sequence[str], side: str) -> DataFrame:
+    """(c, x, n_ref, n_cur) of one side: each finite value once, c its column's position in ``cols``."""
+    rows = df.select(F.posexplode(F.array(*[finite(c) for c in cols])).alias("c", "x")).where(F.col("x").isNotNull())
+    return rows.select("c", "x", F.lit(int(side == REF)).cast("long").alias("n_ref"), F.lit(int(side == CUR)).cast("long").alias("n_cur"))
+
+
 def numeric_rows(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(c, x, n_ref, n_cur): each finite value once, c its column's position in ``cols``."""
-    u = tagged_union(reference.select(*cols), current.select(*cols))
-    side = F.col(TAG) == REF
-    rows = u.select(side.alias("side"), F.posexplode(F.array(*[finite(c) for c in cols])).alias("c", "x")).where(F.col("x").isNotNull())
-    return rows.select("c", "x", F.col("side").cast("long").alias("n_ref"), (~F.col("side")).cast("long").alias("n_cur"))
+    """``side_rows`` of both."""
+    return side_rows(reference, cols, REF).unionByName(side_rows(current, cols, CUR))
 
 
 def value_counts(rows: DataFrame) -> DataFrame:
@@ -327,6 +330,27 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     return drift_from_counts(profile, counts, p_threshold, magnitude_threshold, method)
 
 
+class ReferenceState:
+    """The reference side's counts, written once: drift of any number of
+    current tables against them, each without another look at the reference."""
+
+    def __init__(self, reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], path: str):
+        self.numeric, self.categorical, self.path = list(numeric), list(categorical), path
+        checkpoint_dir(reference.sparkSession)
+        value_counts(side_rows(reference, self.numeric, REF)).write.mode("overwrite").parquet(f"{path}/numeric")
+        _counts(reference.select(*self.categorical).withColumn(TAG, F.lit(REF)), self.categorical).write.mode("overwrite").parquet(f"{path}/categorical")
+
+    def drift_table(self, current: DataFrame, **rule) -> DataFrame:
+        """``drift_table`` of the reference and ``current``."""
+        spark, (num, cat) = current.sparkSession, (f"{self.path}/{kind}" for kind in ("numeric", "categorical"))
+        known = spark.read.parquet(num)
+        rows = known.unionByName(side_rows(current, self.numeric, CUR))
+        size = known.count() + current.count() * len(self.numeric)
+        counts = spark.read.parquet(cat).unionByName(_counts(current.select(*self.categorical).withColumn(TAG, F.lit(CUR)), self.categorical))
+        counts = counts.groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")).checkpoint(eager=True)
+        return drift_from_counts(NumericDrift(rows, self.numeric, size=size), counts, **rule)
+
+
 def drift_from_counts(profile: NumericDrift | None, counts: DataFrame | None,
                       p_threshold: float = S.DRIFT_P_THRESHOLD, magnitude_threshold: float = S.DRIFT_MAGNITUDE,
                       method: str = "magnitude") -> DataFrame:

@@ -95,7 +95,8 @@ def proj_pad_missing(spark, sf_dir):
 @register("proj_assemble")
 def proj_assemble(spark, sf_dir):
     f = FE.features(feat(spark, sf_dir), keep=["obs_id"])
-    return PR.assemble(f, S.FEATURES, handle_invalid="skip").select("obs_id", "features", S.LABEL)
+    # every row stays: a NULL feature would be an error here, never a dropped row
+    return PR.assemble(f, S.FEATURES, handle_invalid="error").select("obs_id", "features", S.LABEL)
 
 
 _SEASON_METRICS_SQL = f"""SELECT season, count(*) AS n,

@@ -107,10 +107,13 @@ def monitor_batches(current: DataFrame, reference: DataFrame, numeric: Sequence[
                     report_path: str, checkpoint: str) -> None:
     """Per micro-batch: drift against the static reference and quality of
     the batch, in the report sink's partition ``batch_id``, which a replayed
-    batch overwrites."""
+    batch overwrites. The reference is counted once, when the stream starts;
+    its counts are written beside the checkpoint."""
+    state = DR.ReferenceState(reference, numeric, categorical, f"{checkpoint}-reference")
+
     def check(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        summary = DR.drift_summary(DR.drift_table(reference, batch, numeric, categorical))
+        summary = DR.drift_summary(state.drift_table(batch))
         q = MO.quality(batch).select("total_rows", "missing_total", "duplicate_rows")
         MO.attach(summary, q).write.mode("overwrite").json(f"{report_path}/batch_id={epoch}")
         batch.unpersist()

@@ -169,3 +169,17 @@ def test_two_step_split(spark, monkeypatch, kind, gather):
     assert got == brute_split(rows, 0.2, 0.25)
     held = {r.k: r.split for r in SP.holdout(df, "k", "y", 0.3).collect()}
     assert held == {k: "test" if s == "test" else "train" for k, s in brute_split(rows, 0.3, 0.0).items()}
+
+
+def test_reference_state_equals_the_reference(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    ref = spark.createDataFrame([(float(v), str(c)) for v, c in zip(np.round(rng.normal(size=600), 2), rng.integers(0, 5, 600))] + [(INF, None), (None, "x")], "v double, c string")
+    state = DR.ReferenceState(ref, ["v"], ["c"], str(tmp_path / "state"))
+    for shift in (0.0, 0.4):
+        cur = spark.createDataFrame([(float(v), str(c)) for v, c in zip(rng.normal(shift, 1, 200), rng.integers(1, 7, 200))] + [(NAN, "y")], "v double, c string")
+        got, want = (sorted(t.collect()) for t in (state.drift_table(cur), DR.drift_table(ref, cur, ["v"], ["c"])))
+        for a, b in zip(got, want, strict=True):
+            assert a.column == b.column and a.drifted == b.drifted
+            assert a[2:7] == pytest.approx(b[2:7], abs=1e-12, nan_ok=True) if a.kind == "numeric" else (a.statistic, a.js_distance, a.psi) == pytest.approx((b.statistic, b.js_distance, b.psi), abs=1e-12)
+    empty = {r.column: r for r in state.drift_table(ref.limit(0)).collect()}
+    assert not empty["v"].drifted and empty["v"].statistic is None
