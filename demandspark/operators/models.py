@@ -255,17 +255,17 @@ def net_random_search(train: DataFrame, fold_col: str, draws: list[dict], featur
     return LI.fit(LI.total(folds), LI.LinearSpec("net", **best), features).pipeline(), best, _trials(train, draws, losses)
 
 
-def net_continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], patience: int | None = None, features: Sequence[str] = S.FEATURES):
-    """The elastic net's draws scored on a validation set (RMSE), from one scan of each
-    set; stops when ``patience`` trials bring no gain. Returns (best params, trials)."""
-    t, v = (LI.total(LI.fold_moments(df, features, S.LABEL)) for df in (train, val))
+def net_continuous_search(df: DataFrame, t: LI.Moments, v: LI.Moments, draws: list[dict], patience: int | None = None, features: Sequence[str] = S.FEATURES):
+    """The elastic net's draws fitted on the moments ``t`` and scored on those of a
+    validation set ``v`` (RMSE), without another scan; stops when ``patience`` trials
+    bring no gain. Returns (best params, trials)."""
     losses: list[float] = []
     for d in draws:
         losses.append(math.sqrt(LI.fit(t, LI.LinearSpec("net", **d), features).mse(v)))
         if patience and len(losses) - 1 - min(range(len(losses)), key=lambda j: losses[j]) >= patience:
             break
     best = min(range(len(losses)), key=lambda j: losses[j])
-    return draws[best], _trials(train, draws, losses)
+    return draws[best], _trials(df, draws, losses)
 
 
 def continuous_search(train: DataFrame, val: DataFrame, draws: list[dict], base=None,

@@ -21,6 +21,7 @@ from demandspark.functions.features import feature_recipe
 from demandspark.operators import cleaning as CL
 from demandspark.operators import drift as DR
 from demandspark.operators import evaluate as EV
+from demandspark.operators import linear as LI
 from demandspark.operators import models as M
 from demandspark.operators import monitor as MO
 from demandspark.operators import scoring as SCO
@@ -48,14 +49,25 @@ def _split(spark, sf_dir):
 def _fitted(spark, sf_dir, names, parallelism=4):
     """(fitted models by name, the split table)."""
     s = _split(spark, sf_dir)
+    if all(k in M.LINEAR_SPECS for k in names):
+        moments = _moments(s)["train"]
+        return {k: LI.fit(moments, M.LINEAR_SPECS[k], S.FEATURES).pipeline() for k in names}, s
     every = M.estimators()
     return M.train_all(s.where(F.col("split") == "train"), {k: every[k] for k in names}, parallelism), s
 
 
+def _moments(s):
+    """The moments of each part of the split from one scan. A filter on the split
+    would be pushed below the columns that it hangs on and repeat them."""
+    parts = ["train", "val", "test"]
+    numbered = s.withColumn("part", F.array_position(F.array(*map(F.lit, parts)), F.col("split")) - 1)
+    return {parts[k]: m for k, m in LI.fold_moments(numbered, S.FEATURES, S.LABEL, "part").items()}
+
+
 def _one(name):
     def build(spark, sf_dir):
         models, s = _fitted(spark, sf_dir, [name])
-        t = M.results_table(models, s.where(F.col("split") != "val"))
+        t = M.results_table(models, s)
         return round_doubles(t) if name in LINEAR_MODELS else t
     return build
 
@@ -134,8 +146,8 @@ def tune_random_search(spark, sf_dir):
 
 
 def _continuous_search(s):
-    return M.net_continuous_search(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"),
-                                   M.space_draws(M.NET_SPACE, EVALUATIONS), PATIENCE)
+    parts = _moments(s)
+    return M.net_continuous_search(s, parts["train"], parts["val"], M.space_draws(M.NET_SPACE, EVALUATIONS), PATIENCE)
 
 
 @register("tune_continuous", LS.continuous_search_sql(M.space_draws(M.NET_SPACE, EVALUATIONS)))
@@ -182,7 +194,7 @@ def tune_retrain_eval(spark, sf_dir):
     s = _split(spark, sf_dir)
     train = s.where(F.col("split") == "train")
     model, _, _ = _random_search(train)
-    return round_doubles(M.results_table({TUNED: model}, s.where(F.col("split") != "val")))
+    return round_doubles(M.results_table({TUNED: model}, s))
 
 
 @register("mon_workflow")
