@@ -122,18 +122,27 @@ def monitor_batches(current: DataFrame, reference: DataFrame, numeric: Sequence[
 
 def performance_stream(predictions: DataFrame, actuals: DataFrame, key: str, pred_ts: str, actual_ts: str,
                        bound: str = "1 hour", delay: str = "1 hour", size: str = "1 day") -> DataFrame:
-    """MAE / RMSE per window when actuals arrive after the predictions:
-    stream-stream join on the key within a time bound (both sides
-    watermarked, so join state is purged), then a windowed aggregate."""
+    """MAE / RMSE per window when actuals arrive after the predictions, and
+    the predictions that none reached.
+
+    A left-outer stream-stream join on the key within ``bound``: both sides
+    are watermarked, so join state is purged, and a prediction whose time is
+    over leaves with the watermark as ``unmatched``. A window closes when the
+    watermark has passed its end by ``bound``, so it holds all its unmatched
+    ones. ``n`` counts the matched pairs. Errors are over the pairs with both
+    values (NULL where there is none); a prediction without a key matches
+    nothing.
+    """
     p = predictions.withWatermark(pred_ts, delay).alias("p")
     a = actuals.withWatermark(actual_ts, delay).alias("a")
     cond = ((F.col(f"p.{key}") == F.col(f"a.{key}"))
             & (F.col(f"a.{actual_ts}") >= F.col(f"p.{pred_ts}"))
             & (F.col(f"a.{actual_ts}") <= F.col(f"p.{pred_ts}") + F.expr(f"INTERVAL {bound}")))
-    j = p.join(a, cond, "inner").select(F.col(f"p.{pred_ts}").alias("ts"), F.col("p.yhat").alias("yhat"),
-                                        F.col("a.y").alias("y"))
+    j = p.join(a, cond, "left_outer").select(F.col(f"p.{pred_ts}").alias("ts"), F.col("p.yhat").alias("yhat"),
+                                             F.col("a.y").alias("y"), F.col(f"a.{key}").isNotNull().alias("matched"))
     e = F.col("y") - F.col("yhat")
     # ``ts`` keeps the predictions' watermark through the join
     return (j.groupBy(F.window("ts", size).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
-            .select(F.col("w.start").alias("window_start"), "n", "mae", "rmse"))
+            .agg(F.count_if("matched").alias("n"), F.count_if(~F.col("matched")).alias("unmatched"),
+                 F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
+            .select(F.col("w.start").alias("window_start"), "n", "unmatched", "mae", "rmse"))

@@ -98,3 +98,29 @@ def test_score_batch_with_fitted_pipeline_keeps_rejects(spark):
     bad = out.where(F.col("status") == "error")
     assert bad.where(F.col("prediction").isNotNull()).count() == 0
     assert bad.count() > 0 and out.where(F.col("status") == "success").where(F.col("prediction") < 0).count() == 0
+
+
+def test_predictions_without_an_actual_leave_with_the_watermark(spark, tmp_path):
+    """Three files, one a micro-batch: an actual in time, one too late, none at all, and a prediction without a key."""
+
+    def at(day, minute):
+        return f"2024-01-{day:02d} {minute // 60:02d}:{minute % 60:02d}:00"
+
+    preds = [[(1, at(1, 60), 10.0), (2, at(1, 120), 10.0), (3, at(1, 1430), 10.0), (None, at(1, 5), 10.0)],
+             [(4, at(2, 60), None), (5, at(2, 90), 4.0)], [(9, at(4, 0), 0.0)]]
+    acts = [[(1, at(1, 90), 13.0), (1, at(1, 95), 11.0), (2, at(1, 181), 0.0), (None, at(1, 6), 0.0)],
+            [(3, at(2, 20), 14.0), (4, at(2, 61), 1.0)], [(9, at(4, 30), 0.0)]]
+    streams = {}
+    for name, files, value in (("p", preds, "yhat"), ("a", acts, "y")):
+        schema = f"k long, ts timestamp, {value} double"
+        for i, rows in enumerate(files):
+            df = spark.createDataFrame(rows, f"k long, ts string, {value} double").withColumn("ts", F.col("ts").cast("timestamp"))
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / name / f"part={i}"))
+        r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+        streams[name] = r.parquet(str(tmp_path / name))
+    out = J.performance_stream(streams["p"], streams["a"].withColumnRenamed("ts", "ats"), "k", "ts", "ats")
+    J.run_available(out, str(tmp_path / "ck"), str(tmp_path / "out"))
+    got = {str(r["window_start"])[:10]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert {d: (r["n"], r["unmatched"]) for d, r in got.items()} == {"2024-01-01": (3, 2), "2024-01-02": (1, 1)}
+    assert abs(got["2024-01-01"]["mae"] - (3 + 1 + 4) / 3) < 1e-9
+    assert got["2024-01-02"]["mae"] is None  # its one matched prediction has no value
