@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from demandspark.operators.knn import evaluated_share, knn_regress
+from demandspark.operators.knn import knn_regress, shipped_pairs
 
 
 def test_knn_equals_brute_force(spark):
@@ -22,13 +22,41 @@ def test_knn_equals_brute_force(spark):
         order = sorted(range(len(ref_ids)), key=lambda j: (d[j], ref_ids[j]))[:5]
         want = float(np.mean([labels[ref_ids[j]] for j in order]))
         assert abs(got[q] - want) < 1e-9
-    assert evaluated_share(ref, qry, k=5, pivots=8) < 0.6  # the clusters lie apart
+    assert knn_regress(ref, qry.limit(0), k=5).count() == 0
     assert knn_regress(ref.limit(0), qry, k=5).count() == 0
     assert {r["neighbours"] for r in knn_regress(ref.limit(3), qry, k=5).collect()} == {3}
 
 
+def test_parts_go_only_where_bounds_leave_them(spark):
+    """40 clusters, sets and parts of at most about 50: brute force is met, and few pairs are evaluated or shipped."""
+    rng = np.random.default_rng(3)
+    centers = 20 * rng.normal(size=(40, 16))
+    pts = np.vstack([c + rng.normal(size=(75, 16)) for c in centers]) + 100  # far from the origin: rounding counts
+    labels = rng.normal(size=len(pts))
+    df = spark.createDataFrame([(i, p.tolist(), float(y)) for i, (p, y) in enumerate(zip(pts, labels))],
+                               "vec_id long, embedding array<double>, label double")
+    ref, qry = df.where(F.col("vec_id") % 3 != 0), df.where(F.col("vec_id") % 3 == 0)
+    got = {r["vec_id"]: r["prediction"] for r in knn_regress(ref, qry, k=4, pivots=40, chunk=50).collect()}
+    rid = np.array([i for i in range(len(pts)) if i % 3])
+    for q in range(0, len(pts), 3):
+        d = np.sqrt(((pts[rid] - pts[q]) ** 2).sum(1))
+        assert abs(got[q] - labels[rid[np.lexsort((rid, d))[:4]]].mean()) < 1e-9
+    share = shipped_pairs(ref, qry, k=4, pivots=40, chunk=50)
+    assert share["evaluated"] < 0.06 and share["shipped"] < 0.06, share  # one cluster is 0.025 of all
+
+
+def test_equal_vectors_and_repeated_rows(spark):
+    """A third of all rows are one vector: ties go to the smaller key, parts stay small."""
+    rows = [(i, [1.0, 1.0], float(i)) for i in range(300)] + [(1000 + i, [float(i), -1.0], 0.0) for i in range(600)]
+    rows += [(5000, None, 1.0), (None, [1.0, 1.0], 1.0), (5001, [1.0, 1.0], None)]
+    ref = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label double")
+    qry = spark.createDataFrame([(1, [1.0, 1.0]), (2, [400.0, -1.0]), (3, None)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["prediction"], r["neighbours"]) for r in knn_regress(ref, qry, k=5, pivots=4, chunk=20).collect()}
+    assert got == {1: (2.0, 5), 2: (0.0, 5)}
+
+
 def test_bounds_exclude_little_in_many_dimensions(spark):
     """Measured on the given 64-dimensional vectors: nearly all pairs are evaluated, so the product itself must be cheap."""
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    share = evaluated_share(df.where(F.col("vec_id") % 5 != 0), df.where(F.col("vec_id") % 5 == 0))
-    assert 0.5 < share <= 1.0
+    share = shipped_pairs(df.where(F.col("vec_id") % 5 != 0), df.where(F.col("vec_id") % 5 == 0))
+    assert 0.5 < share["evaluated"] <= 1.0
