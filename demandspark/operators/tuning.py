@@ -27,11 +27,18 @@ def seeded_draws(space: dict[str, Sequence], n: int, seed: int = 42) -> list[dic
     return [{k: rng.choice(list(space[k])) for k in keys} for _ in range(n)]
 
 
+def uniform_draws(space: dict[str, tuple[float, float]], n: int, seed: int = 42) -> list[dict]:
+    """``n`` seeded parameter draws, each uniform in its range (three decimals)."""
+    rng = random.Random(seed)
+    return [{k: round(rng.uniform(*space[k]), 3) for k in sorted(space)} for _ in range(n)]
+
+
 def sweep_trials(df: DataFrame, y: str, model_name: str, draws: list[dict],
                  predict: Callable[[dict], Column]) -> DataFrame:
-    """Trials table (model_name, trial, params, loss=MSE) for ``draws`` of
-    a closed-form predictor, all scored in a single aggregate."""
-    aggs = []
+    """Trials table (model_name, trial, params, loss=MSE, r2) for ``draws`` of
+    a closed-form predictor, all scored in a single aggregate. ``r2`` is NULL
+    where the actuals are constant."""
+    aggs = [F.var_pop(y).alias("spread")]
     for i, p in enumerate(draws):
         e = F.col(y) - predict(p)
         aggs.append(F.avg(e * e).alias(f"t{i}"))
@@ -40,7 +47,8 @@ def sweep_trials(df: DataFrame, y: str, model_name: str, draws: list[dict],
     for i, p in enumerate(draws):
         params = F.create_map(*[x for k in sorted(p) for x in (F.lit(k), F.lit(str(p[k])))])
         rows.append(F.struct(F.lit(model_name).alias("model_name"), F.lit(i + 1).alias("trial"),
-                             params.alias("params"), F.col(f"t{i}").alias("loss")))
+                             params.alias("params"), F.col(f"t{i}").alias("loss"),
+                             (1 - F.try_divide(F.col(f"t{i}"), "spread")).alias("r2")))
     return one.select(F.inline(F.array(*rows)))
 
 
@@ -68,13 +76,15 @@ def early_stop(trials: DataFrame, patience: int) -> DataFrame:
 
 
 def compare_methods(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> DataFrame:
-    """Best RMSE of two tuning methods, the improvement of the second over
-    the first, their ratio and the winner (lower RMSE, ties -> first)."""
+    """The trials of two searches beside each other, per model: best RMSE and
+    its R2, the second's gain in both, the RMSE ratio and the winner (lower
+    RMSE, ties -> first)."""
     def best(t: DataFrame, name: str) -> DataFrame:
         return t.groupBy("model_name").agg(F.sqrt(F.min("loss")).alias(f"rmse_{name}"),
+                                           F.min_by("r2", "loss").alias(f"r2_{name}"),
                                            F.count(F.lit(1)).alias(f"trials_{name}"))
     j = best(a, name_a).join(best(b, name_b), "model_name")
     ra, rb = F.col(f"rmse_{name_a}"), F.col(f"rmse_{name_b}")
-    return j.select("model_name", ra, rb, f"trials_{name_a}", f"trials_{name_b}",
-                    (ra - rb).alias("improvement"), (rb / ra).alias("ratio"),
-                    F.when(rb < ra, F.lit(name_b)).otherwise(F.lit(name_a)).alias("winner"))
+    return j.select("model_name", ra, rb, f"r2_{name_a}", f"r2_{name_b}", f"trials_{name_a}", f"trials_{name_b}",
+                    (ra - rb).alias("improvement"), (F.col(f"r2_{name_b}") - F.col(f"r2_{name_a}")).alias("r2_gain"),
+                    F.try_divide(rb, ra).alias("ratio"), F.when(rb < ra, F.lit(name_b)).otherwise(F.lit(name_a)).alias("winner"))

@@ -81,12 +81,18 @@ def _results(spark, sf_dir):
     return RV.model_results(spark, sf_dir)
 
 
-@register("src_json_marker")
+_BEST = ("SELECT model_name, 'models/' || lower(translate(model_name, ' -', '__')) || '/model.pkl' AS model_path, "
+         "'models/' || lower(translate(model_name, ' -', '__')) || '/scaler.pkl' AS scaler_path{} "
+         "FROM results ORDER BY results.test_r2 DESC, model_name LIMIT 1")
+
+
+@register("src_json_marker", D(Q.DEMAND, RV.RESULTS, body=_BEST.format(
+    ", round(test_r2, 6) AS test_r2, round(test_rmse, 6) AS test_rmse, run_id")))
 def src_json_marker(spark, sf_dir):
     best = RU.best_model(_results(spark, sf_dir))
     marker = RU.expected_paths(best).join(best.select("model_name", "test_r2", "test_rmse", "run_id"), "model_name")
     path = SK.write_best_marker(marker, scratch_path(spark, "best_marker"))
-    return RD.read_json_marker(spark, path)
+    return round_doubles(RD.read_json_marker(spark, path))
 
 
 @register("src_artifact_listing")
@@ -183,7 +189,7 @@ def sink_summary_json(spark, sf_dir):
                                      .alias("ranking")))
 
 
-@register("sink_best_marker")
+@register("sink_best_marker", D(Q.DEMAND, RV.RESULTS, body=_BEST.format("")))
 def sink_best_marker(spark, sf_dir):
     best = RU.best_model(_results(spark, sf_dir))
     path = scratch_path(spark, "marker")

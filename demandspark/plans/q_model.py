@@ -202,14 +202,14 @@ def _trials(spark, sf_dir):
     return TU.sweep_trials(V.demand(spark, sf_dir), S.LABEL, "linear_family", _draws(), _pred)
 
 
-def _trials_sql() -> str:
+def _trials_sql(name: str = "trials", draws: list[dict] | None = None) -> str:
     parts = []
-    for i, p in enumerate(_draws()):
+    for i, p in enumerate(draws or _draws()):
         yhat = RV._yhat_sql(float(p["temp_coef"]), float(p["hour_coef"]), float(p["intercept"]))
         parts.append(f"SELECT 'linear_family' AS model_name, {i + 1} AS trial, {p['temp_coef']} AS temp_coef, "
                      f"{p['hour_coef']} AS hour_coef, {p['intercept']} AS intercept, "
                      f"avg((rented_bike_count - ({yhat})) * (rented_bike_count - ({yhat}))) AS loss FROM demand")
-    return "trials AS (" + "\nUNION ALL\n".join(parts) + ")"
+    return f"{name} AS (" + "\nUNION ALL\n".join(parts) + ")"
 
 
 def _flat_trials(t):
@@ -246,16 +246,27 @@ def tune_early_stop(spark, sf_dir):
     return round_doubles(TU.early_stop(_trials(spark, sf_dir), PATIENCE))
 
 
-@register("tune_compare", D(Q.DEMAND, _trials_sql(), """ba AS (SELECT model_name, sqrt(min(loss)) AS rmse_random,
-  count(*) AS trials_random FROM trials WHERE trial <= 10 GROUP BY model_name),
-bb AS (SELECT model_name, sqrt(min(loss)) AS rmse_extended, count(*) AS trials_extended FROM trials WHERE trial > 10 GROUP BY model_name)""",
-    body="SELECT model_name, round(rmse_random, 6) AS rmse_random, round(rmse_extended, 6) AS rmse_extended, "
-    "trials_random, trials_extended, round(rmse_random - rmse_extended, 6) AS improvement, "
-    "round(rmse_extended / rmse_random, 6) AS ratio, CASE WHEN rmse_extended < rmse_random THEN 'extended' "
-    "ELSE 'random' END AS winner FROM ba JOIN bb USING (model_name)"))
+UNIFORM_SPACE = {"temp_coef": (10.0, 18.0), "hour_coef": (20.0, 28.0), "intercept": (200.0, 300.0)}
+
+
+def _uniform():
+    return TU.uniform_draws(UNIFORM_SPACE, SWEEP_TRIALS, 42)
+
+
+@register("tune_compare", D(Q.DEMAND, _trials_sql(), _trials_sql("uniform", _uniform()), """
+sp AS (SELECT var_pop(rented_bike_count) AS v FROM demand),
+ba AS (SELECT model_name, min(loss) AS a, count(*) AS trials_random FROM trials GROUP BY model_name),
+bb AS (SELECT model_name, min(loss) AS b, count(*) AS trials_continuous FROM uniform GROUP BY model_name)""",
+    body="SELECT model_name, round(sqrt(a), 6) AS rmse_random, round(sqrt(b), 6) AS rmse_continuous, "
+    "round(1 - a / v, 6) AS r2_random, round(1 - b / v, 6) AS r2_continuous, trials_random, trials_continuous, "
+    "round(sqrt(a) - sqrt(b), 6) AS improvement, round((1 - b / v) - (1 - a / v), 6) AS r2_gain, "
+    "round(sqrt(b) / sqrt(a), 6) AS ratio, CASE WHEN sqrt(b) < sqrt(a) THEN 'continuous' ELSE 'random' END AS winner "
+    "FROM ba JOIN bb USING (model_name), sp"))
 def tune_compare(spark, sf_dir):
-    t = _trials(spark, sf_dir)
-    return round_doubles(TU.compare_methods(t.where(F.col("trial") <= 10), t.where(F.col("trial") > 10), "random", "extended"))
+    """A search over a grid beside one over ranges, of the same length
+    (``tune_compare_fitted`` sets two fitted searches beside each other, with their times)."""
+    ranges = TU.sweep_trials(V.demand(spark, sf_dir), S.LABEL, "linear_family", _uniform(), _pred)
+    return round_doubles(TU.compare_methods(_trials(spark, sf_dir), ranges, "random", "continuous"))
 
 
 # --- §2.8 joins and §2.14 run tables -----------------------------------------------------
