@@ -2,11 +2,13 @@
 
 import math
 
+import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from demandspark.operators import evaluate as EV
 from demandspark.operators import monitor as MO
+from demandspark.operators import tuning as TU
 
 
 def _df(spark, y, yhat):
@@ -74,3 +76,20 @@ def test_regression_lines_match_builtin_with_nulls(spark):
         for k, w in (("slope", want["s"]), ("intercept", want["i"]), ("r2", want["r"])):
             g = got[c][k]
             assert (g is None and w is None) or math.isclose(g, w, rel_tol=1e-9, abs_tol=1e-12), (c, k, g, w)
+
+
+def test_two_searches_side_by_side(spark):
+    """RMSE, R2 and winner of two sweeps against numpy; equal searches go to the first; constant actuals have no R2."""
+    y = np.arange(20.0) ** 1.5
+    df = spark.createDataFrame([(float(i), float(v)) for i, v in enumerate(y)], "x double, y double")
+    grid, ranges = TU.seeded_draws({"a": [1, 2, 3]}, 3), TU.uniform_draws({"a": (3.0, 5.0)}, 6)
+    assert ranges == TU.uniform_draws({"a": (3.0, 5.0)}, 6) and all(3 <= d["a"] <= 5 for d in ranges)
+    sweep = [TU.sweep_trials(df, "y", "m", d, lambda p: F.col("x") * float(p["a"])) for d in (grid, ranges)]
+    r = TU.compare_methods(*sweep, "grid", "range").first()
+    best = [min(((y - d["a"] * np.arange(20)) ** 2).mean() for d in draws) for draws in (grid, ranges)]
+    assert abs(r["rmse_grid"] - best[0] ** 0.5) < 1e-9 and abs(r["rmse_range"] - best[1] ** 0.5) < 1e-9
+    assert abs(r["r2_gain"] - (best[0] - best[1]) / y.var()) < 1e-9
+    assert r["winner"] == ("range" if best[1] < best[0] else "grid") and r["trials_range"] == 6
+    assert TU.compare_methods(sweep[0], sweep[0], "p", "q").first()["winner"] == "p"
+    flat = TU.sweep_trials(df.withColumn("y", F.lit(1.0)), "y", "m", grid, lambda p: F.col("x") * float(p["a"]))
+    assert {t["r2"] for t in flat.collect()} == {None}
