@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from demandspark.session import checkpoint_dir
 
 PIVOTS, RINGS, SAMPLE, CHUNK = 64, 4, 4096, 4096
+SLICE = 256  # queries whose distances or bounds are worked out at once
 
 
 class Placed(NamedTuple):
@@ -183,8 +184,8 @@ def _routed(at: Placed, limits: DataFrame | None, k: int, rings: int) -> DataFra
         return out
 
     def visit(frames):
-        for x in frames:
-            if not len(x) or not count:
+        for x in (frame[lo:lo + 8 * SLICE] for frame in frames for lo in range(0, len(frame), 8 * SLICE)):
+            if not count:
                 continue
             q = _vectors(x["qv"])
             least, greatest = _ring_bounds(q, bounds_of, rings)
@@ -198,6 +199,26 @@ def _routed(at: Placed, limits: DataFrame | None, k: int, rings: int) -> DataFra
     return seen.withColumn("pack", F.explode("packs")).drop("packs")
 
 
+def _meeting(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
+    """``qid, rid, y, d``: the k nearest rows of ``r`` to each of ``q``."""
+    if not len(q) or not len(r):
+        return pd.DataFrame({"qid": [], "rid": [], "y": [], "d": []})
+    r = r.sort_values("rid", kind="stable")
+    x, y = _vectors(q["qv"]), _vectors(r["rv"])
+    ids, labels = r["rid"].to_numpy(), r["y"].to_numpy()
+    slack = _slack(x, float(np.sqrt((y * y).sum(1)).max()))
+    out: list[tuple] = []
+    for lo in range(0, len(x), SLICE):  # distances of few queries at once
+        for i, row in enumerate(_distances(x[lo:lo + SLICE], y), lo):
+            limit = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
+            some = np.flatnonzero(row <= limit + 2 * slack[i])
+            exact = np.sqrt(((y[some] - x[i]) ** 2).sum(1))
+            best = np.argsort(exact, kind="stable")[:k]  # rows are in key order
+            out.append((np.full(len(best), i), some[best], exact[best]))
+    query, row, d = map(np.concatenate, zip(*out))
+    return pd.DataFrame({"qid": q["qid"].to_numpy()[query], "rid": ids[row], "y": labels[row], "d": d})
+
+
 def _met(at: Placed, visits: DataFrame, k: int) -> DataFrame:
     """``qid, rid, y, d``: the k nearest of every block that a query's set is routed to, for the queries that visit its pack."""
     first, blocks = (_looked_up("pack", dict(enumerate(at.packs[c]))) for c in ("first", "blocks"))
@@ -205,20 +226,7 @@ def _met(at: Placed, visits: DataFrame, k: int) -> DataFrame:
     shipped = at.ref.join(visits.select("block", F.col("set").alias("to_set")).distinct(), "block")
 
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(r):
-            return pd.DataFrame({"qid": [], "rid": [], "y": [], "d": []})
-        r = r.sort_values("rid", kind="stable")
-        x, y = _vectors(q["qv"]), _vectors(r["rv"])
-        ids, labels = r["rid"].to_numpy(), r["y"].to_numpy()
-        near, out = _distances(x, y), []
-        slack = _slack(x, float(np.sqrt((y * y).sum(1)).max()))
-        for i, row in enumerate(near):
-            limit = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-            some = np.flatnonzero(row <= limit + 2 * slack[i])
-            exact = np.sqrt(((y[some] - x[i]) ** 2).sum(1))
-            best = np.argsort(exact, kind="stable")[:k]  # rows are in key order
-            out.append(pd.DataFrame({"qid": q["qid"].iloc[i], "rid": ids[some[best]], "y": labels[some[best]], "d": exact[best]}))
-        return pd.concat(out)
+        return _meeting(q, r, k)
 
     sides = visits.groupBy("block", "set"), shipped.groupBy("block", "to_set")
     return sides[0].cogroup(sides[1]).applyInPandas(meet, f"qid {at.kinds[1]}, rid {at.kinds[0]}, y double, d double")

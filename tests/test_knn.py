@@ -1,9 +1,12 @@
 """Exact k-NN over Voronoi cells against numpy brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from demandspark.operators.knn import knn_regress, shipped_pairs
+from demandspark.operators.knn import CHUNK, _meeting, knn_regress, shipped_pairs
 
 
 def test_knn_equals_brute_force(spark):
@@ -60,3 +63,20 @@ def test_bounds_exclude_little_in_many_dimensions(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     share = shipped_pairs(df.where(F.col("vec_id") % 5 != 0), df.where(F.col("vec_id") % 5 == 0))
     assert 0.5 < share["evaluated"] <= 1.0
+
+
+def test_a_meeting_of_full_blocks_holds_no_table_of_all_distances():
+    """A table of CHUNK x CHUNK distances is 134 MB, and working it out takes a few of them."""
+    rng = np.random.default_rng(5)
+    q = pd.DataFrame({"qid": np.arange(CHUNK), "qv": list(rng.normal(size=(CHUNK, 8)))})
+    r = pd.DataFrame({"rid": np.arange(CHUNK), "rv": list(rng.normal(size=(CHUNK, 8))), "y": rng.normal(size=CHUNK)})
+    tracemalloc.start()
+    try:
+        got = _meeting(q, r, 5)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 100e6, most
+    i = CHUNK - 1
+    d = np.sqrt(((np.stack(r["rv"]) - q["qv"][i]) ** 2).sum(1))
+    assert got[got["qid"] == i]["rid"].tolist() == np.argsort(d)[:5].tolist()
