@@ -214,12 +214,12 @@ def mon_workflow(spark, sf_dir):
     """Clean -> score with a fitted model -> drift / quality / performance -> alerts -> report."""
     ref, cur = V.reference_current(spark, sf_dir, base=V.demand_dirty(spark, sf_dir))
     num = [f.name for f in S.FACT_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)]
-    ref, cur = (CL.mean_impute(CL.inf_to_null(CL.drop_duplicates(x), num), num) for x in (ref, cur))
-    train = feature_recipe(ref)
+    # rows, and then their features, are read by every check
+    ref, cur = (_written(CL.mean_impute(CL.inf_to_null(_written(CL.drop_duplicates(x), "distinct"), num), num), "cleaned") for x in (ref, cur))
+    train, current = (_written(feature_recipe(x), "features") for x in (ref, cur))
     models = M.train_all(train, {LINEAR: M.estimators()[LINEAR]}, parallelism=1)
-    scored = SCO.model_predictor(models[LINEAR])(feature_recipe(cur))
-    fr, fc = train, feature_recipe(cur)
-    summary = DR.drift_summary(DR.drift_table(fr, fc, S.NUMERIC_FEATURES + [S.LABEL], S.MONITOR_CATEGORICAL))
+    scored = SCO.model_predictor(models[LINEAR])(current)
+    summary = DR.drift_summary(DR.drift_table(train, current, S.NUMERIC_FEATURES + [S.LABEL], S.MONITOR_CATEGORICAL))
     q = MO.quality(cur)
     perf = MO.performance(scored, S.LABEL, "yhat")
     alerts = MO.alerts(summary, q, perf)
