@@ -343,9 +343,9 @@ class ReferenceState:
     def drift_table(self, current: DataFrame, **rule) -> DataFrame:
         """``drift_table`` of the reference and ``current``."""
         spark, (num, cat) = current.sparkSession, (f"{self.path}/{kind}" for kind in ("numeric", "categorical"))
-        known = spark.read.parquet(num)
-        rows = known.unionByName(side_rows(current, self.numeric, CUR))
-        size = known.count() + current.count() * len(self.numeric)
+        # the current values are counted once as well; every later look reads the counts
+        rows = spark.read.parquet(num).unionByName(value_counts(side_rows(current, self.numeric, CUR))).checkpoint(eager=True)
+        size = rows.count()
         counts = spark.read.parquet(cat).unionByName(_counts(current.select(*self.categorical).withColumn(TAG, F.lit(CUR)), self.categorical))
         counts = counts.groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")).checkpoint(eager=True)
         return drift_from_counts(NumericDrift(rows, self.numeric, size=size), counts, **rule)
