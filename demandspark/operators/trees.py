@@ -328,7 +328,7 @@ def forest(data: Binned, trees: int, depth: int, least: float = 1, seed: int = 4
             return t, node, *grown(np.concatenate(codes), np.concatenate(y), np.concatenate(weight).astype(float), starts, int(left[t][node]), least)
 
         parts = max(1, min(3 * cores, data.n * len(growing) // 5_000), data.n * len(growing) // 200_000)
-        for t, node, below, gains in data.blocks.flatMap(deal).groupByKey(parts).map(finish).toLocalIterator(prefetchPartitions=True):
+        for t, node, below, gains in data.blocks.flatMap(deal).groupByKey(parts).map(finish).collect():
             growing[t].graft(node, below, gains)
         out += [(g.tree(), g.gains) for g in growing.values()]
     return out
