@@ -85,7 +85,7 @@ def assembled(df: DataFrame, features: Sequence[str] = S.FEATURES, keep: Sequenc
 def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallelism: int = 4,
               features: Sequence[str] = S.FEATURES) -> dict[str, PipelineModel]:
     """Fit every model. The linear ones share one scan for their moments, the trees
-    one table of binned rows (``trees``); other learners are distributed Spark jobs,
+    one table of binned rows (``trees``), ``parallelism`` of them at a time; other learners are distributed Spark jobs,
     ``parallelism`` at a time, over the train rows' vectors, which are assembled and
     cached once."""
     specs = {name: est for name, (est, _) in models.items() if isinstance(est, LI.LinearSpec)}
@@ -95,7 +95,10 @@ def train_all(train: DataFrame, models: dict[str, tuple[object, bool]], parallel
     if grown:
         data = TR.Binned(train, features, S.LABEL, max(est.getMaxBins() for est in grown.values()))
         try:
-            solved |= {name: TR.fit(data, est) for name, est in grown.items()}
+            # boosting is the longest: it starts first
+            first = sorted(grown, key=lambda name: not isinstance(grown[name], GBTRegressor))
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                solved |= zip(first, pool.map(lambda name: TR.fit(data, grown[name]), first))
         finally:
             data.close()
     rest = {name: m for name, m in models.items() if name not in solved}

@@ -2,8 +2,11 @@
 
 Rows are coded once: each feature's value becomes the number of its bin (at
 most ``maxBins``; thresholds from a bounded sample, midpoints between the
-values where there are few), one byte a feature, kept in blocks of rows. A split
-lowers the squared error most; ties go to the first feature and threshold.
+values where there are few). Features whose bins hang on each other (an hour,
+its sine, the time of day) share a column: one byte stands for the combination
+of their bins, and sums per combination add up to those per bin. Columns are
+kept in blocks of rows. A split lowers the squared error most; ties go to the
+first feature and threshold.
 
 * While a node has more than LOCAL rows, its split comes from sums per node,
   feature and bin: the tasks add up their blocks, a tree of tasks adds up
@@ -12,12 +15,15 @@ lowers the squared error most; ties go to the first feature and threshold.
   nodes' subtrees. So the sums of the many deep nodes are never sent around,
   and no task holds more than LOCAL rows of a node.
 
-Boosting adds up its trees in the blocks (written anew every REFRESH rounds).
+Boosting needs its trees one after the other: over at most LOCAL rows one task
+grows them all, over more rows they come from sums over all blocks, which keep
+the sum of the trees so far (written anew every REFRESH rounds).
 To the driver come sums of at most SLOTS nodes and the grown trees.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
@@ -29,12 +35,15 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOCAL = 20_000  # rows of a node whose subtree one task finishes
+LOCAL = 1_000_000  # rows of a node whose subtree one task finishes
 SLOTS = 2_048  # nodes that are counted in one pass
 DEALT = 60_000_000  # row copies that are dealt at once
-BLOCK = 10_000  # rows of a block
-REFRESH = 5  # boosting rounds between two writings of the blocks' sums
+PART = 500_000  # row copies that one task gets, unless one node has more
+BLOCK = 50_000  # rows of a block
+REFRESH = 2  # boosting rounds between two writings of the blocks' sums
 SAMPLE = 10_000  # rows that thresholds come from
+SHARED = 128  # combinations of bins in a shared column of the sample
+CELLS = 500_000  # sums that a task holds for a group of nodes
 
 
 class Tree(NamedTuple):
@@ -45,18 +54,88 @@ class Tree(NamedTuple):
     left: np.ndarray
     value: np.ndarray
 
-    def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """The leaf of each row."""
-        at = np.zeros(len(codes), np.int64)
-        rows = np.arange(len(codes)) if self.feature[0] >= 0 else np.empty(0, np.int64)
-        while len(rows):
-            node = at[rows]
-            node = self.left[node] + (codes[rows, self.feature[node]] > self.cut[node])
-            at[rows] = node
-            rows = rows[self.feature[node] >= 0]
+    def leaves(self, codes: np.ndarray, layout: Layout | None = None) -> np.ndarray:
+        """The leaf of each row of ``codes``: a row of bins for each feature, or one for each column of ``layout``."""
+        n, inner = codes.shape[1], self.feature >= 0
+        at, flat = np.zeros(n, np.int64), codes.ravel()
+        # a leaf leads to itself
+        cut, left = np.where(inner, self.cut, 255), np.where(inner, self.left, np.arange(len(inner))).astype(np.int64)
+        feature = np.where(inner, self.feature, 0).astype(np.int64)
+        place = (feature if layout is None else layout.column[feature]) * n
+        table = None if layout is None else layout.bins.ravel()
+        rows, level = np.arange(n), np.zeros(1, np.int64)
+        while len(level := level[inner[level]]):
+            level = np.concatenate([left[level], left[level] + 1])
+            code = flat[place[at] + rows]
+            if table is not None:
+                code = table[feature[at] * 256 + code]
+            at = left[at] + (code > cut[at])
         return at
 
 
+class Layout:
+    """Where the sums of features' bins lie (``starts``), and the columns that hold the bins: ``keys`` are the
+    combinations of a column's bins (the number of a combination is its code), ``bins`` each feature's bin of every code."""
+
+    def __init__(self, widths: Sequence[int], columns: Sequence[Sequence[int]], keys: Sequence[np.ndarray]):
+        self.widths, self.columns, self.keys = list(widths), [list(c) for c in columns], list(keys)
+        self.starts = np.concatenate([[0], np.cumsum(widths)])
+        self.edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        self.column, self.bins = np.empty(len(widths), np.int64), np.zeros((len(widths), 256), np.uint8)
+        self.adding = []  # of each column, which combinations make up a bin
+        for g, (own, key) in enumerate(zip(self.columns, self.keys)):
+            self.column[own] = g
+            for f in reversed(own):
+                self.bins[f, :len(key)] = key % widths[f]
+                key = key // widths[f]
+            shape = [np.arange(widths[f]) == self.bins[f, :len(key), None] for f in own]
+            self.adding.append(np.concatenate(shape, axis=1).astype(float))
+
+    def key(self, codes: np.ndarray, g: int) -> np.ndarray:
+        """The combination of a column's bins in each row (``codes``: features x rows)."""
+        out = np.zeros(codes.shape[1], np.int64)
+        for f in self.columns[g]:
+            out = out * self.widths[f] + codes[f]
+        return out
+
+    def packed(self, codes: np.ndarray) -> np.ndarray:
+        """The codes in columns (columns x rows) of bins (features x rows)."""
+        return np.array([np.searchsorted(k, self.key(codes, g)) for g, k in enumerate(self.keys)], np.uint8)
+
+    def by_bin(self, found: np.ndarray) -> np.ndarray:
+        """The sums per bin of sums (2, nodes, cells) per combination."""
+        out = np.empty((*found.shape[:2], self.starts[-1]))
+        for g, own in enumerate(self.columns):
+            some = found[:, :, self.edges[g]:self.edges[g + 1]] @ self.adding[g]
+            lo = 0
+            for f in own:
+                out[:, :, self.starts[f]:self.starts[f + 1]] = some[:, :, lo:(lo := lo + self.widths[f])]
+        return out
+
+
+def sharing(codes: np.ndarray, widths: Sequence[int]) -> list[list[int]]:
+    """Features that go into a column together: the rows (``codes``) have few combinations of their bins."""
+    columns, number, size = [], [], []  # features; the combination of each row; how many there are
+    for f, width in enumerate(widths):
+        best = None
+        for g, own in enumerate(columns):
+            if math.prod(widths[x] for x in own) * width >= 1 << 62:
+                continue
+            key = number[g] * width + codes[f]
+            seen = np.bincount(key, minlength=size[g] * width) > 0
+            many = int(seen.sum())
+            if many <= min(SHARED, 2 * max(size[g], width)) and (best is None or many / size[g] < best[0]):
+                best = many / size[g], g, (np.cumsum(seen) - 1)[key], many
+        if best is None:
+            columns.append([f])
+            number.append(codes[f].astype(np.int64))
+            size.append(width)
+        else:
+            _, g, number[g], size[g] = best
+            columns[g].append(f)
+    return columns
+
+
 class Growing:
     """A tree while it grows: node numbers never change; ``gains`` is what each feature's splits bring."""
 
@@ -105,13 +184,14 @@ def thresholds(values: np.ndarray, bins: int) -> np.ndarray:
     return np.array(out)
 
 
-def sums(codes: np.ndarray, starts: np.ndarray, at: np.ndarray, nodes: int, weight: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """(2, nodes, bins): weight and weighted target of the rows (``at``: their node) per node and bin of every feature."""
-    out, wy, plain = np.empty((2, nodes, starts[-1])), weight * y, bool((weight == 1).all())
-    for f in range(codes.shape[1]):
-        lo, hi = starts[f], starts[f + 1]
-        key = at * (hi - lo) + codes[:, f]
-        out[0, :, lo:hi] = np.bincount(key, None if plain else weight, nodes * (hi - lo)).reshape(nodes, -1)
+def sums(codes: np.ndarray, layout: Layout, rows: np.ndarray | None, at: np.ndarray, nodes: int, weight: np.ndarray | None, wy: np.ndarray) -> np.ndarray:
+    """(2, nodes, cells): weight (None: 1) and weighted target of the ``rows`` (None: all; ``at``: their node) per node and code of every column."""
+    out = np.empty((2, nodes, layout.edges[-1]))
+    for g in range(len(codes)):
+        lo, hi = layout.edges[g], layout.edges[g + 1]
+        own = codes[g] if rows is None else codes[g][rows]
+        key = at * (hi - lo) + own if nodes > 1 else own.astype(np.int64)
+        out[0, :, lo:hi] = np.bincount(key, weight, nodes * (hi - lo)).reshape(nodes, -1)
         out[1, :, lo:hi] = np.bincount(key, wy, nodes * (hi - lo)).reshape(nodes, -1)
     return out
 
@@ -142,45 +222,99 @@ def best_splits(found: np.ndarray, starts: np.ndarray, least: float, allowed: np
     return gain, feature, cut, *left
 
 
-def grown(codes: np.ndarray, y: np.ndarray, weight: np.ndarray, starts: np.ndarray, depth: int, least: float) -> tuple[Tree, np.ndarray]:
-    """The tree of these rows, level by level, and its features' gains."""
-    t = Growing(len(starts) - 1, float(weight @ y), float(weight.sum()))
-    rows, at, nodes = np.arange(len(y)), np.zeros(len(y), np.int64), [0]
-    for _ in range(depth):
-        if not nodes:
-            break
-        following, child = [], np.full((len(nodes), 2), -1)
-        splits = [np.empty(len(nodes), int) for _ in range(2)]
-        width = max(1, 4_000_000 // int(starts[-1]))
-        for lo in range(0, len(nodes), width):  # so many nodes' sums at once
-            some = (at >= lo) & (at < lo + width)
-            own = rows[some]
-            part = nodes[lo:lo + width]
-            found = sums(codes[own], starts, at[some] - lo, len(part), weight[own], y[own])
-            gain, feature, cut, nl, sl = best_splits(found, starts, least)
-            all_ = found[:, :, :starts[1]].sum(2)
-            for i, node in enumerate(part):
-                splits[0][lo + i], splits[1][lo + i] = feature[i], cut[i]
-                if feature[i] >= 0:
-                    sides = [(nl[i], sl[i]), (all_[0, i] - nl[i], all_[1, i] - sl[i])]
-                    for side, new in enumerate(t.split(node, gain[i], int(feature[i]), int(cut[i]), sides)):
-                        if sides[side][0] >= 2 * least:
-                            child[lo + i, side] = len(following)
-                            following.append(new)
-        right = codes[rows, splits[0][at]] > splits[1][at]
-        at = np.where(splits[0][at] >= 0, child[at, right.astype(int)], -1)
-        rows, at = rows[at >= 0], at[at >= 0]
-        nodes = following
-    return t.tree(), t.gains
+def grown(codes: np.ndarray, y: np.ndarray, weight: np.ndarray, layout: Layout, depth: int, least: float,
+          allow: Callable[[int], np.ndarray] | None = None) -> tuple[Tree, np.ndarray, np.ndarray]:
+    """The tree of these rows (``codes``: columns x rows), its features' gains and the leaf of each row."""
+    wy, plain = weight * y, bool((weight == 1).all())
+    gains, leaf = np.zeros(len(layout.widths)), np.zeros(len(y), np.int64)
+    value = [np.array([wy.sum() / weight.sum()])]
+    size, flat, n = 1, codes.ravel(), len(y)
+    most = max(1, CELLS // int(layout.edges[-1]))
+    splits = []  # (nodes, features, cuts, left children)
+
+    def counted(rows: np.ndarray | None, at: np.ndarray, nodes: int) -> np.ndarray:
+        if rows is None:
+            return sums(codes, layout, None, at, nodes, None if plain else weight, wy)
+        return sums(codes, layout, rows, at, nodes, None if plain else weight[rows], wy[rows])
+
+    # groups of at most ``most`` nodes of a level: their numbers, depth, rows, the rows' nodes, and sums
+    waiting = [(np.zeros(1, np.int64), 0, np.arange(n), np.zeros(n, np.int64), counted(None, np.zeros(n, np.int64), 1))] if depth else []
+    while waiting:
+        nodes, level, rows, at, found = waiting.pop()
+        gain, f, c, nl, sl = best_splits(layout.by_bin(found), layout.starts, least, allow(len(nodes)) if allow else None)
+        own = np.flatnonzero(f >= 0)
+        if not len(own):
+            leaf[rows] = nodes[at]
+            continue
+        np.add.at(gains, f[own], gain[own])
+        all_ = found[:, own, :layout.edges[1]].sum(2)
+        sides = np.stack([np.stack([nl[own], all_[0] - nl[own]], 1), np.stack([sl[own], all_[1] - sl[own]], 1)])  # (rows and sum, node, side)
+        first = size + 2 * np.arange(len(own))
+        splits.append((nodes[own], f[own], c[own], first))
+        value.append((sides[1] / sides[0]).ravel())
+        size += 2 * len(own)
+        # where the rows go
+        number = np.full(len(nodes), -1)
+        number[own] = np.arange(len(own))
+        if len(own) < len(nodes):
+            stays = number[at] >= 0
+            leaf[rows[~stays]] = nodes[at[~stays]]
+            rows, at = rows[stays], at[stays]
+        goes = 2 * number[:, None] + (layout.bins[f] > c[:, None])
+        to = goes.ravel()[(at << 8) + flat[(layout.column[f] * n)[at] + rows]]
+        if level + 1 == depth:
+            leaf[rows] = first[0] + to
+            continue
+        open_ = sides[0] >= 2 * least
+        # of two open children the one with fewer rows is counted, the other is what it leaves of the parent
+        counts = open_ & ~open_[:, ::-1]
+        both = np.flatnonzero(open_.all(1))
+        fewer = sides[0][both].argmin(1)
+        counts[both, fewer] = True
+        slot = np.full(2 * len(own), -1)
+        chosen = np.flatnonzero(counts.ravel())
+        slot[chosen] = np.arange(len(chosen))
+        opened = np.flatnonzero(open_.ravel())
+        place = slot[to]
+        some = place >= 0
+        part = counted(rows[some], place[some], len(chosen)) if len(chosen) else None
+        children = np.empty((2, len(opened), layout.edges[-1]))
+        chosen, left_over = slot[opened] >= 0, opened[slot[opened] < 0]
+        if chosen.any():
+            children[:, chosen] = part[:, slot[opened[chosen]]]
+        if len(left_over):
+            rest = found[:, own[left_over // 2]] - part[:, slot[left_over ^ 1]]
+            rest[1][rest[0] == 0] = 0.0
+            children[:, ~chosen] = rest
+        index = np.full(2 * len(own), -1)
+        index[opened] = np.arange(len(opened))
+        at = index[to]
+        if len(opened) < 2 * len(own):
+            ends = at < 0
+            leaf[rows[ends]] = first[0] + to[ends]
+            rows, at = rows[~ends], at[~ends]
+        numbers = first[0] + opened
+        if len(opened) <= most:
+            if len(opened):
+                waiting.append((numbers, level + 1, rows, at, children))
+            continue
+        for lo in range(0, len(opened), most):
+            here = (at >= lo) & (at < lo + most)
+            waiting.append((numbers[lo:lo + most], level + 1, rows[here], at[here] - lo, children[:, lo:lo + most].copy()))
+    tree = Tree(np.full(size, -1, np.int16), np.zeros(size, np.int16), np.zeros(size, np.int32), np.concatenate(value))
+    for nodes, f, c, first in splits:
+        tree.feature[nodes], tree.cut[nodes], tree.left[nodes] = f, c, first
+    return tree, gains, leaf
 
 
 class Block(NamedTuple):
-    """Rows: a number to draw with, codes (rows x features), target, and the sum of the trees so far."""
+    """Rows: a number to draw with, codes (columns x rows), target, the sum of the trees so far, and what was drawn (tree -> weights)."""
 
     number: int
     codes: np.ndarray
     y: np.ndarray
     sum: np.ndarray
+    drawn: dict[int, np.ndarray] | None = None
 
 
 class Binned:
@@ -196,37 +330,69 @@ class Binned:
         some = rows if n <= most else rows.sample(False, most / n, seed)
         sample = np.array(some.drop(f"x{len(self.features)}").limit(2 * most).collect(), dtype=float)  # about SAMPLE rows
         self.cuts = cuts = [thresholds(x[np.isfinite(x)], min(bins, n)) for x in sample.T] if len(sample) else [np.empty(0)] * len(self.features)
-        self.starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in cuts])])
+        widths = [len(c) + 1 for c in cuts]
+        columns = sharing(encoded(np.nan_to_num(sample), cuts), widths) if len(sample) else [[f] for f in range(len(widths))]
 
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part, i = TaskContext.get().partitionId(), 0
+            part, i, waiting = TaskContext.get().partitionId(), 0, []
+
+            def block() -> pa.RecordBatch:
+                codes, y = (np.concatenate(p, axis=-1) for p in zip(*waiting))
+                return pa.RecordBatch.from_arrays([pa.array([(part << 32) + i]), pa.array([codes.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())], names=["number", "codes", "y"])
+
             for batch in batches:
                 if batch.num_rows:
                     x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
                     if np.isnan(x).any():
                         raise ValueError("a feature or label is NULL or NaN: impute or reject such rows first")
-                    yield pa.RecordBatch.from_arrays([pa.array([(part << 32) + i]), pa.array([encoded(x[:, :-1], cuts).tobytes()], pa.binary()), pa.array([x[:, -1].tobytes()], pa.binary())], names=["number", "codes", "y"])
-                    i += 1
-
-        width = len(self.features)
-
-        def unpacked(r) -> Block:
+                    waiting.append((encoded(x[:, :-1], cuts), x[:, -1]))
+                    if sum(len(y) for _, y in waiting) >= BLOCK:
+                        yield block()
+                        i, waiting = i + 1, []
+            if waiting:
+                yield block()
+
+        def unpacked(r) -> tuple[int, np.ndarray, np.ndarray]:
             y = np.frombuffer(r["y"])
-            return Block(r["number"], np.frombuffer(r["codes"], np.uint8).reshape(-1, width), y, np.zeros(len(y)))
-
-        parts = max(1, min(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / BLOCK)))
-        parts = max(parts, math.ceil(n / (50 * BLOCK)))
-        self.blocks = rows.mapInArrow(coded, "number long, codes binary, y binary").repartition(parts, "number").rdd.map(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
+            return r["number"], np.frombuffer(r["codes"], np.uint8).reshape(-1, len(y)), y
+
+        parts = max(1, min(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / 10_000)))
+        parts = max(parts, math.ceil(n / (10 * BLOCK)))
+        plain = rows.mapInArrow(coded, "number long, codes binary, y binary").repartition(parts).rdd.map(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
+        every = Layout(widths, columns, [np.empty(0, np.int64)] * len(columns))
+        keys = plain.mapPartitions(lambda some: [_combinations(every, some)]).treeReduce(_united)
+        # a column with more combinations than a byte holds is taken apart
+        split = [[c] if k is not None else [[f] for f in c] for c, k in zip(columns, keys)]
+        keys = [[k] if k is not None else [np.arange(widths[f]) for f in c] for c, k in zip(columns, keys)]
+        self.starts = layout = Layout(widths, sum(split, []), sum(keys, []))
+        self.blocks = plain.map(lambda b: Block(b[0], layout.packed(b[1]), b[2], np.zeros(len(b[2])))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks.count()
+        plain.unpersist()
 
     def close(self) -> None:
         self.blocks.unpersist()
 
 
+Keys = list  # of each column the combinations found, None if there are more than 256
+
+
+def _combinations(layout: Layout, blocks: Iterator[tuple]) -> Keys:
+    out = [np.empty(0, np.int64)] * len(layout.columns)
+    for _, codes, _ in blocks:
+        out = _united(out, [np.unique(layout.key(codes, g)) for g in range(len(out))])
+    return out
+
+
+def _united(a: Keys, b: Keys) -> Keys:
+    every = [None if x is None or y is None else np.union1d(x, y) for x, y in zip(a, b)]
+    return [k if k is not None and len(k) <= 256 else None for k in every]
+
+
 def encoded(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
-    """The bin of every value: how many thresholds are below it."""
-    out = np.empty(x.shape, np.uint8)
+    """The bin of every value (features x rows): how many thresholds are below it."""
+    out = np.empty(x.shape[::-1], np.uint8)
     for f, c in enumerate(cuts):
-        out[:, f] = np.searchsorted(c, x[:, f], side="left")
+        out[f] = np.searchsorted(c, x[:, f], side="left")
     return out
 
 
@@ -234,8 +400,8 @@ Draw = Callable[[Block, int], np.ndarray]  # the weight of each row for a tree
 Target = Callable[[Block], np.ndarray]
 
 
-def _counted(blocks: RDD, starts: np.ndarray, partial: dict[int, Tree], wanted: list[tuple[int, int]], draw: Draw, target: Target) -> np.ndarray:
-    """``sums`` of the wanted (tree, node)s over all rows, SLOTS of them in a pass."""
+def _counted(blocks: RDD, layout: Layout, partial: dict[int, Tree], wanted: list[tuple[int, int]], draw: Draw, target: Target) -> np.ndarray:
+    """Sums per bin of the wanted (tree, node)s over all rows, SLOTS of them in a pass."""
     parts = []
     for lo in range(0, len(wanted), SLOTS):
         slots: dict[int, np.ndarray] = {}
@@ -244,22 +410,25 @@ def _counted(blocks: RDD, starts: np.ndarray, partial: dict[int, Tree], wanted:
         size, own = len(wanted[lo:lo + SLOTS]), {t: partial[t] for t in slots}
 
         def add(some: Iterator[Block], slots=slots, size=size, own=own) -> Iterator[np.ndarray]:
-            out = np.zeros((2, size, starts[-1]))
+            out = np.zeros((2, size, layout.edges[-1]))
             for b in some:
                 y = target(b)
                 for t, tree in own.items():
-                    at, weight = slots[t][tree.leaves(b.codes)], draw(b, t)
-                    here = (at >= 0) & (weight > 0)
-                    if here.any():
-                        first, last = at[here].min(), at[here].max() + 1
-                        out[:, first:last] += sums(b.codes[here], starts, at[here] - first, last - first, weight[here], y[here])
-            yield out
+                    weight, at = draw(b, t), slots[t]
+                    at = np.full(len(y), at[0]) if len(at) == 1 else at[tree.leaves(b.codes, layout)]
+                    here = np.flatnonzero((at >= 0) & (weight > 0))
+                    if len(here):
+                        at, weight = at[here], weight[here]
+                        first, last = at.min(), at.max() + 1
+                        out[:, first:last] += sums(b.codes, layout, None if len(here) == len(y) else here, at - first, last - first,
+                                                   None if (weight == 1).all() else weight, weight * y[here])
+            yield layout.by_bin(out)
 
         parts.append(blocks.mapPartitions(add).treeReduce(np.add))
     return np.concatenate(parts, axis=1)
 
 
-def _grow_top(blocks: RDD, starts: np.ndarray, trees: dict[int, Growing], depth: int, least: float, above: float, draw: Draw, target: Target,
+def _grow_top(blocks: RDD, layout: Layout, trees: dict[int, Growing], depth: int, least: float, above: float, draw: Draw, target: Target,
               allow: Callable[[int], np.ndarray] | None = None) -> None:
     """Split the nodes of more than ``above`` rows from sums over all rows, level by level."""
     open_ = [(t, 0) for t, g in trees.items() if g.n[0] > above]
@@ -270,8 +439,8 @@ def _grow_top(blocks: RDD, starts: np.ndarray, trees: dict[int, Growing], depth:
         less = [min(x, pairs[x][1], key=lambda y: (trees[y[0]].n[y[1]], y[1])) if x in pairs else x for x in open_]
         counted = {x: i for i, x in enumerate(dict.fromkeys(less))}
         partial = {t: trees[t].tree() for t in {t for t, _ in counted}}
-        found = _counted(blocks, starts, partial, list(counted), draw, target)
-        every = np.empty((2, len(open_), starts[-1]))
+        found = _counted(blocks, layout, partial, list(counted), draw, target)
+        every = np.empty((2, len(open_), layout.starts[-1]))
         for i, x in enumerate(open_):
             if x in counted:
                 every[:, i] = found[:, counted[x]]
@@ -280,8 +449,8 @@ def _grow_top(blocks: RDD, starts: np.ndarray, trees: dict[int, Growing], depth:
                 every[:, i] = known[parent] - found[:, counted[sibling]]
                 every[1, i][every[0, i] == 0] = 0.0
         allowed = allow(len(open_)) if allow else None
-        gain, feature, cut, nl, sl = best_splits(every, starts, least, allowed)
-        n, s = every[:, :, :starts[1]].sum(2)
+        gain, feature, cut, nl, sl = best_splits(every, layout.starts, least, allowed)
+        n, s = every[:, :, :layout.starts[1]].sum(2)
         following, known = [], {}
         for i, (t, node) in enumerate(open_):
             g = trees[t]
@@ -295,41 +464,89 @@ def _grow_top(blocks: RDD, starts: np.ndarray, trees: dict[int, Growing], depth:
         open_ = following
 
 
+def _dealt(nodes: dict[tuple[int, int], float], parts: int) -> dict[tuple[int, int], int]:
+    """A part for each (tree, node), near equal in rows."""
+    loads, out = [(0.0, i) for i in range(parts)], {}
+    for x, n in sorted(nodes.items(), key=lambda x: (-x[1], x[0])):
+        load, i = heapq.heappop(loads)
+        out[x] = i
+        heapq.heappush(loads, (load + n, i))
+    return out
+
+
+def _order(x: np.ndarray) -> np.ndarray:
+    """The stable order of non-negative numbers (16 bits sort fastest)."""
+    return np.argsort(x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x, kind="stable")
+
+
+def _finished(blocks: RDD, layout: Layout, growing: dict[int, Growing], depth: int, least: float, draw: Draw) -> None:
+    """Deal the rows of the nodes that are left to split and put their subtrees, finished in tasks, in place."""
+    nodes = {(t, x): g.n[x] for t, g in growing.items() for x, (f, d) in enumerate(zip(g.feature, g.depth)) if f < 0 and d < depth and g.n[x] >= 2 * least}
+    if not nodes:
+        return
+    total = sum(nodes.values())
+    parts = max(min(3 * blocks.context.defaultParallelism, len(nodes)), math.ceil(total / PART))
+    to, below = _dealt(nodes, parts), {x: depth - growing[x[0]].depth[x[1]] for x in nodes}
+    partial, place = {t: growing[t].tree() for t in {t for t, _ in nodes}}, {}
+    for (t, x), i in to.items():
+        place.setdefault(t, np.full(len(partial[t].feature), -1))[x] = i
+
+    def deal(b: Block, partial=partial, place=place) -> Iterator[tuple]:
+        for t, tree in partial.items():
+            weight, leaf = draw(b, t), tree.leaves(b.codes, layout)
+            part = place[t][leaf]
+            rows = np.flatnonzero((weight > 0) & (part >= 0))
+            rows = rows[_order(part[rows])]
+            own = part[rows]
+            ends = np.flatnonzero(np.diff(own, append=-1)) + 1
+            for lo, hi in zip([0, *ends[:-1]], ends):
+                some = rows[lo:hi]
+                yield int(own[lo]), (t, b.number, leaf[some].astype(np.int32), b.codes[:, some], b.y[some], weight[some].astype(np.uint8))
+
+    def finish(dealt: Iterator[tuple], below=below) -> Iterator[tuple[int, int, Tree, np.ndarray]]:
+        pieces: dict[int, list] = {}
+        for _, (t, *piece) in dealt:
+            pieces.setdefault(t, []).append(piece)
+        while pieces:
+            t, some = pieces.popitem()
+            _, leaf, codes, y, weight = zip(*sorted(some, key=lambda p: p[0]))
+            leaf = np.concatenate(leaf)
+            order = _order(leaf)
+            y, weight = np.concatenate(y)[order], np.concatenate(weight)[order].astype(float)
+            codes, leaf = np.take(np.concatenate(codes, axis=1), order, axis=1), leaf[order]
+            ends = np.flatnonzero(np.diff(leaf, append=-1)) + 1
+            for lo, hi in zip([0, *ends[:-1]], ends):
+                node = int(leaf[lo])
+                yield t, node, *grown(np.ascontiguousarray(codes[:, lo:hi]), y[lo:hi], weight[lo:hi], layout, below[t, node], least)[:2]
+
+    for t, node, tree, gains in blocks.flatMap(deal).partitionBy(parts, int).mapPartitions(finish).collect():
+        growing[t].graft(node, tree, gains)
+
+
 def forest(data: Binned, trees: int, depth: int, least: float = 1, seed: int = 42, bagged: bool = True) -> list[tuple[Tree, np.ndarray]]:
     """Trees of ``depth`` levels at most with their features' gains: each over its own Poisson(1) draw of
     the rows, or one over all of them."""
     def draw(b: Block, t: int) -> np.ndarray:
+        if b.drawn is not None:
+            return b.drawn[t]
         return np.random.default_rng([seed, t, b.number]).poisson(1.0, len(b.y)) if bagged else np.ones(len(b.y), np.int64)
 
     def target(b: Block) -> np.ndarray:
         return b.y
 
-    starts, out, together = data.starts, [], max(1, DEALT // data.n)
-    cores = data.blocks.context.defaultParallelism
+    layout, out = data.starts, []
+    together, dealt = max(1, SLOTS // math.ceil(data.n / LOCAL)), max(1, DEALT // data.n)
     for first in range(0, trees, together):
-        growing = {t: Growing(len(starts) - 1, 0.0, data.n) for t in range(first, min(first + together, trees))}
-        _grow_top(data.blocks, starts, growing, depth, least, LOCAL, draw, target)
-        partial = {t: g.tree() for t, g in growing.items()}
-        # the depth left below each leaf that rows are dealt to
-        left = {t: np.array([depth - d if f < 0 else 0 for f, d in zip(g.feature, g.depth)]) for t, g in growing.items()}
-
-        def deal(b: Block, partial=partial, left=left) -> Iterator[tuple]:
-            for t, tree in partial.items():
-                leaf, weight = tree.leaves(b.codes), draw(b, t)
-                rows = np.flatnonzero((weight > 0) & (left[t][leaf] > 0))
-                rows = rows[np.argsort(leaf[rows], kind="stable")]
-                nodes, at = np.unique(leaf[rows], return_index=True)
-                for node, own in zip(nodes.tolist(), np.split(rows, at[1:])):
-                    yield (t, node), (b.number, b.codes[own], b.y[own], weight[own])
-
-        def finish(item: tuple, left=left) -> tuple[int, int, Tree, np.ndarray]:
-            (t, node), pieces = item
-            _, codes, y, weight = zip(*sorted(pieces, key=lambda p: p[0]))
-            return t, node, *grown(np.concatenate(codes), np.concatenate(y), np.concatenate(weight).astype(float), starts, int(left[t][node]), least)
-
-        parts = max(1, min(3 * cores, data.n * len(growing) // 5_000), data.n * len(growing) // 200_000)
-        for t, node, below, gains in data.blocks.flatMap(deal).groupByKey(parts).map(finish).collect():
-            growing[t].graft(node, below, gains)
+        growing = {t: Growing(len(layout.widths), 0.0, data.n) for t in range(first, min(first + together, trees))}
+        blocks = data.blocks
+        if data.n > LOCAL:  # several passes: draw once
+            own = [*growing]
+            blocks = blocks.map(lambda b, own=own: b._replace(drawn={t: draw(b, t).astype(np.uint8) for t in own})).persist(StorageLevel.MEMORY_AND_DISK)
+            _grow_top(blocks, layout, growing, depth, least, LOCAL, draw, target)
+        for lo in range(first, first + len(growing), dealt):
+            _finished(blocks, layout, {t: growing[t] for t in growing if lo <= t < lo + dealt}, depth, least, draw)
+        if blocks is not data.blocks:
+            blocks.unpersist()
         out += [(g.tree(), g.gains) for g in growing.values()]
     return out
 
@@ -337,20 +554,42 @@ def forest(data: Binned, trees: int, depth: int, least: float = 1, seed: int = 4
 def boosted(data: Binned, rounds: int, depth: int, step: float, least: float = 1, rate: float = 1.0, share: float = 1.0, seed: int = 42) -> list[tuple[float, Tree, np.ndarray]]:
     """Trees with their weights and gains: the first fits the target, each other one twice what is left of it
     (the squared error's gradient), over ``rate`` of the rows, each node with ``share`` of the features."""
-    starts, out, rng = data.starts, [], np.random.default_rng(seed)
-    width = len(starts) - 1
+    layout, width = data.starts, len(data.starts.widths)
     taken = max(1, math.ceil(share * width))
-    blocks, pending = data.blocks, []
 
     def draw(b: Block, t: int) -> np.ndarray:
-        return np.ones(len(b.y), np.int64) if rate >= 1 else (np.random.default_rng([seed, t, b.number]).random(len(b.y)) < rate).astype(np.int64)
-
-    def allow(nodes: int) -> np.ndarray:
-        return rng.random((nodes, width)).argsort(1) < taken
-
+        return np.ones(len(b.y), np.uint8) if rate >= 1 else (np.random.default_rng([seed, t, b.number]).random(len(b.y)) < rate).astype(np.uint8)
+
+    def allowing() -> Callable[[int], np.ndarray] | None:
+        rng = np.random.default_rng(seed)
+        return (lambda nodes: rng.random((nodes, width)).argsort(1) < taken) if taken < width else None
+
+    def boost(some: Iterator[Block]) -> Iterator[tuple[float, Tree, np.ndarray]]:
+        every, allow = sorted(some, key=lambda b: b.number), allowing()
+        codes, y = np.concatenate([b.codes for b in every], axis=1), np.concatenate([b.y for b in every])
+        every = [b._replace(codes=None) for b in every]
+        upto = np.zeros(len(y))
+        for r in range(rounds):
+            left = 2 * (y - upto) if r else y
+            taking = np.concatenate([draw(b, r) for b in every]) > 0
+            if taking.all():
+                tree, gains, leaf = grown(codes, left, np.ones(len(y)), layout, depth, least, allow)
+            elif taking.any():
+                leaf, rows, others = np.empty(len(y), np.int64), np.flatnonzero(taking), np.flatnonzero(~taking)
+                tree, gains, leaf[rows] = grown(np.take(codes, rows, axis=1), left[rows], np.ones(len(rows)), layout, depth, least, allow)
+                leaf[others] = tree.leaves(np.take(codes, others, axis=1), layout)
+            else:  # no row was drawn
+                tree, gains, leaf = Growing(width, 0.0, 1).tree(), np.zeros(width), np.zeros(len(y), np.int64)
+            weight = step if r else 1.0
+            yield weight, tree, gains
+            upto += weight * tree.value[leaf]
+
+    if data.n <= LOCAL:
+        return data.blocks.coalesce(1).mapPartitions(boost).collect()
+    blocks, pending, out, allow = data.blocks, [], [], allowing()
     for r in range(rounds):
         def upto(b: Block, pending=tuple(pending)) -> np.ndarray:
-            return sum((weight * tree.value[tree.leaves(b.codes)] for weight, tree in pending), b.sum)
+            return sum((weight * tree.value[tree.leaves(b.codes, layout)] for weight, tree in pending), b.sum)
 
         def target(b: Block, upto=upto, first=not r) -> np.ndarray:
             return b.y if first else 2 * (b.y - upto(b))
@@ -365,7 +604,7 @@ def boosted(data: Binned, rounds: int, depth: int, step: float, least: float = 1
             def target(b: Block) -> np.ndarray:
                 return 2 * (b.y - b.sum)
         g = Growing(width, 0.0, data.n)
-        _grow_top(blocks, starts, {r: g}, depth, least, 0, draw, target, allow if taken < width else None)
+        _grow_top(blocks, layout, {r: g}, depth, least, 0, draw, target, allow)
         weight = step if r else 1.0
         out.append((weight, g.tree(), g.gains))
         pending.append((weight, out[-1][1]))
