@@ -37,12 +37,13 @@ from pyspark.sql import functions as F
 
 LOCAL = 1_000_000  # rows of a node whose subtree one task finishes
 SLOTS = 2_048  # nodes that are counted in one pass
-DEALT = 60_000_000  # row copies that are dealt at once
+DEALT = 200_000_000  # row copies that are dealt at once
 PART = 500_000  # row copies that one task gets, unless one node has more
 BLOCK = 50_000  # rows of a block
 REFRESH = 2  # boosting rounds between two writings of the blocks' sums
 SAMPLE = 10_000  # rows that thresholds come from
 SHARED = 128  # combinations of bins in a shared column of the sample
+WIDE = 1 << 20  # combinations of a column's bins that a table tells apart
 CELLS = 500_000  # sums that a task holds for a group of nodes
 
 
@@ -100,7 +101,20 @@ class Layout:
 
     def packed(self, codes: np.ndarray) -> np.ndarray:
         """The codes in columns (columns x rows) of bins (features x rows)."""
-        return np.array([np.searchsorted(k, self.key(codes, g)) for g, k in enumerate(self.keys)], np.uint8)
+        out = np.empty((len(self.keys), codes.shape[1]), np.uint8)
+        for g, k in enumerate(self.keys):
+            if (room := math.prod(self.widths[f] for f in self.columns[g])) <= WIDE:
+                number = np.zeros(room, np.uint8)
+                number[k] = np.arange(len(k))
+                out[g] = number[self.key(codes, g)]
+            else:
+                out[g] = np.searchsorted(k, self.key(codes, g))
+        return out
+
+    def seen(self, codes: np.ndarray, g: int) -> np.ndarray:
+        """The different combinations in a column, sorted."""
+        key, room = self.key(codes, g), math.prod(self.widths[f] for f in self.columns[g])
+        return np.flatnonzero(np.bincount(key, minlength=room)) if room <= WIDE else np.unique(key)
 
     def by_bin(self, found: np.ndarray) -> np.ndarray:
         """The sums per bin of sums (2, nodes, cells) per combination."""
@@ -331,7 +345,7 @@ class Binned:
         sample = np.array(some.drop(f"x{len(self.features)}").limit(2 * most).collect(), dtype=float)  # about SAMPLE rows
         self.cuts = cuts = [thresholds(x[np.isfinite(x)], min(bins, n)) for x in sample.T] if len(sample) else [np.empty(0)] * len(self.features)
         widths = [len(c) + 1 for c in cuts]
-        columns = sharing(encoded(np.nan_to_num(sample), cuts), widths) if len(sample) else [[f] for f in range(len(widths))]
+        columns = sharing(encoded(np.nan_to_num(sample).T, cuts), widths) if len(sample) else [[f] for f in range(len(widths))]
 
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part, i, waiting = TaskContext.get().partitionId(), 0, []
@@ -342,10 +356,10 @@ class Binned:
 
             for batch in batches:
                 if batch.num_rows:
-                    x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
-                    if np.isnan(x).any():
+                    *x, y = [c.to_numpy(zero_copy_only=False).astype(float, copy=False) for c in batch.columns]
+                    if any(np.isnan(v).any() for v in (*x, y)):
                         raise ValueError("a feature or label is NULL or NaN: impute or reject such rows first")
-                    waiting.append((encoded(x[:, :-1], cuts), x[:, -1]))
+                    waiting.append((encoded(x, cuts), y))
                     if sum(len(y) for _, y in waiting) >= BLOCK:
                         yield block()
                         i, waiting = i + 1, []
@@ -379,7 +393,7 @@ Keys = list  # of each column the combinations found, None if there are more tha
 def _combinations(layout: Layout, blocks: Iterator[tuple]) -> Keys:
     out = [np.empty(0, np.int64)] * len(layout.columns)
     for _, codes, _ in blocks:
-        out = _united(out, [np.unique(layout.key(codes, g)) for g in range(len(out))])
+        out = _united(out, [layout.seen(codes, g) for g in range(len(out))])
     return out
 
 
@@ -388,11 +402,11 @@ def _united(a: Keys, b: Keys) -> Keys:
     return [k if k is not None and len(k) <= 256 else None for k in every]
 
 
-def encoded(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
+def encoded(x: Sequence[np.ndarray], cuts: Sequence[np.ndarray]) -> np.ndarray:
     """The bin of every value (features x rows): how many thresholds are below it."""
-    out = np.empty(x.shape[::-1], np.uint8)
-    for f, c in enumerate(cuts):
-        out[f] = np.searchsorted(c, x[:, f], side="left")
+    out = np.empty((len(x), len(x[0])), np.uint8)
+    for f, (c, v) in enumerate(zip(cuts, x)):
+        out[f] = v > c[0] if len(c) == 1 else np.searchsorted(c, v, side="left")
     return out
 
 
@@ -521,6 +535,7 @@ def _finished(blocks: RDD, layout: Layout, growing: dict[int, Growing], depth: i
 
     for t, node, tree, gains in blocks.flatMap(deal).partitionBy(parts, int).mapPartitions(finish).collect():
         growing[t].graft(node, tree, gains)
+    blocks.context._jvm.System.gc()  # the dealt rows' files go with what names them
 
 
 def forest(data: Binned, trees: int, depth: int, least: float = 1, seed: int = 42, bagged: bool = True) -> list[tuple[Tree, np.ndarray]]:
@@ -627,10 +642,10 @@ class TreeModel:
         @F.pandas_udf("double")
         def predict(*columns):
             cuts, trees = told.value
-            x = np.column_stack([c.to_numpy(float) for c in columns])
-            if np.isnan(x).any():
+            x = [c.to_numpy(float) for c in columns]
+            if any(np.isnan(v).any() for v in x):
                 raise ValueError("a feature is NULL or NaN: impute or reject such rows first")
-            codes, out = encoded(x, cuts), np.zeros(len(x))
+            codes, out = encoded(x, cuts), np.zeros(len(x[0]))
             for weight, tree in trees:
                 out += weight * tree.value[tree.leaves(codes)]
             return type(columns[0])(out)
